@@ -31,7 +31,9 @@ def edge_id(lane: Column, mode: str = "fixed2") -> Column:
     ``last_underscore`` drops exactly the leading ``-``.
     """
     edge = signed_edge(lane, mode)
-    unsigned = F.split_part(edge, F.lit("-"), F.lit(2)) if mode == "fixed2" else F.substr(edge, F.lit(2))
+    unsigned = F.substr(edge, F.lit(2))
+    if mode == "fixed2":
+        unsigned = F.substring_index(unsigned, "-", 1)
     return F.when(F.startswith(edge, F.lit("-")), unsigned).otherwise(edge)
 
 

@@ -53,9 +53,12 @@ def lane_zipper(
     no edge is gathered in one task, and as both sides start from the same columns
     the scan and the shuffle by lane run once.
     """
-    per_lane = parse_lanes(cars_per_lane(vehicle), edge_id_mode=edge_id_mode).drop("junction_edge")
+    # Naming a value for NULL, though none is left, tells Spark that an edge is never
+    # NULL; otherwise the join would check it on, and so parse, every raw row.
+    located = cars_per_lane(vehicle.where(F.col(LANE).isNotNull())).withColumn(LANE, F.coalesce(LANE, F.lit("")))
+    per_lane = parse_lanes(located, edge_id_mode=edge_id_mode).drop("junction_edge")
     edge = ["edge_id", "direction"] if per_direction else ["edge_id"]
-    # Every lane with an id has cars; counting those keeps nb_cars, and with it the
+    # Every lane has cars; counting those with cars keeps nb_cars, and with it the
     # shared shuffle, on this side as well.
     wide = per_lane.groupBy(*edge).agg(F.count_if(F.col("nb_cars") > 0).alias("nb_lanes"))
     return per_lane.join(wide.where(F.col("nb_lanes") >= min_lanes), edge).select(

@@ -38,7 +38,10 @@ def lecture_attendance(
     # sighting; only a booking that lies strictly inside one bucket looks at them all.
     reaches_end = (F.col("lo") == 0) | (F.col("hi") == bucket_seconds - 1)
     any_inside = F.exists("offsets", lambda second: (second >= F.col("lo")) & (second <= F.col("hi")))
-    return held.join(seen, ["room", "bucket"]).where(in_time & (reaches_end | any_inside)).select("name", "cid").distinct()
+    # Spark's estimate does not see how far a booking is cut up, so this side must not be
+    # broadcast on it; the merge join spills, and adaptive execution splits hot buckets.
+    together = held.hint("merge").join(seen, ["room", "bucket"])
+    return together.where(in_time & (reaches_end | any_inside)).select("name", "cid").distinct()
 
 
 def lecture_connections(
@@ -84,11 +87,13 @@ def _booking_pieces(bookings: DataFrame, rules: Rules | None, tz: str, width: in
     """One row per booking and bucket it touches, with the seconds covered there.
 
     A booking stands once per room and lecturer and may stand in several files: its
-    copies are merged first.
+    copies are merged.
     """
     booked = F.col("room")
     room = booked if rules is None else room_name(without_blanks(booked), rules)
-    held = (
+    start, end = F.col("start"), F.col("end")
+    buckets = F.sequence(bucket_start(start, width), bucket_start(end, width), F.lit(width).cast("bigint"))
+    return (
         bookings.select(
             "name",
             room.alias("room"),
@@ -97,14 +102,12 @@ def _booking_pieces(bookings: DataFrame, rules: Rules | None, tz: str, width: in
         )
         .where("room is not null and start <= end")
         .distinct()
-    )
-    buckets = F.sequence(
-        bucket_start(F.col("start"), width), bucket_start(F.col("end"), width), F.lit(width).cast("bigint")
-    )
-    return held.withColumn("bucket", F.explode(buckets)).select(
-        "name",
-        "room",
-        "bucket",
-        F.greatest(F.col("start") - F.col("bucket"), F.lit(0)).cast("int").alias("lo"),
-        F.least(F.col("end") - F.col("bucket"), F.lit(width - 1)).cast("int").alias("hi"),
+        .withColumn("bucket", F.explode(buckets))
+        .select(
+            "name",
+            "room",
+            "bucket",
+            F.greatest(start - F.col("bucket"), F.lit(0)).cast("int").alias("lo"),
+            F.least(end - F.col("bucket"), F.lit(width - 1)).cast("int").alias("hi"),
+        )
     )

@@ -5,11 +5,13 @@ Every derivation is row by row over a whole table.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from lanebeacon.functions.time import epoch_seconds
+from lanebeacon.functions.time import epoch_seconds, local_time
 from lanebeacon.schemas import CLIENT, FCD_RAW
 
 
@@ -85,13 +87,14 @@ def customer_rooms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lectures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as bookings of the customer's room, 30 minutes to 8 hours long."""
-    start = "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(o_orderkey % 700 as int), cast(o_custkey % 60 as int))"
-    minutes = "cast(30 + o_orderkey % 451 as int)"
+    first = F.expr("(o_orderkey % 700) * 3600 + (o_custkey % 60) * 60")
+    length = F.expr("1800 + (o_orderkey % 451) * 60")
+    epoch = int(datetime(2024, 1, 1, tzinfo=timezone.utc).timestamp())
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("name"),
         F.expr("concat('Customer#', lpad(cast(o_custkey as string), 9, '0'))").alias("room"),
-        F.expr(start).alias("start_ts"),
-        F.expr(f"{start} + make_dt_interval(0, 0, {minutes})").alias("end_ts"),
+        local_time(epoch + first).alias("start_ts"),
+        local_time(epoch + first + length).alias("end_ts"),
     )
 
 
