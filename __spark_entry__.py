@@ -15,6 +15,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from pyspark.sql import DataFrame, SparkSession
 
 from lanebeacon import operators as ops
+from lanebeacon.plans import round_trips
 from lanebeacon.plans import tables as t
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
@@ -68,6 +69,12 @@ def queries() -> dict[str, Query]:
         "timestep_count": lambda s, d: ops.timestep_count(t.vehicle(s, d)),
         "heatmap_density": lambda s, d: ops.heatmap_density(t.points(s, d), cell=1.0),
         "heatmap_positions": lambda s, d: ops.heatmap_density(t.points(s, d)),
+        "readings_master": round_trips.readings_master,
+        "streamed_readings": round_trips.streamed_readings,
+        "bookings_master": round_trips.bookings_master,
+        "vehicle_traces": round_trips.vehicle_traces,
+        "person_traces": round_trips.person_traces,
+        "edge_report": round_trips.edge_report,
     }
 
 
@@ -177,13 +184,31 @@ from usage join meta using (did)"""
 
 def oracle_sql() -> dict[str, str]:
     day = _FCD_DAY.format
+    flat = f"{_NESTED} select did, cid, clientOS, rssi, snRatio, ssid, ts from flat"
+    bookings = _BOOKINGS.format(room="room", lecturers="lecturers")
+    vehicles = f"""
+        select {day("l_shipdate")} as timestep_time, cast(l_orderkey as varchar) as vehicle_id,
+               l_extendedprice as vehicle_x, l_quantity as vehicle_y, l_discount as vehicle_angle,
+               l_returnflag as vehicle_type, l_tax as vehicle_speed,
+               case when l_linestatus = 'F' then null else cast(l_partkey as double) end as vehicle_pos,
+               l_suppkey || '_' || l_linenumber as vehicle_lane
+        from lineitem"""
+    persons = f"""
+        select {day("o_orderdate")} as timestep_time, cast(o_custkey as varchar) as person_id,
+               o_totalprice as person_x, cast(o_orderkey as double) as person_y,
+               cast(90 as double) as person_angle, cast(substr(o_orderpriority, 1, 1) as double) as person_speed,
+               cast(null as double) as person_pos, o_orderpriority as person_edge
+        from orders"""
+    edges = f"""
+        with {_VEHICLE}
+        select edge_id, count(edge_id) as sightings from ({_parsed("fixed2")}) group by edge_id"""
     return {
-        "flatten_readings": f"{_NESTED} select did, cid, clientOS, rssi, snRatio, ssid, ts from flat",
-        "device_sightings": f"{_NESTED} select did, cid, clientOS, rssi, snRatio, ssid, ts from flat where did = '7'",
+        "flatten_readings": flat,
+        "device_sightings": f"{flat} where did = '7'",
         "clean_locations": """
             select cast(c_custkey as varchar) as did, case when c_acctbal < 0 then 'unknown' else c_name end as location
             from customer""",
-        "explode_bookings": _BOOKINGS.format(room="room", lecturers="lecturers"),
+        "explode_bookings": bookings,
         "explode_bookings_trimmed": _BOOKINGS.format(room="trim(room)", lecturers="trim(lecturers)"),
         "weekly_router_usage": _usage("time_bucket(interval 7 day, make_timestamp(ts * 1000000), timestamp '1970-01-01')"),
         "weekly_router_usage_monday": _usage(
@@ -221,19 +246,8 @@ def oracle_sql() -> dict[str, str]:
             per_client as (select cid, count(distinct ts) as connections from sightings group by cid)
             select name, cast(sum(connections) as bigint) as connections
             from attendance join per_client using (cid) group by name""",
-        "split_vehicles": f"""
-            select {day("l_shipdate")} as timestep_time, cast(l_orderkey as varchar) as vehicle_id,
-                   l_extendedprice as vehicle_x, l_quantity as vehicle_y, l_discount as vehicle_angle,
-                   l_returnflag as vehicle_type, l_tax as vehicle_speed,
-                   case when l_linestatus = 'F' then null else cast(l_partkey as double) end as vehicle_pos,
-                   l_suppkey || '_' || l_linenumber as vehicle_lane
-            from lineitem""",
-        "split_persons": f"""
-            select {day("o_orderdate")} as timestep_time, cast(o_custkey as varchar) as person_id,
-                   o_totalprice as person_x, cast(o_orderkey as double) as person_y,
-                   cast(90 as double) as person_angle, cast(substr(o_orderpriority, 1, 1) as double) as person_speed,
-                   cast(null as double) as person_pos, o_orderpriority as person_edge
-            from orders""",
+        "split_vehicles": vehicles,
+        "split_persons": persons,
         "split_traces": f"""
             select 'vehicle' as kind, {day("l_shipdate")} as timestep_time, cast(l_orderkey as varchar) as id,
                    l_extendedprice as x, l_suppkey || '_' || l_linenumber as place
@@ -243,9 +257,7 @@ def oracle_sql() -> dict[str, str]:
             from orders""",
         "parse_lanes": f"with {_VEHICLE} {_parsed('fixed2')}",
         "parse_lanes_last_underscore": f"with {_VEHICLE} {_parsed('last_underscore')}",
-        "edge_traffic": f"""
-            with {_VEHICLE}
-            select edge_id, count(edge_id) as sightings from ({_parsed("fixed2")}) group by edge_id""",
+        "edge_traffic": edges,
         "lane_zipper": _zipper("edge_id"),
         "lane_zipper_per_direction": _zipper("edge_id, direction"),
         "vehicles_per_timestep": f"""
@@ -263,4 +275,13 @@ def oracle_sql() -> dict[str, str]:
         "heatmap_positions": """
             select l_extendedprice / 1000 as lat, l_quantity / 5 as lng, count(*) as weight
             from lineitem group by all""",
+        "readings_master": f"""
+            {_NESTED}
+            select did, cid, clientOS, rssi, snRatio, ssid, ts, cast(make_timestamp(ts * 1000000) as date) as ingest_date
+            from flat""",
+        "streamed_readings": flat,
+        "bookings_master": bookings,
+        "vehicle_traces": vehicles,
+        "person_traces": persons,
+        "edge_report": edges,
     }

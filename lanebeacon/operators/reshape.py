@@ -36,19 +36,22 @@ def clean_locations(meta: DataFrame, placeholder: str = PLACEHOLDER, replacement
     return meta.withColumn("location", F.when(location == placeholder, replacement).otherwise(location))
 
 
-def explode_bookings(raw: DataFrame, *, scope: str = "all", trim: bool = False) -> DataFrame:
+def explode_bookings(
+    raw: DataFrame, *, scope: str = "all", trim: bool = False, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """One row per room and lecturer of each booking, with typed start and end.
 
     Copies of a booking are removed first: over all files (``scope="all"``) or within
     each file (``scope="file"``, which needs the ``source_file`` column the readers
     attach and keeps it). Copies are already merged inside each map task, so a booking
     repeated in many places does not make a hot shuffle key. ``trim`` removes blanks
-    around the names in a list.
+    around the names in a list; ``keep`` names further columns to carry along, rows that
+    differ in them being no copies.
     """
     if scope not in ("all", "file"):
         raise ValueError(f"scope must be 'all' or 'file', not {scope!r}")
-    keys = [*BOOKINGS_RAW.names, *([SOURCE_FILE] if scope == "file" else [])]
-    one_each = raw.select(*keys).distinct()
+    file = [SOURCE_FILE] if scope == "file" else []
+    one_each = raw.select(*BOOKINGS_RAW.names, *file, *keep).distinct()
 
     def name(column: str):
         return F.trim(column) if trim else F.col(column)

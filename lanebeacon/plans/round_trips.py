@@ -1,0 +1,83 @@
+"""Loads run from end to end over the given tables: raw files out, master data back in.
+
+The raw files are written to the shared folder first, in the form the loaders expect.
+"""
+
+from __future__ import annotations
+
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lanebeacon import operators as ops
+from lanebeacon.functions.time import local_time
+from lanebeacon.operators.traces import PERSON_KIND, VEHICLE_KIND
+from lanebeacon.plans import tables, traffic
+from lanebeacon.plans.shared import shared_folder
+from lanebeacon.plans.wifi import daily_bookings
+from lanebeacon.sinks import write_master, write_view
+from lanebeacon.sources import (
+    read_bookings_json,
+    read_readings_json,
+    read_readings_master,
+    read_traces_master,
+)
+from lanebeacon.sources.files import INGEST_DATE
+from lanebeacon.streaming import stream_readings
+
+
+def readings_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested JSON flattened into master data by day, loaded twice to no effect."""
+    raw, master = _fresh(spark, "raw"), _fresh(spark, "master")
+    tables.readings_raw(spark, sf_dir).write.json(raw)
+    flat = ops.flatten_readings(read_readings_json(spark, raw))
+    by_day = flat.withColumn(INGEST_DATE, local_time(F.col("ts")).cast("date"))
+    for _ in range(2):
+        write_master(by_day, master, partition_by=[INGEST_DATE], cluster_by=["did"])
+    return read_readings_master(spark, master)
+
+
+def streamed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same JSON through the incremental load, called twice to no effect."""
+    raw, master = _fresh(spark, "raw"), _fresh(spark, "master")
+    tables.readings_raw(spark, sf_dir).write.json(raw)
+    for _ in range(2):
+        stream_readings(spark, raw, master)
+    return read_readings_master(spark, master).drop(INGEST_DATE)
+
+
+def bookings_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bookings as JSON, one copy of each kept per file, which here is all of them."""
+    raw, master = _fresh(spark, "raw"), _fresh(spark, "master")
+    tables.bookings_raw(spark, sf_dir).distinct().write.json(raw)
+    write_master(daily_bookings(read_bookings_json(spark, raw)), master, partition_by=[INGEST_DATE])
+    return spark.read.parquet(master).drop(INGEST_DATE)
+
+
+def traces_master(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """The wide trace as CSV, split into its two halves by one scan."""
+    raw, master = _fresh(spark, "raw"), _fresh(spark, "master")
+    tables.fcd_raw(spark, sf_dir).write.csv(raw, sep=";", header=True)
+    traffic.load_traces(spark, raw, master)
+    return read_traces_master(spark, master, kind)
+
+
+def vehicle_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return traces_master(spark, sf_dir, VEHICLE_KIND)
+
+
+def person_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return traces_master(spark, sf_dir, PERSON_KIND)
+
+
+def edge_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Traffic per edge, written as one CSV file with a header and read again."""
+    report = _fresh(spark, "report")
+    view = ops.edge_traffic(tables.vehicle(spark, sf_dir))
+    write_view(view, report, single_file=True, order_by=[F.desc("sightings"), "edge_id"])
+    return spark.read.schema(view.schema).csv(report, header=True)
+
+
+def _fresh(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/round_trips/{uuid4().hex}/{name}"

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lanebeacon import operators as ops
+from lanebeacon.schemas import BOOKINGS
 from lanebeacon.sinks import write_master, write_view
 from lanebeacon.sources import read_bookings_json, read_meta_json, read_readings_json
-from lanebeacon.sources.files import INGEST_DATE, SOURCE_FILE, file_day
+from lanebeacon.sources.files import INGEST_DATE
 
 # Column titles of the written reports.
 USAGE_TITLES = {
@@ -42,8 +43,8 @@ def load_bookings(
 
 def daily_bookings(raw: DataFrame, trim: bool = False) -> DataFrame:
     """Booking rows with the day of the file they came from."""
-    rows = ops.explode_bookings(raw, scope="file", trim=trim)
-    return rows.withColumn(INGEST_DATE, file_day(rows[SOURCE_FILE])).drop(SOURCE_FILE)
+    rows = ops.explode_bookings(raw, scope="file", trim=trim, keep=(INGEST_DATE,))
+    return rows.select(*BOOKINGS.names, INGEST_DATE)
 
 
 def write_wifi_views(readings: DataFrame, meta: DataFrame, target: str, *, tz: str = "UTC", single_file: bool = True) -> None:

@@ -9,20 +9,16 @@ from pyspark.sql.types import StructType
 INGEST_DATE = "ingest_date"
 SOURCE_FILE = "source_file"
 
-# The two shapes of daily file names, 8-10-2017.json and rooms-2017-10-08.json.
-DAY_FIRST = r"(?:^|\D)(\d{1,2})-(\d{1,2})-(\d{4})\."
-YEAR_FIRST = r"(?:^|\D)(\d{4})-(\d{1,2})-(\d{1,2})\."
+# The two shapes of the date in daily file names, rooms-2017-10-08.json and 8-10-2017.json.
+YEAR_FIRST = r"(?<!\d)\d{4}-\d{1,2}-\d{1,2}(?=\.)"
+DAY_FIRST = r"(?<!\d)\d{1,2}-\d{1,2}-\d{4}(?=\.)"
 
 
 def file_day(path: Column) -> Column:
     """The date in the name of a daily file, NULL if it has none."""
     name = F.substring_index(path, "/", -1)
-
-    def dashed(pattern: str, year: int, month: int, day: int) -> Column:
-        parts = [F.regexp_extract(name, pattern, group) for group in (year, month, day)]
-        return F.concat_ws("-", *parts).try_cast("date")
-
-    return F.coalesce(dashed(YEAR_FIRST, 1, 2, 3), dashed(DAY_FIRST, 3, 2, 1))
+    turned = F.array_join(F.reverse(F.split(F.regexp_extract(name, DAY_FIRST, 0), "-")), "-")
+    return F.coalesce(F.regexp_extract(name, YEAR_FIRST, 0).try_cast("date"), turned.try_cast("date"))
 
 
 def with_file_columns(scan: DataFrame) -> DataFrame:

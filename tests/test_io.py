@@ -1,0 +1,270 @@
+from __future__ import annotations
+
+import json
+import os
+from datetime import date, datetime
+from pathlib import Path
+
+import pytest
+from conftest import executed_plan, found
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from lanebeacon import operators as ops
+from lanebeacon import schemas, sinks, sources
+from lanebeacon.plans import traffic, wifi
+from lanebeacon.plans.shared import shared_folder
+from lanebeacon.sinks import write_master, write_view
+from lanebeacon.sources.files import file_day
+from lanebeacon.streaming import stream_bookings, stream_readings
+
+
+def json_lines(path: Path, *documents) -> str:
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("\n".join(json.dumps(document) for document in documents))
+    return str(path)
+
+
+def router(did, *cids, ts=100):
+    clients = [{"cid": cid, "clientOS": "iOS", "rssi": -60.5, "snRatio": 20.0, "ssid": "net"} for cid in cids]
+    return {"did": did, "readings": [{"clients": clients, "ts": ts}]}
+
+
+def booking(name="Maths", room="A,B", lecturers="x"):
+    return {
+        "name": name,
+        "startDate": "2017-10-02",
+        "endDate": "2017-10-02",
+        "startTime": "10:15",
+        "endTime": "12:00",
+        "room": room,
+        "type": "lecture",
+        "lecturers": lecturers,
+        "programme": "CS",
+    }
+
+
+def data_files(path, suffix=".csv"):
+    return [name for _, _, names in os.walk(path) for name in names if name.endswith(suffix)]
+
+
+@pytest.mark.parametrize(
+    "name, day",
+    [
+        ("json/devices/8-10-2017.json", date(2017, 10, 8)),
+        ("json/devices/30-9-2017.json.gz", date(2017, 9, 30)),
+        ("file:///2016-01-01.old/rooms-2017-10-08.json", date(2017, 10, 8)),
+        ("rooms-2017-13-08.json", None),
+        ("readings.json", None),
+    ],
+)
+def test_file_day(spark, name, day):
+    assert found(spark.range(1).select(file_day(F.lit(name)))) == [(day,)]
+
+
+@pytest.fixture
+def days(tmp_path):
+    folder = tmp_path / "devices"
+    json_lines(folder / "1-10-2017.json", router("r1", "a", "b"), {"did": "r2"}, {"did": "r3", "readings": [{"ts": 5}]})
+    json_lines(folder / "2-10-2017.json", router("r1", "a"))
+    return folder
+
+
+DAYS_LOADED = [("a", date(2017, 10, 1)), ("a", date(2017, 10, 2)), ("b", date(2017, 10, 1))]
+
+
+def test_load_readings_twice(spark, days, tmp_path):
+    master = str(tmp_path / "master")
+    for paths in ([str(path) for path in days.iterdir()], str(days), str(days / "1-10-2017.json")):
+        wifi.load_readings(spark, paths, master, cluster_by=["did"])
+        assert found(sources.read_readings_master(spark, master), "cid", "ingest_date") == DAYS_LOADED
+    one_day = sources.read_readings_master(spark, master).where("ingest_date = '2017-10-02'")
+    assert one_day.count() == 1 and "PartitionFilters: [isnotnull(ingest_date" in executed_plan(one_day)
+
+
+def test_reading_many_files_is_one_job(spark, days):
+    raw = sources.read_readings_json(spark, str(days / "*.json"))
+    assert raw.count() == 4
+    assert executed_plan(ops.flatten_readings(raw)).count("Scan json") == 2  # tree and details
+
+
+def test_master_as_text_is_read_by_position(spark, days, tmp_path):
+    master = str(tmp_path / "text")
+    flat = ops.flatten_readings(sources.read_readings_json(spark, str(days)))
+    write_master(flat, master, mode="append", fmt="csv")
+    again = sources.read_readings_master(spark, master, fmt="csv")
+    assert again.schema.simpleString() == schemas.READINGS_TEXT.simpleString()
+    assert found(again) == sorted([("r1", "a", "iOS", "-60.5", "20.0", "net", 100)] * 2 + [("r1", "b", "iOS", "-60.5", "20.0", "net", 100)])
+    meta = spark.createDataFrame([("r1", "aud1")], schemas.META)
+    assert found(ops.signal_quality_profile(again, meta), "avg_rssi", "avg_snRatio") == [(-60, 20)]
+    with pytest.raises(ValueError):
+        sources.read_readings_master(spark, master, fmt="xml")
+
+
+def test_load_meta(spark, tmp_path):
+    path = json_lines(tmp_path / "meta.json", {"did": "r1", "location": "change_me"}, {"did": "r2", "location": "aud1"})
+    master = str(tmp_path / "meta")
+    wifi.load_meta(spark, path, master)
+    assert found(sources.read_meta_master(spark, master)) == [("r1", "unknown"), ("r2", "aud1")]
+    with pytest.raises(AnalysisException):
+        wifi.load_meta(spark, path, master)
+    wifi.load_meta(spark, path, master, mode="overwrite")
+    assert sources.read_meta_master(spark, master).count() == 2
+
+
+def test_meta_as_text(spark, tmp_path):
+    write_master(spark.createDataFrame([("r1", "a, b")], schemas.META), str(tmp_path / "m"), mode="overwrite", fmt="csv")
+    assert found(sources.read_meta_master(spark, str(tmp_path / "m"), fmt="csv")) == [("r1", "a, b")]
+
+
+def test_load_bookings(spark, tmp_path):
+    folder = tmp_path / "bookings"
+    json_lines(folder / "rooms-2017-10-01.json", booking(), booking())
+    json_lines(folder / "rooms-2017-10-02.json", booking(lecturers="x,y"), booking())
+    master = str(tmp_path / "master")
+    expected = [("A", "x")] * 3 + [("A", "y")] + [("B", "x")] * 3 + [("B", "y")]
+    for _ in range(2):
+        wifi.load_bookings(spark, str(folder), master)
+        assert found(sources.read_bookings_master(spark, master), "room", "lecturers") == expected
+    loaded = sources.read_bookings_master(spark, master)
+    assert loaded.columns == [*schemas.BOOKINGS.names, "ingest_date"]
+    assert loaded.first().start_ts == datetime(2017, 10, 2, 10, 15)
+
+
+def test_bookings_as_text(spark, tmp_path):
+    raw = sources.read_bookings_json(spark, json_lines(tmp_path / "rooms-2017-10-01.json", booking()))
+    rows = ops.explode_bookings(raw)
+    write_master(rows, str(tmp_path / "text"), mode="append", fmt="csv", header=True)
+    again = sources.read_bookings_master(spark, str(tmp_path / "text"), fmt="csv")
+    assert found(again) == found(rows) and again.count() == 2
+
+
+def test_stream_readings_loads_each_file_once(spark, days, tmp_path):
+    master = str(tmp_path / "streamed")
+    for _ in range(2):
+        stream_readings(spark, str(days), master, max_files_per_trigger=1)
+        assert found(sources.read_readings_master(spark, master), "cid", "ingest_date") == DAYS_LOADED
+    json_lines(days / "3-10-2017.json", router("r9", "z"))
+    stream_readings(spark, str(days), master)
+    assert found(sources.read_readings_master(spark, master), "cid", "ingest_date") == [*DAYS_LOADED, ("z", date(2017, 10, 3))]
+
+
+def test_stream_bookings_loads_each_file_once(spark, tmp_path):
+    folder, master, memory = tmp_path / "bookings", str(tmp_path / "streamed"), str(tmp_path / "memory")
+    json_lines(folder / "rooms-2017-10-01.json", booking(), booking())
+    for _ in range(2):
+        stream_bookings(spark, str(folder), master, memory)
+        assert found(sources.read_bookings_master(spark, master), "room") == [("A",), ("B",)]
+    json_lines(folder / "more-2017-10-01.json", booking(name="Late"))
+    stream_bookings(spark, str(folder), master, memory)
+    assert found(sources.read_bookings_master(spark, master), "name") == [("Late",)] * 2 + [("Maths",)] * 2
+
+
+TRACE = """timestep_time;vehicle_id;vehicle_x;vehicle_y;vehicle_z;vehicle_angle;vehicle_type;vehicle_speed;vehicle_pos;vehicle_lane;vehicle_slope;person_id;person_x;person_y;person_z;person_angle;person_speed;person_pos;person_edge;person_slope
+0.00;v1;1.5;2.5;;90;car;3;4;1_0;0;;;;;;;;;
+0.00;;;;;;;;;;;p1;1;2;;3;4;5;1;0
+1.00;v1;1.6;2.5;;90;car;3;4;1_0;0;;;;;;;;;
+"""
+
+
+def test_trace_masters(spark, tmp_path):
+    (tmp_path / "trace.csv").write_text(TRACE)
+    path = str(tmp_path / "trace.csv")
+    cars = [(0.0, "v1", 1.5, 2.5, 90.0, "car", 3.0, 4.0, "1_0"), (1.0, "v1", 1.6, 2.5, 90.0, "car", 3.0, 4.0, "1_0")]
+    people = [(0.0, "p1", 1.0, 2.0, 3.0, 4.0, 5.0, "1")]
+    traffic.load_vehicles(spark, path, str(tmp_path / "vehicle"))
+    traffic.load_persons(spark, path, str(tmp_path / "person"))
+    assert found(sources.read_vehicle_master(spark, str(tmp_path / "vehicle"))) == cars
+    assert found(sources.read_person_master(spark, str(tmp_path / "person"))) == people
+    traffic.load_traces(spark, path, str(tmp_path / "traces"))
+    assert found(sources.read_traces_master(spark, str(tmp_path / "traces"), "vehicle")) == cars
+    assert found(sources.read_traces_master(spark, str(tmp_path / "traces"), "person")) == people
+    lanes = sources.read_traces_master(spark, str(tmp_path / "traces"), "vehicle").groupBy("vehicle_lane").count()
+    assert "vehicle:struct<vehicle_lane:string>" in executed_plan(lanes)
+    with pytest.raises(AnalysisException):
+        traffic.load_vehicles(spark, path, str(tmp_path / "vehicle"))
+    with pytest.raises(ValueError):
+        sources.read_traces_master(spark, str(tmp_path / "traces"), "bicycle")
+
+
+def test_vehicle_master_as_text(spark, tmp_path):
+    (tmp_path / "trace.csv").write_text(TRACE)
+    rows = ops.split_vehicles(sources.read_fcd_csv(spark, str(tmp_path / "trace.csv")))
+    write_master(rows, str(tmp_path / "text"), mode="errorifexists", fmt="csv")
+    assert found(sources.read_vehicle_master(spark, str(tmp_path / "text"), fmt="csv")) == found(rows)
+
+
+@pytest.fixture
+def parted(spark):
+    return lambda *rows: spark.createDataFrame(list(rows), "day string, n int")
+
+
+def test_write_master_modes(spark, parted, tmp_path, conf):
+    conf(spark__sql__sources__partitionOverwriteMode="dynamic")
+    path = str(tmp_path / "m")
+    write_master(parted(("mon", 1), ("tue", 2)), path, partition_by=["day"])
+    write_master(parted(("tue", 3)), path, partition_by=["day"])
+    assert found(spark.read.parquet(path), "day", "n") == [("mon", 1), ("tue", 3)]
+    write_master(parted(("tue", 4)), path, partition_by=["day"], mode="append")
+    assert found(spark.read.parquet(path), "n") == [(1,), (3,), (4,)]
+    write_master(parted(("wed", 5)), path, partition_by=["day"], mode="overwrite")
+    assert found(spark.read.parquet(path), "n") == [(5,)]
+    with pytest.raises(AnalysisException):
+        write_master(parted(("wed", 5)), path, partition_by=["day"], mode="errorifexists")
+    with pytest.raises(ValueError):
+        write_master(parted(), path)
+    with pytest.raises(ValueError):
+        write_master(parted(), path, mode="merge")
+
+
+def test_rebalanced_master_has_no_tiny_files(spark, tmp_path):
+    rows = spark.range(0, 4000, 1, 40).selectExpr("if(id % 3 = 0, 'hot', concat('d', id % 4)) as day", "id as n")
+    write_master(rows, str(tmp_path / "m"), partition_by=["day"], rebalance=True, cluster_by=["n"])
+    assert len(data_files(tmp_path / "m", ".parquet")) <= 8 * 5
+    assert spark.read.parquet(str(tmp_path / "m")).count() == 4000
+
+
+def test_write_view_as_one_sorted_file(spark, tmp_path):
+    path = str(tmp_path / "view")
+    view = spark.range(100).selectExpr("id % 10 as k").groupBy("k").count()
+    for _ in range(2):
+        write_view(view, path, single_file=True, order_by=[F.desc("k")], columns={"count": "Total no"})
+        assert len(data_files(path)) == 1
+    lines = next(Path(path).glob("*.csv")).read_text().split()
+    assert lines[0] == "k,Total" or "".join(lines).startswith("k,Total")
+    assert [row.k for row in spark.read.csv(path, header=True, inferSchema=True).collect()] == list(range(9, -1, -1))
+
+
+def test_large_views_are_written_in_parallel(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "SINGLE_FILE_ROWS", 10)
+    path = str(tmp_path / "view")
+    write_view(spark.range(0, 100, 1, 4), path, single_file=True)
+    assert len(data_files(path)) == 4
+    write_view(spark.range(0, 100, 1, 4), path, fmt="parquet", order_by=["id"])
+    assert spark.read.parquet(path).count() == 100
+    with pytest.raises(AnalysisException):
+        write_view(spark.range(3), path, mode="errorifexists")
+
+
+def test_wifi_views_as_reports(spark, tmp_path):
+    readings = spark.createDataFrame([("r1", "a", "os", "-60", "20", "net", 1506816000)], schemas.READINGS_TEXT)
+    meta = spark.createDataFrame([("r1", "aud1")], schemas.META)
+    wifi.write_wifi_views(readings, meta, str(tmp_path))
+    usage = spark.read.csv(str(tmp_path / "router_usage"), header=True)
+    assert usage.columns == ["did", "location", "From", "To", "Total no of unique clients", "Total no of accesses"]
+    assert found(usage) == [("r1", "aud1", "2017.09.28, Thu", "2017.10.05 , Thu", "1", "1")]
+    assert spark.read.csv(str(tmp_path / "room_occupancy"), header=True).columns == ["location", "Date", "From", "To", "#devices"]
+    assert spark.read.csv(str(tmp_path / "signal_quality"), header=True).count() == 1
+
+
+def test_traffic_views_as_reports(spark, tmp_path):
+    vehicle = spark.createDataFrame([(f"{edge}_{lane}",) for edge in range(5) for lane in range(edge)], "vehicle_lane string")
+    traffic.write_traffic_views(vehicle, str(tmp_path))
+    edges = spark.read.csv(str(tmp_path / "edge_traffic"), header=True)
+    assert edges.columns == ["edge_id", "count(edge_id)"]
+    assert [row.edge_id for row in edges.collect()] == ["4", "3", "2", "1"]
+    assert spark.read.csv(str(tmp_path / "lane_zipper"), header=True).count() == 7
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
