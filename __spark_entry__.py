@@ -26,6 +26,11 @@ NATION_ROOMS = [("nation_1", "Aud1"), ("nation_2", "Aud2")]
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _as_text(rows: DataFrame, *columns: str) -> DataFrame:
+    """Times and dates as text, which compares the same everywhere."""
+    return rows.withColumns({column: rows[column].cast("string") for column in columns})
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Weekly usage per router at the smallest scale."""
     return queries()["weekly_router_usage"](spark, FLAGSHIP_DIR)
@@ -36,8 +41,12 @@ def queries() -> dict[str, Query]:
         "flatten_readings": lambda s, d: ops.flatten_readings(t.readings_raw(s, d)),
         "device_sightings": lambda s, d: ops.device_sightings(t.readings_raw(s, d), "7"),
         "clean_locations": lambda s, d: ops.clean_locations(t.customer_meta(s, d)),
-        "explode_bookings": lambda s, d: ops.explode_bookings(t.bookings_raw(s, d)),
-        "explode_bookings_trimmed": lambda s, d: ops.explode_bookings(t.bookings_raw(s, d), trim=True),
+        "explode_bookings": lambda s, d: _as_text(
+            ops.explode_bookings(t.bookings_raw(s, d)), "start_ts", "end_ts"
+        ),
+        "explode_bookings_trimmed": lambda s, d: _as_text(
+            ops.explode_bookings(t.bookings_raw(s, d), trim=True), "start_ts", "end_ts"
+        ),
         "weekly_router_usage": lambda s, d: ops.weekly_router_usage(t.readings(s, d), t.meta(s, d)),
         "weekly_router_usage_monday": lambda s, d: ops.weekly_router_usage(
             t.readings(s, d), t.meta(s, d), week_start="monday", tz="Europe/Copenhagen"
@@ -69,9 +78,9 @@ def queries() -> dict[str, Query]:
         "timestep_count": lambda s, d: ops.timestep_count(t.vehicle(s, d)),
         "heatmap_density": lambda s, d: ops.heatmap_density(t.points(s, d), cell=1.0),
         "heatmap_positions": lambda s, d: ops.heatmap_density(t.points(s, d)),
-        "readings_master": round_trips.readings_master,
+        "readings_master": lambda s, d: _as_text(round_trips.readings_master(s, d), "ingest_date"),
         "streamed_readings": round_trips.streamed_readings,
-        "bookings_master": round_trips.bookings_master,
+        "bookings_master": lambda s, d: _as_text(round_trips.bookings_master(s, d), "start_ts", "end_ts"),
         "vehicle_traces": round_trips.vehicle_traces,
         "person_traces": round_trips.person_traces,
         "edge_report": round_trips.edge_report,
@@ -111,8 +120,8 @@ with raw as (
 per_room as (select * replace (unnest(string_split(room, ',')) as room) from raw),
 per_lecturer as (select * replace (unnest(string_split(lecturers, ',')) as lecturers) from per_room)
 select name, "startDate", "endDate", "startTime", "endTime", {room} as room, "type", {lecturers} as lecturers, programme,
-       strptime("startDate" || ' ' || "startTime", '%Y-%m-%d %H:%M') as start_ts,
-       strptime("endDate" || ' ' || "endTime", '%Y-%m-%d %H:%M') as end_ts
+       strftime(strptime("startDate" || ' ' || "startTime", '%Y-%m-%d %H:%M'), '%Y-%m-%d %H:%M:%S') as start_ts,
+       strftime(strptime("endDate" || ' ' || "endTime", '%Y-%m-%d %H:%M'), '%Y-%m-%d %H:%M:%S') as end_ts
 from per_lecturer"""
 
 _ATTENDANCE = """
@@ -197,7 +206,7 @@ def oracle_sql() -> dict[str, str]:
         select {day("o_orderdate")} as timestep_time, cast(o_custkey as varchar) as person_id,
                o_totalprice as person_x, cast(o_orderkey as double) as person_y,
                cast(90 as double) as person_angle, cast(substr(o_orderpriority, 1, 1) as double) as person_speed,
-               cast(null as double) as person_pos, o_orderpriority as person_edge
+               case when o_orderstatus = 'F' then null else o_totalprice / 2 end as person_pos, o_orderpriority as person_edge
         from orders"""
     edges = f"""
         with {_VEHICLE}
@@ -277,7 +286,7 @@ def oracle_sql() -> dict[str, str]:
             from lineitem group by all""",
         "readings_master": f"""
             {_NESTED}
-            select did, cid, clientOS, rssi, snRatio, ssid, ts, cast(make_timestamp(ts * 1000000) as date) as ingest_date
+            select did, cid, clientOS, rssi, snRatio, ssid, ts, strftime(make_timestamp(ts * 1000000), '%Y-%m-%d') as ingest_date
             from flat""",
         "streamed_readings": flat,
         "bookings_master": bookings,

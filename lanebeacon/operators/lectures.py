@@ -24,15 +24,20 @@ def lecture_attendance(
     *,
     tz: str = "UTC",
     bucket_seconds: int = HOUR,
+    shares: int = 4,
 ) -> DataFrame:
     """Distinct (lecture name, client) pairs; both ends of a booking count as inside.
 
     ``rules`` reduces locations and booked rooms to the same room names, and what
     matches no rule drops out; ``rules=None`` compares the two texts as they are.
-    ``tz`` is the zone the booking times are written in.
+    ``tz`` is the zone the booking times are written in. The clients of a room and
+    bucket are dealt into ``shares``, each joined by itself with a copy of the bookings
+    there, so that no task has to pair up a crowded hour alone.
     """
-    seen = _clients_per_bucket(readings, _router_rooms(meta, rules), bucket_seconds)
-    held = _booking_pieces(bookings, rules, tz, bucket_seconds)
+    share = F.pmod(F.xxhash64("cid"), F.lit(shares)).cast("int")
+    every_share = F.sequence(F.lit(0), F.lit(shares - 1))
+    seen = _clients_per_bucket(readings, _router_rooms(meta, rules), bucket_seconds).withColumn("share", share)
+    held = _booking_pieces(bookings, rules, tz, bucket_seconds).withColumn("share", F.explode(every_share))
     in_time = (F.col("first") <= F.col("hi")) & (F.col("last") >= F.col("lo"))
     # A piece that reaches either end of its bucket is settled by the first and last
     # sighting; only a booking that lies strictly inside one bucket looks at them all.
@@ -40,7 +45,7 @@ def lecture_attendance(
     any_inside = F.exists("offsets", lambda second: (second >= F.col("lo")) & (second <= F.col("hi")))
     # Spark's estimate does not see how far a booking is cut up, so this side must not be
     # broadcast on it; the merge join spills, and adaptive execution splits hot buckets.
-    together = held.hint("merge").join(seen, ["room", "bucket"])
+    together = held.hint("merge").join(seen, ["room", "bucket", "share"])
     return together.where(in_time & (reaches_end | any_inside)).select("name", "cid").distinct()
 
 
@@ -52,12 +57,15 @@ def lecture_connections(
     *,
     tz: str = "UTC",
     bucket_seconds: int = HOUR,
+    shares: int = 4,
 ) -> DataFrame:
     """Per lecture, the connections its attendees made anywhere and at any time.
 
     A client's connections are the distinct times it was seen.
     """
-    attendance = lecture_attendance(readings, meta, bookings, rules, tz=tz, bucket_seconds=bucket_seconds)
+    attendance = lecture_attendance(
+        readings, meta, bookings, rules, tz=tz, bucket_seconds=bucket_seconds, shares=shares
+    )
     per_client = readings.groupBy("cid").agg(F.count_distinct("ts").alias("connections"))
     return attendance.join(per_client, "cid").groupBy("name").agg(F.sum("connections").alias("connections"))
 

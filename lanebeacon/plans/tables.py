@@ -158,7 +158,7 @@ def fcd_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'0.0' as person_z",
         "'90' as person_angle",
         "left(o_orderpriority, 1) as person_speed",
-        "o_orderstatus as person_pos",
+        "if(o_orderstatus = 'F', 'n/a', cast(o_totalprice / 2 as string)) as person_pos",
         "o_orderpriority as person_edge",
         "'0.0' as person_slope",
     )

@@ -23,6 +23,7 @@ def write_master(
     header: bool = False,
     cluster_by: Sequence[str] = (),
     rebalance: bool = False,
+    options: dict[str, str] | None = None,
 ) -> None:
     """Writes a master table in as many files as there are tasks.
 
@@ -30,6 +31,7 @@ def write_master(
     same day again changes nothing. ``cluster_by`` sorts inside each task, which lets
     parquet skip row groups on those columns. ``rebalance`` pays one shuffle for files
     of an even size: partitions too small are merged, a hot one is split over tasks.
+    ``options`` go to the file format, such as ``parquet.bloom.filter.enabled#did``.
     """
     if mode not in MASTER_MODES:
         raise ValueError(f"mode must be one of {MASTER_MODES}, not {mode!r}")
@@ -39,7 +41,7 @@ def write_master(
         df = df.hint("rebalance", *partition_by)
     if cluster_by:
         df = df.sortWithinPartitions(*partition_by, *cluster_by)
-    writer = df.write.format(fmt).partitionBy(*partition_by)
+    writer = df.write.format(fmt).options(**(options or {})).partitionBy(*partition_by)
     if mode == "replace_partitions":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
