@@ -15,9 +15,9 @@ def distinct_count(column: str, approx: bool = False) -> Column:
     return F.approx_count_distinct(column) if approx else F.count_distinct(column)
 
 
-def mean_of(column: str) -> Column:
-    """Mean of a measure held as double or as text; text that is no number is skipped."""
-    return F.avg(F.col(column).try_cast("double"))
+def number(column: str) -> Column:
+    """A measure held as double or as text; NULL for text that is no number."""
+    return F.col(column).try_cast("double")
 
 
 def whole_part(mean: Column, type_name: str) -> Column:

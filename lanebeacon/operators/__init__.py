@@ -1,15 +1,22 @@
 """DataFrame-to-DataFrame operators."""
 
 from lanebeacon.operators.heatmap import heatmap_density
-from lanebeacon.operators.lanes import edge_traffic, lane_zipper, parse_lanes
+from lanebeacon.operators.lanes import cars_per_lane, edge_traffic, lane_zipper, parse_lanes
 from lanebeacon.operators.lectures import lecture_attendance, lecture_connections
 from lanebeacon.operators.reshape import clean_locations, device_sightings, explode_bookings, flatten_readings
 from lanebeacon.operators.traces import split_persons, split_traces, split_vehicles
 from lanebeacon.operators.vehicles import timestep_count, vehicles_per_lane, vehicles_per_timestep
-from lanebeacon.operators.wifi_views import room_occupancy_hourly, signal_quality_profile, weekly_router_usage
+from lanebeacon.operators.wifi_views import (
+    client_hours,
+    room_occupancy_hourly,
+    signal_quality_profile,
+    weekly_router_usage,
+)
 
 __all__ = [
+    "cars_per_lane",
     "clean_locations",
+    "client_hours",
     "device_sightings",
     "edge_traffic",
     "explode_bookings",

@@ -29,13 +29,18 @@ def parse_lanes(traces: DataFrame, *, lane: str = LANE, edge_id_mode: str = "fix
 
 
 def cars_per_lane(vehicle: DataFrame) -> DataFrame:
+    """Sightings per lane. The two views below take this table in place of raw sightings."""
     return vehicle.groupBy(LANE).agg(F.count(LANE).alias("nb_cars"))
 
 
+def _counted(vehicle: DataFrame) -> DataFrame:
+    return vehicle if "nb_cars" in vehicle.columns else cars_per_lane(vehicle)
+
+
 def edge_traffic(vehicle: DataFrame, *, edge_id_mode: str = "fixed2") -> DataFrame:
     """Vehicle sightings per edge, busiest first; rows without a lane show up as NULL with 0."""
     edge = lanes.edge_id(F.col(LANE), edge_id_mode).alias("edge_id")
-    per_edge = cars_per_lane(vehicle).groupBy(edge).agg(F.sum("nb_cars").alias("sightings"))
+    per_edge = _counted(vehicle).groupBy(edge).agg(F.sum("nb_cars").alias("sightings"))
     return per_edge.orderBy(F.desc("sightings"), "edge_id")
 
 
@@ -55,7 +60,7 @@ def lane_zipper(
     """
     # Naming a value for NULL, though none is left, tells Spark that an edge is never
     # NULL; otherwise the join would check it on, and so parse, every raw row.
-    located = cars_per_lane(vehicle.where(F.col(LANE).isNotNull())).withColumn(LANE, F.coalesce(LANE, F.lit("")))
+    located = _counted(vehicle.where(F.col(LANE).isNotNull())).withColumn(LANE, F.coalesce(LANE, F.lit("")))
     per_lane = parse_lanes(located, edge_id_mode=edge_id_mode).drop("junction_edge")
     edge = ["edge_id", "direction"] if per_direction else ["edge_id"]
     # Every lane has cars; counting those with cars keeps nb_cars, and with it the

@@ -5,14 +5,17 @@
 drop out of the views, a router listed twice counts for each listing. No join
 carries a hint: ``meta`` is broadcast when Spark finds it small enough, beyond that
 the join shuffles and adaptive execution splits a hot router.
+
+Every view also takes ``client_hours`` of the readings in their place, so that a run
+over several views needs to read the sightings only once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lanebeacon.functions.aggregates import distinct_count, mean_of, whole_part
+from lanebeacon.functions.aggregates import distinct_count, number, whole_part
 from lanebeacon.functions.rooms import AUDITORIUMS, Rules, room_name
 from lanebeacon.functions.time import (
     FROM_SEPARATOR,
@@ -29,6 +32,35 @@ from lanebeacon.functions.time import (
 )
 
 
+MEASURES = ("rssi", "snRatio")
+
+
+def client_hours(readings: DataFrame) -> DataFrame:
+    """One row per router, hour and client: its accesses, and sum and number of each measure.
+
+    ``ts`` becomes the start of the hour.
+    """
+    sums = {f"{measure}_sum": F.sum(number(measure)) for measure in MEASURES}
+    sizes = {f"{measure}_n": F.count(number(measure)) for measure in MEASURES}
+    aggregates = {"accesses": F.count("cid"), **sums, **sizes}
+    return (
+        readings.where(F.col("ts").isNotNull())
+        .groupBy("did", "cid", bucket_start(F.col("ts"), HOUR).alias("ts"))
+        .agg(*[aggregate.alias(name) for name, aggregate in aggregates.items()])
+    )
+
+
+def _accesses(readings: DataFrame) -> Column:
+    return F.sum("accesses") if "accesses" in readings.columns else F.count("cid")
+
+
+def _mean(readings: DataFrame, measure: str) -> Column:
+    """Mean of a measure held as double or as text; text that is no number is skipped."""
+    if "accesses" in readings.columns:
+        return F.try_divide(F.sum(f"{measure}_sum"), F.sum(f"{measure}_n"))
+    return F.avg(number(measure))
+
+
 def weekly_router_usage(
     readings: DataFrame,
     meta: DataFrame,
@@ -48,7 +80,7 @@ def weekly_router_usage(
     usage = (
         readings.where(F.col("ts").isNotNull())
         .groupBy("did", week)
-        .agg(distinct_count("cid", approx).alias("unique_clients"), F.count("cid").alias("accesses"))
+        .agg(distinct_count("cid", approx).alias("unique_clients"), _accesses(readings).alias("accesses"))
     )
     return usage.join(meta.select("did", "location"), "did", how).select(
         "did",
@@ -98,9 +130,9 @@ def signal_quality_profile(readings: DataFrame, meta: DataFrame, *, tz: str = "U
         readings.where(F.col("ts").isNotNull())
         .groupBy("did", bucket_start(F.col("ts"), HOUR).alias("hour"))
         .agg(
-            mean_of("rssi").alias("rssi"),
-            mean_of("snRatio").alias("snRatio"),
-            F.count("cid").alias("accesses"),
+            _mean(readings, "rssi").alias("rssi"),
+            _mean(readings, "snRatio").alias("snRatio"),
+            _accesses(readings).alias("accesses"),
         )
     )
     start, end = local_time(F.col("hour"), tz), local_time(F.col("hour") + HOUR, tz)

@@ -23,17 +23,25 @@ def load_persons(spark: SparkSession, paths: str | list[str], master: str, mode:
     write_master(ops.split_persons(read_fcd_csv(spark, paths)), master, mode=mode)
 
 
-def write_traffic_views(vehicle: DataFrame, target: str, *, edge_id_mode: str = "fixed2", single_file: bool = True) -> None:
-    """Traffic per edge, busiest first, and cars per lane of the wide edges."""
+def write_traffic_views(
+    vehicle: DataFrame, target: str, *, edge_id_mode: str = "fixed2", single_file: bool = True
+) -> None:
+    """Traffic per edge, busiest first, and cars per lane of the wide edges.
+
+    The sightings are scanned once, into the counts per lane both views start from.
+    """
+    lanes_path = f"{target}/cars_per_lane"
+    write_master(ops.cars_per_lane(vehicle), lanes_path, mode="overwrite")
+    per_lane = vehicle.sparkSession.read.parquet(lanes_path)
     write_view(
-        ops.edge_traffic(vehicle, edge_id_mode=edge_id_mode),
+        ops.edge_traffic(per_lane, edge_id_mode=edge_id_mode),
         f"{target}/edge_traffic",
         single_file=single_file,
         order_by=[F.desc("sightings"), "edge_id"],
         columns={"sightings": "count(edge_id)"},
     )
     write_view(
-        ops.lane_zipper(vehicle, edge_id_mode=edge_id_mode),
+        ops.lane_zipper(per_lane, edge_id_mode=edge_id_mode),
         f"{target}/lane_zipper",
         single_file=single_file,
         order_by=["edge_id", "vehicle_lane"],

@@ -47,12 +47,21 @@ def daily_bookings(raw: DataFrame, trim: bool = False) -> DataFrame:
     return rows.select(*BOOKINGS.names, INGEST_DATE)
 
 
-def write_wifi_views(readings: DataFrame, meta: DataFrame, target: str, *, tz: str = "UTC", single_file: bool = True) -> None:
-    """The three batch views, each in its own folder under ``target``."""
+def write_wifi_views(
+    readings: DataFrame, meta: DataFrame, target: str, *, tz: str = "UTC", single_file: bool = True
+) -> None:
+    """The three batch views, each in its own folder under ``target``.
+
+    The readings are scanned once, into hours per client that are kept next to the
+    views; the views start from there.
+    """
+    hours_path = f"{target}/client_hours"
+    write_master(ops.client_hours(readings), hours_path, mode="overwrite")
+    hours = readings.sparkSession.read.parquet(hours_path)
     views = {
-        "router_usage": (ops.weekly_router_usage(readings, meta, tz=tz), USAGE_TITLES),
-        "room_occupancy": (ops.room_occupancy_hourly(readings, meta, tz=tz), OCCUPANCY_TITLES),
-        "signal_quality": (ops.signal_quality_profile(readings, meta, tz=tz), QUALITY_TITLES),
+        "router_usage": (ops.weekly_router_usage(hours, meta, tz=tz), USAGE_TITLES),
+        "room_occupancy": (ops.room_occupancy_hourly(hours, meta, tz=tz), OCCUPANCY_TITLES),
+        "signal_quality": (ops.signal_quality_profile(hours, meta, tz=tz), QUALITY_TITLES),
     }
     for name, (view, titles) in views.items():
         write_view(view, f"{target}/{name}", single_file=single_file, columns=titles)

@@ -14,7 +14,6 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from lanebeacon import schemas
 from lanebeacon.operators import flatten_readings
-from lanebeacon.plans.shared import shared_folder
 from lanebeacon.plans.wifi import daily_bookings
 from lanebeacon.sinks import write_master
 from lanebeacon.sources.files import INGEST_DATE, with_file_columns
@@ -37,7 +36,7 @@ def stream_readings(
         .writeStream.format("parquet")
         .partitionBy(INGEST_DATE)
         .option("path", master)
-        .option("checkpointLocation", checkpoint or _checkpoint(spark, master))
+        .option("checkpointLocation", checkpoint or _checkpoint(master))
         .trigger(availableNow=True)
         .start()
     )
@@ -67,7 +66,7 @@ def stream_bookings(
     query = (
         _new_files(spark, folder, schemas.BOOKINGS_RAW, max_files_per_trigger)
         .writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint or _checkpoint(spark, master))
+        .option("checkpointLocation", checkpoint or _checkpoint(master))
         .trigger(availableNow=True)
         .start()
     )
@@ -82,7 +81,6 @@ def _new_files(spark: SparkSession, folder: str, schema, max_files: int | None)
     return with_file_columns(reader.json(folder))
 
 
-def _checkpoint(spark: SparkSession, master: str) -> str:
-    """A checkpoint folder of its own for each master table."""
-    name = master.split("://")[-1].strip("/").replace("/", "_")
-    return f"{shared_folder(spark)}/streams/{name}"
+def _checkpoint(master: str) -> str:
+    """Beside the table, so on the same storage and found again by the next call."""
+    return f"{master.rstrip('/')}.checkpoint"

@@ -266,5 +266,16 @@ def test_traffic_views_as_reports(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "lane_zipper"), header=True).count() == 7
 
 
-def test_shared_folder_comes_from_the_session(spark):
-    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+class Session:
+    """The two things the choice of a shared folder looks at."""
+
+    def __init__(self, master, folder=None):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: folder)})
+
+
+def test_shared_folder():
+    assert shared_folder(Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    assert os.path.isdir(shared_folder(Session("local[8]")))
+    with pytest.raises(ValueError):
+        shared_folder(Session("yarn"))
