@@ -25,11 +25,15 @@ def split_traces(fcd: DataFrame) -> DataFrame:
     ``kind`` says which half a row comes from; ``vehicle`` and ``person`` are structs,
     the other one NULL.
     """
-    halves = F.array(
-        _half(VEHICLE_KIND, F.struct(*_typed(VEHICLE)), F.lit(None).cast(PERSON)),
-        _half(PERSON_KIND, F.lit(None).cast(VEHICLE), F.struct(*_typed(PERSON))),
+    vehicle = _half(VEHICLE_KIND, F.struct(*_typed(VEHICLE)), F.lit(None).cast(PERSON))
+    person = _half(PERSON_KIND, F.lit(None).cast(VEHICLE), F.struct(*_typed(PERSON)))
+    has_vehicle, has_person = F.col("vehicle_id").isNotNull(), F.col("person_id").isNotNull()
+    halves = (
+        F.when(has_vehicle & has_person, F.array(vehicle, person))
+        .when(has_vehicle, F.array(vehicle))
+        .when(has_person, F.array(person))
     )
-    return fcd.select(F.inline(halves)).where("coalesce(vehicle.vehicle_id, person.person_id) is not null")
+    return fcd.select(F.inline(halves))
 
 
 def _half(kind: str, vehicle: Column, person: Column) -> Column:
