@@ -51,6 +51,9 @@ def queries() -> dict[str, Query]:
         "weekly_router_usage_monday": lambda s, d: ops.weekly_router_usage(
             t.readings(s, d), t.meta(s, d), week_start="monday", tz="Europe/Copenhagen"
         ),
+        "weekly_router_usage_unlisted": lambda s, d: ops.weekly_router_usage(
+            t.user_readings(s, d), t.supplier_meta(s, d), how="left"
+        ),
         "room_occupancy_hourly": lambda s, d: ops.room_occupancy_hourly(t.readings(s, d), t.meta(s, d), NATION_ROOMS),
         "signal_quality_profile": lambda s, d: ops.signal_quality_profile(t.readings(s, d), t.meta(s, d)),
         "lecture_attendance": lambda s, d: ops.lecture_attendance(
@@ -124,11 +127,14 @@ select name, "startDate", "endDate", "startTime", "endTime", {room} as room, "ty
        strftime(strptime("endDate" || ' ' || "endTime", '%Y-%m-%d %H:%M'), '%Y-%m-%d %H:%M:%S') as end_ts
 from per_lecturer"""
 
-_ATTENDANCE = """
-with sightings as (
+_SIGHTINGS = """
+sightings as (
   select cast(user_id as varchar) as did, event_type || '-' || json_extract_string(props, '$.k') as cid,
          cast(floor(epoch(ts)) as bigint) as ts
-  from events),
+  from events)"""
+
+_ATTENDANCE = f"""
+with {_SIGHTINGS},
 lectures as (
   select cast(o_orderkey as varchar) as name,
          'Customer#' || lpad(cast(o_custkey as varchar), 9, '0') as room,
@@ -180,15 +186,18 @@ wide as (select {key}, count(*) as nb_lanes from lanes group by {key} having cou
 select vehicle_lane, nb_cars, edge_id, lane_index, direction, nb_lanes from lanes join wide using ({key})"""
 
 
-def _usage(week: str) -> str:
+_EPOCH_WEEK = "time_bucket(interval 7 day, make_timestamp(ts * 1000000), timestamp '1970-01-01')"
+
+
+def _usage(week: str, tables: str = _READINGS, rows: str = "readings", join: str = "join") -> str:
     return f"""
-with {_READINGS},
+with {tables},
 usage as (
   select did, {week} as week, count(distinct cid) as unique_clients, count(cid) as accesses
-  from readings group by all)
+  from {rows} group by all)
 select did, location, strftime(week, '%Y.%m.%d, %a') as from_day,
        strftime(week + interval 7 day, '%Y.%m.%d , %a') as to_day, unique_clients, accesses
-from usage join meta using (did)"""
+from usage {join} meta using (did)"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -219,7 +228,13 @@ def oracle_sql() -> dict[str, str]:
             from customer""",
         "explode_bookings": bookings,
         "explode_bookings_trimmed": _BOOKINGS.format(room="trim(room)", lecturers="trim(lecturers)"),
-        "weekly_router_usage": _usage("time_bucket(interval 7 day, make_timestamp(ts * 1000000), timestamp '1970-01-01')"),
+        "weekly_router_usage": _usage(_EPOCH_WEEK),
+        "weekly_router_usage_unlisted": _usage(
+            _EPOCH_WEEK,
+            f"{_SIGHTINGS}, meta as (select cast(s_suppkey as varchar) as did, s_name as location from supplier)",
+            "sightings",
+            "left join",
+        ),
         "weekly_router_usage_monday": _usage(
             "time_bucket(interval 7 day, make_timestamp(ts * 1000000), timestamp '1970-01-05') + interval 1 hour"
         ),

@@ -79,6 +79,13 @@ def customer_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def supplier_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as router locations; there are fewer of them than users."""
+    return table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("did"), F.col("s_name").alias("location")
+    )
+
+
 def customer_rooms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("did"), F.col("c_name").alias("location")

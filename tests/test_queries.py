@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import duckdb
 import pytest
+from conftest import executed_plan
 
 import __spark_entry__ as contract
 
@@ -42,5 +43,19 @@ def test_query_equals_sql(name, spark, duck):
     assert expected
 
 
+LOADS = {"readings_master", "streamed_readings", "bookings_master", "vehicle_traces", "person_traces", "edge_report"}
+
+
+@pytest.mark.parametrize("name", sorted(set(contract.queries()) - LOADS))
+def test_plans_at_scale(name, spark, conf):
+    """What is planned for inputs too large to broadcast, before adaptive execution."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    plan = executed_plan(contract.queries()[name](spark, SF_DIR))
+    for unwanted in ("NestedLoop", "Cartesian", "EvalPython", "InPandas", "Window", "BroadcastExchange"):
+        assert unwanted not in plan
+    # One count per task is all that meets in a single place, and only for the global count.
+    assert plan.count("SinglePartition") == (1 if name == "timestep_count" else 0)
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
