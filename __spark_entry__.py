@@ -84,8 +84,7 @@ def queries() -> dict[str, Query]:
         "readings_master": lambda s, d: _as_text(round_trips.readings_master(s, d), "ingest_date"),
         "streamed_readings": round_trips.streamed_readings,
         "bookings_master": lambda s, d: _as_text(round_trips.bookings_master(s, d), "start_ts", "end_ts"),
-        "vehicle_traces": round_trips.vehicle_traces,
-        "person_traces": round_trips.person_traces,
+        "traces_master": round_trips.traces_master,
         "edge_report": round_trips.edge_report,
     }
 
@@ -305,7 +304,6 @@ def oracle_sql() -> dict[str, str]:
             from flat""",
         "streamed_readings": flat,
         "bookings_master": bookings,
-        "vehicle_traces": vehicles,
-        "person_traces": persons,
+        "traces_master": f"select * from ({vehicles}) union all by name select * from ({persons})",
         "edge_report": edges,
     }

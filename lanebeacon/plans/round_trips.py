@@ -1,7 +1,7 @@
 """Loads run from end to end over the given tables: raw files out, master data back in.
 
-The raw files are written to the shared folder first, compressed, in the form the
-loaders expect.
+The raw files are written to the shared folder first, in the form the loaders expect,
+as plain text so that large files can be split when they are read.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from lanebeacon.streaming import stream_readings
 def readings_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested JSON flattened into master data by day, loaded twice to no effect."""
     raw, master = _fresh(spark, "raw"), _fresh(spark, "master")
-    tables.readings_raw(spark, sf_dir).write.json(raw, compression="gzip")
+    tables.readings_raw(spark, sf_dir).write.json(raw)
     flat = ops.flatten_readings(read_readings_json(spark, raw))
     by_day = flat.withColumn(INGEST_DATE, local_time(F.col("ts")).cast("date"))
     for _ in range(2):
@@ -42,7 +42,7 @@ def readings_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 def streamed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same JSON through the incremental load, called twice to no effect."""
     raw, master = _fresh(spark, "raw"), _fresh(spark, "master")
-    tables.readings_raw(spark, sf_dir).write.json(raw, compression="gzip")
+    tables.readings_raw(spark, sf_dir).write.json(raw)
     for _ in range(2):
         stream_readings(spark, raw, master)
     return read_readings_master(spark, master).drop(INGEST_DATE)
@@ -51,25 +51,19 @@ def streamed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bookings_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bookings as JSON, one copy of each kept per file, which here is all of them."""
     raw, master = _fresh(spark, "raw"), _fresh(spark, "master")
-    tables.bookings_raw(spark, sf_dir).distinct().write.json(raw, compression="gzip")
+    tables.bookings_raw(spark, sf_dir).distinct().write.json(raw)
     write_master(daily_bookings(read_bookings_json(spark, raw)), master, partition_by=[INGEST_DATE])
     return spark.read.parquet(master).drop(INGEST_DATE)
 
 
-def traces_master(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """The wide trace as CSV, split into its two halves by one scan."""
+def traces_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide trace as CSV, split by one scan, and both halves read back."""
     raw, master = _fresh(spark, "raw"), _fresh(spark, "master")
-    tables.fcd_raw(spark, sf_dir).write.csv(raw, sep=";", header=True, compression="gzip")
+    tables.fcd_raw(spark, sf_dir).write.csv(raw, sep=";", header=True)
     traffic.load_traces(spark, raw, master)
-    return read_traces_master(spark, master, kind)
-
-
-def vehicle_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return traces_master(spark, sf_dir, VEHICLE_KIND)
-
-
-def person_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return traces_master(spark, sf_dir, PERSON_KIND)
+    vehicles = read_traces_master(spark, master, VEHICLE_KIND)
+    persons = read_traces_master(spark, master, PERSON_KIND)
+    return vehicles.unionByName(persons, allowMissingColumns=True)
 
 
 def edge_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,7 +43,7 @@ def test_query_equals_sql(name, spark, duck):
     assert expected
 
 
-LOADS = {"readings_master", "streamed_readings", "bookings_master", "vehicle_traces", "person_traces", "edge_report"}
+LOADS = {"readings_master", "streamed_readings", "bookings_master", "traces_master", "edge_report"}
 
 
 @pytest.mark.parametrize("name", sorted(set(contract.queries()) - LOADS))
