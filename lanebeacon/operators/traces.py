@@ -9,6 +9,7 @@ from lanebeacon.schemas import PERSON, VEHICLE
 
 VEHICLE_KIND = "vehicle"
 PERSON_KIND = "person"
+BOTH_KINDS = "both"
 
 
 def split_vehicles(fcd: DataFrame) -> DataFrame:
@@ -22,22 +23,16 @@ def split_persons(fcd: DataFrame) -> DataFrame:
 def split_traces(fcd: DataFrame) -> DataFrame:
     """Both halves at once, for writing both master tables from a single scan.
 
-    ``kind`` says which half a row comes from; ``vehicle`` and ``person`` are structs,
-    the other one NULL.
+    ``vehicle`` and ``person`` are structs, NULL where the row has no such half; ``kind``
+    says which of them are there.
     """
-    vehicle = _half(VEHICLE_KIND, F.struct(*_typed(VEHICLE)), F.lit(None).cast(PERSON))
-    person = _half(PERSON_KIND, F.lit(None).cast(VEHICLE), F.struct(*_typed(PERSON)))
     has_vehicle, has_person = F.col("vehicle_id").isNotNull(), F.col("person_id").isNotNull()
-    halves = (
-        F.when(has_vehicle & has_person, F.array(vehicle, person))
-        .when(has_vehicle, F.array(vehicle))
-        .when(has_person, F.array(person))
+    kind = F.when(has_vehicle & has_person, BOTH_KINDS).when(has_vehicle, VEHICLE_KIND).otherwise(PERSON_KIND)
+    return fcd.where(has_vehicle | has_person).select(
+        kind.alias("kind"),
+        F.when(has_vehicle, F.struct(*_typed(VEHICLE))).alias("vehicle"),
+        F.when(has_person, F.struct(*_typed(PERSON))).alias("person"),
     )
-    return fcd.select(F.inline(halves))
-
-
-def _half(kind: str, vehicle: Column, person: Column) -> Column:
-    return F.struct(F.lit(kind).alias("kind"), vehicle.alias("vehicle"), person.alias("person"))
 
 
 def _typed(schema) -> list[Column]:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanebeacon import schemas
-from lanebeacon.operators.traces import PERSON_KIND, VEHICLE_KIND
+from lanebeacon.operators.traces import BOTH_KINDS, PERSON_KIND, VEHICLE_KIND
 from lanebeacon.sources.files import read_master
 
 Paths = str | list[str]
@@ -26,7 +26,7 @@ def read_person_master(spark: SparkSession, paths: Paths, fmt: str = "parquet")
 
 
 def read_traces_master(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """Vehicle or person rows of a combined traces table; only that partition is read."""
+    """Vehicle or person rows of a combined traces table; only partitions with such rows are read."""
     if kind not in (VEHICLE_KIND, PERSON_KIND):
         raise ValueError(f"kind must be {VEHICLE_KIND!r} or {PERSON_KIND!r}, not {kind!r}")
-    return spark.read.parquet(path).where(F.col("kind") == kind).select(f"{kind}.*")
+    return spark.read.parquet(path).where(F.col("kind").isin(kind, BOTH_KINDS)).select(f"{kind}.*")

@@ -187,6 +187,14 @@ def test_trace_masters(spark, tmp_path):
         sources.read_traces_master(spark, str(tmp_path / "traces"), "bicycle")
 
 
+def test_a_row_with_both_halves_is_read_as_both(spark, tmp_path):
+    lines = TRACE.splitlines()
+    (tmp_path / "trace.csv").write_text("\n".join([*lines, "2.00;v9;1;2;;3;car;4;5;1_0;0;p9;1;2;;3;4;5;1;0"]))
+    traffic.load_traces(spark, str(tmp_path / "trace.csv"), str(tmp_path / "traces"))
+    assert found(sources.read_traces_master(spark, str(tmp_path / "traces"), "vehicle"), "vehicle_id") == [("v1",), ("v1",), ("v9",)]
+    assert found(sources.read_traces_master(spark, str(tmp_path / "traces"), "person"), "person_id") == [("p1",), ("p9",)]
+
+
 def test_vehicle_master_as_text(spark, tmp_path):
     (tmp_path / "trace.csv").write_text(TRACE)
     rows = ops.split_vehicles(sources.read_fcd_csv(spark, str(tmp_path / "trace.csv")))

@@ -180,7 +180,7 @@ def test_a_row_with_both_halves_goes_to_both_tables(table):
     row[FCD_RAW.names.index("person_id")] = "p1"
     fcd = table(FCD_RAW, tuple(row))
     assert ops.split_vehicles(fcd).count() == ops.split_persons(fcd).count() == 1
-    assert found(ops.split_traces(fcd), "kind") == [("person",), ("vehicle",)]
+    assert found(ops.split_traces(fcd), "kind", "vehicle.vehicle_id", "person.person_id") == [("both", "v1", "p1")]
 
 
 def test_heatmap(table):
