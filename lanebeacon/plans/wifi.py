@@ -18,6 +18,7 @@ USAGE_TITLES = {
     "accesses": "Total no of accesses",
 }
 OCCUPANCY_TITLES = {"day": "Date", "from_time": "From", "to_time": "To", "devices": "#devices"}
+CONNECTION_TITLES = {"connections": "Total no of connections"}
 QUALITY_TITLES = {"start_hour": "startHour", "end_hour": "endHour", "avg_accesses": "Avg. Total no of accesses"}
 
 
@@ -48,12 +49,19 @@ def daily_bookings(raw: DataFrame, trim: bool = False) -> DataFrame:
 
 
 def write_wifi_views(
-    readings: DataFrame, meta: DataFrame, target: str, *, tz: str = "UTC", single_file: bool = True
+    readings: DataFrame,
+    meta: DataFrame,
+    target: str,
+    *,
+    bookings: DataFrame | None = None,
+    tz: str = "UTC",
+    single_file: bool = True,
 ) -> None:
-    """The three batch views, each in its own folder under ``target``.
+    """The batch views, each in its own folder under ``target``.
 
     The readings are scanned once, into hours per client that are kept next to the
-    views; the views start from there.
+    views; the first three views start from there. With ``bookings`` the connections per
+    lecture are written too, which look at the readings again.
     """
     hours_path = f"{target}/client_hours"
     write_master(ops.client_hours(readings), hours_path, mode="overwrite")
@@ -63,5 +71,8 @@ def write_wifi_views(
         "room_occupancy": (ops.room_occupancy_hourly(hours, meta, tz=tz), OCCUPANCY_TITLES),
         "signal_quality": (ops.signal_quality_profile(hours, meta, tz=tz), QUALITY_TITLES),
     }
+    if bookings is not None:
+        connections = ops.lecture_connections(readings, meta, bookings, tz=tz)
+        views["lecture_connections"] = (connections, CONNECTION_TITLES)
     for name, (view, titles) in views.items():
         write_view(view, f"{target}/{name}", single_file=single_file, columns=titles)

@@ -257,12 +257,15 @@ def test_large_views_are_written_in_parallel(spark, tmp_path, monkeypatch):
 def test_wifi_views_as_reports(spark, tmp_path):
     readings = spark.createDataFrame([("r1", "a", "os", "-60", "20", "net", 1506816000)], schemas.READINGS_TEXT)
     meta = spark.createDataFrame([("r1", "aud1")], schemas.META)
-    wifi.write_wifi_views(readings, meta, str(tmp_path))
+    held = [("Maths", "Aud 1", datetime(2017, 10, 1, 0, 0), datetime(2017, 10, 1, 2, 0))]
+    bookings = spark.createDataFrame(held, "name string, room string, start_ts timestamp_ntz, end_ts timestamp_ntz")
+    wifi.write_wifi_views(readings, meta, str(tmp_path), bookings=bookings)
     usage = spark.read.csv(str(tmp_path / "router_usage"), header=True)
     assert usage.columns == ["did", "location", "From", "To", "Total no of unique clients", "Total no of accesses"]
     assert found(usage) == [("r1", "aud1", "2017.09.28, Thu", "2017.10.05 , Thu", "1", "1")]
     assert spark.read.csv(str(tmp_path / "room_occupancy"), header=True).columns == ["location", "Date", "From", "To", "#devices"]
     assert spark.read.csv(str(tmp_path / "signal_quality"), header=True).count() == 1
+    assert found(spark.read.csv(str(tmp_path / "lecture_connections"), header=True)) == [("Maths", "1")]
 
 
 def test_traffic_views_as_reports(spark, tmp_path):
