@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lanebeacon import operators as ops
 from lanebeacon.schemas import BOOKINGS
 from lanebeacon.sinks import write_master, write_view
 from lanebeacon.sources import read_bookings_json, read_meta_json, read_readings_json
-from lanebeacon.sources.files import INGEST_DATE
+from lanebeacon.sources.files import INGEST_DATE, SOURCE_FILE
 
 # Column titles of the written reports.
 USAGE_TITLES = {
@@ -25,9 +26,10 @@ QUALITY_TITLES = {"start_hour": "startHour", "end_hour": "endHour", "avg_accesse
 def load_readings(spark: SparkSession, paths: str | list[str], master: str, **write_options) -> None:
     """Loads daily reading files in one job; loading a day again replaces it.
 
-    All files of a day have to be in the same call, as they share a partition.
+    All files of a day have to be in the same call, as they share a partition. A file
+    without a date in its name stops the load: it would replace others like it.
     """
-    raw = read_readings_json(spark, paths)
+    raw = _dated(read_readings_json(spark, paths))
     write_master(ops.flatten_readings(raw, keep=(INGEST_DATE,)), master, partition_by=[INGEST_DATE], **write_options)
 
 
@@ -38,8 +40,14 @@ def load_meta(spark: SparkSession, paths: str | list[str], master: str, mode: st
 def load_bookings(
     spark: SparkSession, paths: str | list[str], master: str, *, trim: bool = False, **write_options
 ) -> None:
-    """Loads daily booking files in one job; copies within a file are removed."""
-    write_master(daily_bookings(read_bookings_json(spark, paths), trim), master, partition_by=[INGEST_DATE], **write_options)
+    """Loads daily booking files in one job, like ``load_readings``; copies within a file are removed."""
+    rows = daily_bookings(_dated(read_bookings_json(spark, paths)), trim)
+    write_master(rows, master, partition_by=[INGEST_DATE], **write_options)
+
+
+def _dated(raw: DataFrame) -> DataFrame:
+    undated = F.raise_error(F.concat(F.lit("no date in the name of "), SOURCE_FILE))
+    return raw.withColumn(INGEST_DATE, F.coalesce(INGEST_DATE, undated.cast("date")))
 
 
 def daily_bookings(raw: DataFrame, trim: bool = False) -> DataFrame:

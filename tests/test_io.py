@@ -82,6 +82,15 @@ def test_load_readings_twice(spark, days, tmp_path):
     assert one_day.count() == 1 and "PartitionFilters: [isnotnull(ingest_date" in executed_plan(one_day)
 
 
+def test_a_file_without_a_date_stops_the_load(spark, tmp_path):
+    path = json_lines(tmp_path / "readings.json", router("r1", "a"))
+    with pytest.raises(Exception, match="no date in the name of file:.*readings.json"):
+        wifi.load_readings(spark, path, str(tmp_path / "master"))
+    path = json_lines(tmp_path / "rooms.json", booking())
+    with pytest.raises(Exception, match="no date in the name of"):
+        wifi.load_bookings(spark, path, str(tmp_path / "master"))
+
+
 def test_reading_many_files_is_one_job(spark, days):
     raw = sources.read_readings_json(spark, str(days / "*.json"))
     assert raw.count() == 4
@@ -94,7 +103,8 @@ def test_master_as_text_is_read_by_position(spark, days, tmp_path):
     write_master(flat, master, mode="append", fmt="csv")
     again = sources.read_readings_master(spark, master, fmt="csv")
     assert again.schema.simpleString() == schemas.READINGS_TEXT.simpleString()
-    assert found(again) == sorted([("r1", "a", "iOS", "-60.5", "20.0", "net", 100)] * 2 + [("r1", "b", "iOS", "-60.5", "20.0", "net", 100)])
+    seen = [("r1", cid, "iOS", "-60.5", "20.0", "net", 100) for cid in ("a", "a", "b")]
+    assert found(again) == seen
     meta = spark.createDataFrame([("r1", "aud1")], schemas.META)
     assert found(ops.signal_quality_profile(again, meta), "avg_rssi", "avg_snRatio") == [(-60, 20)]
     with pytest.raises(ValueError):
