@@ -18,6 +18,15 @@ from lanebeacon import operators as ops
 from lanebeacon.plans import round_trips
 from lanebeacon.plans import tables as t
 
+# The subpackage of training-data operators and its pipeline may be missing; nothing else may.
+try:
+    import corpus_pipeline
+    from lanebeacon.llm import registry as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "lanebeacon.llm"):
+        raise
+    llm = corpus_pipeline = None
+
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 
 # Nations standing in for auditoriums; by the substring rule NATION_12 is Aud1 as well.
@@ -37,6 +46,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return _own_queries() | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    return _own_sql() | (llm.oracle_sql() if llm else {})
+
+
+def _own_queries() -> dict[str, Query]:
     return {
         "flatten_readings": lambda s, d: ops.flatten_readings(t.readings_raw(s, d)),
         "device_sightings": lambda s, d: ops.device_sightings(t.readings_raw(s, d), "7"),
@@ -199,7 +216,7 @@ select did, location, strftime(week, '%Y.%m.%d, %a') as from_day,
 from usage {join} meta using (did)"""
 
 
-def oracle_sql() -> dict[str, str]:
+def _own_sql() -> dict[str, str]:
     day = _FCD_DAY.format
     flat = f"{_NESTED} select did, cid, clientOS, rssi, snRatio, ssid, ts from flat"
     bookings = _BOOKINGS.format(room="room", lecturers="lecturers")

@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the session names in ``spark.checkpoint.dir``.
+    """The folder for intermediate tables.
 
-    Only a local session without that setting gets a folder of its own.
+    It is the one named in ``spark.checkpoint.dir``, else the one given to
+    ``setCheckpointDir``, else a folder inside the warehouse, which is shared as well.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="lanebeacon-")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/lanebeacon-work"
+    return folder.rstrip("/")
