@@ -2,10 +2,10 @@
 
 A document of a source takes part ``copies = target / size of its source`` times. The
 whole copies are certain; what is left is a probability. Pivotal rounding lets two
-documents meet: one of them, drawn at random, passes mass to the other until one is
-settled at 0 or 1, and the other goes on to the next meeting. Mass is probability times
-words, so the expected words of a source never change, and the draw is weighed so that
-each document keeps its expected copies.
+documents meet: one passes mass to the other until one of them is settled at 0 or 1, and the
+other goes on to the next meeting. Mass is probability times words, so the expected
+words of a source never change. Which way mass goes is drawn when a document is first left
+unsettled, by its probability then, and holds until it is settled.
 
 Documents of a source are dealt by a hash into blocks of about ``BLOCK``. Each block
 is folded by itself, long documents first, and leaves one unsettled document at most,
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanebeacon.llm.common import stored, table, uniform, word_count
@@ -30,33 +30,44 @@ SEED = 20
 _CLOSE = 1e-6  # of a word
 
 # One meeting after the other. c is the number of the unsettled document (0: none), m its expected
-# words; won are the documents settled at 1. Whoever is neither in won nor c is settled at 0.
-# Both together expect m + mass words. Whoever gains takes as much of that as fits: if it is
-# filled it has won, and the other goes on with the rest; else it goes on itself with all.
+# words, up whether it is to gain; won are the documents settled at 1. Whoever is neither in won
+# nor c is settled at 0. Both together expect m + mass words. Whoever gains takes as much of that
+# as fits: if it is filled it has won, and the other goes on with the rest; else it goes on itself.
 _BOTH = "(s.m + units[i - 1].mass)"
 _HELD, _NEW = "units[s.c - 1]", "units[i - 1]"
-_HELD_GAINS = f"least({_HELD}.size - s.m, {_NEW}.mass)"
-_NEW_GAINS = f"least(s.m, {_NEW}.size - {_NEW}.mass)"
-_HELD_IS_CHOSEN = f"{_NEW}.draw * ({_HELD_GAINS} + {_NEW_GAINS}) < {_NEW_GAINS}"
 
 
-def _gain(winner: str, its_size: str, other: str) -> str:
-    return f"""case
-      when {_BOTH} >= {its_size} - {_CLOSE} then named_struct(
-        'c', if({_BOTH} > {its_size} + {_CLOSE}, {other}, 0),
-        'm', greatest({_BOTH} - {its_size}, 0D),
-        'won', concat(s.won, array({winner})))
-      else named_struct('c', {winner}, 'm', {_BOTH}, 'won', s.won) end"""
+def _upward(mass: str) -> str:
+    """Whether the new document is to gain, drawn by its probability at this moment."""
+    return f"{_NEW}.draw * {_NEW}.size < {mass}"
 
 
-_MEETINGS = f"""
-aggregate(
+_HELD_GAINS = f"""case
+      when {_BOTH} >= {_HELD}.size - {_CLOSE} then named_struct(
+        'c', if({_BOTH} > {_HELD}.size + {_CLOSE}, i, 0), 'm', greatest({_BOTH} - {_HELD}.size, 0D),
+        'up', {_upward(f"{_BOTH} - {_HELD}.size")}, 'won', concat(s.won, array(s.c)))
+      else named_struct('c', s.c, 'm', {_BOTH}, 'up', s.up, 'won', s.won) end"""
+_NEW_GAINS = f"""case
+      when {_BOTH} >= {_NEW}.size - {_CLOSE} then named_struct(
+        'c', if({_BOTH} > {_NEW}.size + {_CLOSE}, s.c, 0), 'm', greatest({_BOTH} - {_NEW}.size, 0D),
+        'up', s.up, 'won', concat(s.won, array(i)))
+      else named_struct('c', i, 'm', {_BOTH}, 'up', {_upward(_BOTH)}, 'won', s.won) end"""
+
+# Lambdas name the block and the outcome, so that each is computed once.
+_SETTLED = f"""
+transform(array(units), units -> transform(array(aggregate(
   sequence(1, size(units)),
-  named_struct('c', 0, 'm', 0D, 'won', array_remove(array(0), 0)),
+  named_struct('c', 0, 'm', 0D, 'up', false, 'won', array_remove(array(0), 0)),
   (s, i) -> case
-    when s.c = 0 then named_struct('c', i, 'm', {_NEW}.mass, 'won', s.won)
-    when {_HELD_IS_CHOSEN} then {_gain("s.c", f"{_HELD}.size", "i")}
-    else {_gain("i", f"{_NEW}.size", "s.c")} end)"""
+    when s.c = 0 then named_struct('c', i, 'm', {_NEW}.mass, 'up', {_upward(f"{_NEW}.mass")}, 'won', s.won)
+    when s.up then {_HELD_GAINS}
+    else {_NEW_GAINS} end)),
+  after -> transform(units, (u, i) -> named_struct(
+    'doc_id', u.doc_id, 'size', u.size, 'n', u.n, 'source_size', u.source_size, 'target', u.target,
+    'base', u.base, 'documents', u.documents,
+    'extra', u.extra + if(array_contains(after.won, i + 1), 1, 0),
+    'mass', if(after.c = i + 1, after.m, 0D),
+    'open', after.c = i + 1)))[0])[0]"""
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
@@ -167,18 +178,7 @@ def _folded(units: DataFrame, seed: int) -> DataFrame:
         "documents",
     )
     gathered = units.groupBy("source", "block", "blocks").agg(F.sort_array(F.collect_list(unit), asc=False).alias("units"))
-    met = gathered.withColumn("after", F.expr(_MEETINGS))
-
-    def settle(unit: Column, i: Column) -> Column:
-        won, still = F.array_contains("after.won", i + 1), F.col("after.c") == i + 1
-        return F.struct(
-            *[unit[name].alias(name) for name in ("size", "doc_id", "n", "source_size", "target", "base", "documents")],
-            F.when(won, unit["extra"] + 1).otherwise(unit["extra"]).alias("extra"),
-            F.when(still, F.col("after.m")).otherwise(F.lit(0.0)).alias("mass"),
-            still.alias("open"),
-        )
-
-    return met.withColumn("units", F.transform("units", settle))
+    return gathered.withColumn("units", F.expr(_SETTLED))
 
 
 def take_copies(docs: DataFrame, mix: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:

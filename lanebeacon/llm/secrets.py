@@ -87,8 +87,12 @@ def matches(text: Column, pattern: str, checked_group: int = 0) -> Column:
 
     Between the pieces that ``split`` leaves stand the matches, so their lengths give the places.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    checked = F.regexp_extract_all(text, F.lit(pattern), F.lit(checked_group)) if checked_group else found
+    parts = [
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"),
+        F.split(text, pattern, -1).alias("gaps"),
+    ]
+    if checked_group:
+        parts.append(F.regexp_extract_all(text, F.lit(pattern), F.lit(checked_group)).alias("checked"))
 
     def placed(x: Column) -> Column:
         lengths = F.zip_with(
@@ -101,11 +105,10 @@ def matches(text: Column, pattern: str, checked_group: int = 0) -> Column:
             lambda end, m: F.struct((end - F.length(m)).alias("start"), end.alias("end"), m.alias("value")),
         )
         return F.zip_with(
-            spans, x["checked"], lambda s, c: F.struct(s["start"], s["end"], s["value"], c.alias("checked"))
+            spans, x["checked" if checked_group else "found"], lambda s, c: F.struct(s["start"], s["end"], s["value"], c.alias("checked"))
         )
 
-    whole = F.struct(found.alias("found"), F.split(text, pattern, -1).alias("gaps"), checked.alias("checked"))
-    return _let(whole, placed)
+    return _let(F.struct(*parts), placed)
 
 
 def _kind(name: str, found: Column) -> Column:
@@ -210,17 +213,24 @@ def randomness(value: Column) -> Column:
 
         return _let(-sum((F.ln(p) for p in ps), F.lit(0.0)), fisher)
 
-    codes = F.transform(F.split(value, ""), lambda c: F.instr(alphabet, c) - 1)
-    return _let(F.struct(codes.alias("codes"), alphabet.alias("alphabet"), value.alias("value")), of_codes)
+    def coded(a: Column) -> Column:
+        codes = F.transform(F.split(value, ""), lambda c: F.instr(a, c) - 1)
+        return _let(F.struct(codes.alias("codes"), a.alias("alphabet"), value.alias("value")), of_codes)
+
+    return _let(alphabet, coded)
 
 
 def candidates(text: Column, base: Column) -> Column:
     """``start, end, band, p`` of candidate strings that hold a digit and touch no known shape."""
-    long_runs = F.filter(
-        matches(text, CANDIDATE),
-        lambda m: F.rlike(m["value"], F.lit("[0-9]"))
-        & F.rlike(m["value"], F.lit("[A-Za-z]"))
-        & ~F.exists(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])),
+    found = F.struct(matches(text, CANDIDATE).alias("runs"), base.alias("base"))
+    long_runs = _let(
+        found,
+        lambda x: F.filter(
+            x["runs"],
+            lambda m: F.rlike(m["value"], F.lit("[0-9]"))
+            & F.rlike(m["value"], F.lit("[A-Za-z]"))
+            & ~F.exists(x["base"], lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])),
+        ),
     )
 
     def judged(m: Column) -> Column:
