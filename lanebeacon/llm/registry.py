@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lanebeacon.llm import fingerprints, mixing, secrets, sharding, urls
+from lanebeacon.llm import bpe, fingerprints, mixing, secrets, sharding, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": sharding.op1_sharding,
+        "op2_byte_bpe": bpe.op2_byte_bpe,
         "op5_secrets": secrets.op5_secrets,
         "op8_url_filter": urls.op8_url_filter,
         "op9_fingerprints": fingerprints.op9_fingerprints,
