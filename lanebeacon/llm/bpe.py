@@ -30,9 +30,9 @@ KNOWN_PIECES = 400_000
 
 # Below U+0250 the classes of letters, numbers and blanks can be written out, and then the
 # faster of two regular expression engines can be used. U+001C to U+001F are blanks to it alone.
-_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
-_NUMBERS = "0-9²³¹¼-¾"
-_OTHER_SCRIPT = re.compile("[ɐ-\U0010ffff\x1c-\x1f]")
+_LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+_NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
+_OTHER_SCRIPT = re.compile("[\u0250-\U0010ffff\x1c-\x1f]")
 
 
 class Pieces:

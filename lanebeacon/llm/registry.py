@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lanebeacon.llm import bpe, fingerprints, mixing, secrets, sharding, urls
+from lanebeacon.llm import bpe, fingerprints, mixing, quality, secrets, sharding, token_counts, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": sharding.op1_sharding,
         "op2_byte_bpe": bpe.op2_byte_bpe,
+        "op4_quality": quality.op4_quality,
         "op5_secrets": secrets.op5_secrets,
+        "op6_token_counts": token_counts.op6_token_counts,
         "op8_url_filter": urls.op8_url_filter,
         "op9_fingerprints": fingerprints.op9_fingerprints,
         "op10_mixing": mixing.op10_mixing,
