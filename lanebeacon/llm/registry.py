@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lanebeacon.llm import bpe, fingerprints, mixing, quality, secrets, sharding, token_counts, urls
+from lanebeacon.llm import bpe, fingerprints, jaccard, mixing, quality, secrets, sharding, token_counts, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality": quality.op4_quality,
         "op5_secrets": secrets.op5_secrets,
         "op6_token_counts": token_counts.op6_token_counts,
+        "op7_jaccard_join": jaccard.op7_jaccard_join,
         "op8_url_filter": urls.op8_url_filter,
         "op9_fingerprints": fingerprints.op9_fingerprints,
         "op10_mixing": mixing.op10_mixing,
