@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lanebeacon.llm import bpe, fingerprints, jaccard, mixing, quality, secrets, sharding, token_counts, urls
+from lanebeacon.llm import bpe, fingerprints, jaccard, mixing, neighbours, quality, secrets, sharding, token_counts, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": sharding.op1_sharding,
         "op2_byte_bpe": bpe.op2_byte_bpe,
+        "op3_neighbours": neighbours.op3_neighbours,
         "op4_quality": quality.op4_quality,
         "op5_secrets": secrets.op5_secrets,
         "op6_token_counts": token_counts.op6_token_counts,
