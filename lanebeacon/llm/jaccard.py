@@ -320,6 +320,23 @@ def similar_nodes(docs: DataFrame, like: Similarity, *, text_col: str = "text")
     return components(links.unionByName(late))
 
 
+def _linked(docs: DataFrame, like: Similarity, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Every row's ``doc_id, n_shingles, node``; and of every node ``component, component_id, first_node``.
+
+    ``first_node`` is the one node of the component whose text stands for it: that of the smallest id.
+    """
+    measured = docs.select(F.col(id_col).alias("doc_id"), gram_nodes(docs, like, text_col).alias("set"))
+    each = stored(measured.select("doc_id", F.col("set.n").alias("n_shingles"), "set.node"), "gram-nodes")
+    nodes = each.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("smallest"))
+    found = similar_nodes(docs, like, text_col=text_col)
+    labelled = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    firsts = labelled.groupBy("component").agg(
+        F.min(F.struct(F.col("smallest").isNull().alias("none"), "smallest", "node")).alias("first")
+    )
+    firsts = firsts.select("component", F.col("first.smallest").alias("component_id"), F.col("first.node").alias("first_node"))
+    return each, labelled.select("node", "component").join(firsts, "component")
+
+
 def link_documents(
     docs: DataFrame, like: Similarity = Similarity(), *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -330,18 +347,32 @@ def link_documents(
     has no other, its ``component_id`` is NULL. Rows that share an id count each by their own
     text. An empty table gives no rows. Other columns are not looked at.
     """
-    measured = docs.select(F.col(id_col).alias("doc_id"), gram_nodes(docs, like, text_col).alias("set"))
-    each = stored(measured.select("doc_id", F.col("set.n").alias("n_shingles"), "set.node"), "gram-nodes")
-    nodes = each.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("smallest"))
-    found = similar_nodes(docs, like, text_col=text_col)
-    labelled = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = labelled.groupBy("component").agg(F.min("smallest").alias("component_id"))
-    of_node = labelled.select("node", "component").join(smallest, "component").select("node", "component_id")
+    each, of_node = _linked(docs, like, id_col, text_col)
     linked = each.where("n_shingles > 0").join(of_node, "node").select("doc_id", "n_shingles", "component_id")
     alone = each.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)
 
 
+def keep_one(docs: DataFrame, like: Similarity = Similarity(), *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id, with all its columns as they are.
+
+    Texts without words are linked with nothing, so all of them stay.
+    """
+    each, of_node = _linked(docs, like, id_col, text_col)
+    rows = docs.select(
+        F.struct(*[docs[name] for name in docs.columns]).alias("row"),
+        docs[id_col].alias("own_id"),
+        gram_nodes(docs, like, text_col).alias("set"),
+    )
+    alone = rows.where("set.n = 0").select("row.*")
+    # Each node that stays, with the id that stays; one row for each.
+    staying = of_node.where("node = first_node").select(F.col("node").alias("stays"), "component_id")
+    of_id = rows.where("set.n > 0").join(
+        staying, (F.col("set.node") == F.col("stays")) & F.col("own_id").eqNullSafe(F.col("component_id"))
+    )
+    return of_id.dropDuplicates(["stays"]).select("row.*").unionByName(alone)
+
+
 def op7_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """Every document's set size and component, for 4-word shingles and 85 hundredths."""
     return link_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), Similarity(4, 85, 100))

@@ -181,19 +181,27 @@ def _folded(units: DataFrame, seed: int) -> DataFrame:
     return gathered.withColumn("units", F.expr(_SETTLED))
 
 
-def take_copies(docs: DataFrame, mix: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``docs`` with every row repeated as often as ``mix`` says; rows taken zero times go."""
-    names = docs.columns
-    key = F.struct(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
-    packed = docs.select(F.struct(*[docs[name] for name in names]).alias("row"), F.xxhash64(key).alias("k"), key.alias("unit"))
-    says = mix.select(F.struct("doc_id", "source", "size").alias("unit2"), "n", "base", "extra").withColumn("k", F.xxhash64("unit2"))
-    joined = packed.join(says, (packed["k"] == says["k"]) & packed["unit"].eqNullSafe(says["unit2"])).drop(says["k"])
+def take_copies(
+    docs: DataFrame, mix: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
+) -> DataFrame:
+    """``docs`` with every row repeated as often as ``mix``, made from the same rows, says.
+
+    Of rows that agree in id, source and size, those with the smaller hashes are taken once more.
+    """
+    unit = F.struct(
+        docs[id_col].alias("doc_id"), docs[source_col].alias("source"), word_count(docs[text_col]).alias("size")
+    )
+    packed = docs.select(F.struct(*[docs[name] for name in docs.columns]).alias("row"), unit.alias("unit"))
+    packed = packed.withColumn("k", F.xxhash64("unit"))
+    told = mix.select(F.struct("doc_id", "source", "size").alias("told"), "n", "base", "extra")
+    told = told.withColumn("told_k", F.xxhash64("told"))
+    joined = packed.join(told, (F.col("k") == F.col("told_k")) & F.col("unit").eqNullSafe(F.col("told")))
     among_equals = Window.partitionBy("k", "unit").orderBy(F.xxhash64("row"))
     single = joined.where("n = 1").withColumn("turn", F.lit(1))
     several = joined.where("n > 1").withColumn("turn", F.row_number().over(among_equals))
-    counted = single.unionByName(several).withColumn("copies", F.col("base") + (F.col("turn") <= F.col("extra")).cast("bigint"))
-    repeated = counted.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
-    return repeated.select("row.*")
+    copies = F.col("base") + (F.col("turn") <= F.col("extra")).cast("bigint")
+    counted = single.unionByName(several).select("row", copies.alias("copies")).where("copies > 0")
+    return counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select("row.*")
 
 
 def op10_mixing(spark, sf_dir: str) -> DataFrame:
