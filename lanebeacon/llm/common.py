@@ -43,3 +43,12 @@ def ascii_lower(text: Column) -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lets whole texts go to Python in smaller batches than Spark's own settings would, to bound memory."""
+    for key, most in (("maxRecordsPerBatch", 1000), ("maxBytesPerBatch", 8 << 20)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = spark.conf.get(key, None)
+        if now is None or not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))

@@ -16,9 +16,11 @@ of them.
 * Empty segments are indexed apart and looked at only if all else does not suffice.
 
 Sets that agree altogether are one node from the start. In each bucket of equal signatures the other
-nodes are compared with one of them, exactly; a bucket in which all are found similar
-is settled by that. Only where a comparison fails, the remaining pairs of different components are
-compared as well. So a group of copies costs as much as it has members, and no link is lost.
+nodes are compared with one of them, its centre, exactly; a bucket in which all are found similar
+is settled by that. Where a comparison fails, members of the same centre may still be similar
+to one another. Such pairs are found by what their members' differences from the centre have in common
+(``_other_pairs``), and compared as well. So a group of copies costs as much as it has
+members, and no link is lost.
 """
 
 from __future__ import annotations
@@ -32,18 +34,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from lanebeacon.llm.common import stored, table
+from lanebeacon.llm.common import small_batches, stored, table
 from lanebeacon.llm.components import components
 from lanebeacon.llm.words import mixed, raw_bytes, text_blocks, word_hashes
 
 # The first band ends at this size, each other one GROWTH times further.
 FIRST_BAND, GROWTH, BANDS = 6, 1.5, 60
-# Segments more than the allowances need, and up to how many needed ones deletions are indexed.
-SPARE, WITH_DELETIONS = 0.12, 24
+# Segments more than the allowances need: the more, the more have to agree. Small sets have more
+# of them, as they are cheap there. Up to WITH_DELETIONS needed segments deletions are indexed.
+SPARE, SPARE_IF_SMALL, SMALL = 0.12, 0.5, 64
+WITH_DELETIONS = 24
 EMPTY_PARTS = 256
 # Bits of the bitmap that tells which nodes have candidates: 8 MB, whatever the size of the table.
 BITMAP_BITS = 1 << 26
-EXACT, PROBE = 1, 2
+EXACT, PROBE, OWN = 1, 2, 4
 
 
 @dataclass(frozen=True)
@@ -65,7 +69,8 @@ class Similarity:
             tops.append(int(tops[-1] * GROWTH) if len(tops) > 1 else 2 * FIRST_BAND)
         upper = np.array(tops, dtype=np.int64)
         needed = self.distance(2 * upper) + 1
-        segments = needed + np.where(needed > 1, np.ceil(needed * SPARE).astype(np.int64) + 1, 0)
+        spare = np.ceil(needed * np.where(needed <= SMALL, SPARE_IF_SMALL, SPARE)).astype(np.int64) + 1
+        segments = needed + np.where(needed > 1, spare, 0)
         return upper, segments, (needed > 1) & (needed <= WITH_DELETIONS)
 
 
@@ -110,7 +115,11 @@ def node_of(grams: np.ndarray, owners: np.ndarray, n: int) -> tuple[np.ndarray,
 def signatures(
     grams: np.ndarray, owners: np.ndarray, sizes: np.ndarray, nodes: np.ndarray, like: Similarity
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """``signature, node, info`` rows of the sets; ``info`` is 4 times the size plus the row's roles."""
+    """``signature, node, info`` rows of the sets.
+
+    ``info`` has the row's roles, and for whole segments of the own band (``OWN``) 8 times the number of
+    them that have to agree with any similar set that is not larger: each different element spoils one.
+    """
     upper, segments, deletions = like.bands()
     n = len(sizes)
     own = np.searchsorted(upper, sizes)
@@ -142,21 +151,24 @@ def signatures(
             probes, empty_probe = _allocate(counts, holder, like.distance(2 * sizes) + 1, deletions[band[holder]], n)
         filled = counts > 0
         role = EXACT + PROBE * (probes > 0)
-        yield signature[filled], nodes[holder[filled]], sizes[holder[filled]] * 4 + role[filled]
+        if step == 0:
+            agree = np.bincount(holder[filled], minlength=n) - like.distance(2 * sizes)
+            role = role + OWN + 8 * np.maximum(agree, 0)[holder]
+        yield signature[filled], nodes[holder[filled]], role[filled]
         single = deletions[np.minimum(band, BANDS - 1)][who]
         if single.any():
             part, without = cell[single], sums[cell[single]] - val[single]
             rest = counts[part] > 1
             part, without = part[rest], without[rest]
-            yield mixed(without + place[part]), nodes[holder[part]], sizes[holder[part]] * 4 + PROBE * (probes[part] == 2)
+            yield mixed(without + place[part]), nodes[holder[part]], PROBE * (probes[part] == 2)
             # A segment of one element less that one is an empty segment.
             lone = cell[single][~rest]
-            yield _empty(place[lone], nodes[holder[lone]], 0), nodes[holder[lone]], sizes[holder[lone]] * 4
+            yield _empty(place[lone], nodes[holder[lone]], 0), nodes[holder[lone]], np.zeros(len(lone), np.int64)
         vacant = np.flatnonzero(~filled)
-        yield _empty(place[vacant], nodes[holder[vacant]], 0), nodes[holder[vacant]], sizes[holder[vacant]] * 4 + EXACT
+        yield _empty(place[vacant], nodes[holder[vacant]], 0), nodes[holder[vacant]], np.full(len(vacant), EXACT)
         asked = vacant[empty_probe[holder[vacant]]]
         for part in range(EMPTY_PARTS) if asked.size else ():
-            yield _empty(place[asked], None, part), nodes[holder[asked]], sizes[holder[asked]] * 4 + EXACT + PROBE
+            yield _empty(place[asked], None, part), nodes[holder[asked]], np.full(len(asked), EXACT + PROBE)
 
 
 def _empty(place: np.ndarray, nodes: np.ndarray | None, part: int) -> np.ndarray:
@@ -242,7 +254,7 @@ def _set_rows(docs: DataFrame, like: Similarity, text_col: str, wanted: DataFram
                 marked = (bitmap.value[bits // 64] >> (bits % 64)) & 1
                 starts = np.cumsum(sizes) - sizes
                 chosen = [i for i in np.flatnonzero((marked == 1) & (sizes > 0)).tolist() if int(nodes[i]) not in seen]
-                if len(seen) > 1_000_000:
+                if len(seen) > 100_000:
                     seen.clear()
                 seen.update(nodes[chosen].tolist())
                 for at in range(0, len(chosen), 256):
@@ -253,71 +265,141 @@ def _set_rows(docs: DataFrame, like: Similarity, text_col: str, wanted: DataFram
     return docs.select(text_col).mapInArrow(rows, "node bigint, grams array<bigint>").dropDuplicates(["node"])
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
-    """``a, b, similar`` of pairs of nodes, by their whole sets."""
+def _compared(pairs: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
+    """``a, b, grams_a, grams_b, size_a, size_b, apart, similar`` of pairs of nodes, by their whole sets."""
     left = sets.select(F.col("node").alias("a"), F.col("grams").alias("grams_a"))
     right = sets.select(F.col("node").alias("b"), F.col("grams").alias("grams_b"))
-    common = F.size(F.array_intersect("grams_a", "grams_b"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("common", common)
-    union = F.size("grams_a") + F.size("grams_b") - F.col("common")
-    return both.select("a", "b", (F.col("common") * like.den >= union * like.num).alias("similar"))
-
-
-def _meet(info_a: Column, info_b: Column, like: Similarity) -> Column:
-    """Whether two rows of a bucket are candidates: one looks, one is whole, and the sizes allow it."""
-    roles = info_a.bitwiseOR(info_b).bitwiseAND(EXACT + PROBE) == EXACT + PROBE
-    size_a, size_b = F.shiftright(info_a, 2), F.shiftright(info_b, 2)
-    return roles & (F.least(size_a, size_b) * like.den >= F.greatest(size_a, size_b) * like.num)
+    both = (
+        pairs.join(left, "a")
+        .join(right, "b")
+        .withColumns({"size_a": F.size("grams_a"), "size_b": F.size("grams_b")})
+        .withColumn("common", F.size(F.array_intersect("grams_a", "grams_b")))
+    )
+    total = (F.col("size_a") + F.col("size_b")).cast("bigint")
+    return both.withColumns(
+        {
+            "apart": (total - 2 * F.col("common")).cast("int"),
+            "similar": F.col("common") * F.lit(like.den).cast("bigint") >= (total - F.col("common")) * like.num,
+        }
+    )
 
 
 def similar_nodes(docs: DataFrame, like: Similarity, *, text_col: str = "text") -> DataFrame:
     """``node, component`` of every node that is similar to another one."""
+    small_batches(docs.sparkSession)
     rows = _signature_rows(docs, like, text_col)
-    roles = F.col("info").bitwiseAND(EXACT + PROBE)
-    rank = F.when(roles == EXACT + PROBE, 0).when(roles == PROBE, 1).otherwise(2)
     bucket = Window.partitionBy("signature")
-    centred = (
-        rows.withColumn("centre", F.min(F.struct(rank.alias("rank"), "node", "info")).over(bucket))
-        .withColumn("most", F.max("node").over(bucket))
-        .withColumn("least", F.min("node").over(bucket))
-        # Buckets of one node, or without anyone who looks, have no candidates.
-        .where((F.col("least") != F.col("most")) & (F.col("centre.rank") < 2))
-        .select("signature", "node", "info", F.col("centre.node").alias("centre"), F.col("centre.info").alias("centre_info"), "centre.rank")
+    met = (
+        rows.withColumns(
+            {
+                "members": F.count(F.lit(1)).over(bucket),
+                "apart": F.max("node").over(bucket) != F.min("node").over(bucket),
+            }
+        )
+        .where("apart")
+        .select("signature", "node", "info", "members")
+    )
+    met = stored(met, "buckets")
+    # A node needs so many of its segments to agree with a partner that is not larger. If fewer
+    # of them agree with anyone, it has no such partner and need not look.
+    agreeing = F.count_if(F.col("info").bitwiseAND(OWN) > 0) >= F.coalesce(F.max(F.shiftright("info", 3)), F.lit(0))
+    # The centre of a bucket is the node that shares most buckets with others, so that a group has few centres.
+    each = met.groupBy("node").agg(F.sum("members").alias("shared"), agreeing.alias("asks"))
+    stars = (
+        met.join(each, "node")
+        .withColumn("asks", F.col("asks") & (F.col("info").bitwiseAND(PROBE) > 0))
+        .withColumns({"centre": F.max(F.struct("shared", "node")).over(bucket)["node"], "looks": F.max("asks").over(bucket)})
+        .where("looks and node != centre")
+        .select("signature", F.col("centre").alias("a"), F.col("node").alias("b"), "asks")
     )
-    buckets = stored(centred, "buckets")
-    stars = buckets.where(F.col("node") != F.col("centre")).where(_meet(F.col("info"), F.col("centre_info"), like))
-    pairs = stored(stars.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct(), "pairs")
-    sets = stored(_set_rows(docs, like, text_col, buckets.select("node")), "sets")
-    judged = stored(_similar(pairs, sets, like), "judged")
+    stars = stored(stars, "stars")
+    pairs = stars.select("a", "b").distinct()
+    sets = stored(_set_rows(docs, like, text_col, pairs.select(F.explode(F.array("a", "b")).alias("node"))), "sets")
+    judged = _compared(pairs, sets, like).select("a", "b", "size_a", "size_b", "apart", "similar")
+    judged = stored(judged, "judged")
     links = judged.where("similar").select("a", "b")
     found = stored(components(links), "components")
+    more = stored(_other_pairs(stars, judged, found, sets, like), "other-pairs")
+    late = _compared(more, sets, like).where("similar").select("a", "b")
+    late = stored(late, "late-links")
+    return found if late.isEmpty() else components(links.unionByName(late))
+
+
+def _other_pairs(stars: DataFrame, judged: DataFrame, found: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
+    """Pairs ``a, b`` of members of one centre that may be similar although a comparison with the centre failed.
 
-    # Buckets with a failure, and the few without anyone who both looks and is whole: their other pairs.
-    failed = judged.where("not similar").select("a", "b")
-    open_pairs = buckets.withColumn("a", F.least("node", "centre")).withColumn("b", F.greatest("node", "centre"))
-    opened = open_pairs.join(failed, ["a", "b"], "left_semi").select("signature").unionByName(
-        buckets.where("rank = 1").select("signature")
-    ).distinct()
-    inside = (
-        buckets.select("signature", "node", "info").distinct()
-        .join(opened, "signature", "left_semi")
-        .join(found, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
+    Only members of buckets in which two of them are in different components and one looks are looked at.
+    Let y and z differ from the centre in ``d_y`` and ``d_z`` elements, and o of those be the same. Then
+    y and z differ in ``d_y + d_z - 2 o`` elements, so if similar they have ``o >= (d_y + d_z - H) / 2``.
+
+    * Where that is 0 or less they are similar for certain, and so are both to the member with
+      the largest slack ``K size - d``: each member outside is paired with that one.
+    * Otherwise their differences share an element, and one among the first of both in order of
+      rarity: leaving out all but ``o`` of them leaves one that is shared (prefix filter).
+    """
+    k = (like.den - like.num) / (like.den + like.num)
+    part = found.select(F.col("node").alias("b"), "component")
+    open_centres = judged.where("not similar").select("a").distinct()
+    placed = (
+        stars.join(open_centres, "a", "left_semi").join(part, "b", "left").withColumn("component", F.coalesce("component", "b"))
+    )
+    bucket = Window.partitionBy("signature")
+    apart = F.min("component").over(bucket) != F.max("component").over(bucket)
+    members = (
+        placed.withColumn("open", apart & F.max("asks").over(bucket))
+        .where("open")
+        .groupBy("a", "b", "component")
+        .agg(F.max("asks").alias("asks"))
+        .join(judged, ["a", "b"])
+        .withColumn("slack", F.col("size_b") * k - F.col("apart"))
+    )
+    members = stored(members, "open-members")
+    widest = members.groupBy("a").agg(F.max(F.struct("slack", F.col("b").alias("node"), "component")).alias("widest"))
+    with_widest = (
+        members.join(widest, "a")
+        .where(F.col("component") != F.col("widest.component"))
+        .select(F.col("widest.node").alias("x"), F.col("b").alias("y"))
     )
-    inside = stored(inside, "open-buckets")
-    one, other = inside.alias("one"), inside.alias("other")
-    cross = one.join(
+
+    # Rows of elements in which members differ from their centre, the rarest first. An element that only
+    # one member has cannot be shared, but it counts in the order.
+    compared = _compared(members.drop("size_a", "size_b", "apart", "similar"), sets, like)
+    grams = F.concat(F.array_except("grams_a", "grams_b"), F.array_except("grams_b", "grams_a"))
+    kept = ["a", "b", "component", "asks", "similar", "apart", "size_a", "size_b"]
+    ranked = (
+        stored(compared.select(*kept, grams.alias("grams")), "differences")
+        .select(*kept, F.explode("grams").alias("gram"))
+        .withColumn("often", F.count(F.lit(1)).over(Window.partitionBy("a", "gram")))
+        .withColumn("place", F.row_number().over(Window.partitionBy("a", "b").orderBy("often", "gram")))
+        .where("often > 1")
+    )
+    with_failed = F.greatest(F.lit(1), F.ceil((F.col("apart") + k * (F.col("size_a") - F.col("size_b"))) / 2 - 1e-9))
+    with_close = F.greatest(F.lit(1), F.ceil((F.col("apart") - k * (F.col("size_a") + F.col("size_b"))) / 2 - 1e-9))
+    reach = F.when(F.col("similar"), with_failed).otherwise(F.least(with_failed, with_close))
+    first = (
+        ranked.where(F.col("place") <= F.col("apart") - reach + 1)
+        .withColumn("early", F.col("place") <= F.col("apart") - with_failed + 1)
+        .select("a", "gram", "b", "component", "asks", "similar", "early", "apart", "place", "size_b")
+    )
+    first = stored(first, "first-differences")
+    one, other = first.alias("one"), first.alias("other")
+    # From the first shared element on, there must be as many left as have to be shared.
+    left = F.least(F.col("one.apart") - F.col("one.place"), F.col("other.apart") - F.col("other.place")) + 1
+    total = F.col("one.size_b") + F.col("other.size_b")
+    needed = F.col("one.apart") + F.col("other.apart") - F.floor(total * (like.den - like.num) / (like.den + like.num))
+    sharing = one.join(
         other,
-        (F.col("one.signature") == F.col("other.signature"))
-        & (F.col("one.node") < F.col("other.node"))
+        (F.col("one.a") == F.col("other.a"))
+        & (F.col("one.gram") == F.col("other.gram"))
+        & (F.col("one.b") < F.col("other.b"))
         & (F.col("one.component") != F.col("other.component"))
-        & _meet(F.col("one.info"), F.col("other.info"), like),
-    )
-    more = cross.select(F.col("one.node").alias("a"), F.col("other.node").alias("b")).distinct().join(failed, ["a", "b"], "left_anti")
-    late = stored(_similar(more, sets, like).where("similar").select("a", "b"), "late-links")
-    if late.isEmpty():
-        return found
-    return components(links.unionByName(late))
+        & (F.col("one.asks") | F.col("other.asks"))
+        & (F.col("one.similar") | F.col("other.similar") | (F.col("one.early") & F.col("other.early")))
+        & (2 * left >= needed)
+        & (F.least("one.size_b", "other.size_b") * like.den >= F.greatest("one.size_b", "other.size_b") * like.num),
+    ).select(F.col("one.b").alias("x"), F.col("other.b").alias("y"))
+    every = with_widest.unionByName(sharing)
+    return every.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def _linked(docs: DataFrame, like: Similarity, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -325,6 +407,7 @@ def _linked(docs: DataFrame, like: Similarity, id_col: str, text_col: str) -> tu
 
     ``first_node`` is the one node of the component whose text stands for it: that of the smallest id.
     """
+    small_batches(docs.sparkSession)
     measured = docs.select(F.col(id_col).alias("doc_id"), gram_nodes(docs, like, text_col).alias("set"))
     each = stored(measured.select("doc_id", F.col("set.n").alias("n_shingles"), "set.node"), "gram-nodes")
     nodes = each.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("smallest"))

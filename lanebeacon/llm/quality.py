@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, DoubleType
 
-from lanebeacon.llm.common import table
+from lanebeacon.llm.common import small_batches, table
 from lanebeacon.llm.words import BLOCK_BYTES, raw_bytes, text_blocks, word_hashes
 
 # Labelled documents that are fitted on, the first in order of a hash of the id, and pairs of them.
@@ -144,6 +144,7 @@ def learn_quality(docs: DataFrame, labels: DataFrame, *, most: int = MOST_LABELL
         .where("quality = most")
     )
     sample = usable.select("doc_id", "quality").orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(most)
+    small_batches(docs.sparkSession)
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "quality", _counted("text").alias("counts"))
     known: pd.DataFrame = rows.toPandas().sort_values("doc_id", kind="stable")
     counts = np.array(known["counts"].tolist(), dtype=float).reshape(len(known), N_COUNTS)
@@ -165,6 +166,7 @@ def score_quality(docs: DataFrame, ranking: Ranking, *, text_col: str = "text",
         for texts in batches:
             yield pa.array(ranking.scores(text_counts(texts)), pa.float64())
 
+    small_batches(docs.sparkSession)
     return docs.withColumn(score_col, score(F.col(text_col)))
 
 

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _IS_WORD = np.ones(256, dtype=bool)
