@@ -14,9 +14,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import DataFrame, SparkSession
 
+import bindings as t
+import round_trips
 from lanebeacon import operators as ops
-from lanebeacon.plans import round_trips
-from lanebeacon.plans import tables as t
 
 # The subpackage of training-data operators and its pipeline may be missing; nothing else may.
 try:
@@ -79,6 +79,12 @@ def _own_queries() -> dict[str, Query]:
         "lecture_connections": lambda s, d: ops.lecture_connections(
             t.user_readings(s, d), t.customer_rooms(s, d), t.lectures(s, d), rules=None
         ),
+        "lecture_attendance_rooms": lambda s, d: ops.lecture_attendance(
+            t.user_readings(s, d), t.auditorium_meta(s, d), t.auditorium_lectures(s, d)
+        ),
+        "lecture_connections_rooms": lambda s, d: ops.lecture_connections(
+            t.user_readings(s, d), t.auditorium_meta(s, d), t.auditorium_lectures(s, d)
+        ),
         "split_vehicles": lambda s, d: ops.split_vehicles(t.fcd_raw(s, d)),
         "split_persons": lambda s, d: ops.split_persons(t.fcd_raw(s, d)),
         "split_traces": lambda s, d: ops.split_traces(t.fcd_raw(s, d)).selectExpr(
@@ -91,18 +97,28 @@ def _own_queries() -> dict[str, Query]:
         "parse_lanes": lambda s, d: ops.parse_lanes(t.vehicle(s, d)),
         "parse_lanes_last_underscore": lambda s, d: ops.parse_lanes(t.vehicle(s, d), edge_id_mode="last_underscore"),
         "edge_traffic": lambda s, d: ops.edge_traffic(t.vehicle(s, d)),
+        "edge_traffic_last_underscore": lambda s, d: ops.edge_traffic(t.wide_lanes(s, d), edge_id_mode="last_underscore"),
+        "lane_zipper_last_underscore": lambda s, d: ops.lane_zipper(t.wide_lanes(s, d), edge_id_mode="last_underscore"),
         "lane_zipper": lambda s, d: ops.lane_zipper(t.order_lanes(s, d)),
         "lane_zipper_per_direction": lambda s, d: ops.lane_zipper(t.order_lanes(s, d), per_direction=True),
         "vehicles_per_timestep": lambda s, d: ops.vehicles_per_timestep(t.vehicle(s, d)),
-        "vehicles_per_lane": lambda s, d: ops.vehicles_per_lane(t.vehicle(s, d)),
+        "vehicles_per_lane": lambda s, d: ops.vehicles_per_lane(t.vehicle(s, d), n=100),
+        "vehicles_per_lane_all": lambda s, d: ops.vehicles_per_lane(t.vehicle(s, d)),
         "timestep_count": lambda s, d: ops.timestep_count(t.vehicle(s, d)),
         "heatmap_density": lambda s, d: ops.heatmap_density(t.points(s, d), cell=1.0),
         "heatmap_positions": lambda s, d: ops.heatmap_density(t.points(s, d)),
         "readings_master": lambda s, d: _as_text(round_trips.readings_master(s, d), "ingest_date"),
+        "mixed_readings_master": lambda s, d: _as_text(round_trips.mixed_readings_master(s, d), "ingest_date"),
         "streamed_readings": round_trips.streamed_readings,
-        "bookings_master": lambda s, d: _as_text(round_trips.bookings_master(s, d), "start_ts", "end_ts"),
+        "bookings_master": lambda s, d: _as_text(round_trips.bookings_master(s, d), "start_ts", "end_ts", "ingest_date"),
+        "streamed_bookings": lambda s, d: _as_text(round_trips.streamed_bookings(s, d), "start_ts", "end_ts", "ingest_date"),
+        "meta_master": round_trips.meta_master,
         "traces_master": round_trips.traces_master,
+        "text_masters": round_trips.text_masters,
         "edge_report": round_trips.edge_report,
+        "wifi_views": round_trips.wifi_views,
+        "signal_report": round_trips.signal_report,
+        "traffic_views": round_trips.traffic_views,
     }
 
 
@@ -117,11 +133,11 @@ meta as (select cast(n_nationkey as varchar) as did, n_name as location from nat
 _NESTED = f"""
 with {_READINGS},
 flat as (
-  select did, cid, clientOS, rssi, cast(snRatio as double) as snRatio, ssid, ts from readings
+  select did, cid, clientOS, rssi, cast(snRatio as double) as snRatio, ssid, ts, ts as first_ts from readings
   union all
-  select did, cid, clientOS, rssi, cast(snRatio as double), ssid, ts + 60 from readings
+  select did, cid, clientOS, rssi, cast(snRatio as double), ssid, ts + 60, ts from readings
   union all
-  select did, cid, cast(null as varchar), cast(null as double), 0.5::double, ssid, ts + 60 from readings)"""
+  select did, cid, cast(null as varchar), cast(null as double), 0.5::double, ssid, ts + 60, ts from readings)"""
 
 _BOOKINGS = """
 with raw as (
@@ -163,6 +179,26 @@ attendance as (
   join customer c on s.did = cast(c.c_custkey as varchar)
   join lectures l on l.room = c.c_name and s.ts >= l.start_s and s.ts <= l.start_s + l.minutes * 60)"""
 
+_ROOM_ATTENDANCE = f"""
+with {_SIGHTINGS},
+rooms as (
+  select cast(c_custkey as varchar) as did, c_custkey % 20 as number from customer where c_custkey % 20 between 1 and 4),
+lectures as (
+  select cast(o_orderkey as varchar) as name, o_custkey % 20 as number,
+         cast(epoch(timestamp '2024-01-01') as bigint) + (o_orderkey % 700) * 3600 + (o_custkey % 60) * 60 as start_s,
+         30 + o_orderkey % 451 as minutes
+  from orders where o_custkey % 20 between 1 and 4),
+attendance as (
+  select distinct l.name as name, s.cid as cid
+  from sightings s
+  join rooms r on s.did = r.did
+  join lectures l on l.number = r.number and s.ts >= l.start_s and s.ts <= l.start_s + l.minutes * 60)"""
+
+_CONNECTIONS = """,
+            per_client as (select cid, count(distinct ts) as connections from sightings group by cid)
+            select name, cast(sum(connections) as bigint) as connections
+            from attendance join per_client using (cid) group by name"""
+
 _FCD_DAY = "cast(date_diff('day', date '1970-01-01', cast({0} as date)) as float)"
 
 _VEHICLE = f"""
@@ -191,11 +227,11 @@ select timestep_time, vehicle_id, vehicle_lane,
 from (select *, {_SIGNED[mode]} as signed_edge from vehicle)"""
 
 
-def _zipper(key: str) -> str:
+def _zipper(key: str, shift: int = 0) -> str:
     return f"""
 with lanes as (
-  select case when l_linestatus = 'F' then '-' else '' end || l_orderkey || '_' || l_linenumber as vehicle_lane,
-         count(*) as nb_cars, cast(l_orderkey as varchar) as edge_id, cast(l_linenumber as varchar) as lane_index,
+  select case when l_linestatus = 'F' then '-' else '' end || l_orderkey || '_' || (l_linenumber + {shift}) as vehicle_lane,
+         count(*) as nb_cars, cast(l_orderkey as varchar) as edge_id, cast(l_linenumber + {shift} as varchar) as lane_index,
          case when l_linestatus = 'F' then 0 else 1 end as direction
   from lineitem group by all),
 wide as (select {key}, count(*) as nb_lanes from lanes group by {key} having count(*) > 2)
@@ -233,6 +269,27 @@ def _own_sql() -> dict[str, str]:
                cast(90 as double) as person_angle, cast(substr(o_orderpriority, 1, 1) as double) as person_speed,
                case when o_orderstatus = 'F' then null else o_totalprice / 2 end as person_pos, o_orderpriority as person_edge
         from orders"""
+    signal = f"""
+        with {_READINGS},
+        hourly as (
+          select did, time_bucket(interval 1 hour, make_timestamp(ts * 1000000)) as h,
+                 avg(rssi) as rssi, avg(try_cast(snRatio as double)) as sn, count(cid) as n
+          from readings group by all),
+        profile as (
+          select did, strftime(h, '%a') as weekday, strftime(h, '%H') as start_hour,
+                 strftime(h + interval 1 hour, '%H') as end_hour,
+                 cast(trunc(round(avg(rssi), 9)) as bigint) as "avg_rssi",
+                 cast(trunc(round(avg(sn), 9)) as bigint) as "avg_snRatio",
+                 cast(trunc(round(avg(n), 9)) as bigint) as avg_accesses
+          from hourly group by all)
+        select did, weekday, start_hour, end_hour, avg_rssi, "avg_snRatio", avg_accesses, location
+        from profile join meta using (did)"""
+    dated_flat = f"""
+        {_NESTED}
+        select did, cid, clientOS, rssi, snRatio, ssid, ts,
+               '2017-10-0' || ((first_ts // 86400) % 8 + 1) as ingest_date
+        from flat"""
+    dated_bookings = f"""select *, '2017-10-0' || (cast(substr("startDate", 9, 2) as integer) % 8 + 1) as ingest_date from ({bookings})"""
     edges = f"""
         with {_VEHICLE}
         select edge_id, count(edge_id) as sightings from ({_parsed("fixed2")}) group by edge_id"""
@@ -266,26 +323,12 @@ def _own_sql() -> dict[str, str]:
             select location, strftime(h, '%Y.%m.%d , %a') as day, strftime(h, '%-I:%M %p') as from_time,
                    strftime(h + interval 1 hour, '%-I:%M %p') as to_time, devices
             from hourly""",
-        "signal_quality_profile": f"""
-            with {_READINGS},
-            hourly as (
-              select did, time_bucket(interval 1 hour, make_timestamp(ts * 1000000)) as h,
-                     avg(rssi) as rssi, avg(try_cast(snRatio as double)) as sn, count(cid) as n
-              from readings group by all),
-            profile as (
-              select did, strftime(h, '%a') as weekday, strftime(h, '%H') as start_hour,
-                     strftime(h + interval 1 hour, '%H') as end_hour,
-                     cast(trunc(round(avg(rssi), 9)) as smallint) as "avg_rssi",
-                     cast(trunc(round(avg(sn), 9)) as smallint) as "avg_snRatio",
-                     cast(trunc(round(avg(n), 9)) as bigint) as avg_accesses
-              from hourly group by all)
-            select did, weekday, start_hour, end_hour, avg_rssi, "avg_snRatio", avg_accesses, location
-            from profile join meta using (did)""",
+        "signal_quality_profile": signal,
+        "signal_report": signal,
         "lecture_attendance": f"{_ATTENDANCE} select name, cid from attendance",
-        "lecture_connections": f"""{_ATTENDANCE},
-            per_client as (select cid, count(distinct ts) as connections from sightings group by cid)
-            select name, cast(sum(connections) as bigint) as connections
-            from attendance join per_client using (cid) group by name""",
+        "lecture_connections": _ATTENDANCE + _CONNECTIONS,
+        "lecture_attendance_rooms": f"{_ROOM_ATTENDANCE} select name, cid from attendance",
+        "lecture_connections_rooms": _ROOM_ATTENDANCE + _CONNECTIONS,
         "split_vehicles": vehicles,
         "split_persons": persons,
         "split_traces": f"""
@@ -315,12 +358,26 @@ def _own_sql() -> dict[str, str]:
         "heatmap_positions": """
             select l_extendedprice / 1000 as lat, l_quantity / 5 as lng, count(*) as weight
             from lineitem group by all""",
-        "readings_master": f"""
-            {_NESTED}
-            select did, cid, clientOS, rssi, snRatio, ssid, ts, strftime(make_timestamp(ts * 1000000), '%Y-%m-%d') as ingest_date
-            from flat""",
+        "vehicles_per_lane_all": f"""
+            with {_VEHICLE}
+            select vehicle_lane, count(distinct vehicle_id) as vehicles from vehicle group by vehicle_lane""",
+        "edge_traffic_last_underscore": "select cast(l_orderkey as varchar) as edge_id, count(*) as sightings from lineitem group by l_orderkey",
+        "lane_zipper_last_underscore": _zipper("edge_id", 6),
+        "readings_master": dated_flat,
+        "mixed_readings_master": dated_flat,
         "streamed_readings": flat,
-        "bookings_master": bookings,
+        "bookings_master": dated_bookings,
+        "streamed_bookings": dated_bookings,
+        "meta_master": """
+            select cast(c_custkey as varchar) as did, case when c_acctbal < 0 then 'unknown' else c_name end as location
+            from customer""",
         "traces_master": f"select * from ({vehicles}) union all by name select * from ({persons})",
+        "text_masters": f"""
+            select 'vehicle' as master, count(*) as n, round(sum(vehicle_x), 2) as total from ({vehicles})
+            union all select 'person', count(*), round(sum(person_x), 2) from ({persons})
+            union all select 'readings', count(*), round(sum(rssi), 2) from ({flat})
+            union all select 'bookings', count(*), cast(sum(cast(substr(start_ts, 12, 2) as integer)) as double) from ({bookings})""",
         "edge_report": edges,
+        "wifi_views": _usage(_EPOCH_WEEK),
+        "traffic_views": _zipper("edge_id"),
     }

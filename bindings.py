@@ -142,6 +142,30 @@ def order_lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def wide_lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same roads with lane indexes of one and of two digits."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.expr("concat(if(l_linestatus = 'F', '-', ''), l_orderkey, '_', l_linenumber + 6)").alias("vehicle_lane")
+    )
+
+
+def auditorium_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as routers, a quarter of them near an auditorium."""
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("did"),
+        F.expr("if(c_custkey % 20 < 5, concat('Hall AUD', c_custkey % 20, ' east'), c_name)").alias("location"),
+    )
+
+
+def auditorium_lectures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lectures, a quarter of them in an auditorium as people write it."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("name"),
+        F.expr("if(o_custkey % 20 < 5, concat('Aud ', o_custkey % 20, ', door A'), 'Lab 7')").alias("room"),
+    )
+    return lectures(spark, sf_dir).drop("room").join(orders, "name")
+
+
 def fcd_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items in the vehicle half and orders in the person half of wide rows."""
     cars = table(spark, sf_dir, "lineitem").selectExpr(

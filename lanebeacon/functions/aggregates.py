@@ -15,15 +15,24 @@ def distinct_count(column: str, approx: bool = False) -> Column:
     return F.approx_count_distinct(column) if approx else F.count_distinct(column)
 
 
+# Twelve digits after the point hold what measures are written with, and sums of them are exact.
+MEASURE = "decimal(26, 12)"
+
+
 def number(column: str) -> Column:
-    """A measure held as double or as text; NULL for text that is no number."""
-    return F.col(column).try_cast("double")
+    """A measure held as double or as text, as a decimal; NULL for text that is no number."""
+    return F.col(column).try_cast(MEASURE)
+
+
+def exact_mean(total: Column, n: Column) -> Column:
+    """Mean from an exact sum, to 23 digits."""
+    return F.try_divide(total.try_cast(MEASURE), n.cast("decimal(10, 0)"))
 
 
-def whole_part(mean: Column, type_name: str) -> Column:
+def whole_part(mean: Column) -> Column:
     """A mean cut off after the decimal point.
 
-    The sum behind a mean depends on the order of the rows in its last bits, which
-    would flip the cut for means that are whole numbers; nine digits settle it.
+    Sums are exact and so do not depend on the order of rows; only the last of the 23 digits of an hourly
+    mean is rounded, which 15 digits settle for means that are whole numbers.
     """
-    return F.round(mean, 9).try_cast(type_name)
+    return F.round(mean.cast("decimal(38, 20)"), 15).cast("bigint")

@@ -32,6 +32,8 @@ def bucket_start(seconds: Column, width: int, offset: int = 0) -> Column:
 
 def week_offset(week_start: str) -> int:
     """Seconds from the epoch, a Thursday, to the first ``week_start``."""
+    if week_start.lower() not in _WEEK_STARTS:
+        raise ValueError(f"week_start must be one of {_WEEK_STARTS}, not {week_start!r}")
     return _WEEK_STARTS.index(week_start.lower()) * DAY
 
 

@@ -12,6 +12,8 @@ def heatmap_density(points: DataFrame, cell: float | None = None) -> DataFrame:
     Squares are numbered from the origin; (``lat_cell`` × ``cell``, ``lng_cell`` × ``cell``)
     is the lower corner. A hot position is already counted inside each map task.
     """
+    if cell is not None and not cell > 0:
+        raise ValueError(f"cell must be above 0, not {cell!r}")
     if cell is None:
         return points.groupBy("lat", "lng").agg(F.count("*").alias("weight"))
     return points.groupBy(

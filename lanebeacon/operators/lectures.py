@@ -1,19 +1,30 @@
 """Who sat in which lecture: sightings in a booked room within the booked time.
 
-The join is on a room and an interval. Sightings are cut into time buckets and
-reduced to one row per room, bucket and client before they are joined, so a hot
-room costs its clients per bucket rather than its readings; bookings are cut into
-one piece per bucket they touch. Joining on (room, bucket) spreads a busy room over
-its hours; nothing is compared across rooms or buckets.
+The join is on a room and an interval. Time is cut into buckets on a few levels, each
+``WIDER`` times as wide as the one below. A booking is cut into the widest buckets it
+covers and finer ones at its ends, a few hundred pieces at most however long it is. Sightings
+are reduced to the first and last second of each client per room and bucket, once for each
+level. A piece that covers its bucket, or reaches one end of it, is settled by those; only a
+booking that lies strictly inside one of the finest buckets looks at the seconds.
+
+Pieces and clients of a room and bucket meet by an equi-join. Where a bucket has many of
+both, its clients are dealt into shares, as many as their product needs, each joined
+by itself with a copy of the pieces.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanebeacon.functions.rooms import LECTURE_ROOMS, Rules, room_name, without_blanks
-from lanebeacon.functions.time import HOUR, bucket_start, epoch_seconds
+from lanebeacon.functions.time import HOUR, epoch_seconds
+
+# Levels of buckets: the widest spans thousands of years for buckets of a minute.
+WIDER, LEVELS = 32, 8
+# Pairs of a client and a booking that one share is to compare.
+SHARE_PAIRS = 100_000
+SPOT = ["room", "level", "bucket"]
 
 
 def lecture_attendance(
@@ -24,29 +35,14 @@ def lecture_attendance(
     *,
     tz: str = "UTC",
     bucket_seconds: int = HOUR,
-    shares: int = 4,
 ) -> DataFrame:
     """Distinct (lecture name, client) pairs; both ends of a booking count as inside.
 
     ``rules`` reduces locations and booked rooms to the same room names, and what
     matches no rule drops out; ``rules=None`` compares the two texts as they are.
-    ``tz`` is the zone the booking times are written in. The clients of a room and
-    bucket are dealt into ``shares``, each joined by itself with a copy of the bookings
-    there, so that no task has to pair up a crowded hour alone.
+    ``tz`` is the zone the booking times are written in.
     """
-    share = F.pmod(F.xxhash64("cid"), F.lit(shares)).cast("int")
-    every_share = F.sequence(F.lit(0), F.lit(shares - 1))
-    seen = _clients_per_bucket(readings, _router_rooms(meta, rules), bucket_seconds).withColumn("share", share)
-    held = _booking_pieces(bookings, rules, tz, bucket_seconds).withColumn("share", F.explode(every_share))
-    in_time = (F.col("first") <= F.col("hi")) & (F.col("last") >= F.col("lo"))
-    # A piece that reaches either end of its bucket is settled by the first and last
-    # sighting; only a booking that lies strictly inside one bucket looks at them all.
-    reaches_end = (F.col("lo") == 0) | (F.col("hi") == bucket_seconds - 1)
-    any_inside = F.exists("offsets", lambda second: (second >= F.col("lo")) & (second <= F.col("hi")))
-    # Spark's estimate does not see how far a booking is cut up, so this side must not be
-    # broadcast on it; the merge join spills, and adaptive execution splits hot buckets.
-    together = held.hint("merge").join(seen, ["room", "bucket", "share"])
-    return together.where(in_time & (reaches_end | any_inside)).select("name", "cid").distinct()
+    return _attendance(readings.select("did", "cid", "ts"), meta, bookings, rules, tz, bucket_seconds)
 
 
 def lecture_connections(
@@ -57,51 +53,81 @@ def lecture_connections(
     *,
     tz: str = "UTC",
     bucket_seconds: int = HOUR,
-    shares: int = 4,
 ) -> DataFrame:
     """Per lecture, the connections its attendees made anywhere and at any time.
 
-    A client's connections are the distinct times it was seen.
+    A client's connections are the distinct times it was seen. The readings are scanned and
+    shuffled once, for both the attendance and the counts, and only attendees are counted.
+    Sightings without a router, client or time are left out.
     """
-    attendance = lecture_attendance(
-        readings, meta, bookings, rules, tz=tz, bucket_seconds=bucket_seconds, shares=shares
-    )
-    per_client = readings.groupBy("cid").agg(F.count_distinct("ts").alias("connections"))
+    # With these filters said here, neither branch adds one of its own, and both share one shuffle.
+    whole = "did is not null and cid is not null and ts is not null"
+    seen = readings.where(whole).select("did", "cid", "ts").distinct()
+    attendance = _attendance(seen, meta, bookings, rules, tz, bucket_seconds)
+    attendees = attendance.select("cid").distinct()
+    per_client = seen.join(attendees, "cid", "left_semi").groupBy("cid").agg(F.count_distinct("ts").alias("connections"))
     return attendance.join(per_client, "cid").groupBy("name").agg(F.sum("connections").alias("connections"))
 
 
+def _attendance(
+    readings: DataFrame, meta: DataFrame, bookings: DataFrame, rules: Rules | None, tz: str, width: int
+) -> DataFrame:
+    seen = readings.where("ts is not null").join(_router_rooms(meta, rules), "did")
+    pieces = _booking_pieces(bookings, rules, tz, width)
+    inside = (F.col("lo") > 0) & (F.col("hi") < width - 1) & (F.col("level") == 0)
+    clients = _clients_per_bucket(seen, width)
+    in_time = (F.col("first") <= F.col("hi")) & (F.col("last") >= F.col("lo"))
+    settled = _meet(clients, pieces.where(~inside)).where(in_time)
+    seconds = _spots(seen, width).select(*SPOT, "cid", F.col("offset").alias("first"), F.col("offset").alias("last")).distinct()
+    looked_up = _meet(seconds, pieces.where(inside)).where(in_time)
+    return settled.select("name", "cid").unionByName(looked_up.select("name", "cid")).distinct()
+
+
 def _router_rooms(meta: DataFrame, rules: Rules | None) -> DataFrame:
     location = F.col("location")
     room = location if rules is None else room_name(location, rules)
     return meta.select("did", room.alias("room")).where("room is not null").distinct()
 
 
-def _clients_per_bucket(readings: DataFrame, rooms: DataFrame, width: int) -> DataFrame:
-    """First, last and all distinct seconds of each client within a room and bucket.
+def _spots(seen: DataFrame, width: int) -> DataFrame:
+    """Sightings with their finest bucket and the second within it."""
+    bucket = _floor_div(F.col("ts"), width)
+    offset = (F.col("ts") - bucket * width).cast("int")
+    return seen.select("room", F.lit(0).alias("level"), bucket.alias("bucket"), "cid", offset.alias("offset"))
+
 
-    ``offsets`` holds at most ``width`` numbers, whatever the number of readings.
+def _clients_per_bucket(seen: DataFrame, width: int) -> DataFrame:
+    """First and last second of each client per room and bucket, for the buckets of every level.
+
+    On the wider levels only being there counts, so first and last are 0.
     """
-    bucket = bucket_start(F.col("ts"), width)
-    offset = (F.col("ts") - bucket).cast("int")
-    return (
-        readings.where(F.col("ts").isNotNull())
-        .join(rooms, "did")
-        .groupBy("room", bucket.alias("bucket"), "cid")
-        .agg(F.min(offset).alias("first"), F.max(offset).alias("last"), F.collect_set(offset).alias("offsets"))
+    finest = (
+        _spots(seen, width).groupBy(*SPOT, "cid").agg(F.min("offset").alias("first"), F.max("offset").alias("last"))
     )
+    steps = F.sequence(F.lit(1), F.lit(LEVELS - 1))
+    wider = finest.select("room", F.explode(steps).alias("level"), F.col("bucket").alias("finest"), "cid")
+    scale = F.pow(F.lit(WIDER), F.col("level")).cast("bigint")
+    wider = wider.select("room", "level", _floor_div(F.col("finest"), scale).alias("bucket"), "cid").distinct()
+    return finest.unionByName(wider.withColumns({"first": F.lit(0), "last": F.lit(0)}))
+
+
+def _floor_div(value: Column, by: Column | int) -> Column:
+    by = by if isinstance(by, Column) else F.lit(by).cast("bigint")
+    # The difference is a multiple, so the whole-number division is exact also below zero.
+    return F.call_function("div", value - F.pmod(value, by), by)
 
 
 def _booking_pieces(bookings: DataFrame, rules: Rules | None, tz: str, width: int) -> DataFrame:
-    """One row per booking and bucket it touches, with the seconds covered there.
+    """Pieces ``name, room, level, bucket, lo, hi`` of all bookings, ``lo`` to ``hi`` being the seconds covered.
 
     A booking stands once per room and lecturer and may stand in several files: its
-    copies are merged.
+    copies are merged. On each level stand the buckets that are covered in full but not by a
+    covered one of the level above, at the finest also those in which the booking begins and ends.
     """
     booked = F.col("room")
     room = booked if rules is None else room_name(without_blanks(booked), rules)
     start, end = F.col("start"), F.col("end")
-    buckets = F.sequence(bucket_start(start, width), bucket_start(end, width), F.lit(width).cast("bigint"))
-    return (
+    held = (
         bookings.select(
             "name",
             room.alias("room"),
@@ -110,12 +136,56 @@ def _booking_pieces(bookings: DataFrame, rules: Rules | None, tz: str, width: in
         )
         .where("room is not null and start <= end")
         .distinct()
-        .withColumn("bucket", F.explode(buckets))
-        .select(
-            "name",
-            "room",
-            "bucket",
-            F.greatest(start - F.col("bucket"), F.lit(0)).cast("int").alias("lo"),
-            F.least(end - F.col("bucket"), F.lit(width - 1)).cast("int").alias("hi"),
+    )
+    pieces = []
+    begin, last = _floor_div(start, width), _floor_div(end, width)
+    for level in range(LEVELS):
+        size = width * WIDER**level
+        # Buckets from a up to but without b are covered in full, of the next level those from c to d.
+        a, b = -_floor_div(-start, size), _floor_div(end + 1, size)
+        c, d = -_floor_div(-start, size * WIDER), _floor_div(end + 1, size * WIDER)
+        none = F.array().cast("array<bigint>")
+
+        def run(low: Column, high: Column) -> Column:
+            return F.when(low < high, F.sequence(low, high - 1)).otherwise(none)
+
+        if level == LEVELS - 1:
+            covered = run(a, b)
+        else:
+            around = F.concat(run(a, c * WIDER), run(d * WIDER, b))
+            covered = F.when(c < d, around).otherwise(run(a, b))
+        full = F.transform(
+            covered, lambda x: F.struct(F.lit(level).alias("level"), x.alias("bucket"), F.lit(0).alias("lo"), F.lit(width - 1).alias("hi"))
         )
+        pieces.append(full)
+
+    def partial(bucket: Column) -> Column:
+        lo = F.greatest(start - bucket * width, F.lit(0).cast("bigint")).cast("int")
+        hi = F.least(end - bucket * width, F.lit(width - 1).cast("bigint")).cast("int")
+        return F.struct(F.lit(0).alias("level"), bucket.alias("bucket"), lo.alias("lo"), hi.alias("hi"))
+
+    ends = F.filter(
+        F.array_distinct(F.array(partial(begin), partial(last))), lambda x: (x["lo"] > 0) | (x["hi"] < width - 1)
     )
+    return held.select("name", "room", F.inline(F.concat(ends, *pieces)))
+
+
+def _meet(clients: DataFrame, pieces: DataFrame) -> DataFrame:
+    """Clients and pieces of the same room and bucket.
+
+    Spots with many of both are dealt into shares of the clients. Neither side is
+    broadcast: Spark's estimate does not see how far bookings are cut up. The partitioning is asked for by
+    number, so adaptive execution does not merge the shares of a crowded spot again.
+    """
+    crowd = clients.groupBy(*SPOT).agg(F.count(F.lit(1)).alias("clients"))
+    held = pieces.groupBy(*SPOT).agg(F.count(F.lit(1)).alias("pieces"))
+    pairs = F.col("clients") * F.col("pieces")
+    hot = crowd.join(held, SPOT).where(pairs > SHARE_PAIRS)
+    shares = F.least(F.ceil(pairs / SHARE_PAIRS), F.col("clients")).cast("int")
+    hot = hot.select(*SPOT, shares.alias("shares"))
+    one = F.coalesce("shares", F.lit(1))
+    dealt = clients.join(hot, SPOT, "left").withColumn("share", F.pmod(F.xxhash64("cid"), one).cast("int")).drop("shares")
+    copied = pieces.join(hot, SPOT, "left").withColumn("share", F.explode(F.sequence(F.lit(0), one - 1))).drop("shares")
+    n = int(clients.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*SPOT, "share"]
+    return copied.repartition(n, *keys).hint("merge").join(dealt.repartition(n, *keys), keys)

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from lanebeacon.functions.rooms import PLACEHOLDER, UNKNOWN
 from lanebeacon.functions.time import booking_time
 from lanebeacon.schemas import BOOKINGS_RAW, READINGS
-
-SOURCE_FILE = "source_file"
+from lanebeacon.sources.files import SOURCE_FILE
 
 
 def flatten_readings(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -14,8 +14,8 @@ def vehicles_per_timestep(vehicle: DataFrame, *, approx: bool = False) -> DataFr
     return per_step.orderBy("timestep_time")
 
 
-def vehicles_per_lane(vehicle: DataFrame, n: int | None = 100, *, approx: bool = False) -> DataFrame:
-    """The ``n`` lanes with the most distinct vehicles, ties in lane order; all for ``n=None``."""
+def vehicles_per_lane(vehicle: DataFrame, n: int | None = None, *, approx: bool = False) -> DataFrame:
+    """Distinct vehicles per lane, the most first, ties in lane order; ``n`` keeps that many lanes."""
     per_lane = vehicle.groupBy("vehicle_lane").agg(distinct_count("vehicle_id", approx).alias("vehicles"))
     busiest = per_lane.orderBy(F.desc("vehicles"), "vehicle_lane")
     return busiest if n is None else busiest.limit(n)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lanebeacon.functions.aggregates import distinct_count, number, whole_part
+from lanebeacon.functions.aggregates import distinct_count, exact_mean, number, whole_part
 from lanebeacon.functions.rooms import AUDITORIUMS, Rules, room_name
 from lanebeacon.functions.time import (
     FROM_SEPARATOR,
@@ -57,8 +57,8 @@ def _accesses(readings: DataFrame) -> Column:
 def _mean(readings: DataFrame, measure: str) -> Column:
     """Mean of a measure held as double or as text; text that is no number is skipped."""
     if "accesses" in readings.columns:
-        return F.try_divide(F.sum(f"{measure}_sum"), F.sum(f"{measure}_n"))
-    return F.avg(number(measure))
+        return exact_mean(F.sum(f"{measure}_sum"), F.sum(f"{measure}_n"))
+    return exact_mean(F.sum(number(measure)), F.count(number(measure)))
 
 
 def weekly_router_usage(
@@ -122,9 +122,8 @@ def room_occupancy_hourly(
 def signal_quality_profile(readings: DataFrame, meta: DataFrame, *, tz: str = "UTC", how: str = "inner") -> DataFrame:
     """Mean of the hourly means per router, weekday and hour of day, cut to whole numbers.
 
-    Every hour weighs the same, however many readings it holds. The two signal
-    measures come as smallint; the mean number of accesses is a bigint, as it grows
-    with the data.
+    Every hour weighs the same, however many readings it holds. All means come as bigint,
+    which holds every value.
     """
     hourly = (
         readings.where(F.col("ts").isNotNull())
@@ -142,8 +141,8 @@ def signal_quality_profile(readings: DataFrame, meta: DataFrame, *, tz: str = "U
         hour_label(start).alias("start_hour"),
         hour_label(end).alias("end_hour"),
     ).agg(
-        whole_part(F.avg("rssi"), "smallint").alias("avg_rssi"),
-        whole_part(F.avg("snRatio"), "smallint").alias("avg_snRatio"),
-        whole_part(F.avg("accesses"), "bigint").alias("avg_accesses"),
+        whole_part(F.avg("rssi")).alias("avg_rssi"),
+        whole_part(F.avg("snRatio")).alias("avg_snRatio"),
+        whole_part(F.avg(F.col("accesses").cast("decimal(20, 0)"))).alias("avg_accesses"),
     )
     return profile.join(meta.select("did", "location"), "did", how)

@@ -8,23 +8,35 @@ from pyspark.sql import functions as F
 from lanebeacon import operators as ops
 from lanebeacon.sinks import write_master, write_view
 from lanebeacon.sources import read_fcd_csv
+from lanebeacon.sources.files import CORRUPT
+
+
+# Fixed value: a column title of the written report.
+TRAFFIC_TITLES = {"sightings": "count(edge_id)"}
+
+
+def _parsed(spark: SparkSession, paths: str | list[str], master: str, mode: str) -> DataFrame:
+    """The lines that parse; the others are written to ``<master>.rejected``."""
+    raw = read_fcd_csv(spark, paths)
+    write_master(raw.where(F.col(CORRUPT).isNotNull()), f"{master.rstrip('/')}.rejected", mode=mode)
+    return raw.where(F.col(CORRUPT).isNull())
 
 
 def load_traces(spark: SparkSession, paths: str | list[str], master: str, mode: str = "errorifexists") -> None:
     """Vehicle and person rows into one table partitioned by kind, from a single scan."""
-    write_master(ops.split_traces(read_fcd_csv(spark, paths)), master, partition_by=["kind"], mode=mode)
+    write_master(ops.split_traces(_parsed(spark, paths, master, mode)), master, partition_by=["kind"], mode=mode)
 
 
 def load_vehicles(spark: SparkSession, paths: str | list[str], master: str, mode: str = "errorifexists") -> None:
-    write_master(ops.split_vehicles(read_fcd_csv(spark, paths)), master, mode=mode)
+    write_master(ops.split_vehicles(_parsed(spark, paths, master, mode)), master, mode=mode)
 
 
 def load_persons(spark: SparkSession, paths: str | list[str], master: str, mode: str = "errorifexists") -> None:
-    write_master(ops.split_persons(read_fcd_csv(spark, paths)), master, mode=mode)
+    write_master(ops.split_persons(_parsed(spark, paths, master, mode)), master, mode=mode)
 
 
 def write_traffic_views(
-    vehicle: DataFrame, target: str, *, edge_id_mode: str = "fixed2", single_file: bool = True
+    vehicle: DataFrame, target: str, *, edge_id_mode: str = "fixed2"
 ) -> None:
     """Traffic per edge, busiest first, and cars per lane of the wide edges.
 
@@ -36,13 +48,11 @@ def write_traffic_views(
     write_view(
         ops.edge_traffic(per_lane, edge_id_mode=edge_id_mode),
         f"{target}/edge_traffic",
-        single_file=single_file,
         order_by=[F.desc("sightings"), "edge_id"],
-        columns={"sightings": "count(edge_id)"},
+        columns=TRAFFIC_TITLES,
     )
     write_view(
         ops.lane_zipper(per_lane, edge_id_mode=edge_id_mode),
         f"{target}/lane_zipper",
-        single_file=single_file,
         order_by=["edge_id", "vehicle_lane"],
     )

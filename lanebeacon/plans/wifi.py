@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +12,7 @@ from lanebeacon import operators as ops
 from lanebeacon.schemas import BOOKINGS
 from lanebeacon.sinks import write_master, write_view
 from lanebeacon.sources import read_bookings_json, read_meta_json, read_readings_json
-from lanebeacon.sources.files import INGEST_DATE, SOURCE_FILE
+from lanebeacon.sources.files import CORRUPT, FILE_KEY, INGEST_DATE, SOURCE_FILE, file_key, listed_files
 
 # Column titles of the written reports.
 USAGE_TITLES = {
@@ -24,36 +27,89 @@ QUALITY_TITLES = {"start_hour": "startHour", "end_hour": "endHour", "avg_accesse
 
 
 def load_readings(spark: SparkSession, paths: str | list[str], master: str, **write_options) -> None:
-    """Loads daily reading files in one job; loading a day again replaces it.
+    """Loads daily reading files in one job. Each file has its own partition within its day.
 
-    All files of a day have to be in the same call, as they share a partition. A file
-    without a date in its name stops the load: it would replace others like it.
+    A file loaded again replaces exactly its own rows, also when it has none any more; other files
+    of the day, whoever loaded them, stay. A file without a date in its name stops
+    the load. Lines that do not parse go to ``<master>.rejected``.
     """
-    raw = _dated(read_readings_json(spark, paths))
-    write_master(ops.flatten_readings(raw, keep=(INGEST_DATE,)), master, partition_by=[INGEST_DATE], **write_options)
+    raw = dated(read_readings_json(spark, paths))
+    replace_files(flat_readings(raw), master, listed_files(spark, paths), **write_options)
+    replace_files(rejected(raw), rejects(master), listed_files(spark, paths))
 
 
 def load_meta(spark: SparkSession, paths: str | list[str], master: str, mode: str = "errorifexists") -> None:
-    write_master(ops.clean_locations(read_meta_json(spark, paths)), master, mode=mode)
+    """Router locations without placeholders; lines that do not parse go to ``<master>.rejected``."""
+    raw = read_meta_json(spark, paths)
+    write_master(ops.clean_locations(raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)), master, mode=mode)
+    write_master(raw.where(F.col(CORRUPT).isNotNull()), rejects(master), mode=mode)
 
 
 def load_bookings(
     spark: SparkSession, paths: str | list[str], master: str, *, trim: bool = False, **write_options
 ) -> None:
     """Loads daily booking files in one job, like ``load_readings``; copies within a file are removed."""
-    rows = daily_bookings(_dated(read_bookings_json(spark, paths)), trim)
-    write_master(rows, master, partition_by=[INGEST_DATE], **write_options)
+    raw = dated(read_bookings_json(spark, paths))
+    replace_files(daily_bookings(raw, trim), master, listed_files(spark, paths), **write_options)
+    replace_files(rejected(raw), rejects(master), listed_files(spark, paths))
+
 
+def replace_files(rows: DataFrame, master: str, files: list[str] | None = None, **write_options) -> None:
+    """Writes rows by day and file; ``files`` without rows lose the rows they had before.
 
-def _dated(raw: DataFrame) -> DataFrame:
+    The rows are written first, so a load that fails leaves every file with its old or new rows. A
+    partition that the write has replaced has other data files than before.
+    """
+    spark = rows.sparkSession
+    before = _partitions(spark, master, files or ())
+    write_master(rows, master, partition_by=[INGEST_DATE, FILE_KEY], **write_options)
+    after = _partitions(spark, master, files or ())
+    for partition, names in before.items():
+        if after.get(partition) == names:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(partition)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _partitions(spark: SparkSession, master: str, files: Iterable[str]) -> dict[str, frozenset[str]]:
+    """Names of the data files in the partitions of ``files``; only the folders of days and files are listed."""
+    wanted = set(files)
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(master)
+    store = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = {}
+    for day in store.listStatus(top) if wanted and store.exists(top) else ():
+        if not day.getPath().getName().startswith(f"{INGEST_DATE}="):
+            continue
+        for part in store.listStatus(day.getPath()):
+            if unquote(part.getPath().getName()).removeprefix(f"{FILE_KEY}=") in wanted:
+                names = frozenset(f.getPath().getName() for f in store.listStatus(part.getPath()))
+                found[part.getPath().toString()] = names
+    return found
+
+
+def rejects(master: str) -> str:
+    return f"{master.rstrip('/')}.rejected"
+
+
+def rejected(raw: DataFrame) -> DataFrame:
+    """Lines that do not parse, as far as they could be read, with the file they came from."""
+    return raw.where(F.col(CORRUPT).isNotNull())
+
+
+def dated(raw: DataFrame) -> DataFrame:
+    """Adds the file's key and insists on a date in its name."""
     undated = F.raise_error(F.concat(F.lit("no date in the name of "), SOURCE_FILE))
-    return raw.withColumn(INGEST_DATE, F.coalesce(INGEST_DATE, undated.cast("date")))
+    return raw.withColumns({INGEST_DATE: F.coalesce(INGEST_DATE, undated.cast("date")), FILE_KEY: file_key(F.col(SOURCE_FILE))})
+
+
+def flat_readings(raw: DataFrame) -> DataFrame:
+    return ops.flatten_readings(raw, keep=(INGEST_DATE, FILE_KEY))
 
 
 def daily_bookings(raw: DataFrame, trim: bool = False) -> DataFrame:
-    """Booking rows with the day of the file they came from."""
-    rows = ops.explode_bookings(raw, scope="file", trim=trim, keep=(INGEST_DATE,))
-    return rows.select(*BOOKINGS.names, INGEST_DATE)
+    """Booking rows with the day and key of the file they came from."""
+    parsed = raw.where(F.col(CORRUPT).isNull())
+    rows = ops.explode_bookings(parsed, scope="file", trim=trim, keep=(INGEST_DATE, FILE_KEY))
+    return rows.select(*BOOKINGS.names, INGEST_DATE, FILE_KEY)
 
 
 def write_wifi_views(
@@ -63,7 +119,6 @@ def write_wifi_views(
     *,
     bookings: DataFrame | None = None,
     tz: str = "UTC",
-    single_file: bool = True,
 ) -> None:
     """The batch views, each in its own folder under ``target``.
 
@@ -83,4 +138,4 @@ def write_wifi_views(
         connections = ops.lecture_connections(readings, meta, bookings, tz=tz)
         views["lecture_connections"] = (connections, CONNECTION_TITLES)
     for name, (view, titles) in views.items():
-        write_view(view, f"{target}/{name}", single_file=single_file, columns=titles)
+        write_view(view, f"{target}/{name}", columns=titles)

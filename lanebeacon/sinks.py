@@ -4,12 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-# A view is written as one file only up to this many rows.
-SINGLE_FILE_ROWS = 1_000_000
-
 MASTER_MODES = ("replace_partitions", "append", "errorifexists", "overwrite")
 
 
@@ -22,22 +18,23 @@ def write_master(
     fmt: str = "parquet",
     header: bool = False,
     cluster_by: Sequence[str] = (),
-    rebalance: bool = False,
+    rebalance: bool = True,
     options: dict[str, str] | None = None,
 ) -> None:
-    """Writes a master table in as many files as there are tasks.
+    """Writes a master table in parallel.
 
     ``replace_partitions`` replaces exactly the partitions ``df`` holds, so loading the
-    same day again changes nothing. ``cluster_by`` sorts inside each task, which lets
-    parquet skip row groups on those columns. ``rebalance`` pays one shuffle for files
-    of an even size: partitions too small are merged, a hot one is split over tasks.
+    same rows again changes nothing. ``cluster_by`` sorts inside each task, which lets
+    parquet skip row groups on those columns. ``rebalance`` pays one shuffle of a partitioned
+    table for files of an even size, since otherwise every task would write a file for every
+    partition it meets: small partitions are written by one task, a hot one is split over several.
     ``options`` go to the file format, such as ``parquet.bloom.filter.enabled#did``.
     """
     if mode not in MASTER_MODES:
         raise ValueError(f"mode must be one of {MASTER_MODES}, not {mode!r}")
     if mode == "replace_partitions" and not partition_by:
         raise ValueError("replace_partitions needs partition_by")
-    if rebalance:
+    if rebalance and partition_by:
         df = df.hint("rebalance", *partition_by)
     if cluster_by:
         df = df.sortWithinPartitions(*partition_by, *cluster_by)
@@ -59,32 +56,17 @@ def write_view(
     mode: str = "overwrite",
     fmt: str = "csv",
     header: bool = True,
-    single_file: bool = False,
     order_by: Sequence = (),
     columns: dict[str, str] | None = None,
 ) -> None:
-    """Writes a computed view, by default as CSV with a header.
+    """Writes a computed view, by default as CSV with a header, in as many files as there are tasks.
 
-    ``single_file`` asks for one file; a view beyond ``SINGLE_FILE_ROWS`` is written in
-    parallel all the same. The view is computed once, kept, counted and then written.
-    ``order_by`` sorts that one file, since gathering rows does not keep their order.
-    ``columns`` renames columns for the reader of the file.
+    ``order_by`` sorts the whole view over its files, in order of their names. ``columns``
+    renames columns for the reader of the files.
     """
     if columns:
         df = df.withColumnsRenamed(columns)
-    if not single_file:
-        _save(df.orderBy(*order_by) if order_by else df, path, mode, fmt, header)
-        return
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if kept.count() <= SINGLE_FILE_ROWS:
-            view = kept.repartition(1)
-            view = view.sortWithinPartitions(*order_by) if order_by else view
-        else:
-            view = kept.orderBy(*order_by) if order_by else kept
-        _save(view, path, mode, fmt, header)
-    finally:
-        kept.unpersist()
+    _save(df.orderBy(*order_by) if order_by else df, path, mode, fmt, header)
 
 
 def _save(df: DataFrame, path: str, mode: str, fmt: str, header: bool) -> None:

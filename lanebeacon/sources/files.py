@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 INGEST_DATE = "ingest_date"
 SOURCE_FILE = "source_file"
+FILE_KEY = "file_key"
+# The text of a line that does not parse; NULL for all others.
+CORRUPT = "_corrupt_record"
 
 # The two shapes of the date in daily file names, rooms-2017-10-08.json and 8-10-2017.json.
 YEAR_FIRST = r"(?<!\d)\d{4}-\d{1,2}-\d{1,2}(?=\.)"
@@ -21,6 +24,31 @@ def file_day(path: Column) -> Column:
     return F.coalesce(F.regexp_extract(name, YEAR_FIRST, 0).try_cast("date"), turned.try_cast("date"))
 
 
+def file_key(path: Column) -> Column:
+    """A file's own partition within its day: its name and a hash of its whole path."""
+    return F.concat(F.substring_index(path, "/", -1), F.lit("-"), F.lower(F.hex(F.xxhash64(path))))
+
+
+def with_corrupt(schema: StructType) -> StructType:
+    return StructType([*schema, StructField(CORRUPT, StringType())])
+
+
+def listed_files(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """Keys of all files under ``paths``, empty ones included. Only names are read."""
+    jvm, configuration = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    names = []
+    for path in [paths] if isinstance(paths, str) else paths:
+        pattern = jvm.org.apache.hadoop.fs.Path(path)
+        store = pattern.getFileSystem(configuration)
+        for status in store.globStatus(pattern) or ():
+            inside = store.listStatus(status.getPath()) if status.isDirectory() else [status]
+            # As Spark writes them in the file columns: local files with one slash.
+            found = [file.getPath().toUri().toString() for file in inside if not file.isDirectory()]
+            names += [name.replace("file:///", "file:/", 1) for name in found]
+    keys = spark.createDataFrame([(name,) for name in names], "path string").select(file_key(F.col("path")))
+    return sorted(row[0] for row in keys.collect())
+
+
 def with_file_columns(scan: DataFrame) -> DataFrame:
     """Adds ``source_file`` (the full path) and ``ingest_date`` (from the file's name)."""
     path = F.col("_metadata.file_path")

@@ -7,14 +7,18 @@ from pyspark.sql import functions as F
 
 from lanebeacon import schemas
 from lanebeacon.operators.traces import BOTH_KINDS, PERSON_KIND, VEHICLE_KIND
-from lanebeacon.sources.files import read_master
+from lanebeacon.sources.files import read_master, with_corrupt
 
 Paths = str | list[str]
 
 
 def read_fcd_csv(spark: SparkSession, paths: Paths) -> DataFrame:
-    """The wide trace: ``;`` separated, with a header line."""
-    return spark.read.schema(schemas.FCD_RAW).csv(paths, sep=";", header=True)
+    """The wide trace: ``;`` separated, with a header line, and ``_corrupt_record``.
+
+    All columns are parsed, since a line of the wrong length is only seen as such by a parser of all of them.
+    """
+    reader = spark.read.schema(with_corrupt(schemas.FCD_RAW)).option("columnPruning", False)
+    return reader.csv(paths, sep=";", header=True)
 
 
 def read_vehicle_master(spark: SparkSession, paths: Paths, fmt: str = "parquet") -> DataFrame:

@@ -1,24 +1,22 @@
 """Loading each daily file once, remembering which were loaded in a checkpoint.
 
 Both functions read whatever arrived in ``folder`` since the last call and return
-when that is done; calling them again adds nothing. Both can be interrupted at any
-time: the checkpoint replays the unfinished batch and the sink drops what it had
-written of it.
+when that is done; calling them again adds nothing. They write the layout of the batch
+loads, one partition per file, so both may load into the same table. They can be
+interrupted at any time: the checkpoint replays the unfinished batch, which
+replaces the partitions of its own files.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from lanebeacon import schemas
-from lanebeacon.operators import flatten_readings
-from lanebeacon.plans.wifi import daily_bookings
-from lanebeacon.sinks import write_master
-from lanebeacon.sources.files import INGEST_DATE, with_file_columns
-
-BATCH_ID = "batch_id"
+from lanebeacon.plans.wifi import daily_bookings, dated, flat_readings, rejected, rejects, replace_files
+from lanebeacon.sources.files import with_corrupt, with_file_columns
 
 
 def stream_readings(
@@ -29,19 +27,9 @@ def stream_readings(
     *,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """New reading files into a parquet table partitioned by day."""
+    """New reading files into a table partitioned by day and file."""
     raw = _new_files(spark, folder, schemas.READINGS_RAW, max_files_per_trigger)
-    query = (
-        flatten_readings(raw, keep=(INGEST_DATE,))
-        .writeStream.format("parquet")
-        .partitionBy(INGEST_DATE)
-        .option("path", master)
-        .option("checkpointLocation", checkpoint or _checkpoint(master))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+    return _run(raw, flat_readings, master, checkpoint)
 
 
 def stream_bookings(
@@ -53,19 +41,25 @@ def stream_bookings(
     trim: bool = False,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """New booking files into a parquet table partitioned by day and batch.
+    """New booking files into a table partitioned by day and file.
 
     Copies are removed within each file, and a file is always part of one batch, so
-    no state is kept between batches. A replayed batch replaces its own partitions.
+    no state is kept between batches.
     """
+    raw = _new_files(spark, folder, schemas.BOOKINGS_RAW, max_files_per_trigger)
+    return _run(raw, lambda batch: daily_bookings(batch, trim), master, checkpoint)
 
+
+def _run(
+    raw: DataFrame, rows_of: Callable[[DataFrame], DataFrame], master: str, checkpoint: str | None
+) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = daily_bookings(batch, trim).withColumn(BATCH_ID, F.lit(batch_id))
-        write_master(rows, master, partition_by=[INGEST_DATE, BATCH_ID])
+        files = dated(batch)
+        replace_files(rows_of(files), master)
+        replace_files(rejected(files), rejects(master))
 
     query = (
-        _new_files(spark, folder, schemas.BOOKINGS_RAW, max_files_per_trigger)
-        .writeStream.foreachBatch(write)
+        raw.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint or _checkpoint(master))
         .trigger(availableNow=True)
         .start()
@@ -75,7 +69,7 @@ def stream_bookings(
 
 
 def _new_files(spark: SparkSession, folder: str, schema, max_files: int | None) -> DataFrame:
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(with_corrupt(schema))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return with_file_columns(reader.json(folder))

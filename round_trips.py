@@ -1,78 +1,193 @@
 """Loads run from end to end over the given tables: raw files out, master data back in.
 
-The raw files are written to the shared folder first, in the form the loaders expect,
-as plain text so that large files can be split when they are read.
+The raw files are written first, in the form the loaders expect and with the days in their
+names, as plain text so that large files can be split when they are read. Each query has a
+folder below the shared one that its next call writes anew; ``folder`` names another.
 """
 
 from __future__ import annotations
 
-from uuid import uuid4
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import bindings as tables
 from lanebeacon import operators as ops
-from lanebeacon.functions.time import local_time
 from lanebeacon.operators.traces import PERSON_KIND, VEHICLE_KIND
-from lanebeacon.plans import tables, traffic
+from lanebeacon.plans import traffic, wifi
 from lanebeacon.plans.shared import shared_folder
-from lanebeacon.plans.wifi import daily_bookings
 from lanebeacon.sinks import write_master, write_view
 from lanebeacon.sources import (
-    read_bookings_json,
-    read_readings_json,
+    read_bookings_master,
+    read_meta_master,
+    read_person_master,
     read_readings_master,
     read_traces_master,
+    read_vehicle_master,
 )
-from lanebeacon.sources.files import INGEST_DATE
-from lanebeacon.streaming import stream_readings
+from lanebeacon.sources.files import FILE_KEY, INGEST_DATE
+from lanebeacon.streaming import stream_bookings, stream_readings
+
+DAYS = 8
+
+
+def folder_of(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    """An empty folder for a query's files."""
+    path = folder or f"{shared_folder(spark)}/round_trips/{spark.sparkContext.applicationId}/{name}"
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(path)
+    top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(top, True)
+    return path
+
+
+def write_days(rows: DataFrame, day: Column, folder: str) -> list[str]:
+    """JSON Lines of rows, dealt by ``day`` into daily files, and the folders with them."""
+    number = F.pmod(day, F.lit(DAYS)).cast("int")
+    rows.withColumn("d", number).write.partitionBy("d").json(folder)
+    spark = rows.sparkSession
+    jvm = spark.sparkContext._jvm
+    paths = [f"{folder}/d={d}" for d in range(DAYS)]
+    # Spark names its files itself; they get the names of daily files.
+    for d, path in enumerate(paths):
+        top = jvm.org.apache.hadoop.fs.Path(path)
+        store = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        store.mkdirs(top)
+        names = sorted(f.getPath().getName() for f in store.listStatus(top))
+        for i, name in enumerate(names):
+            daily = jvm.org.apache.hadoop.fs.Path(path, f"rooms{i}-2017-10-{d + 1:02}.json")
+            store.rename(jvm.org.apache.hadoop.fs.Path(path, name), daily)
+    return paths
+
+
+def readings_master(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """Nested JSON in daily files, loaded twice to no effect, one day by itself."""
+    top = folder_of(spark, "readings_master", folder)
+    days = write_days(tables.readings_raw(spark, sf_dir), _day_of_raw(), f"{top}/raw")
+    for paths in (days, days[2:3]):
+        wifi.load_readings(spark, paths, f"{top}/master", cluster_by=["did"])
+    return read_readings_master(spark, f"{top}/master").drop(FILE_KEY)
+
+
+def _day_of_raw() -> Column:
+    return F.floor(F.element_at("readings", 1)["ts"] / 86400)
+
+
+def mixed_readings_master(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """Half of the days streamed, called twice to no effect, the others and one of those loaded after."""
+    top = folder_of(spark, "mixed_readings_master", folder)
+    raw = tables.readings_raw(spark, sf_dir)
+    days = write_days(raw, _day_of_raw(), f"{top}/raw")
+    for _ in range(2):
+        stream_readings(spark, f"{top}/raw/d=[0-3]", f"{top}/master", max_files_per_trigger=4)
+    wifi.load_readings(spark, days[3:], f"{top}/master")
+    return read_readings_master(spark, f"{top}/master").drop(FILE_KEY)
 
 
-def readings_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested JSON flattened into master data by day, loaded twice to no effect."""
-    raw, master = _fresh(spark, "raw"), _fresh(spark, "master")
-    tables.readings_raw(spark, sf_dir).write.json(raw)
-    flat = ops.flatten_readings(read_readings_json(spark, raw))
-    by_day = flat.withColumn(INGEST_DATE, local_time(F.col("ts")).cast("date"))
+def streamed_readings(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """Daily files through the incremental load, called twice to no effect."""
+    top = folder_of(spark, "streamed_readings", folder)
+    write_days(tables.readings_raw(spark, sf_dir), _day_of_raw(), f"{top}/raw")
     for _ in range(2):
-        write_master(by_day, master, partition_by=[INGEST_DATE], cluster_by=["did"])
-    return read_readings_master(spark, master)
+        stream_readings(spark, f"{top}/raw/*", f"{top}/master")
+    return read_readings_master(spark, f"{top}/master").drop(INGEST_DATE, FILE_KEY)
+
+
+def _day_of_booking() -> Column:
+    return F.dayofmonth(F.col("startDate").cast("date"))
+
 
+def bookings_master(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """Bookings in daily files, each standing twice in its file: copies within a file are removed.
 
-def streamed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same JSON through the incremental load, called twice to no effect."""
-    raw, master = _fresh(spark, "raw"), _fresh(spark, "master")
-    tables.readings_raw(spark, sf_dir).write.json(raw)
+    Equal bookings have equal days. They are dealt by their content, so they share a file.
+    """
+    top = folder_of(spark, "bookings_master", folder)
+    raw = tables.bookings_raw(spark, sf_dir)
+    together = raw.unionByName(raw).repartition(4, *raw.columns)
+    days = write_days(together, _day_of_booking(), f"{top}/raw")
     for _ in range(2):
-        stream_readings(spark, raw, master)
-    return read_readings_master(spark, master).drop(INGEST_DATE)
+        wifi.load_bookings(spark, days, f"{top}/master")
+    return read_bookings_master(spark, f"{top}/master").drop(FILE_KEY)
 
 
-def bookings_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bookings as JSON, one copy of each kept per file, which here is all of them."""
-    raw, master = _fresh(spark, "raw"), _fresh(spark, "master")
-    tables.bookings_raw(spark, sf_dir).distinct().write.json(raw)
-    write_master(daily_bookings(read_bookings_json(spark, raw)), master, partition_by=[INGEST_DATE])
-    return spark.read.parquet(master).drop(INGEST_DATE)
+def streamed_bookings(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """The same files, half of them streamed, the other half loaded into the same table."""
+    top = folder_of(spark, "streamed_bookings", folder)
+    raw = tables.bookings_raw(spark, sf_dir)
+    days = write_days(raw.repartition(4, *raw.columns), _day_of_booking(), f"{top}/raw")
+    stream_bookings(spark, f"{top}/raw/d=[0-3]", f"{top}/master")
+    wifi.load_bookings(spark, days[4:], f"{top}/master")
+    return read_bookings_master(spark, f"{top}/master").drop(FILE_KEY)
 
 
-def traces_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+def meta_master(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """Router locations from JSON, cleaned, as positional CSV and back."""
+    top = folder_of(spark, "meta_master", folder)
+    tables.customer_meta(spark, sf_dir).write.json(f"{top}/raw")
+    wifi.load_meta(spark, f"{top}/raw", f"{top}/master")
+    write_master(read_meta_master(spark, f"{top}/master"), f"{top}/text", mode="overwrite", fmt="csv")
+    return read_meta_master(spark, f"{top}/text", fmt="csv")
+
+
+def traces_master(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
     """The wide trace as CSV, split by one scan, and both halves read back."""
-    raw, master = _fresh(spark, "raw"), _fresh(spark, "master")
-    tables.fcd_raw(spark, sf_dir).write.csv(raw, sep=";", header=True)
-    traffic.load_traces(spark, raw, master)
-    vehicles = read_traces_master(spark, master, VEHICLE_KIND)
-    persons = read_traces_master(spark, master, PERSON_KIND)
+    top = folder_of(spark, "traces_master", folder)
+    tables.fcd_raw(spark, sf_dir).write.csv(f"{top}/raw", sep=";", header=True)
+    traffic.load_traces(spark, f"{top}/raw", f"{top}/master")
+    vehicles = read_traces_master(spark, f"{top}/master", VEHICLE_KIND)
+    persons = read_traces_master(spark, f"{top}/master", PERSON_KIND)
     return vehicles.unionByName(persons, allowMissingColumns=True)
 
 
-def edge_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Traffic per edge, written as one CSV file with a header and read again."""
-    report = _fresh(spark, "report")
+def text_masters(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """Both halves of the trace, readings and bookings as positional CSV and back: one count and sum of each."""
+    top = folder_of(spark, "text_masters", folder)
+    raw = tables.fcd_raw(spark, sf_dir)
+    kept = {
+        "vehicle": (ops.split_vehicles(raw), read_vehicle_master, F.sum("vehicle_x")),
+        "person": (ops.split_persons(raw), read_person_master, F.sum("person_x")),
+        "readings": (ops.flatten_readings(tables.readings_raw(spark, sf_dir)), read_readings_master, F.sum(F.col("rssi").cast("double"))),
+        "bookings": (ops.explode_bookings(tables.bookings_raw(spark, sf_dir)), read_bookings_master, F.sum(F.hour("start_ts")).cast("double")),
+    }
+    parts = []
+    for name, (rows, read, total) in kept.items():
+        write_master(rows, f"{top}/{name}", mode="overwrite", fmt="csv", header=name == "bookings")
+        again = read(spark, f"{top}/{name}", fmt="csv")
+        parts.append(again.agg(F.count(F.lit(1)).alias("n"), F.round(total, 2).alias("total")).select(F.lit(name).alias("master"), "n", "total"))
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+def edge_report(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """Traffic per edge, written as CSV with a header and read again."""
+    top = folder_of(spark, "edge_report", folder)
     view = ops.edge_traffic(tables.vehicle(spark, sf_dir))
-    write_view(view, report, single_file=True, order_by=[F.desc("sightings"), "edge_id"])
-    return spark.read.schema(view.schema).csv(report, header=True)
-
-
-def _fresh(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/round_trips/{uuid4().hex}/{name}"
+    write_view(view, f"{top}/report", order_by=[F.desc("sightings"), "edge_id"])
+    return spark.read.schema(view.schema).csv(f"{top}/report", header=True)
+
+
+def wifi_views(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """A run over all Wi-Fi views from hours per client, the usage report read back."""
+    top = folder_of(spark, "wifi_views", folder)
+    wifi.write_wifi_views(tables.readings(spark, sf_dir), tables.meta(spark, sf_dir), f"{top}/views")
+    back = {title: name for name, title in wifi.USAGE_TITLES.items()}
+    report = spark.read.csv(f"{top}/views/router_usage", header=True).withColumnsRenamed(back)
+    return report.withColumns({name: F.col(name).cast("bigint") for name in ("unique_clients", "accesses")})
+
+
+def signal_report(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """The signal report of the same run."""
+    top = folder_of(spark, "signal_report", folder)
+    wifi.write_wifi_views(tables.readings(spark, sf_dir), tables.meta(spark, sf_dir), f"{top}/views")
+    back = {title: name for name, title in wifi.QUALITY_TITLES.items()}
+    report = spark.read.csv(f"{top}/views/signal_quality", header=True).withColumnsRenamed(back)
+    return report.withColumns({name: F.col(name).cast("bigint") for name in ("avg_rssi", "avg_snRatio", "avg_accesses")})
+
+
+def traffic_views(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """A run over both traffic views from counts per lane, the zipper report read back."""
+    top = folder_of(spark, "traffic_views", folder)
+    traffic.write_traffic_views(tables.order_lanes(spark, sf_dir), f"{top}/views")
+    types = "vehicle_lane string, nb_cars bigint, edge_id string, lane_index string, direction int, nb_lanes bigint"
+    return spark.read.schema(types).csv(f"{top}/views/lane_zipper", header=True)

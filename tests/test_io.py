@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lanebeacon import operators as ops
-from lanebeacon import schemas, sinks, sources
+from lanebeacon import schemas, sources
 from lanebeacon.plans import traffic, wifi
 from lanebeacon.plans.shared import shared_folder
 from lanebeacon.sinks import write_master, write_view
@@ -137,7 +137,7 @@ def test_load_bookings(spark, tmp_path):
         wifi.load_bookings(spark, str(folder), master)
         assert found(sources.read_bookings_master(spark, master), "room", "lecturers") == expected
     loaded = sources.read_bookings_master(spark, master)
-    assert loaded.columns == [*schemas.BOOKINGS.names, "ingest_date"]
+    assert loaded.columns == [*schemas.BOOKINGS.names, "ingest_date", "file_key"]
     assert loaded.first().start_ts == datetime(2017, 10, 2, 10, 15)
 
 
@@ -242,21 +242,22 @@ def test_rebalanced_master_has_no_tiny_files(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "m")).count() == 4000
 
 
-def test_write_view_as_one_sorted_file(spark, tmp_path):
+def test_views_are_written_in_parallel_and_in_order(spark, tmp_path, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
     path = str(tmp_path / "view")
-    view = spark.range(100).selectExpr("id % 10 as k").groupBy("k").count()
+    view = spark.range(0, 100_000, 1, 8).selectExpr("id % 1000 as k", "id as n")
     for _ in range(2):
-        write_view(view, path, single_file=True, order_by=[F.desc("k")], columns={"count": "Total no"})
-        assert len(data_files(path)) == 1
-    lines = next(Path(path).glob("*.csv")).read_text().split()
-    assert lines[0] == "k,Total" or "".join(lines).startswith("k,Total")
-    assert [row.k for row in spark.read.csv(path, header=True, inferSchema=True).collect()] == list(range(9, -1, -1))
+        write_view(view, path, order_by=[F.desc("k"), "n"], columns={"n": "Total no"})
+    files = sorted(Path(path).glob("*.csv"))
+    assert len(files) > 1 and all(file.read_text().startswith("k,Total no") for file in files)
+    lines = [line for file in files for line in file.read_text().splitlines()[1:]]
+    rows = [tuple(map(int, line.split(","))) for line in lines]
+    assert len(rows) == 100_000 and rows == sorted(rows, key=lambda row: (-row[0], row[1]))
 
 
-def test_large_views_are_written_in_parallel(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(sinks, "SINGLE_FILE_ROWS", 10)
+def test_views_of_any_size_go_through_the_same_plan(spark, tmp_path):
     path = str(tmp_path / "view")
-    write_view(spark.range(0, 100, 1, 4), path, single_file=True)
+    write_view(spark.range(0, 100, 1, 4), path)
     assert len(data_files(path)) == 4
     write_view(spark.range(0, 100, 1, 4), path, fmt="parquet", order_by=["id"])
     assert spark.read.parquet(path).count() == 100
@@ -288,15 +289,96 @@ def test_traffic_views_as_reports(spark, tmp_path):
 
 
 class Session:
-    """The two things the choice of a shared folder looks at."""
+    """The things the choice of a shared folder looks at."""
 
-    def __init__(self, master, folder=None):
-        self.sparkContext = type("Context", (), {"master": master})
-        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: folder)})
+    def __init__(self, folder=None, set_later=None):
+        self.sparkContext = type("Context", (), {"getCheckpointDir": staticmethod(lambda: set_later)})
+        known = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": "file:/shared/warehouse/"}
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: known.get(key) or default)})
 
 
 def test_shared_folder():
-    assert shared_folder(Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
-    assert os.path.isdir(shared_folder(Session("local[8]")))
-    with pytest.raises(ValueError):
-        shared_folder(Session("yarn"))
+    assert shared_folder(Session("hdfs:///shared/")) == "hdfs:///shared"
+    assert shared_folder(Session(set_later="hdfs:///later")) == "hdfs:///later"
+    assert shared_folder(Session()) == "file:/shared/warehouse/lanebeacon-work"
+
+
+# Loads that must not lose rows
+
+
+def seen(spark, master):
+    return found(sources.read_readings_master(spark, master), "cid")
+
+
+def test_stream_and_batch_share_a_master(spark, tmp_path):
+    folder, master = tmp_path / "devices", str(tmp_path / "master")
+    json_lines(folder / "1-10-2017.json", router("r1", "a", "b"))
+    stream_readings(spark, str(folder), master)
+    other = json_lines(tmp_path / "late" / "2-10-2017.json", router("r1", "c", "d", "e"))
+    wifi.load_readings(spark, other, master)
+    assert seen(spark, master) == [("a",), ("b",), ("c",), ("d",), ("e",)]
+    json_lines(folder / "1-10-2017.json", router("r1", "z"))
+    wifi.load_readings(spark, str(folder / "1-10-2017.json"), master)
+    assert seen(spark, master) == [("c",), ("d",), ("e",), ("z",)]
+    json_lines(folder / "3-10-2017.json", router("r1", "y"))
+    stream_readings(spark, str(folder), master)
+    assert seen(spark, master) == [("c",), ("d",), ("e",), ("y",), ("z",)]
+
+
+def test_stream_and_batch_share_a_master_of_bookings(spark, tmp_path):
+    folder, master = tmp_path / "bookings", str(tmp_path / "master")
+    json_lines(folder / "rooms-2017-10-01.json", booking(room="A"))
+    stream_bookings(spark, str(folder), master)
+    wifi.load_bookings(spark, json_lines(tmp_path / "b" / "rooms-2017-10-02.json", booking(room="B")), master)
+    assert found(sources.read_bookings_master(spark, master), "room") == [("A",), ("B",)]
+
+
+def test_files_of_one_day_may_come_in_several_loads(spark, tmp_path):
+    master = str(tmp_path / "master")
+    for name, cids in (("a-1-10-2017.json", ["a"]), ("b-1-10-2017.json", ["b", "c"])):
+        wifi.load_readings(spark, json_lines(tmp_path / "devices" / name, router("r1", *cids)), master)
+    assert seen(spark, master) == [("a",), ("b",), ("c",)]
+
+
+@pytest.mark.parametrize("left", [[], [{"did": "r1", "readings": []}]])
+def test_a_file_that_became_empty_loses_its_rows(spark, tmp_path, left):
+    folder, master = tmp_path / "devices", str(tmp_path / "master")
+    json_lines(folder / "a b%c-1-10-2017.json", router("r1", "a", "b"))
+    json_lines(folder / "2-10-2017.json", router("r1", "c"))
+    wifi.load_readings(spark, str(folder), master)
+    assert seen(spark, master) == [("a",), ("b",), ("c",)]
+    json_lines(folder / "a b%c-1-10-2017.json", *left)
+    wifi.load_readings(spark, str(folder), master)
+    assert seen(spark, master) == [("c",)]
+
+
+def test_lines_that_do_not_parse_are_kept_beside_the_master(spark, tmp_path):
+    path, master = tmp_path / "devices" / "1-10-2017.json", str(tmp_path / "master")
+    json_lines(path, router("r1", "a"))
+    path.write_text(path.read_text() + '\n{"did": "r2", "readings": [{"cl\n')
+    wifi.load_readings(spark, str(path), master)
+    assert seen(spark, master) == [("a",)]
+    rejected = spark.read.parquet(f"{master}.rejected")
+    assert found(rejected, "_corrupt_record") == [('{"did": "r2", "readings": [{"cl',)]
+    assert rejected.first()["source_file"].endswith("1-10-2017.json")
+    json_lines(path, router("r1", "a"), router("r2", "b"))
+    wifi.load_readings(spark, str(path), master)
+    assert seen(spark, master) == [("a",), ("b",)] and spark.read.schema(rejected.schema).parquet(f"{master}.rejected").count() == 0
+    meta = json_lines(tmp_path / "meta.json", {"did": "r1", "location": "aud1"})
+    Path(meta).write_text(Path(meta).read_text() + "\nnonsense")
+    wifi.load_meta(spark, meta, str(tmp_path / "meta"))
+    assert sources.read_meta_master(spark, str(tmp_path / "meta")).count() == 1
+    assert found(spark.read.parquet(str(tmp_path / "meta.rejected")), "_corrupt_record") == [("nonsense",)]
+
+
+def test_trace_lines_of_another_length_are_kept_beside_the_master(spark, tmp_path):
+    (tmp_path / "trace.csv").write_text(TRACE + "2.00;v9;1;2\n")
+    traffic.load_traces(spark, str(tmp_path / "trace.csv"), str(tmp_path / "traces"))
+    assert sources.read_traces_master(spark, str(tmp_path / "traces"), "vehicle").count() == 2
+    assert found(spark.read.parquet(str(tmp_path / "traces.rejected")), "_corrupt_record") == [("2.00;v9;1;2",)]
+
+
+def test_masters_by_day_have_few_files(spark, tmp_path):
+    rows = spark.range(0, 16_000, 1, 16).selectExpr("date_add(date'2017-10-01', cast(id % 30 as int)) as day", "id")
+    write_master(rows, str(tmp_path / "m"), partition_by=["day"])
+    assert len(data_files(tmp_path / "m", ".parquet")) <= 40

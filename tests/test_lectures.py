@@ -7,6 +7,8 @@ import pytest
 from conftest import executed_plan, found
 
 from lanebeacon import operators as ops
+from lanebeacon.functions.rooms import LECTURE_ROOMS
+from lanebeacon.operators import lectures
 from lanebeacon import schemas
 from lanebeacon.schemas import STRING, WALL_TIME, columns
 
@@ -92,20 +94,20 @@ def test_equals_brute_force(sightings, table, seed, bucket_seconds):
     chance = random.Random(seed)
     rooms = ["A", "B"]
     rows = [(chance.choice(rooms), f"c{chance.randrange(12)}", at(8, 0, chance.randrange(4 * 3600))) for _ in range(400)]
-    lectures = []
+    held = []
     for number in range(60):
         start = at(8, 0, chance.randrange(4 * 3600))
         length = chance.choice([0, 1, 30, 600, 3599, 3600, 3601, 7200, chance.randrange(9000)])
-        lectures.append((f"l{number}", chance.choice(rooms), start, start + timedelta(seconds=length)))
+        held.append((f"l{number}", chance.choice(rooms), start, start + timedelta(seconds=length)))
     expected = {
         (name, cid)
-        for name, room, start, end in lectures
+        for name, room, start, end in held
         for did, cid, moment in rows
         if did == room and start <= moment <= end
     }
     meta = table(schemas.META, ("A", "A"), ("B", "B"), ("B", "B"))
     pairs = ops.lecture_attendance(
-        sightings(*rows), meta, table(BOOKED, *lectures), rules=None, bucket_seconds=bucket_seconds
+        sightings(*rows), meta, table(BOOKED, *held), rules=None, bucket_seconds=bucket_seconds
     )
     assert found(pairs) == sorted(expected, key=repr)
 
@@ -127,6 +129,39 @@ def test_one_room_and_client_with_a_third_of_all_sightings(spark, meta, table):
     assert found(ops.lecture_attendance(seen, meta, booked)) == sorted(expected, key=repr)
 
 
+def test_a_booking_without_an_end(sightings, meta, table):
+    booked = table(BOOKED, ("Open", "aud1", at(10, 0, 7), datetime(9999, 12, 31, 23, 59, 59)), ("Past", "aud1", datetime(1, 1, 1), at(9, 0, 1)))
+    rows = [("r1", "before", at(9, 0, 2)), ("r1", "past", at(9, 0, 1)), ("r1", "start", at(10, 0, 7)), ("r1", "early", at(10, 0, 6)), ("r2", "later", DAY + timedelta(days=40_000, seconds=5))]
+    for bucket_seconds in (60, 3600):
+        pairs = found(ops.lecture_attendance(sightings(*rows), meta, booked, bucket_seconds=bucket_seconds))
+        assert pairs == [("Open", "later"), ("Open", "start"), ("Past", "past")]
+        pieces = lectures._booking_pieces(booked, LECTURE_ROOMS, "UTC", bucket_seconds)
+        assert pieces.count() < 1500
+
+
+def test_a_crowded_room_is_dealt_into_shares(spark, conf):
+    conf(spark__sql__shuffle__partitions="16")
+    seen = spark.range(1000).selectExpr("'r1' as did", "concat('c', id) as cid", f"{epoch(at(10))} + id % 3000 as ts")
+    held = spark.range(600).selectExpr("concat('l', id) as name", "'A' as room", "timestamp_ntz'2017-10-02 10:00:00' as start_ts", "timestamp_ntz'2017-10-02 11:59:59' as end_ts")
+    rooms = spark.createDataFrame([("r1", "A")], "did string, location string")
+    clients = lectures._clients_per_bucket(seen.join(rooms.withColumnRenamed("location", "room"), "did"), 3600)
+    met = lectures._meet(clients, lectures._booking_pieces(held, None, "UTC", 3600))
+    sizes = sorted(met.groupBy("room", "level", "bucket", "share").count().collect(), key=lambda row: row["count"])
+    assert sum(row["count"] for row in sizes) == 600_000 and len(sizes) >= 6 and sizes[-1]["count"] < 1.6 * lectures.SHARE_PAIRS
+    assert ops.lecture_attendance(seen, rooms, held, rules=None).count() == 600_000
+
+
+def test_plans_have_no_object_aggregate_and_one_scan(spark, tmp_path, meta, table):
+    booked = table(BOOKED, ("Maths", "aud1", at(10, 5), at(10, 6)))
+    path = str(tmp_path / "readings")
+    spark.range(1000).selectExpr("'r1' as did", "concat('c', id % 9) as cid", f"{epoch(at(10))} + id as ts").write.parquet(path)
+    connections = ops.lecture_connections(spark.read.parquet(path), meta, booked)
+    assert "ObjectHashAggregate" not in executed_plan(connections)
+    connections.collect()
+    final = connections._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("FileScan parquet") == 1
+
+
 def test_long_bookings_are_never_broadcast(sightings, meta, table):
     booked = table(BOOKED, ("Exhibition", "aud1", at(0), at(24 * 365)))
     plan = executed_plan(ops.lecture_attendance(sightings(("r1", "a", at(5000))), meta, booked))
