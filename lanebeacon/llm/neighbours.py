@@ -80,7 +80,9 @@ class Block:
         """For each query the places of what it has verified, without its own vectors."""
         units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
         at = units @ self.directions
-        steps: list[tuple[np.ndarray, np.ndarray]] = [self.windows(at, 0.0)]
+        # Windows without anything in them, so that the first step counts equal projections too.
+        nothing = self.windows(at, 0.0)[0]
+        steps: list[tuple[np.ndarray, np.ndarray]] = [(nothing, nothing)]
         for q, (query_id, unit) in enumerate(zip(query_ids, units)):
             own = self.ids == query_id
             counts, verified = np.zeros(len(own), np.int64), own.copy()
