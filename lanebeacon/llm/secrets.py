@@ -180,8 +180,9 @@ def randomness(value: Column) -> Column:
             return F.when(of_alphabet > 0, F.pow(seen - mean, F.lit(2.0)) / mean).otherwise(F.lit(0.0))
         present = sum(((of_alphabet > 0).cast("int") for _, of_alphabet in parts), F.lit(0))
         class_x2 = sum((class_part(*part) for part in parts), F.lit(0.0))
-        classes = F.when(present > 1, _cube_root_z(class_x2, F.greatest(present - 1, F.lit(1)).cast("double"))).otherwise(F.lit(0.0))
-        one_sided = F.greatest(classes, F.lit(0.0))
+        class_z = _cube_root_z(class_x2, F.greatest(present - 1, F.lit(1)).cast("double"))
+        half = _two_sided(class_z) / 2
+        in_classes = F.when(class_z > 0, half).otherwise(1 - half)
         # Runs above and below the middle.
         high = F.transform(codes, lambda c: c * 2 >= size)
         n1 = count(high, lambda h: h)
@@ -205,13 +206,17 @@ def randomness(value: Column) -> Column:
         first, last = F.get(codes, F.lit(0)), F.get(codes, F.size(codes) - 1)
         covariance = products - mean * (2 * n * mean - first - last) + (n - 1) * mean * mean
         serial = F.when(variance > 1e-9, covariance / (n * F.greatest(variance, F.lit(1e-9))) * F.sqrt(n)).otherwise(F.sqrt(n))
-        ps = [_two_sided(even), F.least(F.lit(1.0), _two_sided(one_sided)), _two_sided(runs), _two_sided(serial)]
+        logs = [F.ln(_two_sided(z)) for z in (even, runs, serial)]
+        # An alphabet of one class has no test of its classes.
+        several = present > 1
+        half_statistic = -sum(logs, F.when(several, F.ln(F.greatest(in_classes, F.lit(1e-300)))).otherwise(F.lit(0.0)))
 
         def fisher(h: Column) -> Column:
-            # h is half of Fisher's statistic, which has 8 degrees of freedom.
-            return F.exp(-h) * (1 + h + h * h / 2 + h * h * h / 6)
+            # Of Fisher's statistic, which has 2 degrees of freedom for each test, h is half.
+            three = 1 + h + h * h / 2
+            return F.exp(-h) * F.when(several, three + h * h * h / 6).otherwise(three)
 
-        return _let(-sum((F.ln(p) for p in ps), F.lit(0.0)), fisher)
+        return _let(half_statistic, fisher)
 
     def coded(a: Column) -> Column:
         codes = F.transform(F.split(value, ""), lambda c: F.instr(a, c) - 1)
