@@ -21,12 +21,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from lanebeacon.llm.common import table
+from lanebeacon.llm.common import small_batches, table
 from lanebeacon.llm.merges import Merges
 
-# Characters of text that are cut into pieces at a time, and pieces that a task remembers.
+# Bytes of texts whose new pieces are merged together, characters from which a text is cut into
+# pieces bit by bit, and pieces that a task remembers.
+BLOCK_BYTES = 6 << 20
 BLOCK_CHARS = 2_000_000
-KNOWN_PIECES = 400_000
+KNOWN_PIECES = 200_000
 
 # Below U+0250 the classes of letters, numbers and blanks can be written out, and then the
 # faster of two regular expression engines can be used. U+001C to U+001F are blanks to it alone.
@@ -78,6 +80,14 @@ def merges_of(ranks: dict[bytes, int]) -> Merges:
     return Merges(pairs, np.arange(max(ranks.values()) + 1))
 
 
+class _Table(dict):
+    """Numbers keys in the order in which they are first asked for."""
+
+    def __missing__(self, key):
+        self[key] = place = len(self)
+        return place
+
+
 class Encoder:
     """Token ids of texts, as one task makes them."""
 
@@ -87,64 +97,64 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self._place: dict[str, int] = {}
+        self._place: dict[str, int] = _Table()
         self._ids = np.zeros(0, np.int32)
         self._starts = np.zeros(0, np.int64)
         self._counts = np.zeros(0, np.int64)
 
-    def _learn(self, pieces: set[str]) -> None:
-        """Adds pieces to the table. A piece that is a token is that token; the others are merged."""
-        new = sorted(pieces)
-        spelled = [piece.encode() for piece in new]
-        words = [
-            np.array([self._ranks[b]], np.int32) if b in self._ranks else self._first[np.frombuffer(b, np.uint8)]
-            for b in spelled
-        ]
-        ids, counts = self._merges.replay(words)
-        known = len(self._place)
-        self._place.update(zip(new, range(known, known + len(new))))
-        starts = np.cumsum(counts) - counts + len(self._ids)
-        self._ids = np.concatenate([self._ids, ids])
-        self._starts = np.concatenate([self._starts, starts])
-        self._counts = np.concatenate([self._counts, counts])
-
-    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces in a row, and the number of ids of each piece."""
-        if len(self._place) > KNOWN_PIECES:
-            self._forget()
-        new = set(pieces).difference(self._place)
-        if new:
-            self._learn(new)
-        places = np.fromiter(map(self._place.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+    def _places(self, pieces: list[str]) -> np.ndarray:
+        """Places of pieces in the table; new ones get the next places, and their ids later."""
+        return np.fromiter(map(self._place.__getitem__, pieces), dtype=np.int32, count=len(pieces))
+
+    def _learn(self) -> None:
+        """Ids of the new pieces. A piece that is a token is that token; the others are merged."""
+        new = [piece.encode() for piece in itertools.islice(self._place, len(self._counts), None)]
+        if not new:
+            return
+        whole = np.fromiter((self._ranks.get(piece, -1) for piece in new), dtype=np.int32, count=len(new))
+        apart = [piece for piece, rank in zip(new, whole.tolist()) if rank < 0]
+        first = self._first[np.frombuffer(b"".join(apart), np.uint8)]
+        merged, parts = self._merges.replay(first, np.fromiter(map(len, apart), dtype=np.int64, count=len(apart)))
+        counts = np.ones(len(new), np.int64)
+        counts[whole < 0] = parts
+        ids = np.empty(int(counts.sum()), np.int32)
+        single = np.repeat(whole >= 0, counts)
+        ids[single], ids[~single] = whole[whole >= 0], merged
+        self._starts = np.append(self._starts, np.cumsum(counts) - counts + len(self._ids))
+        self._counts = np.append(self._counts, counts)
+        self._ids = np.append(self._ids, ids)
+
+    def _spelled(self, places: np.ndarray) -> np.ndarray:
         counts = self._counts[places]
         ends = np.cumsum(counts)
         shift = np.repeat(self._starts[places] - (ends - counts), counts)
-        return self._ids[shift + np.arange(len(shift))], counts
-
-    def texts(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Ids of blocks of texts in a row, and the number of ids of each text."""
-        block: list[list[str]] = []
-        chars = 0
-
-        def done():
-            ids, counts = self._encode([piece for pieces in block for piece in pieces])
-            sums = np.append(0, np.cumsum(counts))
-            return ids, np.diff(sums[np.cumsum([0, *map(len, block)])])
+        return self._ids[shift + np.arange(len(shift))]
 
+    def texts(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text. All texts are cut first, then all new pieces merged together."""
+        if len(self._place) > KNOWN_PIECES:
+            self._forget()
+        found = []
         for text in texts:
-            text = text or ""
-            if block and chars + len(text) > BLOCK_CHARS:
-                yield done()
-                block, chars = [], 0
-            if len(text) > BLOCK_CHARS:
-                parts = [self._encode(part)[0] for part in self._pieces.parts(text, BLOCK_CHARS // 4)]
-                ids = np.concatenate([np.zeros(0, np.int32), *parts])
-                yield ids, np.array([len(ids)])
+            if text and len(text) > BLOCK_CHARS:
+                found.append(np.concatenate([self._places(p) for p in self._pieces.parts(text, BLOCK_CHARS // 4)]))
             else:
-                block.append(self._pieces.of(text))
-                chars += len(text)
-        if block:
-            yield done()
+                found.append(self._places(self._pieces.of(text or "")))
+        self._learn()
+        return [self._spelled(places) for places in found]
+
+
+def _grouped(batches: Iterator[pa.Array]) -> Iterator[list[pa.Array]]:
+    """Batches together up to about ``BLOCK_BYTES`` of text."""
+    group, size = [], 0
+    for batch in batches:
+        group.append(batch)
+        size += batch.nbytes
+        if size >= BLOCK_BYTES:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
 
 
 def encode_texts(docs: DataFrame, path: str, pattern: str, *, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
@@ -159,15 +169,16 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, *, text_col: str = "t
     @arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(ranks.value, pattern)
-        for batch in batches:
-            ids, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-            for start in range(0, len(batch), 256):
-                for part in encoder.texts(batch.slice(start, 256).to_pylist()):
-                    ids.append(part[0])
-                    counts.append(part[1])
-            offsets = np.append(0, np.cumsum(np.concatenate(counts))).astype(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
-
+        for group in _grouped(batches):
+            found = encoder.texts([text for batch in group for text in batch.to_pylist()])
+            done = 0
+            for batch in group:
+                ids = found[done : done + len(batch)]
+                done += len(batch)
+                offsets = np.append(0, np.cumsum([len(i) for i in ids])).astype(np.int32)
+                yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
+
+    small_batches(docs.sparkSession)
     return docs.withColumn(ids_col, encode(F.col(text_col)))
 
 
@@ -181,6 +192,7 @@ def decode_ids(docs: DataFrame, path: str, *, ids_col: str = "ids", bytes_col: s
         for batch in batches:
             yield pa.array([b"".join(map(tokens.__getitem__, ids.values.to_pylist())) if ids.is_valid else b"" for ids in batch], pa.binary())
 
+    small_batches(docs.sparkSession)
     return docs.withColumn(bytes_col, decode(F.col(ids_col)))
 
 

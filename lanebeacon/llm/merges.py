@@ -28,34 +28,35 @@ class Merges:
         ranks = np.fromiter(pairs.values(), dtype=np.int32, count=len(pairs))
         self._ranks = np.append(ranks[order], -1).astype(np.int32)
         self._token_of = token_of.astype(np.int32)
-        self._pairs = pairs
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         keys = left.astype(np.int64) * self._base + right
         places = np.searchsorted(self._keys, keys)
         return np.where(self._keys[places] == keys, self._ranks[places], -1)
 
-    def replay(self, words: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
+    def replay(self, first: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of all words in a row, and the number of tokens of each word.
 
-        A word is a sequence of its first tokens (bytes or characters), at least one.
+        ``first`` has the tokens that all words begin with (bytes or characters) in a row, and
+        ``lengths`` how many of them belong to each word, at least one.
         """
-        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        n = int(lengths.sum())
+        n = len(first)
         if not n:
-            return np.zeros(0, np.int32), lengths
+            return np.zeros(0, np.int32), np.zeros(len(lengths), np.int64)
         token = np.empty(n + 1, dtype=np.int32)
-        token[:n] = np.concatenate([np.asarray(word, dtype=np.int32) for word in words])
+        token[:n] = first
         token[n] = -1  # stands before the first and behind the last token of every word
         ends = np.cumsum(lengths)
         starts = ends - lengths
-        after = np.arange(1, n + 2)
+        after = np.arange(1, n + 2, dtype=np.int32)
         after[ends - 1] = n
         after[n] = n
-        before = np.arange(-1, n)
+        before = np.arange(-1, n, dtype=np.int32)
         before[starts] = n
-        before = np.append(before, n)
+        before = np.append(before, np.int32(n))
         alive = np.ones(n, dtype=bool)
+        merged = np.zeros(n + 1, dtype=bool)
+        merged[n] = True  # the edge of a word is never looked at
         # The rank of the pair that starts at each position, -1 where none can be merged.
         rank = np.full(n + 1, -1, dtype=np.int32)
         inner = np.flatnonzero(after[:n] < n)
@@ -82,9 +83,9 @@ class Merges:
             before[beyond] = here
             before[n] = n
             left = before[here]
-            touched = np.concatenate([here, left[left < n]])
-            if here.size > 1:
-                touched = np.unique(touched)
+            merged[here] = True
+            touched = np.concatenate([here, left[~merged[left]]])
+            merged[here] = False
             follow = after[touched]
             inside = follow < n
             fresh = np.full(touched.size, -1, dtype=np.int32)
@@ -104,7 +105,7 @@ class Merges:
             redo = np.unique(np.searchsorted(ends, np.concatenate(irregular), side="right"))
             pieces = np.split(out, np.cumsum(counts)[:-1])
             for w in redo:
-                pieces[w] = np.asarray(self.merge_one(words[w]), dtype=np.int32)
+                pieces[w] = np.asarray(self.merge_one(first[starts[w] : ends[w]]), dtype=np.int32)
                 counts[w] = len(pieces[w])
             out = np.concatenate(pieces)
         return out, counts
@@ -130,14 +131,15 @@ class Merges:
 
     def merge_one(self, word: Sequence[int]) -> list[int]:
         """The same for a single word, the leftmost pair of lowest rank first."""
-        tokens = [int(t) for t in word]
+        tokens = np.asarray(word, dtype=np.int32)
         while len(tokens) > 1:
-            ranked = [(self._pairs[pair], i) for i, pair in enumerate(zip(tokens, tokens[1:])) if pair in self._pairs]
-            if not ranked:
+            ranks = self._rank(tokens[:-1], tokens[1:])
+            known = np.flatnonzero(ranks >= 0)
+            if not known.size:
                 break
-            r, i = min(ranked)
-            tokens[i : i + 2] = [int(self._token_of[r])]
-        return tokens
+            i = int(known[np.argmin(ranks[known])])
+            tokens = np.concatenate([tokens[:i], self._token_of[ranks[i : i + 1]], tokens[i + 2 :]])
+        return tokens.tolist()
 
 
 def _leftmost(here: np.ndarray, after: np.ndarray) -> np.ndarray:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from lanebeacon.llm.bpe import BLOCK_CHARS, KNOWN_PIECES, Pieces
-from lanebeacon.llm.common import table
+from lanebeacon.llm.common import small_batches, table
 from lanebeacon.llm.merges import Merges
 
 LIMIT = 2048
@@ -72,7 +72,7 @@ class Counter:
                     spelled.append(word)
                 except (KeyError, UnicodeDecodeError):
                     continue  # part of a character, so never a piece of text
-        counts = self._merges.replay([self._tokens(word) for word in spelled])[1]
+        counts = self._replay(spelled)
         return [word for word, count in zip(words, counts.tolist()) if count == 1]
 
     @property
@@ -80,11 +80,13 @@ class Counter:
         """The words that are proven to be one token."""
         return self._whole
 
-    def _tokens(self, word: bytes) -> np.ndarray:
-        codes = np.frombuffer(word, np.uint8)
-        tokens = self._inner[codes]
-        tokens[-1] = self._last[codes[-1]]
-        return tokens
+    def _replay(self, words: list[bytes]) -> np.ndarray:
+        """Number of tokens of each word when all merges are applied."""
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        codes = np.frombuffer(b"".join(words), np.uint8)
+        tokens, ends = self._inner[codes], np.cumsum(lengths) - 1
+        tokens[ends] = self._last[codes[ends]]
+        return self._merges.replay(tokens, lengths)[1]
 
     @staticmethod
     def _form(text: str) -> str:
@@ -97,7 +99,7 @@ class Counter:
             self._known = dict.fromkeys(self._whole, 1)
         rest = sorted(set(pieces).difference(self._known))
         if rest:
-            counts = self._merges.replay([self._tokens(piece.encode()) for piece in rest])[1]
+            counts = self._replay([piece.encode() for piece in rest])
             self._known.update(zip(rest, counts.tolist()))
         return list(map(self._known.__getitem__, pieces))
 
@@ -148,6 +150,7 @@ def count_tokens(docs: DataFrame, path: str, *, text_col: str = "text", count_co
                 counts.extend(counter.texts(batch.slice(start, 1024).to_pylist()))
             yield pa.array(counts, pa.int64())
 
+    small_batches(docs.sparkSession)
     return docs.withColumn(count_col, count(F.col(text_col)))
 
 
