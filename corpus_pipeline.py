@@ -29,10 +29,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with secrets masked, and their new lengths."""
-    found = secrets.secret_spans(docs.select(*[docs[name] for name in docs.columns]))
-    masked = found.withColumn("text", secrets.masked(F.col("text"), F.col("secrets")))
-    n_chars = F.when(F.size("secrets") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
-    return masked.withColumn("n_chars", n_chars).select(*docs.columns)
+    row = docs.select(F.struct(*[docs[name] for name in docs.columns]).alias("row"), docs["text"])
+    found = secrets.secret_spans(row)
+    masked = found.select("row", F.size("secrets").alias("n"), secrets.masked(F.col("text"), F.col("secrets")).alias("masked"))
+    n_chars = F.when(F.col("n") > 0, F.length("masked").cast("bigint")).otherwise(F.col("row.n_chars"))
+    changed = {"text": F.col("masked"), "n_chars": n_chars}
+    return masked.select(*[changed.get(name, F.col(f"row.{name}")).alias(name) for name in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,19 +15,18 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import BinaryType
 
 from lanebeacon.llm.common import small_batches, table
 from lanebeacon.llm.words import BLOCK_BYTES, raw_bytes, text_blocks, word_hashes
 
 # Labelled documents that are fitted on, the first in order of a hash of the id, and pairs of them.
 MOST_LABELLED = 20_000
-PAIRS = 100_000
+PAIRS = 40_000
 RIDGE = 1e-4
 SEED = 4
 
@@ -105,6 +104,7 @@ def fit_ranking(counts: np.ndarray, good: np.ndarray, *, pairs: int = PAIRS, see
     if not len(best) or not len(worst):
         return ranking
     features = ranking.features(counts)
+    # A bounded number of pairs, so these are small dense matrices.
     chance = np.random.default_rng(seed)
     differences = features[chance.choice(best, pairs)] - features[chance.choice(worst, pairs)]
     weights = ranking.weights
@@ -146,16 +146,16 @@ def learn_quality(docs: DataFrame, labels: DataFrame, *, most: int = MOST_LABELL
     sample = usable.select("doc_id", "quality").orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(most)
     small_batches(docs.sparkSession)
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "quality", _counted("text").alias("counts"))
-    known: pd.DataFrame = rows.toPandas().sort_values("doc_id", kind="stable")
-    counts = np.array(known["counts"].tolist(), dtype=float).reshape(len(known), N_COUNTS)
-    return fit_ranking(counts, known["quality"].to_numpy() == 1)
+    known = rows.toArrow()
+    order = sorted(range(len(known)), key=lambda i, ids=known["doc_id"].to_pylist(), raw=known["counts"].to_pylist(): (ids[i], raw[i]))
+    counts = np.frombuffer(b"".join(known["counts"].to_pylist()), np.float32).reshape(len(known), N_COUNTS)[order]
+    return fit_ranking(counts, known["quality"].to_numpy()[order] == 1)
 
 
-@arrow_udf(ArrayType(DoubleType()))
+@arrow_udf(BinaryType())
 def _counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for texts in batches:
-        places = pa.array(np.arange(len(texts) + 1) * N_COUNTS, pa.int32())
-        yield pa.ListArray.from_arrays(places, pa.array(text_counts(texts).ravel()))
+        yield pa.array([row.tobytes() for row in text_counts(texts).astype(np.float32)], pa.binary())
 
 
 def score_quality(docs: DataFrame, ranking: Ranking, *, text_col: str = "text", score_col: str = "score") -> DataFrame:
