@@ -7,9 +7,8 @@ are reduced to the first and last second of each client per room and bucket, onc
 level. A piece that covers its bucket, or reaches one end of it, is settled by those; only a
 booking that lies strictly inside one of the finest buckets looks at the seconds.
 
-Pieces and clients of a room and bucket meet by an equi-join. Where a bucket has many of
-both, its clients are dealt into shares, as many as their product needs, each joined
-by itself with a copy of the pieces.
+Pieces and clients of a room and bucket meet by an equi-join. Both are dealt into shares, so
+that no task has to pair up a crowded hour alone.
 """
 
 from __future__ import annotations
@@ -20,10 +19,12 @@ from pyspark.sql import functions as F
 from lanebeacon.functions.rooms import LECTURE_ROOMS, Rules, room_name, without_blanks
 from lanebeacon.functions.time import HOUR, epoch_seconds
 
-# Levels of buckets: the widest spans thousands of years for buckets of a minute.
-WIDER, LEVELS = 32, 8
-# Pairs of a client and a booking that one share is to compare.
-SHARE_PAIRS = 100_000
+# Levels of buckets: the widest spans two thousand years for buckets of a minute.
+WIDER, LEVELS = 64, 6
+# The level of single seconds within the finest buckets.
+SECONDS = -1
+# Shares of the clients and of the bookings in each room and bucket.
+SHARES = (4, 2)
 SPOT = ["room", "level", "bucket"]
 
 
@@ -35,14 +36,17 @@ def lecture_attendance(
     *,
     tz: str = "UTC",
     bucket_seconds: int = HOUR,
+    shares: tuple[int, int] = SHARES,
 ) -> DataFrame:
     """Distinct (lecture name, client) pairs; both ends of a booking count as inside.
 
     ``rules`` reduces locations and booked rooms to the same room names, and what
     matches no rule drops out; ``rules=None`` compares the two texts as they are.
-    ``tz`` is the zone the booking times are written in.
+    ``tz`` is the zone the booking times are written in. The clients and the bookings of a
+    room and bucket are dealt into ``shares``, each pair of which is joined by itself; where single
+    rooms are crowded, more of them spread the work over more tasks.
     """
-    return _attendance(readings.select("did", "cid", "ts"), meta, bookings, rules, tz, bucket_seconds)
+    return _attendance(readings.select("did", "cid", "ts"), meta, bookings, rules, tz, bucket_seconds, shares)
 
 
 def lecture_connections(
@@ -53,6 +57,7 @@ def lecture_connections(
     *,
     tz: str = "UTC",
     bucket_seconds: int = HOUR,
+    shares: tuple[int, int] = SHARES,
 ) -> DataFrame:
     """Per lecture, the connections its attendees made anywhere and at any time.
 
@@ -63,24 +68,25 @@ def lecture_connections(
     # With these filters said here, neither branch adds one of its own, and both share one shuffle.
     whole = "did is not null and cid is not null and ts is not null"
     seen = readings.where(whole).select("did", "cid", "ts").distinct()
-    attendance = _attendance(seen, meta, bookings, rules, tz, bucket_seconds)
+    attendance = _attendance(seen, meta, bookings, rules, tz, bucket_seconds, shares)
     attendees = attendance.select("cid").distinct()
     per_client = seen.join(attendees, "cid", "left_semi").groupBy("cid").agg(F.count_distinct("ts").alias("connections"))
     return attendance.join(per_client, "cid").groupBy("name").agg(F.sum("connections").alias("connections"))
 
 
 def _attendance(
-    readings: DataFrame, meta: DataFrame, bookings: DataFrame, rules: Rules | None, tz: str, width: int
+    readings: DataFrame,
+    meta: DataFrame,
+    bookings: DataFrame,
+    rules: Rules | None,
+    tz: str,
+    width: int,
+    shares: tuple[int, int],
 ) -> DataFrame:
     seen = readings.where("ts is not null").join(_router_rooms(meta, rules), "did")
-    pieces = _booking_pieces(bookings, rules, tz, width)
-    inside = (F.col("lo") > 0) & (F.col("hi") < width - 1) & (F.col("level") == 0)
-    clients = _clients_per_bucket(seen, width)
+    met = _meet(_clients_per_bucket(seen, width), _booking_pieces(bookings, rules, tz, width), shares)
     in_time = (F.col("first") <= F.col("hi")) & (F.col("last") >= F.col("lo"))
-    settled = _meet(clients, pieces.where(~inside)).where(in_time)
-    seconds = _spots(seen, width).select(*SPOT, "cid", F.col("offset").alias("first"), F.col("offset").alias("last")).distinct()
-    looked_up = _meet(seconds, pieces.where(inside)).where(in_time)
-    return settled.select("name", "cid").unionByName(looked_up.select("name", "cid")).distinct()
+    return met.where(in_time).select("name", "cid").distinct()
 
 
 def _router_rooms(meta: DataFrame, rules: Rules | None) -> DataFrame:
@@ -89,26 +95,28 @@ def _router_rooms(meta: DataFrame, rules: Rules | None) -> DataFrame:
     return meta.select("did", room.alias("room")).where("room is not null").distinct()
 
 
-def _spots(seen: DataFrame, width: int) -> DataFrame:
-    """Sightings with their finest bucket and the second within it."""
-    bucket = _floor_div(F.col("ts"), width)
-    offset = (F.col("ts") - bucket * width).cast("int")
-    return seen.select("room", F.lit(0).alias("level"), bucket.alias("bucket"), "cid", offset.alias("offset"))
-
-
 def _clients_per_bucket(seen: DataFrame, width: int) -> DataFrame:
     """First and last second of each client per room and bucket, for the buckets of every level.
 
-    On the wider levels only being there counts, so first and last are 0.
+    On the wider levels only being there counts, so first and last are 0. On the level of
+    seconds each second is a row of its own.
     """
-    finest = (
-        _spots(seen, width).groupBy(*SPOT, "cid").agg(F.min("offset").alias("first"), F.max("offset").alias("last"))
+    # Naming a value for NULL, though ts is never NULL here, keeps the join from checking it on the raw
+    # rows of one branch only; branches that differ could not share a scan.
+    bucket = F.coalesce(_floor_div(F.col("ts"), width), F.lit(0).cast("bigint"))
+    offset = F.coalesce((F.col("ts") - bucket * width).cast("int"), F.lit(0))
+    spots = seen.select("room", bucket.alias("bucket"), "cid", offset.alias("first"))
+    seconds = spots.distinct().select("room", F.lit(SECONDS).alias("level"), "bucket", "cid", "first", F.col("first").alias("last"))
+    finest = spots.groupBy("room", "bucket", "cid").agg(F.max("first").alias("last"), F.min("first").alias("first"))
+    levels = F.array(
+        F.struct(F.lit(0).alias("level"), F.col("bucket"), F.col("first"), F.col("last")),
+        *[
+            F.struct(F.lit(level).alias("level"), F.coalesce(_floor_div(F.col("bucket"), WIDER**level), F.lit(0).cast("bigint")).alias("bucket"), F.lit(0).alias("first"), F.lit(0).alias("last"))
+            for level in range(1, LEVELS)
+        ],
     )
-    steps = F.sequence(F.lit(1), F.lit(LEVELS - 1))
-    wider = finest.select("room", F.explode(steps).alias("level"), F.col("bucket").alias("finest"), "cid")
-    scale = F.pow(F.lit(WIDER), F.col("level")).cast("bigint")
-    wider = wider.select("room", "level", _floor_div(F.col("finest"), scale).alias("bucket"), "cid").distinct()
-    return finest.unionByName(wider.withColumns({"first": F.lit(0), "last": F.lit(0)}))
+    each = finest.select("room", "cid", F.inline(levels)).select("room", "level", "bucket", "cid", "first", "last")
+    return each.distinct().unionByName(seconds)
 
 
 def _floor_div(value: Column, by: Column | int) -> Column:
@@ -137,6 +145,9 @@ def _booking_pieces(bookings: DataFrame, rules: Rules | None, tz: str, width: in
         .where("room is not null and start <= end")
         .distinct()
     )
+    # Few bytes become many pieces: adaptive execution would leave them all to one task.
+    n = int(bookings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = held.repartition(n, "name", "room")
     pieces = []
     begin, last = _floor_div(start, width), _floor_div(end, width)
     for level in range(LEVELS):
@@ -154,6 +165,8 @@ def _booking_pieces(bookings: DataFrame, rules: Rules | None, tz: str, width: in
         else:
             around = F.concat(run(a, c * WIDER), run(d * WIDER, b))
             covered = F.when(c < d, around).otherwise(run(a, b))
+        # Most bookings are shorter than the wider buckets.
+        covered = F.when(end - start >= size - 1, covered).otherwise(none)
         full = F.transform(
             covered, lambda x: F.struct(F.lit(level).alias("level"), x.alias("bucket"), F.lit(0).alias("lo"), F.lit(width - 1).alias("hi"))
         )
@@ -162,7 +175,9 @@ def _booking_pieces(bookings: DataFrame, rules: Rules | None, tz: str, width: in
     def partial(bucket: Column) -> Column:
         lo = F.greatest(start - bucket * width, F.lit(0).cast("bigint")).cast("int")
         hi = F.least(end - bucket * width, F.lit(width - 1).cast("bigint")).cast("int")
-        return F.struct(F.lit(0).alias("level"), bucket.alias("bucket"), lo.alias("lo"), hi.alias("hi"))
+        # A booking that lies strictly inside one of the finest buckets looks at the seconds.
+        level = F.when((lo > 0) & (hi < width - 1), SECONDS).otherwise(0)
+        return F.struct(level.alias("level"), bucket.alias("bucket"), lo.alias("lo"), hi.alias("hi"))
 
     ends = F.filter(
         F.array_distinct(F.array(partial(begin), partial(last))), lambda x: (x["lo"] > 0) | (x["hi"] < width - 1)
@@ -170,22 +185,20 @@ def _booking_pieces(bookings: DataFrame, rules: Rules | None, tz: str, width: in
     return held.select("name", "room", F.inline(F.concat(ends, *pieces)))
 
 
-def _meet(clients: DataFrame, pieces: DataFrame) -> DataFrame:
+def _meet(clients: DataFrame, pieces: DataFrame, shares: tuple[int, int]) -> DataFrame:
     """Clients and pieces of the same room and bucket.
 
-    Spots with many of both are dealt into shares of the clients. Neither side is
-    broadcast: Spark's estimate does not see how far bookings are cut up. The partitioning is asked for by
-    number, so adaptive execution does not merge the shares of a crowded spot again.
+    Both are dealt into shares, and every share of one meets every share of the other by itself. Neither
+    side is broadcast: Spark's estimate does not see how far bookings are cut up. The partitioning is
+    asked for by number, so adaptive execution does not merge the shares of a crowded spot again.
     """
-    crowd = clients.groupBy(*SPOT).agg(F.count(F.lit(1)).alias("clients"))
-    held = pieces.groupBy(*SPOT).agg(F.count(F.lit(1)).alias("pieces"))
-    pairs = F.col("clients") * F.col("pieces")
-    hot = crowd.join(held, SPOT).where(pairs > SHARE_PAIRS)
-    shares = F.least(F.ceil(pairs / SHARE_PAIRS), F.col("clients")).cast("int")
-    hot = hot.select(*SPOT, shares.alias("shares"))
-    one = F.coalesce("shares", F.lit(1))
-    dealt = clients.join(hot, SPOT, "left").withColumn("share", F.pmod(F.xxhash64("cid"), one).cast("int")).drop("shares")
-    copied = pieces.join(hot, SPOT, "left").withColumn("share", F.explode(F.sequence(F.lit(0), one - 1))).drop("shares")
+
+    def dealt(rows: DataFrame, key: str, own: str, copied: str, sizes: tuple[int, int]) -> DataFrame:
+        share = F.coalesce(F.pmod(F.xxhash64(key), F.lit(sizes[0])).cast("int"), F.lit(0))
+        return rows.withColumns({own: share, copied: F.explode(F.sequence(F.lit(0), F.lit(sizes[1] - 1)))})
+
     n = int(clients.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [*SPOT, "share"]
-    return copied.repartition(n, *keys).hint("merge").join(dealt.repartition(n, *keys), keys)
+    keys = [*SPOT, "client_share", "booking_share"]
+    left = dealt(pieces, "name", "booking_share", "client_share", shares[::-1]).repartition(n, *keys)
+    right = dealt(clients, "cid", "client_share", "booking_share", shares).repartition(n, *keys)
+    return left.hint("merge").join(right, keys)

@@ -1,4 +1,7 @@
-"""Schemas of raw input and master tables. Nothing is ever inferred."""
+"""Schemas of raw input and master tables. Nothing is ever inferred.
+
+The field names are fixed values: they must match the input files.
+"""
 
 from __future__ import annotations
 

@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import executed_plan, found
 
 from lanebeacon import operators as ops
@@ -142,12 +143,14 @@ def test_a_booking_without_an_end(sightings, meta, table):
 def test_a_crowded_room_is_dealt_into_shares(spark, conf):
     conf(spark__sql__shuffle__partitions="16")
     seen = spark.range(1000).selectExpr("'r1' as did", "concat('c', id) as cid", f"{epoch(at(10))} + id % 3000 as ts")
-    held = spark.range(600).selectExpr("concat('l', id) as name", "'A' as room", "timestamp_ntz'2017-10-02 10:00:00' as start_ts", "timestamp_ntz'2017-10-02 11:59:59' as end_ts")
+    held = spark.range(600).selectExpr("concat('l', id) as name", "if(id < 0, 'B', 'A') as room", "timestamp_ntz'2017-10-02 10:00:00' as start_ts", "timestamp_ntz'2017-10-02 11:59:59' as end_ts")
     rooms = spark.createDataFrame([("r1", "A")], "did string, location string")
     clients = lectures._clients_per_bucket(seen.join(rooms.withColumnRenamed("location", "room"), "did"), 3600)
-    met = lectures._meet(clients, lectures._booking_pieces(held, None, "UTC", 3600))
-    sizes = sorted(met.groupBy("room", "level", "bucket", "share").count().collect(), key=lambda row: row["count"])
-    assert sum(row["count"] for row in sizes) == 600_000 and len(sizes) >= 6 and sizes[-1]["count"] < 1.6 * lectures.SHARE_PAIRS
+    pieces = lectures._booking_pieces(held, None, "UTC", 3600)
+    met = lectures._meet(clients, pieces, (4, 3))
+    cells = met.groupBy("client_share", "booking_share", F.spark_partition_id().alias("task")).count().where("count > 0").collect()
+    assert len({(row[0], row[1]) for row in cells}) == 12 and len({row["task"] for row in cells}) >= 6
+    assert max(row["count"] for row in cells) < 2 * 600_000 / 12
     assert ops.lecture_attendance(seen, rooms, held, rules=None).count() == 600_000
 
 
