@@ -24,7 +24,7 @@ WIDER, LEVELS = 64, 6
 # The level of single seconds within the finest buckets.
 SECONDS = -1
 # Shares of the clients and of the bookings in each room and bucket.
-SHARES = (4, 2)
+SHARES = (2, 2)
 SPOT = ["room", "level", "bucket"]
 
 
