@@ -10,7 +10,9 @@ Words and names fail the tests, so their p-values lie near 0, while those of ran
 are spread evenly. That tells how many of the candidates above a level are random: twice the
 number above one half, in proportion. The level from which at most ``FALSE_SHARE`` of the
 claims would be false is found for each band of lengths by itself, as short strings are
-harder to tell. It is found from counts over all texts in hundredths of p, a bounded number.
+harder to tell. A string counts once however many texts hold it, as copies of one string say
+nothing about others. A band with few random strings is pooled with the bands next to it. The
+level is found from counts over all texts in hundredths of p, a bounded number.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ FALSE_SHARE = 0.05
 LEAST_P = 0.01
 # Lengths from 20, 28, 40, 56 and 80 characters on are judged apart.
 BANDS = (20, 28, 40, 56, 80)
+# A band with fewer different strings above one half takes in the bands next to it.
+ENOUGH = 50
 
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # The alphabets of encodings, the smallest first: (pattern of all its strings, characters in order).
@@ -117,7 +121,7 @@ def _kind(name: str, found: Column) -> Column:
 
 
 _NO_SPANS = "cast(array() as array<struct<start: int, kind: int, end: int>>)"
-_NO_CANDIDATES = "cast(array() as array<struct<start: int, end: int, band: int, p: double>>)"
+_NO_CANDIDATES = "cast(array() as array<struct<start: int, end: int, band: int, key: bigint, p: double>>)"
 
 
 def base_spans(text: Column) -> Column:
@@ -226,7 +230,7 @@ def randomness(value: Column) -> Column:
 
 
 def candidates(text: Column, base: Column) -> Column:
-    """``start, end, band, p`` of candidate strings that hold a digit and touch no known shape."""
+    """``start, end, band, key, p`` of candidate strings that hold a digit and touch no known shape."""
     found = F.struct(matches(text, CANDIDATE).alias("runs"), base.alias("base"))
     long_runs = _let(
         found,
@@ -241,7 +245,7 @@ def candidates(text: Column, base: Column) -> Column:
     def judged(m: Column) -> Column:
         n = m["end"] - m["start"]
         band = sum(((n >= least).cast("int") for least in BANDS[1:]), F.lit(0))
-        return F.struct(m["start"], m["end"], band.alias("band"), randomness(m["value"]).alias("p"))
+        return F.struct(m["start"], m["end"], band.alias("band"), F.xxhash64(m["value"]).alias("key"), randomness(m["value"]).alias("p"))
 
     return F.transform(long_runs, judged)
 
@@ -255,25 +259,37 @@ def _scanned(docs: DataFrame, text_col: str) -> DataFrame:
 def claim_levels(docs: DataFrame, *, text_col: str = "text") -> list[float]:
     """The p from which candidates are claimed, one for each band of lengths.
 
-    Every text is scanned; 100 counts per band come back. A band without candidates above
-    one half makes no claims (level 2).
+    Every text is scanned and every different string counted once, by its hash; 100 counts per
+    band come back. A band takes in its neighbours, the nearest first, until there are ``ENOUGH``
+    strings above one half. If no band has any, nothing tells random strings from others and no
+    claims are made (level 2).
     """
     each = _scanned(docs.select(text_col), text_col).select(F.inline("_candidates"))
-    cells = each.groupBy("band", F.least(F.floor(F.col("p") * 100), F.lit(99)).cast("int").alias("cell")).count().collect()
-    levels = []
-    for band in range(len(BANDS)):
-        counts = [0] * 100
-        for row in cells:
-            if row["band"] == band:
-                counts[row["cell"]] = row["count"]
-        random_strings = 2 * sum(counts[50:])
-        level = 2.0
-        for cell in range(99, int(LEAST_P * 100) - 1, -1):
-            claimed, true = sum(counts[cell:]), random_strings * (100 - cell) / 100
-            if claimed and 1 - true / claimed <= FALSE_SHARE:
-                level = cell / 100
-        levels.append(level if random_strings else 2.0)
-    return levels
+    cell = F.least(F.floor(F.col("p") * 100), F.lit(99)).cast("int").alias("cell")
+    cells = each.select("band", cell, "key").distinct().groupBy("band", "cell").count().collect()
+    counts = [[0] * 100 for _ in BANDS]
+    for row in cells:
+        counts[row["band"]][row["cell"]] = row["count"]
+    return [_level(_pooled(counts, band)) for band in range(len(BANDS))]
+
+
+def _pooled(counts: list[list[int]], band: int) -> list[int]:
+    for reach in range(len(counts)):
+        pool = [sum(column) for column in zip(*counts[max(band - reach, 0) : band + reach + 1])]
+        if sum(pool[50:]) >= ENOUGH:
+            break
+    return pool
+
+
+def _level(counts: list[int]) -> float:
+    """The least p at which claims keep to ``FALSE_SHARE``, from counts in hundredths of p."""
+    random_strings = 2 * sum(counts[50:])
+    level = 2.0
+    for cell in range(99, int(LEAST_P * 100) - 1, -1):
+        claimed, true = sum(counts[cell:]), random_strings * (100 - cell) / 100
+        if claimed and 1 - true / claimed <= FALSE_SHARE:
+            level = cell / 100
+    return level if random_strings else 2.0
 
 
 def secret_spans(docs: DataFrame, *, text_col: str = "text", levels: list[float] | None = None) -> DataFrame:

@@ -365,6 +365,38 @@ def test_p_values_of_random_strings_are_spread_evenly(spark):
     assert abs(ps[len(ps) // 2] - 0.5) < 0.15 and ps[int(0.05 * len(ps))] > 0.003
 
 
+def random_keys(seed, n, length, letters="ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"):
+    chance = random.Random(seed)
+    return ["".join(chance.choice(letters) for _ in range(length)) for _ in range(n)]
+
+
+def claims(spark, strings):
+    table = spark.createDataFrame([(i, f"see {s} here") for i, s in enumerate(strings)], "doc_id bigint, text string").repartition(8)
+    return {r["doc_id"] for r in secrets.secret_spans(table).where(F.exists("secrets", lambda s: s["kind"] == 3)).collect()}
+
+
+@pytest.mark.parametrize("p", [0.33, 0.47, 0.9])
+def test_copies_of_a_string_do_not_set_the_level(spark, p):
+    keys = random_keys(21, 600, 44)
+    names = [f"section-{i}-of-the-report-about-those-and-other-things"[:44] for i in range(300)]
+    table = spark.createDataFrame([(s,) for s in keys], "v string").repartition(8)
+    of_key = dict(table.select("v", secrets.randomness(F.col("v"))).collect())
+    repeated = min(keys, key=lambda k: abs(of_key[k] - p))
+    claimed = claims(spark, [*keys, *names, *[repeated] * 5000])
+    assert sum(i < 600 for i in claimed) >= 560 and sum(600 <= i < 900 for i in claimed) <= 30
+    assert sum(i >= 900 for i in claimed) == 5000
+    assert claimed == {*claims(spark, [*keys, *names]), *range(900, 5900)}
+
+
+def test_bands_with_few_strings_are_decided(spark):
+    keys = random_keys(22, 400, 44)
+    few = random_keys(23, 40, 90)
+    table = spark.createDataFrame([(s,) for s in few], "v string")
+    low = min((r for r in table.select("v", secrets.randomness(F.col("v")).alias("p")).collect() if r["p"] > 0.2), key=lambda r: r["p"])
+    assert low["p"] < 0.5 and 400 in claims(spark, [*keys, low["v"]])
+    assert secrets._level([0] * 100) == 2.0 == secrets._level([9] * 50 + [0] * 50)
+
+
 def test_masking_and_odd_tables(spark, odd, nothing):
     assert secrets.secret_spans(nothing.drop("secrets")).count() == 0
     found = secrets.secret_spans(odd.drop("secrets"))
