@@ -1,13 +1,14 @@
 """URL filter: rules first, a ratio of character language models for the rest. DataFrame functions only.
 
-URLs that a rule accepts or rejects train two Markov models of order ``ORDER`` over
-characters. Each model backs off by Witten-Bell smoothing: a context lends its lower order as much
+URLs that a rule accepts or rejects train two Markov models over characters, of an order that
+grows with the logarithm of the table, ``ORDER`` at least. Each model backs off by Witten-Bell smoothing: a context lends its lower order as much
 weight as it has different continuations, so rare contexts lean on shorter ones and frequent
 ones stand alone. A URL's score is the difference of its log-likelihoods divided by its length; the
 threshold is the one that parts accepted from rejected URLs best on a fifth of them that the models have not seen.
 
-URLs are written in an alphabet of 34 characters first, so a model has at most 34**4 (1.3
-million) rows, whatever the size of the table, and may be broadcast.
+Characters are code points as they stand in the URL. The model grows with the table, so it is
+joined by a shuffle on the gram; only the grams that make up a thousandth of all or more, a
+thousand at most, are joined by broadcast, as one task would have to take each of them.
 """
 
 from __future__ import annotations
@@ -25,7 +26,12 @@ RULES = (
     ("allow", "org", "/fr/"),
 )
 ORDER = 3
-ALPHABET = "abcdefghijklmnopqrstuvwxyz0./-_~^$"
+# Contexts are one character longer for every so many times the characters.
+GROWTH = 8
+# All code points; "^" and "$" also mark the beginning and end.
+ALPHABET = range(0x110000)
+COMMON = 1000
+BLOCK = 256
 HELD_OUT = 5
 STEP = 0.005
 
@@ -64,37 +70,53 @@ def _fits(host: Column, path: Column, rule) -> Column:
     return of_host & F.startswith(path, F.lit(start))
 
 
-def _spelled(host: Column, path: Column) -> Column:
-    """A URL in the model's alphabet, with marks for its beginning and end."""
-    plain = F.regexp_replace(F.regexp_replace(ascii_lower(F.concat(host, path)), "[0-9]+", "0"), "[^a-z0./_-]", "~")
-    return F.concat(F.lit("^" * ORDER), plain, F.lit("$"))
+def _order(characters: int) -> int:
+    """Length of the longest contexts that a table of so many characters supports."""
+    order = ORDER
+    while GROWTH ** (order + 1) <= characters:
+        order += 1
+    return order
 
 
-def _grams(spelled: Column) -> Column:
-    return F.transform(
-        F.sequence(F.lit(1), F.length(spelled) - ORDER), lambda i: F.substr(spelled, i, F.lit(ORDER + 1))
+def _spelled(text: Column, order: int) -> Column:
+    """A text with marks for its beginning and end."""
+    return F.concat(F.lit("^" * order), text, F.lit("$"))
+
+
+def _grams(spelled: Column, order: int) -> Column:
+    """All stretches of ``order + 1`` characters; blocks keep long texts cheap."""
+    blocks = F.transform(
+        F.sequence(F.lit(1), F.length(spelled) - order, F.lit(BLOCK)), lambda i: F.substr(spelled, i, F.lit(BLOCK + order))
+    )
+    return F.flatten(
+        F.transform(
+            blocks,
+            lambda block: F.transform(
+                F.sequence(F.lit(1), F.length(block) - order), lambda i: F.substr(block, i, F.lit(order + 1))
+            ),
+        )
     )
 
 
-def char_model(urls: DataFrame) -> DataFrame:
+def char_model(urls: DataFrame, order: int = ORDER) -> DataFrame:
     """``gram, ratio``: log-odds of a character after its context, from ``spelled, allowed, blocked``.
 
     ``allowed`` and ``blocked`` say how often a URL is a sample of either class. Every gram
     of ``urls`` is in the model, also those of URLs that are samples of none.
     """
     counts = (
-        urls.select("allowed", "blocked", F.explode(_grams(F.col("spelled"))).alias("gram"))
+        urls.select("allowed", "blocked", F.explode(_grams(F.col("spelled"), order)).alias("gram"))
         .groupBy("gram")
         .agg(F.sum("allowed").alias("allowed"), F.sum("blocked").alias("blocked"))
     )
     counts = stored(counts, "url-grams")
     model = None
-    for order in range(ORDER + 1):
+    for length in range(order + 1):
         at_order = (
-            counts.withColumn("gram", F.right("gram", F.lit(order + 1)))
+            counts.withColumn("gram", F.right("gram", F.lit(length + 1)))
             .groupBy("gram")
             .agg(F.sum("allowed").alias("allowed"), F.sum("blocked").alias("blocked"))
-            .withColumn("context", F.left("gram", F.lit(order)))
+            .withColumn("context", F.left("gram", F.lit(length)))
         )
         # A context has at most one row for each character of the alphabet.
         same = Window.partitionBy("context")
@@ -102,7 +124,7 @@ def char_model(urls: DataFrame) -> DataFrame:
             at_order = at_order.withColumns({f"low_{c}": F.lit(1.0 / len(ALPHABET)) for c in ("allowed", "blocked")})
         else:
             lower = model.select(F.col("gram").alias("lower"), F.col("p_allowed").alias("low_allowed"), F.col("p_blocked").alias("low_blocked"))
-            at_order = at_order.withColumn("lower", F.right("gram", F.lit(order))).join(lower, "lower")
+            at_order = at_order.withColumn("lower", F.right("gram", F.lit(length))).join(lower, "lower")
         for c in ("allowed", "blocked"):
             kinds = F.sum((F.col(c) > 0).cast("int")).over(same)
             p = F.try_divide(F.col(c) + kinds * F.col(f"low_{c}"), F.sum(c).over(same) + kinds)
@@ -111,10 +133,13 @@ def char_model(urls: DataFrame) -> DataFrame:
     return stored(model.select("gram", (F.ln("p_allowed") - F.ln("p_blocked")).alias("ratio")), "url-model")
 
 
-def _scored(urls: DataFrame, model: DataFrame) -> DataFrame:
-    """``spelled, score``: mean log-odds per character of every URL."""
-    each = urls.select("spelled", F.explode(_grams(F.col("spelled"))).alias("gram"))
-    return each.join(F.broadcast(model), "gram").groupBy("spelled").agg(F.avg("ratio").alias("score"))
+def _scored(urls: DataFrame, model: DataFrame, order: int, characters: int) -> DataFrame:
+    """``url_id, score``: mean log-odds per character of every URL."""
+    each = urls.select("url_id", F.explode(_grams(F.col("spelled"), order)).alias("gram"))
+    common = stored(each.groupBy("gram").count().where(F.col("count") * COMMON >= characters).select("gram"), "url-common")
+    often = each.join(F.broadcast(model.join(F.broadcast(common), "gram")), "gram")
+    seldom = each.join(F.broadcast(common), "gram", "left_anti").join(model, "gram")
+    return often.unionByName(seldom).groupBy("url_id").agg(F.avg("ratio").alias("score"))
 
 
 def _threshold(scores: DataFrame) -> float:
@@ -131,8 +156,11 @@ def _threshold(scores: DataFrame) -> float:
     right = F.try_divide(F.coalesce(F.sum("blocked").over(below), F.lit(0)), F.sum("blocked").over(everything)) + (
         1 - F.try_divide(F.coalesce(F.sum("allowed").over(below), F.lit(0)), F.sum("allowed").over(everything))
     )
-    best = steps.withColumn("right", right).where("right is not null").orderBy(F.desc("right"), F.abs("step")).first()
-    return best["step"] * STEP if best else 0.0
+    # All thresholds above the step before part alike; the one next to 0 favours no class.
+    before = F.lag("step").over(Window.orderBy("step"))
+    level = F.least("step", F.greatest(before + 1, F.lit(0)))
+    best = steps.select(right.alias("right"), level.alias("level")).where("right is not null").orderBy(F.desc("right"), F.abs("level")).first()
+    return best["level"] * STEP if best else 0.0
 
 
 def judge_urls(pages: DataFrame, rules=RULES, *, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -148,21 +176,26 @@ def judge_urls(pages: DataFrame, rules=RULES, *, id_col: str = "page_id", url_co
     parted = pages.select(
         F.col(id_col).alias("page_id"), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path")
     )
-    parted = stored(parted.select("*", rule.alias("rule"), verdict.alias("ruled"), _spelled(host, path).alias("spelled")), "url-parts")
-    urls = parted.groupBy("spelled").agg(
+    parted = stored(parted.select("*", rule.alias("rule"), verdict.alias("ruled"), F.concat(host, path).alias("text")), "url-parts")
+    urls = parted.groupBy("text").agg(
         F.count_if(F.col("ruled") == "allow").alias("allowed"), F.count_if(F.col("ruled") == "block").alias("blocked")
     )
-    urls = stored(urls, "urls")
-    unseen = F.pmod(F.xxhash64("spelled"), F.lit(HELD_OUT)) == 0
-    seen = urls.select(
+    # The id spares the grams the text. It is written down, so it stays the same.
+    urls = stored(urls.withColumn("url_id", F.monotonically_increasing_id()), "urls")
+    # Every character and the end has a gram.
+    characters = urls.agg(F.sum(F.length("text") + 1)).first()[0] or 0
+    order = _order(characters)
+    unseen = F.pmod(F.xxhash64("text"), F.lit(HELD_OUT)) == 0
+    spelled = urls.withColumn("spelled", _spelled(F.col("text"), order))
+    seen = spelled.select(
         "spelled",
         F.when(unseen, 0).otherwise(F.col("allowed")).cast("bigint").alias("allowed"),
         F.when(unseen, 0).otherwise(F.col("blocked")).cast("bigint").alias("blocked"),
     )
-    scores = stored(_scored(urls, char_model(seen)).join(urls, "spelled"), "url-scores")
+    scores = stored(_scored(spelled, char_model(seen, order), order, characters).join(urls, "url_id"), "url-scores")
     threshold = _threshold(scores.where(unseen))
     judged = F.when(F.col("score") >= threshold, "allow").otherwise("block")
-    each = parted.join(scores.select("spelled", "score"), "spelled", "left")
+    each = parted.join(scores.select("text", "score"), "text", "left")
     return each.select("page_id", "host", "path", "rule", "score", F.coalesce("ruled", judged).alias("verdict"))
 
 

@@ -625,6 +625,28 @@ def test_model_equals_plain_smoothing(spark):
         assert math.isclose(ratio, math.log(p(grams_[0], gram) / p(grams_[1], gram)), abs_tol=1e-9)
 
 
+def test_model_sees_code_points_and_digits(spark):
+    rows = [f"http://пример{i}.org/fr/новости{i}" for i in range(60)] + [f"http://казино{i}.net/ставка{i}" for i in range(60)]
+    rows += [f"http://a.org/fr/2{i}2222" for i in range(60)] + [f"http://a.net/7{i}7777" for i in range(60)]
+    new = ["http://x.de/новости9", "http://x.de/ставкаа9", "http://x.de/222222", "http://x.de/777777"]
+    judged = urls.judge_urls(spark.createDataFrame(list(enumerate(rows + new)), "page_id bigint, url string"))
+    last = {r["page_id"]: r for r in judged.where("page_id >= 240").collect()}
+    assert len({r["score"] for r in last.values()}) == 4
+    assert [last[240 + i]["verdict"] for i in range(4)] == ["allow", "block", "allow", "block"]
+
+
+def test_contexts_grow_with_the_table():
+    assert [urls._order(n) for n in (0, 4095, 4096, 10**6, 10**12)] == [3, 3, 4, 6, 13]
+
+
+def test_grams_of_long_urls(spark):
+    some = ["", "a", "b" * 300, "".join(map(str, range(400)))]
+    table = spark.createDataFrame([(t,) for t in some], "t string").select("t", urls._grams(urls._spelled(F.col("t"), 5), 5))
+    for text, grams_ in table.collect():
+        whole = "^^^^^" + text + "$"
+        assert grams_ == [whole[i : i + 6] for i in range(len(whole) - 5)]
+
+
 # 9: fingerprints
 
 
