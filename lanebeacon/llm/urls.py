@@ -168,15 +168,18 @@ def judge_urls(pages: DataFrame, rules=RULES, *, id_col: str = "page_id", url_co
 
     ``rule`` is NULL where none fits; then the models judge, ``allow`` from the threshold on.
     NULL URLs and URLs without ``://`` have an empty host and path and are judged by the
-    models as well. Ids may be NULL or repeated. Without samples of a class its model is
+    models as well, which see the whole URL, its scheme, query and fragment too. Ids may be NULL or repeated. Without samples of a class its model is
     uniform and the threshold 0. An empty table gives no rows. Other columns are not looked at.
     """
     host, path = F.col("host"), F.col("path")
     rule, verdict = rule_of(host, path, rules)
     parted = pages.select(
-        F.col(id_col).alias("page_id"), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path")
+        F.col(id_col).alias("page_id"),
+        url_host(F.col(url_col)).alias("host"),
+        url_path(F.col(url_col)).alias("path"),
+        F.coalesce(F.col(url_col), F.lit("")).alias("text"),
     )
-    parted = stored(parted.select("*", rule.alias("rule"), verdict.alias("ruled"), F.concat(host, path).alias("text")), "url-parts")
+    parted = stored(parted.select("*", rule.alias("rule"), verdict.alias("ruled")), "url-parts")
     urls = parted.groupBy("text").agg(
         F.count_if(F.col("ruled") == "allow").alias("allowed"), F.count_if(F.col("ruled") == "block").alias("blocked")
     )

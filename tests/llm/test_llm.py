@@ -635,6 +635,16 @@ def test_model_sees_code_points_and_digits(spark):
     assert [last[240 + i]["verdict"] for i in range(4)] == ["allow", "block", "allow", "block"]
 
 
+def test_models_see_the_whole_url(spark):
+    rows = [f"http://a{i}.org/fr/x?q=story{i}" for i in range(60)] + [f"http://a{i}.net/x?q=casino{i}" for i in range(60)]
+    new = ["http://b.de/x?q=story7", "http://b.de/x?q=casino7", "story7", "casino7", "http://b.de/x", "http://b.de/x#casino"]
+    judged = urls.judge_urls(spark.createDataFrame(list(enumerate(rows + new)), "page_id bigint, url string"))
+    last = {r["page_id"] - 120: r for r in judged.where("page_id >= 120").collect()}
+    assert len({r["score"] for r in last.values()}) == 6
+    assert [last[i]["verdict"] for i in range(4)] == ["allow", "block", "allow", "block"]
+    assert (last[2]["host"], last[2]["path"]) == ("", "")
+
+
 def test_contexts_grow_with_the_table():
     assert [urls._order(n) for n in (0, 4095, 4096, 10**6, 10**12)] == [3, 3, 4, 6, 13]
 
