@@ -46,9 +46,12 @@ ENCODINGS = (
     ("^[0-9]+$", _DIGITS),
     ("^[0-9a-f]+$", _DIGITS + "abcdef"),
     ("^[0-9A-F]+$", _DIGITS + "ABCDEF"),
+    ("^[a-z]+$", _LOWER),
+    ("^[A-Z]+$", _UPPER),
     ("^[A-Z2-7]+$", _UPPER + "234567"),
     ("^[0-9a-z]+$", _DIGITS + _LOWER),
     ("^[0-9A-Z]+$", _DIGITS + _UPPER),
+    ("^[A-Za-z]+$", _UPPER + _LOWER),
     ("^[0-9A-Za-z]+$", _DIGITS + _UPPER + _LOWER),
     ("^[0-9A-Za-z+/]+$", _UPPER + _LOWER + _DIGITS + "+/"),
     ("", _UPPER + _LOWER + _DIGITS + "-_+/"),
@@ -230,21 +233,23 @@ def randomness(value: Column) -> Column:
 
 
 def candidates(text: Column, base: Column) -> Column:
-    """``start, end, band, key, p`` of candidate strings that hold a digit and touch no known shape."""
+    """``start, end, band, key, p`` of candidate strings that touch no known shape.
+
+    Strings of letters alone have bands of their own after the others, as long words look more random than names.
+    """
     found = F.struct(matches(text, CANDIDATE).alias("runs"), base.alias("base"))
     long_runs = _let(
         found,
         lambda x: F.filter(
             x["runs"],
-            lambda m: F.rlike(m["value"], F.lit("[0-9]"))
-            & F.rlike(m["value"], F.lit("[A-Za-z]"))
-            & ~F.exists(x["base"], lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])),
+            lambda m: ~F.exists(x["base"], lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])),
         ),
     )
 
     def judged(m: Column) -> Column:
         n = m["end"] - m["start"]
-        band = sum(((n >= least).cast("int") for least in BANDS[1:]), F.lit(0))
+        letters = F.when(F.rlike(m["value"], F.lit("^[A-Za-z]+$")), len(BANDS)).otherwise(0)
+        band = sum(((n >= least).cast("int") for least in BANDS[1:]), letters)
         return F.struct(m["start"], m["end"], band.alias("band"), F.xxhash64(m["value"]).alias("key"), randomness(m["value"]).alias("p"))
 
     return F.transform(long_runs, judged)
@@ -257,28 +262,30 @@ def _scanned(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def claim_levels(docs: DataFrame, *, text_col: str = "text") -> list[float]:
-    """The p from which candidates are claimed, one for each band of lengths.
+    """The p from which candidates are claimed, one for each band of lengths, then one for each of strings of letters alone.
 
     Every text is scanned and every different string counted once, by its hash; 100 counts per
     band come back. A band takes in its neighbours, the nearest first, until there are ``ENOUGH``
-    strings above one half. If no band has any, nothing tells random strings from others and no
+    strings above one half, at last those of the other kind. If no band has any, nothing tells random strings from others and no
     claims are made (level 2).
     """
     each = _scanned(docs.select(text_col), text_col).select(F.inline("_candidates"))
     cell = F.least(F.floor(F.col("p") * 100), F.lit(99)).cast("int").alias("cell")
     cells = each.select("band", cell, "key").distinct().groupBy("band", "cell").count().collect()
-    counts = [[0] * 100 for _ in BANDS]
+    counts = [[0] * 100 for _ in range(2 * len(BANDS))]
     for row in cells:
         counts[row["band"]][row["cell"]] = row["count"]
-    return [_level(_pooled(counts, band)) for band in range(len(BANDS))]
+    return [_level(_pooled(counts, band)) for band in range(len(counts))]
 
 
 def _pooled(counts: list[list[int]], band: int) -> list[int]:
-    for reach in range(len(counts)):
-        pool = [sum(column) for column in zip(*counts[max(band - reach, 0) : band + reach + 1])]
+    first = band - band % len(BANDS)
+    for reach in range(len(BANDS)):
+        near = counts[max(band - reach, first) : min(band + reach + 1, first + len(BANDS))]
+        pool = [sum(column) for column in zip(*near)]
         if sum(pool[50:]) >= ENOUGH:
-            break
-    return pool
+            return pool
+    return [sum(column) for column in zip(*counts)]
 
 
 def _level(counts: list[int]) -> float:

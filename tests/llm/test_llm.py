@@ -388,6 +388,13 @@ def test_copies_of_a_string_do_not_set_the_level(spark, p):
     assert claimed == {*claims(spark, [*keys, *names]), *range(900, 5900)}
 
 
+def test_random_strings_without_digits_are_claimed(spark):
+    keys = [k for k in random_keys(24, 6000, 24) if not re.search("[0-9]", k)] + random_keys(25, 150, 40, "abcdefghijklmnopqrstuvwxyz") + random_keys(26, 150, 32, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    names = [f"section-{'abcdefghij'[i % 10]}-of-the-report-{'about-' * (i % 4)}things" for i in range(300)]
+    claimed = claims(spark, [*keys, *names])
+    assert sum(i < len(keys) for i in claimed) >= 0.85 * len(keys) and sum(i >= len(keys) for i in claimed) <= 0.1 * len(claimed)
+
+
 def test_bands_with_few_strings_are_decided(spark):
     keys = random_keys(22, 400, 44)
     few = random_keys(23, 40, 90)
