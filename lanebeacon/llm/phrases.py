@@ -4,10 +4,10 @@ Texts become blocks of one language: words separated by one blank, pieces by a l
 sums of a polynomial give every n-gram of a block its fingerprint. The fingerprints of single words and pairs are
 cut to cells of 32 bits, dealt over buckets by the other bits, and go with a pointer to their block
 through one shuffle, which adds up how often each cell occurs. A cell that is frequent goes back to the blocks it came
-from, and only there. Each block then reads its text again: an n-gram is followed up if its words and
-pairs lie in frequent cells, occurrences with one fingerprint are compared byte by byte,
-and only what is left becomes text. The counts of those phrases are added up by the text itself, so that
-a collision can cost time but never changes a count.
+from, and only there. Each block then reads its text again: occurrences with one fingerprint are compared byte by byte,
+and only n-grams in frequent cells become text. A second round does the same for longer n-grams, in what the
+first leaves of the blocks: runs of words of which each pair of neighbours is frequent. The counts of phrases are added up
+by the text itself, so that a collision can cost time but never changes a count.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -74,6 +74,10 @@ def _parts(text: bytes) -> Iterator[bytes]:
     yield text[begin:]
 
 
+def _packed(content: np.ndarray) -> bytes:
+    return pa.compress(content.tobytes(), codec="zstd", asbytes=True)
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows ``lang, words, size, content`` of about ``BLOCK_BYTES`` of one language each."""
     waiting: dict[str, list[bytes]] = {}
@@ -84,7 +88,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         content = canonical(waiting.pop(lang))
         if len(content):
             words = int(np.count_nonzero((content == BLANK) | (content == END)))
-            yield pa.RecordBatch.from_pydict({"lang": [lang], "words": [words], "size": [len(content)], "content": [content.tobytes()]})
+            yield pa.RecordBatch.from_pydict({"lang": [lang], "words": [words], "size": [len(content)], "content": [_packed(content)]})
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -198,16 +202,16 @@ def _cells(prints: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return (prints % n).astype(np.int64), ((prints // n) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
-def _sum_cells(blocks: DataFrame, buckets: int, least: int) -> DataFrame:
-    """``block, bucket, cells``: the cells of each block's words and pairs that ``least`` occurrences or more fall in."""
+def _sum_cells(blocks: DataFrame, sizes: Sequence[int], buckets: int, least: int) -> DataFrame:
+    """``block, bucket, cells``: the cells of each block's n-grams that ``least`` occurrences or more fall in."""
     # A count at the threshold says enough.
     small = np.min_scalar_type(least)
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, lang, content in zip(*(column.to_pylist() for column in batch.columns)):
-                grams = Grams(content, lang)
-                prints = np.concatenate([grams.prints(grams.of(n), n) for n in (1, 2)])
+            for block, lang, size, content in zip(*(column.to_pylist() for column in batch.columns)):
+                grams = Grams(pa.decompress(content, size, codec="zstd", asbytes=True), lang)
+                prints = np.concatenate([grams.prints(grams.of(n), n) for n in sizes])
                 prints, counts = np.unique(prints, return_counts=True)
                 bucket, cell = _cells(prints, buckets)
                 order = np.argsort(bucket, kind="stable")
@@ -239,49 +243,63 @@ def _sum_cells(blocks: DataFrame, buckets: int, least: int) -> DataFrame:
         out = {"block": rows["block"], "bucket": rows["bucket"], "cells": pa.array(back, pa.binary())}
         return pa.table(out).filter(some)
 
-    cells = blocks.select("block", "lang", "content").mapInArrow(sent, "bucket bigint, block bigint, cells binary, counts binary")
+    cells = blocks.select("block", "lang", "size", "content").mapInArrow(sent, "bucket bigint, block bigint, cells binary, counts binary")
     return cells.groupBy("bucket").applyInArrow(summed, "block bigint, bucket bigint, cells binary")
 
 
-def _followed(blocks: DataFrame, frequent: DataFrame, buckets: int, most_words: int) -> DataFrame:
-    """``lang, n_words, phrase, occurrences`` of each block, for n-grams of words and pairs in frequent cells."""
+_COUNTED = "lang string, n_words int, phrase string, occurrences bigint, size bigint, content binary"
+_COUNTED_SCHEMA = pa.schema(
+    [("lang", pa.string()), ("n_words", pa.int32()), ("phrase", pa.string()), ("occurrences", pa.int64()), ("size", pa.int64()), ("content", pa.binary())]
+)
+
+
+def _followed(blocks: DataFrame, frequent: DataFrame, sizes: Sequence[int], buckets: int, go_on: bool) -> DataFrame:
+    """``lang, n_words, phrase, occurrences`` of the n-grams in frequent cells of each block, and ``lang, size, content`` of what is left of it.
+
+    After the round of pairs, longer n-grams can only be frequent in what is left (``_runs``), which is a block as well;
+    ``go_on`` asks for it.
+    """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, content, known in zip(*(column.to_pylist() for column in batch.columns)):
-                grams = Grams(content, lang)
+            for lang, size, content, known in zip(*(column.to_pylist() for column in batch.columns)):
+                grams = Grams(pa.decompress(content, size, codec="zstd", asbytes=True), lang)
                 keys = [(np.int64(k["bucket"]) << 32) | np.frombuffer(k["cells"], np.uint32).astype(np.int64) for k in known]
                 keys = np.sort(np.concatenate(keys))
-
-                def frequent_cell(prints: np.ndarray) -> np.ndarray:
-                    bucket, cell = _cells(prints, buckets)
-                    key = (bucket << 32) | cell.astype(np.int64)
-                    return keys[np.minimum(np.searchsorted(keys, key), len(keys) - 1)] == key
-
-                there = np.ones(len(grams.room) + 1, dtype=bool)
-                for n in range(1, most_words + 1):
+                there = None
+                for n in sizes:
                     # Both parts without the last and without the first word have to be there.
                     first = grams.of(n)
-                    first = first[there[first] & there[first + 1]] if n > 1 else first
-                    if n <= 2:
-                        first = first[frequent_cell(grams.prints(first, n))]
-                    there = np.zeros(len(there), dtype=bool)
+                    first = first if there is None else first[there[first] & there[first + 1]]
+                    bucket, cell = _cells(grams.prints(first, n), buckets)
+                    key = (bucket << 32) | cell.astype(np.int64)
+                    first = first[keys[np.minimum(np.searchsorted(keys, key), len(keys) - 1)] == key]
+                    there = np.zeros(len(grams.room) + 1, dtype=bool)
                     there[first] = True
                     if not len(first):
                         break
                     one, many = grams.counted(first, n)
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "lang": pa.array([lang] * len(one), pa.string()),
-                            "n_words": pa.array(np.full(len(one), n, np.int32)),
-                            "phrase": grams.spelled(one, n),
-                            "occurrences": pa.array(many, pa.int64()),
-                        }
-                    )
-
-    return frequent.join(blocks, "block").select("lang", "content", "known").mapInArrow(
-        counted, "lang string, n_words int, phrase string, occurrences bigint"
-    )
+                    lacking = [pa.nulls(len(one), kind) for kind in (pa.int64(), pa.binary())]
+                    counts = [pa.array([lang] * len(one), pa.string()), pa.array(np.full(len(one), n, np.int32)), grams.spelled(one, n), pa.array(many, pa.int64())]
+                    yield pa.RecordBatch.from_arrays([*counts, *lacking], schema=_COUNTED_SCHEMA)
+                rest = _runs(grams, there) if go_on else ()
+                if len(rest):
+                    row = {"lang": lang, "n_words": None, "phrase": None, "occurrences": None, "size": len(rest), "content": _packed(rest)}
+                    yield pa.RecordBatch.from_pylist([row], schema=_COUNTED_SCHEMA)
+
+    return frequent.join(blocks, "block").select("lang", "size", "content", "known").mapInArrow(counted, _COUNTED)
+
+
+def _runs(grams: Grams, pair: np.ndarray) -> np.ndarray:
+    """The words of a block in runs of three or more in which every pair is frequent; ``pair`` says which words begin one."""
+    both = np.flatnonzero(pair[:-1] & pair[1:])
+    kept = np.zeros(len(grams.room), dtype=bool)
+    for shift in range(3):
+        kept[both + shift] = True
+    words = np.flatnonzero(kept)
+    spelled = grams.content.copy()
+    spelled[grams.ends[words]] = np.where(pair[words], BLANK, END)
+    return spelled[_flat(grams.starts[words], grams.ends[words] + 1 - grams.starts[words])]
 
 
 def frequent_phrases(
@@ -298,15 +316,26 @@ def frequent_phrases(
     cut = rows.where("text is not null and text != ''").mapInArrow(_blocks, "lang string, words bigint, size bigint, content binary")
     # The number of a block is written down with it, so that it is the same whenever the block is read again.
     blocks = stored(cut.withColumn("block", F.monotonically_increasing_id()), "phrase-blocks")
-    total = blocks.agg(F.sum("size")).first()[0] or 0
-    buckets = max(shuffle_partitions(docs.sparkSession), -(-total // BUCKET_BYTES))
-    cells = _sum_cells(blocks, buckets, least).groupBy("block").agg(F.collect_list(F.struct("bucket", "cells")).alias("known"))
-    counted = _followed(blocks, cells, buckets, most_words)
+    short, long = range(1, min(2, most_words) + 1), range(3, most_words + 1)
+    found = _round(blocks, short, least, bool(long))
+    counted = found.where("n_words is not null")
+    if long:
+        found = stored(found.withColumn("block", F.monotonically_increasing_id()), "phrase-counts")
+        counted = found.where("n_words is not null").drop("block")
+        counted = counted.unionByName(_round(found.where("n_words is null"), long, least, False))
     summed = counted.groupBy("lang", "n_words", "phrase").agg(F.sum("occurrences").alias("occurrences"))
     frequent = stored(summed.where(F.col("occurrences") >= least), "phrases")
     return frequent, blocks.groupBy("lang").agg(F.sum("words").alias("n"))
 
 
+def _round(blocks: DataFrame, sizes: Sequence[int], least: int, go_on: bool) -> DataFrame:
+    """Counts of the n-grams of ``sizes`` words, and what is left of the blocks."""
+    total = blocks.agg(F.sum("size")).first()[0] or 0
+    buckets = max(shuffle_partitions(blocks.sparkSession), -(-total // BUCKET_BYTES))
+    cells = _sum_cells(blocks, sizes, buckets, least).groupBy("block").agg(F.collect_list(F.struct("bucket", "cells")).alias("known"))
+    return _followed(blocks.select("block", "lang", "size", "content"), cells, sizes, buckets, go_on)
+
+
 def _stretch(words: Column, begin: Column, length: Column) -> Column:
     return F.array_join(F.slice(words, begin, length), " ")
 

@@ -81,8 +81,9 @@ def test_blocks_do_not_change_the_words(monkeypatch):
         found = Counter()
         for block in phrases._blocks(iter([batch])):
             (row,) = block.to_pylist()
-            lines = row["content"].decode().split("\n")[:-1]
-            assert row["words"] == sum(len(line.split(" ")) for line in lines) and row["size"] == len(row["content"])
+            content = pa.decompress(row["content"], row["size"], codec="zstd", asbytes=True)
+            lines = content.decode().split("\n")[:-1]
+            assert row["words"] == sum(len(line.split(" ")) for line in lines)
             found.update((row["lang"], tuple(line.split(" "))) for line in lines)
         assert found == expected
 
@@ -102,6 +103,25 @@ def test_collisions_are_taken_apart(monkeypatch):
     assert plainly.of(5).tolist() == [0, 1]
 
 
+def test_runs_keep_every_longer_candidate():
+    chance = random.Random(5)
+    for _ in range(200):
+        lines = [[chance.choice("abc") for _ in range(chance.randrange(1, 9))] for _ in range(4)]
+        content = "".join(" ".join(line) + "\n" for line in lines).encode()
+        grams = phrases.Grams(content, "en")
+        n = 2
+        there = np.zeros(len(grams.room) + 1, dtype=bool)
+        first = grams.of(n)
+        there[first[np.array([chance.random() < 0.6 for _ in first], dtype=bool)]] = True
+        kept = phrases._runs(grams, there).tobytes().decode().split("\n")[:-1]
+        words = [w for line in lines for w in line]
+        for m in range(n + 1, 7):
+            longer = [i for i in grams.of(m) if there[i : i + m - n + 1].all()]
+            expected = Counter(" ".join(words[i : i + m]) for i in longer)
+            found = Counter(" ".join(w[i : i + m]) for w in (line.split(" ") for line in kept) for i in range(len(w) - m + 1))
+            assert found == expected
+
+
 def test_scores_beyond_64_bits(spark):
     """The product of counts passes 64 bits; Spark's whole numbers of 38 digits stay exact."""
     row = spark.sql("select cast(1000 as decimal(4,0)) * cast(9000000000000 as decimal(19,0)) as a").first()[0]
