@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lanebeacon.llm import bpe, fingerprints, jaccard, mixing, neighbours, phrases, quality, secrets, sharding, token_counts, urls
+from lanebeacon.llm import (
+    bpe,
+    chat,
+    fingerprints,
+    jaccard,
+    merkle,
+    mixing,
+    neighbours,
+    phrases,
+    quality,
+    secrets,
+    sharding,
+    token_counts,
+    urls,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,9 +35,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filter": urls.op8_url_filter,
         "op9_fingerprints": fingerprints.op9_fingerprints,
         "op10_mixing": mixing.op10_mixing,
+        "op11_chat": chat.op11_chat,
+        "op12_merkle": merkle.op12_merkle,
         "op13_collocations": phrases.op13_collocations,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op13_collocations": phrases.OP13_SQL}
+    return {"op11_chat": chat.OP11_SQL, "op12_merkle": merkle.OP12_SQL, "op13_collocations": phrases.OP13_SQL}

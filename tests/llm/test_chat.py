@@ -1,0 +1,210 @@
+"""The template compiler and conversations as training text."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import duckdb
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from lanebeacon.llm import chat
+from lanebeacon.llm.templates import FILTERS, For, Generation, Output, Template, TemplateError, Text
+
+SF_DIR = "/root/testdata/sf0.001"
+SCHEMA = "conv_id bigint, turn bigint, role string, text string"
+DIGESTS = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+
+
+@pytest.mark.parametrize(
+    "source, expected",
+    [
+        ("plain {# no #}text", "plain text"),
+        ("{{ 1 + 2 * 3 - 7 // 2 % 4 }}", "4"),
+        ("{{ -2 * (3 + 1) }}", "-8"),
+        ("{{ 'a' ~ 1 ~ true ~ none ~ nothing }}", "a1true"),
+        ("{{ 'it\\'s' }}{{ \"}} %}\" }}{{ 'a\\n' }}", "it's}} %}a\n"),
+        ("{{ m.a }}{{ m['b'] }}{{ m.c.d.e }}{{ xs[0] }}{{ xs[-1] }}{{ xs[9] }}", "1223"),
+        ("{% if m.a == 1 and not m.b %}x{% elif 'b' in 'abc' %}y{% else %}z{% endif %}", "y"),
+        ("{% if 3 not in xs %}x{% else %}{{ 'p' if xs[0] < xs[1] else 'q' }}{% endif %}", "p"),
+        ("{% for x in xs %}{{ loop.index }}{{ ':' ~ x }}{% if not loop.last %},{% endif %}{% endfor %}", "1:2,2:3"),
+        ("{% for x in none %}a{% else %}b{% endfor %}{% for x in [] %}{% else %}c{% endfor %}", "bc"),
+        ("{% set a = 1 %}{% for x in xs %}{% set a = x %}{% endfor %}{{ a }}", "1"),
+        ("a  {%- if true -%}  b  {%- endif -%}  c", "abc"),
+        ("{{ '  Ab ' | trim | upper }}{{ xs | length }}{{ q | default('d') }}{{ xs | join('-') }}", "AB2d2-3"),
+        ("{{ q is defined }}{{ m.a is not none }}{{ none is none }}", "falsetruetrue"),
+    ],
+)
+def test_templates(source, expected):
+    assert Template(source).render(m={"a": 1, "b": 2, "c": {}}, xs=[2, 3]).text() == expected
+
+
+def test_constants_are_folded():
+    template = Template("a{{ 1 + 1 }}{% if 'x' in 'xyz' %}b{{ 'c' | upper }}{% else %}{{ gone }}{% endif %}d{{ e ~ (2 * 3) }}")
+    assert template.tree[0] == Text("a2bCd") and isinstance(template.tree[1], Output) and len(template.tree) == 2
+    assert Template("{% for x in [] %}{{ x }}{% endfor %}").tree == ()
+    assert Template("{{ false and a }}{{ true or b }}").tree == (Text("falsetrue"),)
+    # What fails stays where it is and fails when it is reached.
+    assert Template("{% if x %}{{ 1 // 0 }}{% endif %}").render(x=False).text() == ""
+    with pytest.raises(TemplateError, match="zero"):
+        Template("{{ 1 // 0 }}").render()
+
+
+@pytest.mark.parametrize(
+    "source",
+    ["{{ a", "{{ }}", "{% if a %}", "{% nothing %}", "{{ a | nothing }}", "{{ 'a }}", "{{ a b }}", "{% for 1 in a %}{% endfor %}",
+     "{{ 9223372036854775808 }}", "{{ " + "(" * 100 + "1" + ")" * 100 + " }}", "{{ " + "not " * 200 + "a }}", "{% if a %}" * 60, "{{ f() }}", "{% endif %}", "{{ a.b() }}"],
+)
+def test_what_does_not_compile(source):
+    with pytest.raises(TemplateError):
+        Template(source)
+
+
+class Secret:
+    password = "p"
+
+
+def test_the_sandbox():
+    names = {"o": Secret(), "s": "text", "f": len, "d": {"k": "v"}, "l": [1]}
+    for source in ("{{ o.password }}", "{{ o['password'] }}", "{{ s.upper }}", "{{ s.__class__ }}", "{{ d.keys }}", "{{ l.append }}", "{{ d['__class__'] }}", "{{ s[0] }}"):
+        assert Template(source).render(**names).text() == ""
+    for source in ("{{ o }}", "{{ f }}", "{{ 's' * 9 }}", "{{ l }}", "{{ 4611686018427387904 * 4 * l[0] }}", "{{ s + 1 }}", "{% for c in s %}{% endfor %}", "{% for c in d %}{% endfor %}"):
+        with pytest.raises(TemplateError):
+            Template(source).render(**names)
+
+
+def test_generation_marks_code_points():
+    out = Template("ü🙂{% for t in ts %}{% generation %}{{ t }}{% endgeneration %}|{% endfor %}").render(ts=["日本", "", "x"])
+    assert out.text() == "ü🙂日本||x|" and out.spans == [(2, 4), (5, 5), (6, 7)]
+
+
+def test_which_templates_go_turn_by_turn():
+    assert chat.INSTRUCTIONS.template.by_turns("turns")
+    assert Template("a{% for t in turns %}{{ t.text }}{{ loop.index }}{{ loop.last }}{% endfor %}b").by_turns("turns")
+    for source in (
+        "{{ turns | length }}{% for t in turns %}{% endfor %}",
+        "{% for t in turns %}{{ turns[0].text }}{% endfor %}",
+        "{% for t in turns %}{{ loop.length }}{% endfor %}",
+        "{% for t in turns %}{% endfor %}{% for t in turns %}{% endfor %}",
+        "{% generation %}{% for t in turns %}{% endfor %}{% endgeneration %}",
+        "{% set a = 1 %}{% for t in turns %}{% endfor %}",
+        "no loop",
+    ):
+        assert Template(source).by_turns("turns") is None
+    assert isinstance(chat.INSTRUCTIONS.template.tree[0], For)
+    assert any(isinstance(node, Generation) for node in chat.INSTRUCTIONS.template.tree[0].body[0].no[0].yes)
+
+
+bits = st.lists(st.sampled_from([*chat.INSTRUCTIONS.controls, "\\", "[", "<", "</", "/", "S", ">", "]", " ", "INST", "é🙂", "\n"]), max_size=12).map("".join)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "system", "tool", "", "[ROLE]", "\\"]), bits), max_size=5))
+def test_escaping_is_reversible(turns):
+    escaping = chat.INSTRUCTIONS.escaping
+    for _, text in turns:
+        escaped = escaping.escape(text)
+        assert chat.unescape(escaped) == text and not escaping.controls.search(escaped)
+    out = chat.INSTRUCTIONS.template.render(turns=[{"role": r, "text": t} for r, t in turns])
+    assert list(chat.INSTRUCTIONS.turns(out.text())) == turns
+    trained = [chat.unescape(out.text()[a:b]) for a, b in out.spans]
+    assert trained == [t for r, t in turns if r == "assistant"]
+
+
+def test_reading_stops_at_what_is_no_turn():
+    with pytest.raises(ValueError, match="character 0"):
+        list(chat.INSTRUCTIONS.turns("x<s>a</s>"))
+    with pytest.raises(ValueError, match="character 8"):
+        list(chat.INSTRUCTIONS.turns("<s>a</s>["))
+
+
+def plain(rows):
+    """What the result is by its definition, but for the formatted length."""
+    found = {}
+    for conv, *turn in rows:
+        found.setdefault(conv, []).append((*turn[:1], turn[1] or "", turn[2] or ""))
+    result = {}
+    for conv, turns in found.items():
+        turns.sort(key=lambda t: (t[0] is not None, t[0] or 0, t[1]))
+        spoken = "".join(f"{role}\n{text}\n" for _, role, text in turns)
+        loss = "".join(text for _, role, text in turns if role == "assistant")
+        digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
+        chars = len(chat.INSTRUCTIONS.template.render(turns=[{"role": r, "text": t} for _, r, t in turns]).text())
+        result[conv] = (len(turns), digest(spoken), len(loss), digest(loss), chars)
+    return result
+
+
+def formatted(df, chosen=chat.INSTRUCTIONS, **options):
+    rows = [tuple(row) for row in chat.read_back(chat.format_conversations(df, chosen, **options), chosen).select(DIGESTS).collect()]
+    assert len({row[0] for row in rows}) == len(rows)
+    return {row[0]: row[1:] for row in rows}
+
+
+def made_up(n, hot=0):
+    chance = random.Random(n)
+    piece = lambda: "".join(chance.choice(["</s>", "[INST]", "ok ", "\\", "ü", "<", "\n"]) for _ in range(chance.randrange(30)))
+    rows = [(chance.randrange(n // 5), turn, chance.choice(["user", "assistant", "system", "tool"]), piece()) for turn in range(n)]
+    return rows + [(1, n + i, "assistant" if i % 2 else "user", piece()) for i in range(hot)]
+
+
+@pytest.mark.parametrize("part_bytes", [chat.PART_BYTES, 500])
+def test_conversations_equal_plain_formatting(spark, part_bytes):
+    """Small parts cut the large conversation into runs over several tasks, and the runs into parts."""
+    rows = made_up(300, 600)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    assert formatted(df, part_bytes=part_bytes) == plain(rows)
+    parts = chat.format_conversations(df, part_bytes=part_bytes).where("conv_id = 1").orderBy("part").collect()
+    assert (len(parts) > 10) == (part_bytes == 500) and sum(p["n_turns"] for p in parts) == sum(r[0] == 1 for r in rows)
+    assert all(len(p["formatted"]) < 3 * part_bytes for p in parts)
+    assert [p["part"] for p in parts] == [sum(q["n_turns"] for q in parts[:i]) for i in range(len(parts))]
+
+
+def test_templates_that_need_the_whole_conversation(spark):
+    source = "{{ turns | length }}:" + chat.INSTRUCTIONS.source
+    whole = chat.ChatFormat(source, chat.INSTRUCTIONS.controls, r"\d+:" + "|")
+    rows = made_up(60, 100)
+    got = chat.format_conversations(spark.createDataFrame(rows, SCHEMA), whole, part_bytes=100).collect()
+    expected = plain(rows)
+    assert {row["conv_id"]: len(row["formatted"]) - len(f"{row['n_turns']}:") for row in got} == {k: v[4] for k, v in expected.items()}
+    assert all(row["whole"] and row["part"] == 0 for row in got) and len(got) == len(expected)
+
+
+def test_head_and_tail_once(spark):
+    ends = chat.ChatFormat("(" + chat.INSTRUCTIONS.source.replace("{% endfor %}", "{{ '!' if loop.last else '' }}{% endfor %}") + ")", chat.INSTRUCTIONS.controls, "")
+    rows = [(1, i, "user", "x" * 50) for i in range(100)] + [(2, 0, "user", "y")]
+    parts = chat.format_conversations(spark.createDataFrame(rows, SCHEMA), ends, part_bytes=300).orderBy("conv_id", "part").collect()
+    texts = {key: "".join(p["formatted"] for p in parts if p["conv_id"] == key) for key in (1, 2)}
+    assert texts == {1: "(" + f"[INST] {'x' * 50} [/INST]" * 100 + "!)", 2: "([INST] y [/INST]!)"} and len(parts) > 10
+
+
+@pytest.mark.parametrize("part_bytes", [chat.PART_BYTES, 300])
+def test_odd_tables(spark, part_bytes):
+    clash = "run string, idx string, n string, part string, formatted string, bytes string, size int, tree int"
+    long = "long text </s> " * 20_000
+    rows = [(None, 0, "user", "a"), (None, None, None, None), (1, None, "user", None), (1, 0, None, "b"), (2, 3, "assistant", ""), (3, 0, "assistant", long),
+            (4, 1, "user", "same"), (4, 1, "user", "same"), (5, 0, "user", "")] + [(4, 1, "user", "same")] * 40
+    df = spark.createDataFrame([(*row, "r", "i", "n", "p", "f", "b", 1, 2) for row in rows], f"{SCHEMA}, {clash}").repartition(3)
+    assert formatted(df, part_bytes=part_bytes) == plain(rows)
+    assert formatted(df.where("1 = 0"), part_bytes=part_bytes) == {}
+    named = df.withColumnsRenamed({"conv_id": "c", "turn": "t", "role": "r", "text": "x"}).withColumn("c", F.col("c").cast("string"))
+    got = chat.read_back(chat.format_conversations(named, conv_col="c", turn_col="t", role_col="r", text_col="x", part_bytes=part_bytes))
+    assert {row["conv_id"] and int(row["conv_id"]): tuple(row)[1:] for row in got.collect()} == plain(rows)
+
+
+def test_query_equals_sql(spark):
+    duck = duckdb.connect()
+    duck.execute(f"create view conversations as select * from '{SF_DIR}/conversations.parquet'")
+    result = chat.op11_chat(spark, SF_DIR)
+    expected = duck.execute(chat.OP11_SQL).fetchall()
+    assert result.columns == DIGESTS == [d[0] for d in duck.description]
+    rows = {row[0]: tuple(row) for row in result.collect()}
+    assert rows == {row[0]: row for row in expected}
+    spoken = hashlib.sha256(f"user\n{chat.ADDED_TEXT}\nassistant\n{chat.ADDED_TEXT}\n".encode()).hexdigest()
+    assert rows[-1][1:5] == (2, spoken, 21, hashlib.sha256(chat.ADDED_TEXT.encode()).hexdigest())
+
+
+def test_filters_are_closed():
+    assert "escape" not in FILTERS and "escape" in chat.INSTRUCTIONS.source

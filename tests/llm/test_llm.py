@@ -99,7 +99,7 @@ def rows_of(df):
 
 
 def test_registry_and_stages():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in registry.queries()) == [*range(1, 11), 13]
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in registry.queries()) == list(range(1, 14))
     assert set(registry.queries()) | {"pipeline"} <= set(contract.queries())
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "secrets", "mixing", "encode"]
 
