@@ -29,8 +29,7 @@ except ModuleNotFoundError as missing:
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 
-# Nations standing in for auditoriums; by the substring rule NATION_12 is Aud1 as well.
-NATION_ROOMS = [("nation_1", "Aud1"), ("nation_2", "Aud2")]
+NATION_ROOMS = round_trips.NATION_ROOMS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,6 +107,7 @@ def _own_queries() -> dict[str, Query]:
         "heatmap_density": lambda s, d: ops.heatmap_density(t.points(s, d), cell=1.0),
         "heatmap_positions": lambda s, d: ops.heatmap_density(t.points(s, d)),
         "readings_master": lambda s, d: _as_text(round_trips.readings_master(s, d), "ingest_date"),
+        "partitioned_readings_master": lambda s, d: _as_text(round_trips.partitioned_readings_master(s, d), "ingest_date"),
         "mixed_readings_master": lambda s, d: _as_text(round_trips.mixed_readings_master(s, d), "ingest_date"),
         "streamed_readings": round_trips.streamed_readings,
         "bookings_master": lambda s, d: _as_text(round_trips.bookings_master(s, d), "start_ts", "end_ts", "ingest_date"),
@@ -118,6 +118,12 @@ def _own_queries() -> dict[str, Query]:
         "edge_report": round_trips.edge_report,
         "wifi_views": round_trips.wifi_views,
         "signal_report": round_trips.signal_report,
+        "occupancy_report": round_trips.occupancy_report,
+        "connections_report": round_trips.connections_report,
+        "incremental_views": round_trips.incremental_views,
+        "streamed_occupancy": round_trips.streamed_occupancy,
+        "sketched_usage": round_trips.sketched_usage,
+        "sketched_occupancy": round_trips.sketched_occupancy,
         "traffic_views": round_trips.traffic_views,
     }
 
@@ -252,8 +258,25 @@ select did, location, strftime(week, '%Y.%m.%d, %a') as from_day,
 from usage {join} meta using (did)"""
 
 
+def _occupancy(tables: str, rows: str) -> str:
+    return f"""
+            with {tables},
+            rooms as (
+              select did, case when lower(location) like '%nation\\_1%' escape '\\' then 'Aud1' else 'Aud2' end as location
+              from meta
+              where lower(location) like '%nation\\_1%' escape '\\' or lower(location) like '%nation\\_2%' escape '\\'),
+            hourly as (
+              select location, time_bucket(interval 1 hour, make_timestamp(ts * 1000000)) as h, count(distinct cid) as devices
+              from {rows} join rooms using (did) group by all)
+            select location, strftime(h, '%Y.%m.%d , %a') as day, strftime(h, '%-I:%M %p') as from_time,
+                   strftime(h + interval 1 hour, '%-I:%M %p') as to_time, devices
+            from hourly"""
+
+
 def _own_sql() -> dict[str, str]:
     day = _FCD_DAY.format
+    nested = _NESTED.replace("with ", "", 1)
+    occupancy = _occupancy(_READINGS, "readings")
     flat = f"{_NESTED} select did, cid, clientOS, rssi, snRatio, ssid, ts from flat"
     bookings = _BOOKINGS.format(room="room", lecturers="lecturers")
     vehicles = f"""
@@ -311,18 +334,13 @@ def _own_sql() -> dict[str, str]:
         "weekly_router_usage_monday": _usage(
             "time_bucket(interval 7 day, make_timestamp(ts * 1000000), timestamp '1970-01-05') + interval 1 hour"
         ),
-        "room_occupancy_hourly": f"""
-            with {_READINGS},
-            rooms as (
-              select did, case when lower(location) like '%nation\\_1%' escape '\\' then 'Aud1' else 'Aud2' end as location
-              from meta
-              where lower(location) like '%nation\\_1%' escape '\\' or lower(location) like '%nation\\_2%' escape '\\'),
-            hourly as (
-              select location, time_bucket(interval 1 hour, make_timestamp(ts * 1000000)) as h, count(distinct cid) as devices
-              from readings join rooms using (did) group by all)
-            select location, strftime(h, '%Y.%m.%d , %a') as day, strftime(h, '%-I:%M %p') as from_time,
-                   strftime(h + interval 1 hour, '%-I:%M %p') as to_time, devices
-            from hourly""",
+        "room_occupancy_hourly": occupancy,
+        "occupancy_report": occupancy,
+        "connections_report": _ROOM_ATTENDANCE + _CONNECTIONS,
+        "incremental_views": _occupancy(nested, "(select * from flat where (first_ts // 86400) % 8 <> 3)"),
+        "streamed_occupancy": _occupancy(nested, "flat"),
+        "sketched_usage": f"select did, from_day, unique_clients, accesses, true as close, accesses as counted from ({_usage(_EPOCH_WEEK)})",
+        "sketched_occupancy": f"select location, day, from_time, devices, true as close from ({occupancy})",
         "signal_quality_profile": signal,
         "signal_report": signal,
         "lecture_attendance": f"{_ATTENDANCE} select name, cid from attendance",
@@ -364,6 +382,7 @@ def _own_sql() -> dict[str, str]:
         "edge_traffic_last_underscore": "select cast(l_orderkey as varchar) as edge_id, count(*) as sightings from lineitem group by l_orderkey",
         "lane_zipper_last_underscore": _zipper("edge_id", 6),
         "readings_master": dated_flat,
+        "partitioned_readings_master": f"select * from ({dated_flat}) where ingest_date <> '2017-10-04'",
         "mixed_readings_master": dated_flat,
         "streamed_readings": flat,
         "bookings_master": dated_bookings,

@@ -8,6 +8,7 @@ from lanebeacon.operators.traces import split_persons, split_traces, split_vehic
 from lanebeacon.operators.vehicles import timestep_count, vehicles_per_lane, vehicles_per_timestep
 from lanebeacon.operators.wifi_views import (
     client_hours,
+    client_sketches,
     room_occupancy_hourly,
     signal_quality_profile,
     weekly_router_usage,
@@ -17,6 +18,7 @@ __all__ = [
     "cars_per_lane",
     "clean_locations",
     "client_hours",
+    "client_sketches",
     "device_sightings",
     "edge_traffic",
     "explode_bookings",

@@ -5,15 +5,20 @@ The join is on a room and an interval. Time is cut into buckets on a few levels,
 covers and finer ones at its ends, a few hundred pieces at most however long it is. Sightings
 are reduced to the first and last second of each client per room and bucket, once for each
 level. A piece that covers its bucket, or reaches one end of it, is settled by those; only a
-booking that lies strictly inside one of the finest buckets looks at the seconds.
+booking that lies strictly inside one of the finest buckets looks at the seconds, and only
+sightings of rooms and buckets that hold such a booking keep theirs.
 
-Pieces and clients of a room and bucket meet by an equi-join. Both are dealt into shares, so
-that no task has to pair up a crowded hour alone.
+Pieces and clients of a room and bucket meet by an equi-join. Crowded rooms and buckets are found by counting:
+those that would make more than their share of all pairs are dealt into as many shares as
+they need, so that no task has to pair up a crowded hour alone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lanebeacon.functions.rooms import LECTURE_ROOMS, Rules, room_name, without_blanks
@@ -23,9 +28,15 @@ from lanebeacon.functions.time import HOUR, epoch_seconds
 WIDER, LEVELS = 64, 6
 # The level of single seconds within the finest buckets.
 SECONDS = -1
-# Shares of the clients and of the bookings in each room and bucket.
-SHARES = (2, 2)
 SPOT = ["room", "level", "bucket"]
+# A spot is crowded if it makes more pairs than one part in so many per task; that also bounds how many there are.
+PARTS_PER_TASK = 8
+# Shares of one part: many small ones spread more evenly over the tasks than few large ones.
+SHARES_PER_PART = 4
+# Pairs that no task needs help with.
+FEW_PAIRS = 100_000
+# Bits of the filter that says which rooms and buckets hold a booking within one bucket.
+FILTER_BITS = 1 << 18
 
 
 def lecture_attendance(
@@ -36,15 +47,15 @@ def lecture_attendance(
     *,
     tz: str = "UTC",
     bucket_seconds: int = HOUR,
-    shares: tuple[int, int] = SHARES,
+    shares: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Distinct (lecture name, client) pairs; both ends of a booking count as inside.
 
     ``rules`` reduces locations and booked rooms to the same room names, and what
     matches no rule drops out; ``rules=None`` compares the two texts as they are.
-    ``tz`` is the zone the booking times are written in. The clients and the bookings of a
-    room and bucket are dealt into ``shares``, each pair of which is joined by itself; where single
-    rooms are crowded, more of them spread the work over more tasks.
+    ``tz`` is the zone the booking times are written in. Sightings and bookings are counted per room and bucket
+    when the function is called, and crowded ones are dealt into shares of clients and of bookings, each
+    pair of which is joined by itself; ``shares`` deals all of them into that many instead, without counting.
     """
     return _attendance(readings.select("did", "cid", "ts"), meta, bookings, rules, tz, bucket_seconds, shares)
 
@@ -57,7 +68,7 @@ def lecture_connections(
     *,
     tz: str = "UTC",
     bucket_seconds: int = HOUR,
-    shares: tuple[int, int] = SHARES,
+    shares: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Per lecture, the connections its attendees made anywhere and at any time.
 
@@ -67,8 +78,9 @@ def lecture_connections(
     """
     # With these filters said here, neither branch adds one of its own, and both share one shuffle.
     whole = "did is not null and cid is not null and ts is not null"
-    seen = readings.where(whole).select("did", "cid", "ts").distinct()
-    attendance = _attendance(seen, meta, bookings, rules, tz, bucket_seconds, shares)
+    raw = readings.where(whole).select("did", "cid", "ts")
+    seen = raw.distinct()
+    attendance = _attendance(seen, meta, bookings, rules, tz, bucket_seconds, shares, raw)
     attendees = attendance.select("cid").distinct()
     per_client = seen.join(attendees, "cid", "left_semi").groupBy("cid").agg(F.count_distinct("ts").alias("connections"))
     return attendance.join(per_client, "cid").groupBy("name").agg(F.sum("connections").alias("connections"))
@@ -81,10 +93,17 @@ def _attendance(
     rules: Rules | None,
     tz: str,
     width: int,
-    shares: tuple[int, int],
+    shares: tuple[int, int] | None,
+    raw: DataFrame | None = None,
 ) -> DataFrame:
-    seen = readings.where("ts is not null").join(_router_rooms(meta, rules), "did")
-    met = _meet(_clients_per_bucket(seen, width), _booking_pieces(bookings, rules, tz, width), shares)
+    """``raw`` has the sightings as they are stored, if ``readings`` are not, for the count of crowded spots."""
+    held = _held(bookings, rules, tz)
+    # Only rooms that are booked at all: a semi-join of two small tables keeps other rooms out of every step.
+    rooms = _router_rooms(meta, rules).join(held.select("room").distinct(), "room", "left_semi")
+    seen, stored = (rows.where("ts is not null").join(rooms, "did") for rows in (readings, readings if raw is None else raw))
+    pieces = _booking_pieces(bookings, rules, tz, width)
+    crowded = _crowded(stored, pieces, width) if shares is None else shares
+    met = _meet(_clients_per_bucket(seen, width, _within_one_bucket(held, width)), pieces, crowded)
     in_time = (F.col("first") <= F.col("hi")) & (F.col("last") >= F.col("lo"))
     return met.where(in_time).select("name", "cid").distinct()
 
@@ -95,18 +114,19 @@ def _router_rooms(meta: DataFrame, rules: Rules | None) -> DataFrame:
     return meta.select("did", room.alias("room")).where("room is not null").distinct()
 
 
-def _clients_per_bucket(seen: DataFrame, width: int) -> DataFrame:
+def _clients_per_bucket(seen: DataFrame, width: int, wanted: bytes | None = None) -> DataFrame:
     """First and last second of each client per room and bucket, for the buckets of every level.
 
     On the wider levels only being there counts, so first and last are 0. On the level of
-    seconds each second is a row of its own.
+    seconds each second is a row of its own, where the filter ``wanted`` lets its room and bucket pass.
     """
     # Naming a value for NULL, though ts is never NULL here, keeps the join from checking it on the raw
     # rows of one branch only; branches that differ could not share a scan.
     bucket = F.coalesce(_floor_div(F.col("ts"), width), F.lit(0).cast("bigint"))
     offset = F.coalesce((F.col("ts") - bucket * width).cast("int"), F.lit(0))
     spots = seen.select("room", bucket.alias("bucket"), "cid", offset.alias("first"))
-    seconds = spots.distinct().select("room", F.lit(SECONDS).alias("level"), "bucket", "cid", "first", F.col("first").alias("last"))
+    several = spots if wanted is None else spots.where(_passes(wanted))
+    seconds = several.distinct().select("room", F.lit(SECONDS).alias("level"), "bucket", "cid", "first", F.col("first").alias("last"))
     finest = spots.groupBy("room", "bucket", "cid").agg(F.max("first").alias("last"), F.min("first").alias("first"))
     levels = F.array(
         F.struct(F.lit(0).alias("level"), F.col("bucket"), F.col("first"), F.col("last")),
@@ -125,17 +145,14 @@ def _floor_div(value: Column, by: Column | int) -> Column:
     return F.call_function("div", value - F.pmod(value, by), by)
 
 
-def _booking_pieces(bookings: DataFrame, rules: Rules | None, tz: str, width: int) -> DataFrame:
-    """Pieces ``name, room, level, bucket, lo, hi`` of all bookings, ``lo`` to ``hi`` being the seconds covered.
+def _held(bookings: DataFrame, rules: Rules | None, tz: str) -> DataFrame:
+    """``name, room, start, end`` of the bookings, in epoch seconds.
 
-    A booking stands once per room and lecturer and may stand in several files: its
-    copies are merged. On each level stand the buckets that are covered in full but not by a
-    covered one of the level above, at the finest also those in which the booking begins and ends.
+    A booking stands once per room and lecturer and may stand in several files: its copies are merged.
     """
     booked = F.col("room")
     room = booked if rules is None else room_name(without_blanks(booked), rules)
-    start, end = F.col("start"), F.col("end")
-    held = (
+    return (
         bookings.select(
             "name",
             room.alias("room"),
@@ -145,8 +162,86 @@ def _booking_pieces(bookings: DataFrame, rules: Rules | None, tz: str, width: in
         .where("room is not null and start <= end")
         .distinct()
     )
+
+
+def _spot_bit() -> Column:
+    """Bit of a room and finest bucket in the filter."""
+    return F.pmod(F.xxhash64("room", "bucket"), F.lit(FILTER_BITS)).cast("int")
+
+
+def _within_one_bucket(held: DataFrame, width: int) -> bytes:
+    """A filter of fixed size for the rooms and buckets that a booking lies strictly inside of; others may pass too."""
+    bucket = _floor_div(F.col("start"), width)
+    inside = held.where((bucket == _floor_div(F.col("end"), width)) & (F.pmod("start", F.lit(width)) > 0) & (F.pmod("end", F.lit(width)) < width - 1))
+    bit = inside.select("room", bucket.alias("bucket")).select(_spot_bit().alias("bit"))
+    # One row per byte that has a bit, an eighth of the filter's bits at most.
+    rows = bit.groupBy(F.shiftright("bit", 3).alias("byte")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("bit") % 8)).alias("bits")).collect()
+    found = bytearray(FILTER_BITS // 8)
+    for row in rows:
+        found[row["byte"]] = row["bits"]
+    return bytes(found)
+
+
+def _passes(wanted: bytes) -> Column:
+    """Whether the filter has the bit of a row's room and bucket; a constant if it has none."""
+    if not any(wanted):
+        return F.lit(False)
+    bit = _spot_bit()
+    byte = F.ascii(F.decode(F.substring(F.lit(bytearray(wanted)), F.shiftright(bit, 3) + 1, F.lit(1)), "ISO-8859-1"))
+    return F.call_function("shiftright", byte, bit % 8).bitwiseAND(1) == 1
+
+
+@dataclass(frozen=True)
+class Crowd:
+    """A spot that is dealt into shares of its clients and of its bookings."""
+
+    room: str
+    level: int
+    bucket: int
+    clients: int
+    bookings: int
+
+
+def _crowded(seen: DataFrame, pieces: DataFrame, width: int) -> list[Crowd]:
+    """Spots with more than their part of all pairs of sightings and pieces, and the shares they are dealt into.
+
+    Sightings are merged to one count per room and bucket in each task. There are ``PARTS_PER_TASK`` parts for each task, so no
+    more than that many spots can have more than a part, and only those are brought to the driver.
+    """
+    parts = PARTS_PER_TASK * int(seen.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    finest = seen.groupBy("room", _floor_div(F.col("ts"), width).alias("bucket")).agg(F.count(F.lit(1)).alias("clients"))
+    levels = [F.struct(F.lit(0).alias("level"), F.col("bucket")), F.struct(F.lit(SECONDS).alias("level"), F.col("bucket"))]
+    levels += [F.struct(F.lit(level).alias("level"), _floor_div(F.col("bucket"), WIDER**level).alias("bucket")) for level in range(1, LEVELS)]
+    there = finest.select("room", "clients", F.inline(F.array(*levels))).groupBy(*SPOT).agg(F.sum("clients").alias("clients"))
+    booked = pieces.groupBy(*SPOT).agg(F.count(F.lit(1)).alias("bookings"))
+    pairs = F.col("clients").cast("double") * F.col("bookings")
+    total = Observation()
+    met = there.join(booked, SPOT).withColumn("pairs", pairs).observe(total, F.sum("pairs").alias("pairs"))
+    most = met.orderBy(F.desc("pairs")).limit(parts).collect()
+    if not most:
+        return []
+    part = max(total.get["pairs"] / parts, FEW_PAIRS)
+    found = []
+    for row in most:
+        if row["pairs"] <= part:
+            break
+        # Shares in proportion to both sides, so that copying a side to the other's shares costs least.
+        shares = SHARES_PER_PART * row["pairs"] / part
+        clients = min(max(1.0, math.sqrt(shares * row["clients"] / row["bookings"])), shares, row["clients"])
+        found.append(Crowd(row["room"], row["level"], row["bucket"], math.ceil(clients), math.ceil(min(shares / clients, row["bookings"]))))
+    return found
+
+
+def _booking_pieces(bookings: DataFrame, rules: Rules | None, tz: str, width: int) -> DataFrame:
+    """Pieces ``name, room, level, bucket, lo, hi`` of all bookings, ``lo`` to ``hi`` being the seconds covered.
+
+    On each level stand the buckets that are covered in full but not by a
+    covered one of the level above, at the finest also those in which the booking begins and ends.
+    """
+    held = _held(bookings, rules, tz)
+    start, end = F.col("start"), F.col("end")
     # Few bytes become many pieces: adaptive execution would leave them all to one task.
-    n = int(bookings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     held = held.repartition(n, "name", "room")
     pieces = []
     begin, last = _floor_div(start, width), _floor_div(end, width)
@@ -185,20 +280,32 @@ def _booking_pieces(bookings: DataFrame, rules: Rules | None, tz: str, width: in
     return held.select("name", "room", F.inline(F.concat(ends, *pieces)))
 
 
-def _meet(clients: DataFrame, pieces: DataFrame, shares: tuple[int, int]) -> DataFrame:
+def _meet(clients: DataFrame, pieces: DataFrame, shares: tuple[int, int] | list[Crowd]) -> DataFrame:
     """Clients and pieces of the same room and bucket.
 
-    Both are dealt into shares, and every share of one meets every share of the other by itself. Neither
-    side is broadcast: Spark's estimate does not see how far bookings are cut up. The partitioning is
-    asked for by number, so adaptive execution does not merge the shares of a crowded spot again.
+    Both are dealt into shares, all spots into the same ``shares`` or only those of a list, and every share of one meets
+    every share of the other by itself. Neither side is broadcast: Spark's estimate does not see how far bookings are cut
+    up. The partitioning is asked for by number, so adaptive execution does not merge the shares of a crowded spot again.
     """
-
-    def dealt(rows: DataFrame, key: str, own: str, copied: str, sizes: tuple[int, int]) -> DataFrame:
-        share = F.coalesce(F.pmod(F.xxhash64(key), F.lit(sizes[0])).cast("int"), F.lit(0))
-        return rows.withColumns({own: share, copied: F.explode(F.sequence(F.lit(0), F.lit(sizes[1] - 1)))})
-
     n = int(clients.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if isinstance(shares, list) and not shares:
+        return pieces.repartition(n, *SPOT).hint("merge").join(clients.repartition(n, *SPOT), SPOT)
+    if isinstance(shares, list):
+        rows = [(c.room, c.level, c.bucket, c.clients, c.bookings) for c in shares]
+        # Not more rows than ``_crowded`` brings to the driver.
+        crowded = F.broadcast(clients.sparkSession.createDataFrame(rows, "room string, level int, bucket bigint, of_clients int, of_bookings int"))
+        clients, pieces = (side.join(crowded, SPOT, "left").fillna(1, ["of_clients", "of_bookings"]) for side in (clients, pieces))
+    else:
+        of = {"of_clients": F.lit(shares[0]), "of_bookings": F.lit(shares[1])}
+        clients, pieces = clients.withColumns(of), pieces.withColumns(of)
+
+    def dealt(rows: DataFrame, key: str, own: tuple[str, str], copied: tuple[str, str]) -> DataFrame:
+        share = F.coalesce(F.pmod(F.xxhash64(key), F.col(own[1])).cast("int"), F.lit(0))
+        copies = F.explode(F.sequence(F.lit(0), F.col(copied[1]) - 1))
+        return rows.withColumns({own[0]: share, copied[0]: copies}).drop("of_clients", "of_bookings")
+
     keys = [*SPOT, "client_share", "booking_share"]
-    left = dealt(pieces, "name", "booking_share", "client_share", shares[::-1]).repartition(n, *keys)
-    right = dealt(clients, "cid", "client_share", "booking_share", shares).repartition(n, *keys)
+    of_client, of_booking = ("client_share", "of_clients"), ("booking_share", "of_bookings")
+    left = dealt(pieces, "name", of_booking, of_client).repartition(n, *keys)
+    right = dealt(clients, "cid", of_client, of_booking).repartition(n, *keys)
     return left.hint("merge").join(right, keys)

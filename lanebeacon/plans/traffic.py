@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanebeacon import operators as ops
+from lanebeacon.plans.shared import written_once
 from lanebeacon.sinks import write_master, write_view
 from lanebeacon.sources import read_fcd_csv
 from lanebeacon.sources.files import CORRUPT
@@ -15,24 +18,24 @@ from lanebeacon.sources.files import CORRUPT
 TRAFFIC_TITLES = {"sightings": "count(edge_id)"}
 
 
-def _parsed(spark: SparkSession, paths: str | list[str], master: str, mode: str) -> DataFrame:
-    """The lines that parse; the others are written to ``<master>.rejected``."""
-    raw = read_fcd_csv(spark, paths)
-    write_master(raw.where(F.col(CORRUPT).isNotNull()), f"{master.rstrip('/')}.rejected", mode=mode)
-    return raw.where(F.col(CORRUPT).isNull())
+def _load(spark: SparkSession, paths: str | list[str], rows_of: Callable, master: str, mode: str, **options) -> None:
+    """Parses the lines once; those that do not parse are written to ``<master>.rejected``."""
+    with written_once(read_fcd_csv(spark, paths), "parsed") as parsed:
+        write_master(parsed.where(F.col(CORRUPT).isNotNull()), f"{master.rstrip('/')}.rejected", mode=mode)
+        write_master(rows_of(parsed.where(F.col(CORRUPT).isNull())), master, mode=mode, **options)
 
 
 def load_traces(spark: SparkSession, paths: str | list[str], master: str, mode: str = "errorifexists") -> None:
     """Vehicle and person rows into one table partitioned by kind, from a single scan."""
-    write_master(ops.split_traces(_parsed(spark, paths, master, mode)), master, partition_by=["kind"], mode=mode)
+    _load(spark, paths, ops.split_traces, master, mode, partition_by=["kind"])
 
 
 def load_vehicles(spark: SparkSession, paths: str | list[str], master: str, mode: str = "errorifexists") -> None:
-    write_master(ops.split_vehicles(_parsed(spark, paths, master, mode)), master, mode=mode)
+    _load(spark, paths, ops.split_vehicles, master, mode)
 
 
 def load_persons(spark: SparkSession, paths: str | list[str], master: str, mode: str = "errorifexists") -> None:
-    write_master(ops.split_persons(_parsed(spark, paths, master, mode)), master, mode=mode)
+    _load(spark, paths, ops.split_persons, master, mode)
 
 
 def write_traffic_views(

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections import defaultdict
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanebeacon import operators as ops
+from lanebeacon.functions.rooms import AUDITORIUMS, LECTURE_ROOMS, Rules
+from lanebeacon.plans.shared import written_once
 from lanebeacon.schemas import BOOKINGS
 from lanebeacon.sinks import write_master, write_view
 from lanebeacon.sources import read_bookings_json, read_meta_json, read_readings_json
-from lanebeacon.sources.files import CORRUPT, FILE_KEY, INGEST_DATE, SOURCE_FILE, file_key, listed_files
+from lanebeacon.sources.files import CORRUPT, FILE_KEY, INGEST_DATE, SOURCE_FILE, DailyFile, file_key, scanned_files
 
 # Column titles of the written reports.
 USAGE_TITLES = {
@@ -26,60 +30,81 @@ CONNECTION_TITLES = {"connections": "Total no of connections"}
 QUALITY_TITLES = {"start_hour": "startHour", "end_hour": "endHour", "avg_accesses": "Avg. Total no of accesses"}
 
 
-def load_readings(spark: SparkSession, paths: str | list[str], master: str, **write_options) -> None:
-    """Loads daily reading files in one job. Each file has its own partition within its day.
+@dataclass(frozen=True)
+class Loaded:
+    """What a load did: files and lines read, rows kept, lines rejected."""
 
-    A file loaded again replaces exactly its own rows, also when it has none any more; other files
-    of the day, whoever loaded them, stay. A file without a date in its name stops
-    the load. Lines that do not parse go to ``<master>.rejected``.
+    files: int
+    read: int
+    kept: int
+    rejected: int
+
+
+def load_readings(spark: SparkSession, paths: str | list[str], master: str, **write_options) -> Loaded:
+    """Loads daily reading files in one scan. Each file has its own partition within its day.
+
+    The files are those that Spark finds for ``paths``, also in ``k=v`` folders. A file loaded again replaces exactly
+    its own rows, also when it has none any more; other files of the day, whoever loaded them, stay. A file without a
+    date in its name stops the load before anything is read. Lines that do not parse go to ``<master>.rejected``.
     """
-    raw = dated(read_readings_json(spark, paths))
-    replace_files(flat_readings(raw), master, listed_files(spark, paths), **write_options)
-    replace_files(rejected(raw), rejects(master), listed_files(spark, paths))
+    return _load(read_readings_json(spark, paths), flat_readings, master, write_options)
+
+
+def _load(raw: DataFrame, rows_of: Callable[[DataFrame], DataFrame], master: str, write_options: dict) -> Loaded:
+    """Parses the files once, into a table of the shared folder that rows and rejected lines are written from."""
+    files = scanned_files(raw)
+    with written_once(dated(raw), "parsed") as parsed:
+        lines = parsed.agg(F.count(F.lit(1)).alias("read"), F.count(CORRUPT).alias("rejected")).first()
+        kept = replace_files(rows_of(parsed.where(F.col(CORRUPT).isNull())), master, files, **write_options)
+        replace_files(rejected(parsed), rejects(master), files)
+    return Loaded(len(files), lines["read"], kept, lines["rejected"])
 
 
 def load_meta(spark: SparkSession, paths: str | list[str], master: str, mode: str = "errorifexists") -> None:
     """Router locations without placeholders; lines that do not parse go to ``<master>.rejected``."""
-    raw = read_meta_json(spark, paths)
-    write_master(ops.clean_locations(raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)), master, mode=mode)
-    write_master(raw.where(F.col(CORRUPT).isNotNull()), rejects(master), mode=mode)
+    with written_once(read_meta_json(spark, paths), "parsed") as parsed:
+        good = parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        write_master(ops.clean_locations(good), master, mode=mode)
+        write_master(rejected(parsed), rejects(master), mode=mode)
 
 
 def load_bookings(
     spark: SparkSession, paths: str | list[str], master: str, *, trim: bool = False, **write_options
-) -> None:
-    """Loads daily booking files in one job, like ``load_readings``; copies within a file are removed."""
-    raw = dated(read_bookings_json(spark, paths))
-    replace_files(daily_bookings(raw, trim), master, listed_files(spark, paths), **write_options)
-    replace_files(rejected(raw), rejects(master), listed_files(spark, paths))
+) -> Loaded:
+    """Loads daily booking files in one scan, like ``load_readings``; copies within a file are removed."""
+    return _load(read_bookings_json(spark, paths), lambda parsed: daily_bookings(parsed, trim), master, write_options)
 
 
-def replace_files(rows: DataFrame, master: str, files: list[str] | None = None, **write_options) -> None:
-    """Writes rows by day and file; ``files`` without rows lose the rows they had before.
+def replace_files(rows: DataFrame, master: str, files: Sequence[DailyFile] = (), **write_options) -> int:
+    """Writes rows by day and file; ``files`` without rows lose the rows they had before. Returns the rows written for ``files``.
 
     The rows are written first, so a load that fails leaves every file with its old or new rows. A
     partition that the write has replaced has other data files than before.
     """
     spark = rows.sparkSession
-    before = _partitions(spark, master, files or ())
+    before = partitions_of(spark, master, files)
     write_master(rows, master, partition_by=[INGEST_DATE, FILE_KEY], **write_options)
-    after = _partitions(spark, master, files or ())
+    after = partitions_of(spark, master, files)
     for partition, names in before.items():
         if after.get(partition) == names:
             path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(partition)
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def _partitions(spark: SparkSession, master: str, files: Iterable[str]) -> dict[str, frozenset[str]]:
-    """Names of the data files in the partitions of ``files``; only the folders of days and files are listed."""
-    wanted = set(files)
-    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(master)
-    store = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    written = [f"{partition}/{name}" for partition, names in after.items() for name in names - before.get(partition, frozenset())]
+    # Of parquet files only the footers are read.
+    return spark.read.format(write_options.get("fmt", "parquet")).load(written).count() if written else 0
+
+
+def partitions_of(spark: SparkSession, master: str, files: Sequence[DailyFile]) -> dict[str, frozenset[str]]:
+    """Names of the data files in the partitions of ``files``; only the folders of their days are listed."""
+    keys = defaultdict(set)
+    for file in files:
+        keys[file.day].add(file.key)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    store = folder(master).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found = {}
-    for day in store.listStatus(top) if wanted and store.exists(top) else ():
-        if not day.getPath().getName().startswith(f"{INGEST_DATE}="):
-            continue
-        for part in store.listStatus(day.getPath()):
+    for day, wanted in sorted(keys.items()):
+        top = folder(f"{master.rstrip('/')}/{INGEST_DATE}={day}")
+        for part in store.listStatus(top) if store.exists(top) else ():
             if unquote(part.getPath().getName()).removeprefix(f"{FILE_KEY}=") in wanted:
                 names = frozenset(f.getPath().getName() for f in store.listStatus(part.getPath()))
                 found[part.getPath().toString()] = names
@@ -107,8 +132,7 @@ def flat_readings(raw: DataFrame) -> DataFrame:
 
 def daily_bookings(raw: DataFrame, trim: bool = False) -> DataFrame:
     """Booking rows with the day and key of the file they came from."""
-    parsed = raw.where(F.col(CORRUPT).isNull())
-    rows = ops.explode_bookings(parsed, scope="file", trim=trim, keep=(INGEST_DATE, FILE_KEY))
+    rows = ops.explode_bookings(raw, scope="file", trim=trim, keep=(INGEST_DATE, FILE_KEY))
     return rows.select(*BOOKINGS.names, INGEST_DATE, FILE_KEY)
 
 
@@ -119,23 +143,30 @@ def write_wifi_views(
     *,
     bookings: DataFrame | None = None,
     tz: str = "UTC",
+    rooms: Rules = AUDITORIUMS,
+    lecture_rooms: Rules | None = LECTURE_ROOMS,
 ) -> None:
     """The batch views, each in its own folder under ``target``.
 
     The readings are scanned once, into hours per client that are kept next to the
     views; the first three views start from there. With ``bookings`` the connections per
-    lecture are written too, which look at the readings again.
+    lecture are written too, which look at the readings again. ``rooms`` and ``lecture_rooms`` are the rules
+    of the occupancy and of the lectures.
     """
     hours_path = f"{target}/client_hours"
     write_master(ops.client_hours(readings), hours_path, mode="overwrite")
-    hours = readings.sparkSession.read.parquet(hours_path)
+    views_from_hours(readings.sparkSession.read.parquet(hours_path), meta, target, tz=tz, rooms=rooms)
+    if bookings is not None:
+        connections = ops.lecture_connections(readings, meta, bookings, lecture_rooms, tz=tz)
+        write_view(connections, f"{target}/lecture_connections", columns=CONNECTION_TITLES)
+
+
+def views_from_hours(hours: DataFrame, meta: DataFrame, target: str, *, tz: str = "UTC", rooms: Rules = AUDITORIUMS) -> None:
+    """The three views that hours per client are enough for."""
     views = {
         "router_usage": (ops.weekly_router_usage(hours, meta, tz=tz), USAGE_TITLES),
-        "room_occupancy": (ops.room_occupancy_hourly(hours, meta, tz=tz), OCCUPANCY_TITLES),
+        "room_occupancy": (ops.room_occupancy_hourly(hours, meta, rooms, tz=tz), OCCUPANCY_TITLES),
         "signal_quality": (ops.signal_quality_profile(hours, meta, tz=tz), QUALITY_TITLES),
     }
-    if bookings is not None:
-        connections = ops.lecture_connections(readings, meta, bookings, tz=tz)
-        views["lecture_connections"] = (connections, CONNECTION_TITLES)
     for name, (view, titles) in views.items():
         write_view(view, f"{target}/{name}", columns=titles)

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass
+from datetime import date
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 INGEST_DATE = "ingest_date"
 SOURCE_FILE = "source_file"
@@ -33,20 +38,33 @@ def with_corrupt(schema: StructType) -> StructType:
     return StructType([*schema, StructField(CORRUPT, StringType())])
 
 
-def listed_files(spark: SparkSession, paths: str | list[str]) -> list[str]:
-    """Keys of all files under ``paths``, empty ones included. Only names are read."""
-    jvm, configuration = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    names = []
-    for path in [paths] if isinstance(paths, str) else paths:
-        pattern = jvm.org.apache.hadoop.fs.Path(path)
-        store = pattern.getFileSystem(configuration)
-        for status in store.globStatus(pattern) or ():
-            inside = store.listStatus(status.getPath()) if status.isDirectory() else [status]
-            # As Spark writes them in the file columns: local files with one slash.
-            found = [file.getPath().toUri().toString() for file in inside if not file.isDirectory()]
-            names += [name.replace("file:///", "file:/", 1) for name in found]
-    keys = spark.createDataFrame([(name,) for name in names], "path string").select(file_key(F.col("path")))
-    return sorted(row[0] for row in keys.collect())
+# How daily masters are partitioned.
+DATED = StructType([StructField(INGEST_DATE, DateType()), StructField(FILE_KEY, StringType())])
+
+
+@dataclass(frozen=True)
+class DailyFile:
+    """A file of a scan: its path as in the file columns, and its partition in a master."""
+
+    path: str
+    day: date
+    key: str
+
+
+def scanned_files(raw: DataFrame) -> list[DailyFile]:
+    """The files that ``raw`` scans, by the scan's own list: empty ones and those in ``k=v`` folders too.
+
+    Only names are read. A file without a date in its name is an error.
+    """
+    # The file columns have them without an empty authority.
+    names = [re.sub(r"^(\w+):///", r"\1:/", name) for name in raw.inputFiles()]
+    path = F.col("path")
+    rows = raw.sparkSession.createDataFrame([(name,) for name in names], "path string")
+    found = [DailyFile(*row) for row in rows.select(path, file_day(path), file_key(path)).collect()]
+    for file in found:
+        if file.day is None:
+            raise ValueError(f"no date in the name of {file.path}")
+    return sorted(found, key=lambda file: file.path)
 
 
 def with_file_columns(scan: DataFrame) -> DataFrame:
@@ -56,11 +74,24 @@ def with_file_columns(scan: DataFrame) -> DataFrame:
 
 
 def read_master(
-    spark: SparkSession, paths: str | list[str], schema: StructType, fmt: str, header: bool = False
+    spark: SparkSession,
+    paths: str | list[str],
+    schema: StructType,
+    fmt: str,
+    header: bool = False,
+    partitions: StructType = StructType(),
 ) -> DataFrame:
-    """Master data as parquet, or as CSV bound to ``schema`` by position."""
+    """Master data as parquet, or as CSV bound to ``schema`` by position.
+
+    A parquet master that has no data file any more has no rows, of ``schema`` and ``partitions``.
+    """
     if fmt == "parquet":
-        return spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
+        try:
+            return spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
+        except AnalysisException as nothing:
+            if nothing.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            return spark.createDataFrame([], StructType([*schema, *partitions]))
     if fmt == "csv":
         return spark.read.schema(schema).csv(paths, header=header, enforceSchema=True)
     raise ValueError(f"fmt must be 'parquet' or 'csv', not {fmt!r}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lanebeacon import schemas
-from lanebeacon.sources.files import read_master, with_corrupt, with_file_columns
+from lanebeacon.sources.files import DATED, read_master, with_corrupt, with_file_columns
 
 Paths = str | list[str]
 
@@ -26,7 +26,8 @@ def read_bookings_json(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def read_readings_master(spark: SparkSession, paths: Paths, fmt: str = "parquet") -> DataFrame:
-    return read_master(spark, paths, schemas.READINGS_TEXT, fmt)
+    schema = schemas.READINGS if fmt == "parquet" else schemas.READINGS_TEXT
+    return read_master(spark, paths, schema, fmt, partitions=DATED)
 
 
 def read_meta_master(spark: SparkSession, paths: Paths, fmt: str = "parquet") -> DataFrame:
@@ -34,4 +35,4 @@ def read_meta_master(spark: SparkSession, paths: Paths, fmt: str = "parquet") ->
 
 
 def read_bookings_master(spark: SparkSession, paths: Paths, fmt: str = "parquet") -> DataFrame:
-    return read_master(spark, paths, schemas.BOOKINGS, fmt, header=True)
+    return read_master(spark, paths, schemas.BOOKINGS, fmt, header=True, partitions=DATED)

@@ -12,11 +12,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from lanebeacon import schemas
 from lanebeacon.plans.wifi import daily_bookings, dated, flat_readings, rejected, rejects, replace_files
-from lanebeacon.sources.files import with_corrupt, with_file_columns
+from lanebeacon.plans.shared import written_once
+from lanebeacon.sources.files import CORRUPT, with_corrupt, with_file_columns
 
 
 def stream_readings(
@@ -54,9 +56,9 @@ def _run(
     raw: DataFrame, rows_of: Callable[[DataFrame], DataFrame], master: str, checkpoint: str | None
 ) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        files = dated(batch)
-        replace_files(rows_of(files), master)
-        replace_files(rejected(files), rejects(master))
+        with written_once(dated(batch), "parsed") as parsed:
+            replace_files(rows_of(parsed.where(F.col(CORRUPT).isNull())), master)
+            replace_files(rejected(parsed), rejects(master))
 
     query = (
         raw.writeStream.foreachBatch(write)

@@ -7,13 +7,15 @@ folder below the shared one that its next call writes anew; ``folder`` names ano
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import bindings as tables
 from lanebeacon import operators as ops
 from lanebeacon.operators.traces import PERSON_KIND, VEHICLE_KIND
-from lanebeacon.plans import traffic, wifi
+from lanebeacon.plans import incremental, traffic, wifi
 from lanebeacon.plans.shared import shared_folder
 from lanebeacon.sinks import write_master, write_view
 from lanebeacon.sources import (
@@ -25,9 +27,13 @@ from lanebeacon.sources import (
     read_vehicle_master,
 )
 from lanebeacon.sources.files import FILE_KEY, INGEST_DATE
-from lanebeacon.streaming import stream_bookings, stream_readings
+from lanebeacon.streaming import close_hours, read_occupancy, stream_bookings, stream_occupancy, stream_readings
 
 DAYS = 8
+# Nations standing in for auditoriums; by the substring rule NATION_12 is Aud1 as well.
+NATION_ROOMS = [("nation_1", "Aud1"), ("nation_2", "Aud2")]
+# All given sightings are before that.
+_END = datetime(2025, 1, 1, tzinfo=timezone.utc)
 
 
 def folder_of(spark: SparkSession, name: str, folder: str | None = None) -> str:
@@ -71,6 +77,27 @@ def _day_of_raw() -> Column:
     return F.floor(F.element_at("readings", 1)["ts"] / 86400)
 
 
+def _replace_file(spark: SparkSession, path: str, by: str | None = None) -> None:
+    """Puts the file ``by`` in the place of ``path``, or one without a line."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    store = folder(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if by is None:
+        store.create(folder(path), True).close()
+    else:
+        store.delete(folder(path), False)
+        store.rename(folder(by), folder(path))
+
+
+def partitioned_readings_master(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """The folder above the days, loaded by its ``k=v`` folders, and again when one day's file has become empty."""
+    top = folder_of(spark, "partitioned_readings_master", folder)
+    write_days(tables.readings_raw(spark, sf_dir), _day_of_raw(), f"{top}/raw")
+    wifi.load_readings(spark, f"{top}/raw", f"{top}/master")
+    _replace_file(spark, f"{top}/raw/d=3/rooms0-2017-10-04.json")
+    wifi.load_readings(spark, f"{top}/raw", f"{top}/master")
+    return read_readings_master(spark, f"{top}/master").drop(FILE_KEY)
+
+
 def mixed_readings_master(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
     """Half of the days streamed, called twice to no effect, the others and one of those loaded after."""
     top = folder_of(spark, "mixed_readings_master", folder)
@@ -185,6 +212,120 @@ def signal_report(spark: SparkSession, sf_dir: str, folder: str | None = None) -
     return report.withColumns({name: F.col(name).cast("bigint") for name in ("avg_rssi", "avg_snRatio", "avg_accesses")})
 
 
+def occupancy_report(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """The occupancy report of a run whose rooms are two nations."""
+    top = folder_of(spark, "occupancy_report", folder)
+    wifi.write_wifi_views(tables.readings(spark, sf_dir), tables.meta(spark, sf_dir), f"{top}/views", rooms=NATION_ROOMS)
+    return _occupancy(spark, f"{top}/views")
+
+
+def _occupancy(spark: SparkSession, views: str) -> DataFrame:
+    back = {title: name for name, title in wifi.OCCUPANCY_TITLES.items()}
+    report = spark.read.csv(f"{views}/room_occupancy", header=True).withColumnsRenamed(back)
+    return report.withColumn("devices", F.col("devices").cast("bigint"))
+
+
+def connections_report(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """The report of connections per lecture of a run with bookings."""
+    top = folder_of(spark, "connections_report", folder)
+    seen = tables.user_readings(spark, sf_dir).selectExpr("*", "cast(null as double) as rssi", "cast(null as double) as snRatio")
+    meta, held = tables.auditorium_meta(spark, sf_dir), tables.auditorium_lectures(spark, sf_dir)
+    wifi.write_wifi_views(seen, meta, f"{top}/views", bookings=held)
+    back = {title: name for name, title in wifi.CONNECTION_TITLES.items()}
+    report = spark.read.csv(f"{top}/views/lecture_connections", header=True).withColumnsRenamed(back)
+    return report.withColumn("connections", F.col("connections").cast("bigint"))
+
+
+def incremental_views(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """Views kept up to date while files are added, replaced and become empty: the occupancy report at the end."""
+    top = folder_of(spark, "incremental_views", folder)
+    days = write_days(tables.readings_raw(spark, sf_dir), _day_of_raw(), f"{top}/raw")
+    meta, master, views = tables.meta(spark, sf_dir), f"{top}/master", f"{top}/views"
+
+    def update(*loaded: str) -> None:
+        if loaded:
+            wifi.load_readings(spark, list(loaded), master)
+        incremental.update_wifi_views(spark, master, meta, views, rooms=NATION_ROOMS)
+
+    # The first day has the rows of the second at first.
+    first, other = f"{days[0]}/rooms0-2017-10-01.json", f"{top}/first.json"
+    _copy_file(spark, first, other)
+    _copy_file(spark, f"{days[1]}/rooms0-2017-10-02.json", first)
+    update(*days[:5])
+    _replace_file(spark, first, other)
+    _replace_file(spark, f"{days[3]}/rooms0-2017-10-04.json")
+    update(days[0], *days[3:])
+    update()
+    return _occupancy(spark, views)
+
+
+def _copy_file(spark: SparkSession, path: str, to: str) -> None:
+    jvm, configuration = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    one, other = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(to)
+    jvm.org.apache.hadoop.fs.FileUtil.copy(one.getFileSystem(configuration), one, other.getFileSystem(configuration), other, False, configuration)
+
+
+def streamed_occupancy(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """Files in order of time through the running count, half of them in a second run, and all hours closed at the end."""
+    top = folder_of(spark, "streamed_occupancy", folder)
+    raw, meta = tables.readings_raw(spark, sf_dir), tables.meta(spark, sf_dir)
+    # Each file has four days of a month; a reading's last sighting is a minute after its first.
+    span = F.floor((F.dayofmonth(F.timestamp_seconds(F.element_at("readings", 1)["ts"])) - 1) / 4)
+    days = write_days(raw, span, f"{top}/later")
+    _move_in_order(spark, days[:4], f"{top}/raw")
+    for rest in (days[4:], []):
+        run = stream_occupancy(spark, f"{top}/raw", meta, f"{top}/occupancy", rules=NATION_ROOMS, delay="2 hours", max_files_per_trigger=1)
+        if run.late:
+            raise RuntimeError(f"{run.late} sightings of files in order of time were late")
+        _move_in_order(spark, rest, f"{top}/raw")
+        if not rest:
+            close_hours(spark, f"{top}/occupancy", int(_END.timestamp()))
+    stream_occupancy(spark, f"{top}/raw", meta, f"{top}/occupancy", rules=NATION_ROOMS, delay="2 hours")
+    return read_occupancy(spark, f"{top}/occupancy")
+
+
+def _move_in_order(spark: SparkSession, days: list[str], folder: str) -> None:
+    """Files of the days into one folder, each a second younger than the one before, as a stream takes the oldest first."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    store = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(path(folder))
+    for day in days:
+        for file in store.listStatus(path(day)):
+            moved = path(folder, file.getPath().getName())
+            store.rename(file.getPath(), moved)
+            number = int(moved.getName().split("-")[-1].split(".")[0])
+            store.setTimes(moved, int(_END.timestamp()) * 1000 + number * 1000, -1)
+
+
+def sketched_usage(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """Usage with exact counts, and whether that of the stored sketches is within 3 hundredths."""
+    seen, meta = tables.readings(spark, sf_dir), tables.meta(spark, sf_dir)
+    sketches = _sketches(spark, seen, "sketched_usage", folder)
+    near = ops.weekly_router_usage(sketches, meta).select("did", "from_day", F.col("unique_clients").alias("near"), F.col("accesses").alias("counted"))
+    exact = ops.weekly_router_usage(seen, meta).join(near, ["did", "from_day"], "left")
+    return exact.select("did", "from_day", "unique_clients", "accesses", _close("near", "unique_clients").alias("close"), "counted")
+
+
+def sketched_occupancy(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """Occupancy with exact counts, and whether that of the union of the same sketches is within 3 hundredths."""
+    seen, meta = tables.readings(spark, sf_dir), tables.meta(spark, sf_dir)
+    sketches = _sketches(spark, seen, "sketched_occupancy", folder)
+    hour = ["location", "day", "from_time"]
+    near = ops.room_occupancy_hourly(sketches, meta, NATION_ROOMS).select(*hour, F.col("devices").alias("near"))
+    exact = ops.room_occupancy_hourly(seen, meta, NATION_ROOMS).join(near, hour, "left")
+    return exact.select(*hour, "devices", _close("near", "devices").alias("close"))
+
+
+def _sketches(spark: SparkSession, seen: DataFrame, name: str, folder: str | None) -> DataFrame:
+    top = folder_of(spark, name, folder)
+    write_master(ops.client_sketches(seen), f"{top}/sketches", mode="overwrite")
+    return spark.read.parquet(f"{top}/sketches")
+
+
+def _close(near: str, exact: str) -> Column:
+    return F.abs(F.col(near) - F.col(exact)) <= F.greatest(F.col(exact) * 0.03, F.lit(0.5))
+
+
 def traffic_views(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
     """A run over both traffic views from counts per lane, the zipper report read back."""
     top = folder_of(spark, "traffic_views", folder)

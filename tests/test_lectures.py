@@ -172,3 +172,84 @@ def test_long_bookings_are_never_broadcast(sightings, meta, table):
     for unwanted in ("NestedLoop", "Cartesian", "EvalPython", "SinglePartition", "Window"):
         assert unwanted not in plan
     assert found(ops.lecture_attendance(sightings(("r1", "a", at(5000))), meta, booked)) == [("Exhibition", "a")]
+
+
+def crowd(spark):
+    """A third of the sightings and of the bookings in one room and hour."""
+    seen = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, 'r1', concat('q', id % 50)) as did", "concat('c', id) as cid", f"{epoch(at(10))} + if(id % 3 = 0, id % 3000, id * 17 % 86400) as ts"
+    )
+    held = spark.range(300).selectExpr(
+        "concat('l', id) as name",
+        "if(id % 3 = 0, 'A', concat('Q', id % 50)) as room",
+        "timestamp_ntz'2017-10-02 10:00:00' + make_interval(0, 0, 0, 0, if(id % 3 = 0, 0, cast(id % 20 as int)), 0, 0) as start_ts",
+        "timestamp_ntz'2017-10-02 10:59:58' + make_interval(0, 0, 0, 0, if(id % 3 = 0, 0, cast(id % 20 as int)), 0, 0) as end_ts",
+    )
+    rooms = spark.sql("select 'r1' as did, 'A' as location union all select concat('q', id), concat('Q', id) from range(50)")
+    return seen, rooms, held
+
+
+def test_crowded_spots_are_counted_and_get_the_shares_they_need(spark, conf, monkeypatch):
+    conf(spark__sql__shuffle__partitions="8")
+    monkeypatch.setattr(lectures, "FEW_PAIRS", 10)
+    seen, rooms, held = crowd(spark)
+    there = seen.join(rooms.withColumnRenamed("location", "room"), "did")
+    pieces = lectures._booking_pieces(held, None, "UTC", 3600)
+    crowded = lectures._crowded(there, pieces, 3600)
+    assert [(c.room, c.level) for c in crowded] == [("A", 0)]
+    clients = lectures._clients_per_bucket(there, 3600)
+    met = lectures._meet(clients, pieces, crowded)
+    tasks = [row["count"] for row in met.where("room = 'A'").groupBy(F.spark_partition_id()).count().collect()]
+    # A hundred thousand pairs over eight tasks.
+    assert len(tasks) == 8 and max(tasks) < 1.5 * sorted(tasks)[4] and sum(tasks) == 100_000
+    others = met.where("room != 'A'").agg(F.max("client_share"), F.max("booking_share")).first()
+    assert tuple(others) == (0, 0)
+    expected = ops.lecture_attendance(seen, rooms, held, rules=None, shares=(1, 1))
+    assert found(ops.lecture_attendance(seen, rooms, held, rules=None)) == found(expected)
+    assert expected.where("name = 'l0'").count() == 1000
+
+
+def test_small_and_empty_tables_are_not_dealt(spark):
+    seen, rooms, held = crowd(spark)
+    there = seen.join(rooms.withColumnRenamed("location", "room"), "did")
+    pieces = lectures._booking_pieces(held, None, "UTC", 3600)
+    assert lectures._crowded(there, pieces, 3600) == []
+    assert lectures._crowded(there.where("1 = 0"), pieces, 3600) == []
+    assert ops.lecture_attendance(seen.where("1 = 0"), rooms, held, rules=None).count() == 0
+    assert ops.lecture_attendance(seen, rooms, held.where("1 = 0"), rules=None).count() == 0
+
+
+def lectures_bucket():
+    return epoch(at(10)) // 3600
+
+
+def test_only_spots_with_a_booking_inside_a_bucket_keep_seconds(spark, table):
+    booked = table(BOOKED, ("Short", "A", at(10, 20), at(10, 40)), ("Long", "B", at(10, 20), at(12)), ("Start", "C", at(10), at(10, 40)), ("End", "D", at(10, 20), at(10, 59, 59)))
+    held = lectures._held(booked, None, "UTC")
+    wanted = lectures._within_one_bucket(held, 3600)
+    assert sum(byte.bit_count() for byte in wanted) == 1 and len(wanted) == lectures.FILTER_BITS // 8
+    spots = spark.sql("select * from values ('A'), ('B'), ('C'), ('D') as t(room)").withColumn("bucket", F.lit(lectures_bucket()).cast("bigint"))
+    assert [row["room"] for row in spots.where(lectures._passes(wanted)).collect()] == ["A"]
+    seen = spark.range(500).selectExpr("element_at(array('A', 'B', 'C', 'D', 'E'), 1 + cast(id % 5 as int)) as room", "concat('c', id % 7) as cid", f"{epoch(at(10))} + id * 7 as ts")
+    kept = lectures._clients_per_bucket(seen, 3600, wanted).where(f"level = {lectures.SECONDS}")
+    assert {row["room"] for row in kept.collect()} == {"A"} and kept.count() == 100
+    assert lectures._clients_per_bucket(seen, 3600, bytes(8)).where(f"level = {lectures.SECONDS}").count() == 0
+
+
+def test_every_bit_of_the_filter_is_found(spark, monkeypatch):
+    monkeypatch.setattr(lectures, "FILTER_BITS", 64)
+    spots = spark.range(200).selectExpr("concat('room ', id) as room", "id * 13 as bucket")
+    bits = {row["bit"] for row in spots.select(lectures._spot_bit().alias("bit")).collect()}
+    assert len(bits) > 50
+    for some in (bits, set(list(bits)[::2]), {0}, {7, 63}):
+        wanted = bytes(sum(1 << bit for bit in range(8) if 8 * byte + bit in some) for byte in range(8))
+        passed = spots.where(lectures._passes(wanted)).select(lectures._spot_bit().alias("bit")).collect()
+        assert {row["bit"] for row in passed} == some & bits
+
+
+def test_rooms_without_a_booking_are_left_out_early(sightings, meta, table):
+    booked = table(BOOKED, ("Maths", "aud1", at(10), at(11)))
+    seen = sightings(*[("r3", f"c{i}", at(10, i)) for i in range(50)], ("r1", "a", at(10, 5)))
+    rooms = lectures._router_rooms(meta, LECTURE_ROOMS).join(lectures._held(booked, LECTURE_ROOMS, "UTC").select("room").distinct(), "room", "left_semi")
+    assert found(rooms, "did") == [("r1",), ("r2",)]
+    assert found(ops.lecture_attendance(seen, meta, booked)) == [("Maths", "a")]
