@@ -10,6 +10,7 @@ starts again from its input.
 from __future__ import annotations
 
 import base64
+import hashlib
 import itertools
 import re
 from collections.abc import Iterator
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -26,9 +27,11 @@ from lanebeacon.llm.merges import Merges
 
 # Bytes of texts whose new pieces are merged together, characters from which a text is cut into
 # pieces bit by bit, and pieces that a task remembers.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 4 << 20
 BLOCK_CHARS = 2_000_000
-KNOWN_PIECES = 200_000
+KNOWN_PIECES = 150_000
+# Ids whose text or bytes are put together at a time.
+SPELLED_IDS = 1 << 16
 
 # Below U+0250 the classes of letters, numbers and blanks can be written out, and then the
 # faster of two regular expression engines can be used. U+001C to U+001F are blanks to it alone.
@@ -89,10 +92,10 @@ class _Table(dict):
 
 
 class Encoder:
-    """Token ids of texts, as one task makes them."""
+    """Token ids of texts, as one task makes them. Merges are worked out once, on the driver, if they are given."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self._ranks, self._pieces, self._merges = ranks, Pieces(pattern), merges_of(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, merges: Merges | None = None):
+        self._ranks, self._pieces, self._merges = ranks, Pieces(pattern), merges or merges_of(ranks)
         self._first = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self._forget()
 
@@ -144,6 +147,32 @@ class Encoder:
         return [self._spelled(places) for places in found]
 
 
+class Decoder:
+    """Bytes and digests of ids."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        # The same bytes as the keys of ``ranks``, by id; an id without a token is an error.
+        self._tokens = {rank: token for token, rank in ranks.items()}
+        self._names = {rank: str(rank) for rank in ranks.values()}
+
+    def spelled(self, ids: np.ndarray) -> Iterator[bytes]:
+        for at in range(0, len(ids), SPELLED_IDS):
+            yield b"".join(map(self._tokens.__getitem__, ids[at : at + SPELLED_IDS].tolist()))
+
+    def bytes_digest(self, ids: np.ndarray) -> str:
+        digest = hashlib.sha256()
+        for part in self.spelled(ids):
+            digest.update(part)
+        return digest.hexdigest()
+
+    def ids_digest(self, ids: np.ndarray) -> str:
+        digest = hashlib.sha256()
+        for at in range(0, len(ids), SPELLED_IDS):
+            numbers = ",".join(map(self._names.__getitem__, ids[at : at + SPELLED_IDS].tolist()))
+            digest.update(f",{numbers}".encode() if at else numbers.encode())
+        return digest.hexdigest()
+
+
 def _grouped(batches: Iterator[pa.Array]) -> Iterator[list[pa.Array]]:
     """Batches together up to about ``BLOCK_BYTES`` of text."""
     group, size = [], 0
@@ -157,6 +186,19 @@ def _grouped(batches: Iterator[pa.Array]) -> Iterator[list[pa.Array]]:
         yield group
 
 
+def _ids_of(encoder: Encoder, batches: Iterator[pa.Array]) -> Iterator[list[np.ndarray]]:
+    """Ids of the texts of each batch; the new pieces of several batches are merged together."""
+    for group in _grouped(batches):
+        found = iter(encoder.texts([text for batch in group for text in batch.to_pylist()]))
+        for batch in group:
+            yield list(itertools.islice(found, len(batch)))
+
+
+def _id_lists(ids: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.append(0, np.cumsum([len(i) for i in ids])).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
+
+
 def encode_texts(docs: DataFrame, path: str, pattern: str, *, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with ``ids_col``: the token ids of each whole text as an array of int.
 
@@ -164,42 +206,62 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, *, text_col: str = "t
     read; tasks get its content. NULL and empty texts have no ids. No special tokens are
     used: their strings are text like any other. Rows and other columns stay as they are.
     """
-    ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
+    given = _vocabulary(docs, path)
 
     @arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(ranks.value, pattern)
-        for group in _grouped(batches):
-            found = encoder.texts([text for batch in group for text in batch.to_pylist()])
-            done = 0
-            for batch in group:
-                ids = found[done : done + len(batch)]
-                done += len(batch)
-                offsets = np.append(0, np.cumsum([len(i) for i in ids])).astype(np.int32)
-                yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
+        ranks, merges = given.value
+        yield from map(_id_lists, _ids_of(Encoder(ranks, pattern, merges), batches))
 
     small_batches(docs.sparkSession)
     return docs.withColumn(ids_col, encode(F.col(text_col)))
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str, *, text_col: str = "text", coded_col: str = "coded") -> DataFrame:
+    """``docs`` with ``coded_col``: ids, their number, their digest, and that of the bytes they decode to.
+
+    A struct ``ids, n_tokens, ids_sha256, decoded_sha256``. One worker of a task encodes, and decodes what it has
+    encoded; of the bytes only the digest leaves it. Otherwise like ``encode_texts``.
+    """
+    given = _vocabulary(docs, path)
+
+    @arrow_udf("struct<ids:array<int>,n_tokens:bigint,ids_sha256:string,decoded_sha256:string>")
+    def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        ranks, merges = given.value
+        decoder = Decoder(ranks)
+        for ids in _ids_of(Encoder(ranks, pattern, merges), batches):
+            columns = {
+                "ids": _id_lists(ids),
+                "n_tokens": pa.array([len(i) for i in ids], pa.int64()),
+                "ids_sha256": pa.array([decoder.ids_digest(i) for i in ids], pa.string()),
+                "decoded_sha256": pa.array([decoder.bytes_digest(i) for i in ids], pa.string()),
+            }
+            yield pa.StructArray.from_arrays(list(columns.values()), list(columns))
+
+    small_batches(docs.sparkSession)
+    return docs.withColumn(coded_col, code(F.col(text_col)))
+
+
+def _vocabulary(docs: DataFrame, path: str):
+    """Ranks, and the merges as sorted arrays, for all tasks."""
+    ranks = read_ranks(path)
+    return docs.sparkSession.sparkContext.broadcast((ranks, merges_of(ranks)))
+
+
 def decode_ids(docs: DataFrame, path: str, *, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
     """``docs`` with ``bytes_col``: the bytes that the ids stand for. NULL has none; an unknown id is an error."""
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
 
     @arrow_udf("binary")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokens = {rank: token for token, rank in ranks.value.items()}
+        decoder = Decoder(ranks.value)
         for batch in batches:
-            yield pa.array([b"".join(map(tokens.__getitem__, ids.values.to_pylist())) if ids.is_valid else b"" for ids in batch], pa.binary())
+            yield pa.array([b"".join(decoder.spelled(ids.values.to_numpy())) if ids.is_valid else b"" for ids in batch], pa.binary())
 
     small_batches(docs.sparkSession)
     return docs.withColumn(bytes_col, decode(F.col(ids_col)))
 
 
-def ids_digest(ids: Column) -> Column:
-    return F.sha2(F.array_join(ids.cast("array<string>"), ",").cast("binary"), 256)
-
-
 def production() -> tuple[str, str]:
     """Path of the ranks and the pattern used by the registered query and the pipeline."""
     import public_tokenizers
@@ -210,13 +272,8 @@ def production() -> tuple[str, str]:
 def digests(docs: DataFrame) -> DataFrame:
     """Number of ids, their digest and that of the bytes they decode to, of every row."""
     path, pattern = production()
-    decoded = decode_ids(encode_texts(docs, path, pattern), path)
-    return decoded.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        ids_digest(F.col("ids")).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    coded = round_trip(docs, path, pattern)
+    return coded.select("doc_id", "coded.n_tokens", "coded.ids_sha256", "coded.decoded_sha256")
 
 
 def op2_byte_bpe(spark, sf_dir: str) -> DataFrame:
