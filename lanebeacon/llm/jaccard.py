@@ -45,6 +45,8 @@ FIRST_BAND, GROWTH, BANDS = 6, 1.5, 60
 SPARE, SPARE_IF_SMALL, SMALL = 0.12, 0.5, 64
 WITH_DELETIONS = 24
 EMPTY_PARTS = 256
+# Nodes that a task remembers, so as not to send the rows of copies again.
+REMEMBERED = 100_000
 # Bits of the bitmap that tells which nodes have candidates: 8 MB, whatever the size of the table.
 BITMAP_BITS = 1 << 26
 EXACT, PROBE, OWN = 1, 2, 4
@@ -216,12 +218,16 @@ def gram_nodes(docs: DataFrame, like: Similarity, text_col: str = "text") -> Col
 
 def _signature_rows(docs: DataFrame, like: Similarity, text_col: str) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for first, last, grams, owners in gram_sets(batch.column(0), like.width):
                 sizes, nodes = node_of(grams, owners, last - first)
-                # A text that a block holds twice is indexed once.
+                # A text that a task meets again is indexed once: copies have the same rows, which mean the same once or often.
+                if len(seen) > REMEMBERED:
+                    seen.clear()
                 again = np.ones(last - first, dtype=bool)
-                again[np.unique(nodes, return_index=True)[1]] = False
+                again[[i for i in np.unique(nodes, return_index=True)[1].tolist() if int(nodes[i]) not in seen]] = False
+                seen.update(nodes[~again].tolist())
                 keep = ~again[owners]
                 sizes = np.where(again, 0, sizes)
                 for signature, node, info in signatures(grams[keep], owners[keep], sizes, nodes, like):
@@ -254,7 +260,7 @@ def _set_rows(docs: DataFrame, like: Similarity, text_col: str, wanted: DataFram
                 marked = (bitmap.value[bits // 64] >> (bits % 64)) & 1
                 starts = np.cumsum(sizes) - sizes
                 chosen = [i for i in np.flatnonzero((marked == 1) & (sizes > 0)).tolist() if int(nodes[i]) not in seen]
-                if len(seen) > 100_000:
+                if len(seen) > REMEMBERED:
                     seen.clear()
                 seen.update(nodes[chosen].tolist())
                 for at in range(0, len(chosen), 256):
