@@ -45,15 +45,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and digests of them and of the bytes they decode to."""
     path, pattern = bpe.production()
-    encoded = bpe.encode_texts(docs.select("doc_id", "source", "text"), path, pattern)
-    return bpe.decode_ids(encoded, path).select(
-        "doc_id",
-        "source",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        "ids",
-        bpe.ids_digest(F.col("ids")).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    coded = bpe.round_trip(docs.select("doc_id", "source", "text"), path, pattern)
+    return coded.select("doc_id", "source", "coded.n_tokens", "coded.ids", "coded.ids_sha256", "coded.decoded_sha256")
 
 
 STAGES = [
