@@ -124,6 +124,9 @@ def _own_queries() -> dict[str, Query]:
         "streamed_occupancy": round_trips.streamed_occupancy,
         "sketched_usage": round_trips.sketched_usage,
         "sketched_occupancy": round_trips.sketched_occupancy,
+        "bucketed_usage": round_trips.bucketed_usage,
+        "bucketed_signal": round_trips.bucketed_signal,
+        "bucketed_zipper": round_trips.bucketed_zipper,
         "traffic_views": round_trips.traffic_views,
     }
 
@@ -398,5 +401,8 @@ def _own_sql() -> dict[str, str]:
             union all select 'bookings', count(*), cast(sum(cast(substr(start_ts, 12, 2) as integer)) as double) from ({bookings})""",
         "edge_report": edges,
         "wifi_views": _usage(_EPOCH_WEEK),
+        "bucketed_usage": _usage(_EPOCH_WEEK),
+        "bucketed_signal": signal,
+        "bucketed_zipper": _zipper("edge_id"),
         "traffic_views": _zipper("edge_id"),
     }

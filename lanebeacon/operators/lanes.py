@@ -28,13 +28,16 @@ def parse_lanes(traces: DataFrame, *, lane: str = LANE, edge_id_mode: str = "fix
     )
 
 
-def cars_per_lane(vehicle: DataFrame) -> DataFrame:
-    """Sightings per lane. The two views below take this table in place of raw sightings."""
-    return vehicle.groupBy(LANE).agg(F.count(LANE).alias("nb_cars"))
+def cars_per_lane(vehicle: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Sightings per lane. The two views below take this table in place of raw sightings.
+
+    ``keep`` names columns that follow from the lane, such as an ``edge_id`` the sightings are bucketed by.
+    """
+    return vehicle.groupBy(*keep, LANE).agg(F.count(LANE).alias("nb_cars"))
 
 
-def _counted(vehicle: DataFrame) -> DataFrame:
-    return vehicle if "nb_cars" in vehicle.columns else cars_per_lane(vehicle)
+def _counted(vehicle: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return vehicle if "nb_cars" in vehicle.columns else cars_per_lane(vehicle, keep)
 
 
 def edge_traffic(vehicle: DataFrame, *, edge_id_mode: str = "fixed2") -> DataFrame:
@@ -56,12 +59,16 @@ def lane_zipper(
     Lanes of both directions count together unless ``per_direction``. The lane counts
     are joined with their own per-edge summary instead of being ranked in a window:
     no edge is gathered in one task, and as both sides start from the same columns
-    the scan and the shuffle by lane run once.
+    the scan and the shuffle by lane run once. Sightings that have their ``edge_id`` (by the same ``edge_id_mode``) and
+    are bucketed by it are not shuffled at all.
     """
+    known = ("edge_id",) if "edge_id" in vehicle.columns else ()
     # Naming a value for NULL, though none is left, tells Spark that an edge is never
     # NULL; otherwise the join would check it on, and so parse, every raw row.
-    located = _counted(vehicle.where(F.col(LANE).isNotNull())).withColumn(LANE, F.coalesce(LANE, F.lit("")))
-    per_lane = parse_lanes(located, edge_id_mode=edge_id_mode).drop("junction_edge")
+    located = _counted(vehicle.where(F.col(LANE).isNotNull()), known).withColumn(LANE, F.coalesce(LANE, F.lit("")))
+    per_lane = parse_lanes(located.withColumnRenamed("edge_id", "_known"), edge_id_mode=edge_id_mode).drop("junction_edge")
+    if known:
+        per_lane = per_lane.drop("edge_id").withColumnRenamed("_known", "edge_id")
     edge = ["edge_id", "direction"] if per_direction else ["edge_id"]
     # Every lane has cars; counting those with cars keeps nb_cars, and with it the
     # shared shuffle, on this side as well.

@@ -49,6 +49,18 @@ def write_master(
     writer.save(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, by: Sequence[str], buckets: int, cluster_by: Sequence[str] = ()) -> None:
+    """Writes a master as a table of the catalog whose files are dealt into ``buckets`` by a hash of ``by``.
+
+    Views that group or join by those columns read it without a shuffle. All rows of a key are in one file and one task, so
+    this is for keys of which none holds a large part of the rows; for others use ``write_master``. An existing table
+    is replaced.
+    """
+    dealt = df.repartition(buckets, *by)
+    writer = dealt.write.format("parquet").mode("overwrite").bucketBy(buckets, *by).sortBy(*by, *cluster_by)
+    writer.option("path", path).saveAsTable(table)
+
+
 def write_view(
     df: DataFrame,
     path: str,

@@ -95,3 +95,12 @@ def read_master(
     if fmt == "csv":
         return spark.read.schema(schema).csv(paths, header=header, enforceSchema=True)
     raise ValueError(f"fmt must be 'parquet' or 'csv', not {fmt!r}")
+
+
+def open_bucketed(spark: SparkSession, table: str, path: str, schema: StructType, by: list[str], buckets: int) -> DataFrame:
+    """A table of ``write_bucketed``, made known to this session's catalog if it is not yet."""
+    columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
+    keys = ", ".join(f"`{name}`" for name in by)
+    clustered = f"clustered by ({keys}) sorted by ({keys}) into {buckets} buckets"
+    spark.sql(f"create table if not exists {table} ({columns}) using parquet {clustered} location '{path}'")
+    return spark.table(table)

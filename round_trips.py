@@ -17,8 +17,9 @@ from lanebeacon import operators as ops
 from lanebeacon.operators.traces import PERSON_KIND, VEHICLE_KIND
 from lanebeacon.plans import incremental, traffic, wifi
 from lanebeacon.plans.shared import shared_folder
-from lanebeacon.sinks import write_master, write_view
+from lanebeacon.sinks import write_bucketed, write_master, write_view
 from lanebeacon.sources import (
+    open_bucketed,
     read_bookings_master,
     read_meta_master,
     read_person_master,
@@ -326,6 +327,37 @@ def _close(near: str, exact: str) -> Column:
     return F.abs(F.col(near) - F.col(exact)) <= F.greatest(F.col(exact) * 0.03, F.lit(0.5))
 
 
+BUCKETS = 8
+
+
+def _bucketed(spark: SparkSession, rows: DataFrame, by: str, name: str, folder: str | None) -> DataFrame:
+    """Rows as a table bucketed by a column, opened by a catalog that does not know it yet."""
+    top = folder_of(spark, name, folder)
+    table = f"lanebeacon_{name}"
+    spark.sql(f"drop table if exists {table}")
+    write_bucketed(rows, table, f"{top}/table", [by], BUCKETS)
+    spark.sql(f"drop table {table}")
+    return open_bucketed(spark, table, f"{top}/table", rows.schema, [by], BUCKETS)
+
+
+def bucketed_usage(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """Weekly usage of readings bucketed by router."""
+    seen = _bucketed(spark, tables.readings(spark, sf_dir), "did", "bucketed_usage", folder)
+    return ops.weekly_router_usage(seen, tables.meta(spark, sf_dir))
+
+
+def bucketed_signal(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """The signal profile of readings bucketed by router."""
+    seen = _bucketed(spark, tables.readings(spark, sf_dir), "did", "bucketed_signal", folder)
+    return ops.signal_quality_profile(seen, tables.meta(spark, sf_dir))
+
+
+def bucketed_zipper(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """Cars per lane of wide edges, of sightings that have their edge and are bucketed by it."""
+    located = ops.parse_lanes(tables.order_lanes(spark, sf_dir)).select("edge_id", "vehicle_lane")
+    return ops.lane_zipper(_bucketed(spark, located, "edge_id", "bucketed_zipper", folder))
+
+
 def traffic_views(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
     """A run over both traffic views from counts per lane, the zipper report read back."""
     top = folder_of(spark, "traffic_views", folder)
