@@ -7,7 +7,7 @@ through one shuffle, which adds up how often each cell occurs. A cell that is fr
 from, and only there. Each block then reads its text again: occurrences with one fingerprint are compared byte by byte,
 and only n-grams in frequent cells become text. A second round does the same for longer n-grams, in what the
 first leaves of the blocks: runs of words of which each pair of neighbours is frequent. The counts of phrases are added up
-by the text itself, so that a collision can cost time but never changes a count.
+by the text itself, bucket by bucket, so that a collision can cost time but never changes a count.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -247,17 +248,24 @@ def _sum_cells(blocks: DataFrame, sizes: Sequence[int], buckets: int, least: int
     return cells.groupBy("bucket").applyInArrow(summed, "block bigint, bucket bigint, cells binary")
 
 
-_COUNTED = "lang string, n_words int, phrase string, occurrences bigint, size bigint, content binary"
+_COUNTED = "bucket bigint, lang string, phrases array<string>, counts array<bigint>, size bigint, content binary"
 _COUNTED_SCHEMA = pa.schema(
-    [("lang", pa.string()), ("n_words", pa.int32()), ("phrase", pa.string()), ("occurrences", pa.int64()), ("size", pa.int64()), ("content", pa.binary())]
+    [
+        ("bucket", pa.int64()),
+        ("lang", pa.string()),
+        ("phrases", pa.list_(pa.string())),
+        ("counts", pa.list_(pa.int64())),
+        ("size", pa.int64()),
+        ("content", pa.binary()),
+    ]
 )
 
 
 def _followed(blocks: DataFrame, frequent: DataFrame, sizes: Sequence[int], buckets: int, go_on: bool) -> DataFrame:
-    """``lang, n_words, phrase, occurrences`` of the n-grams in frequent cells of each block, and ``lang, size, content`` of what is left of it.
+    """``bucket, lang, phrases, counts`` of the n-grams in frequent cells of each block, and ``lang, size, content`` of what is left of it.
 
-    After the round of pairs, longer n-grams can only be frequent in what is left (``_runs``), which is a block as well;
-    ``go_on`` asks for it.
+    A block has one row for each bucket. After the round of pairs, longer n-grams can only be frequent in what is
+    left (``_runs``), which is a block as well; ``go_on`` asks for it.
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +274,7 @@ def _followed(blocks: DataFrame, frequent: DataFrame, sizes: Sequence[int], buck
                 grams = Grams(pa.decompress(content, size, codec="zstd", asbytes=True), lang)
                 keys = [(np.int64(k["bucket"]) << 32) | np.frombuffer(k["cells"], np.uint32).astype(np.int64) for k in known]
                 keys = np.sort(np.concatenate(keys))
-                there = None
+                there, phrases, counts, dealt = None, [], [], []
                 for n in sizes:
                     # Both parts without the last and without the first word have to be there.
                     first = grams.of(n)
@@ -279,17 +287,48 @@ def _followed(blocks: DataFrame, frequent: DataFrame, sizes: Sequence[int], buck
                     if not len(first):
                         break
                     one, many = grams.counted(first, n)
-                    lacking = [pa.nulls(len(one), kind) for kind in (pa.int64(), pa.binary())]
-                    counts = [pa.array([lang] * len(one), pa.string()), pa.array(np.full(len(one), n, np.int32)), grams.spelled(one, n), pa.array(many, pa.int64())]
-                    yield pa.RecordBatch.from_arrays([*counts, *lacking], schema=_COUNTED_SCHEMA)
+                    phrases.append(grams.spelled(one, n))
+                    counts.append(many)
+                    dealt.append(_cells(grams.prints(one, n), buckets)[0])
+                if phrases:
+                    yield _by_bucket(lang, pa.concat_arrays(phrases), np.concatenate(counts), np.concatenate(dealt))
                 rest = _runs(grams, there) if go_on else ()
                 if len(rest):
-                    row = {"lang": lang, "n_words": None, "phrase": None, "occurrences": None, "size": len(rest), "content": _packed(rest)}
+                    row = {"lang": lang, "size": len(rest), "content": _packed(rest)}
                     yield pa.RecordBatch.from_pylist([row], schema=_COUNTED_SCHEMA)
 
     return frequent.join(blocks, "block").select("lang", "size", "content", "known").mapInArrow(counted, _COUNTED)
 
 
+def _by_bucket(lang: str, phrases: pa.Array, counts: np.ndarray, bucket: np.ndarray) -> pa.RecordBatch:
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    heads = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    offsets = pa.array(np.append(heads, len(bucket)).astype(np.int32))
+    columns = [
+        pa.array(bucket[heads]),
+        pa.array([lang] * len(heads), pa.string()),
+        pa.ListArray.from_arrays(offsets, phrases.take(pa.array(order))),
+        pa.ListArray.from_arrays(offsets, pa.array(counts[order], pa.int64())),
+        pa.nulls(len(heads), pa.int64()),
+        pa.nulls(len(heads), pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, schema=_COUNTED_SCHEMA)
+
+
+def _summed(counted: DataFrame, least: int) -> DataFrame:
+    """``lang, phrase, occurrences`` of the phrases that occur ``least`` times, added up by their text bucket by bucket."""
+
+    def add(rows: pa.Table) -> pa.Table:
+        inside = pc.list_parent_indices(rows["phrases"])
+        each = pa.table({"lang": rows["lang"].take(inside), "phrase": pc.list_flatten(rows["phrases"]), "n": pc.list_flatten(rows["counts"])})
+        total = each.group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+        total = total.filter(pc.greater_equal(total["n_sum"], least))
+        return pa.table({"lang": total["lang"], "phrase": total["phrase"], "occurrences": total["n_sum"]})
+
+    return counted.groupBy("bucket").applyInArrow(add, "lang string, phrase string, occurrences bigint")
+
+
 def _runs(grams: Grams, pair: np.ndarray) -> np.ndarray:
     """The words of a block in runs of three or more in which every pair is frequent; ``pair`` says which words begin one."""
     both = np.flatnonzero(pair[:-1] & pair[1:])
@@ -318,13 +357,14 @@ def frequent_phrases(
     blocks = stored(cut.withColumn("block", F.monotonically_increasing_id()), "phrase-blocks")
     short, long = range(1, min(2, most_words) + 1), range(3, most_words + 1)
     found = _round(blocks, short, least, bool(long))
-    counted = found.where("n_words is not null")
+    columns = ["bucket", "lang", "phrases", "counts"]
+    counted = found.where("bucket is not null").select(*columns)
     if long:
         found = stored(found.withColumn("block", F.monotonically_increasing_id()), "phrase-counts")
-        counted = found.where("n_words is not null").drop("block")
-        counted = counted.unionByName(_round(found.where("n_words is null"), long, least, False))
-    summed = counted.groupBy("lang", "n_words", "phrase").agg(F.sum("occurrences").alias("occurrences"))
-    frequent = stored(summed.where(F.col("occurrences") >= least), "phrases")
+        longer = _round(found.where("bucket is null"), long, least, False)
+        counted = found.where("bucket is not null").select(*columns).unionByName(longer.select(*columns))
+    n_words = F.size(F.split("phrase", " ")).alias("n_words")
+    frequent = stored(_summed(counted, least).select("lang", n_words, "phrase", "occurrences"), "phrases")
     return frequent, blocks.groupBy("lang").agg(F.sum("words").alias("n"))
 
 
