@@ -9,7 +9,7 @@ To pack any number of groups, only a bounded number of vectors is packed in one
 
 * Groups that weigh ``1 / HEAVY`` of a shard or more in any measure; there are at most
   ``3 * HEAVY * shards`` of them. One larger than a shard is first cut into pieces of
-  about ``1 / PIECES`` of a shard by a hash of the id.
+  about ``1 / PIECES`` of a shard by a hash of the row's place in the table, whatever its id.
 * The others are dealt by a hash into parts. Each part packs its own groups by the same
   rule into ``BUNDLES`` bundles, a quarter of which are small. The bundles of all parts
   are then packed like groups.
@@ -58,7 +58,7 @@ def shard_documents(
 
     ``size`` is the number of UTF-8 bytes plus 1, ``slot`` counts from 0 without gaps within
     a shard, in no particular order. Equal texts share a shard unless together they exceed
-    a shard's even share in some measure. NULL text counts as an empty one; NULL or repeated
+    a shard's even share in some measure. Bytes count most in the packing (``WEIGHTS``), so they come out most even. NULL text counts as an empty one; NULL or repeated
     ids are rows like others; an empty table gives no rows. Other columns are not looked at.
     """
     spark = docs.sparkSession
@@ -70,6 +70,8 @@ def shard_documents(
             word_count(text).alias("tokens"),
             F.crc32(text.cast("binary")).alias("text_crc32"),
             F.unhex(F.md5(text.cast("binary"))).alias("digest"),
+            # Written down, so that a row keeps it.
+            F.monotonically_increasing_id().alias("place"),
         ),
         "shard-measured",
     )
@@ -86,8 +88,9 @@ def shard_documents(
 
     # Heavy groups: single ones by their own vector, larger ones by the vectors of their pieces.
     heavy = weighed.where("heavy")
-    cut = heavy.where("pieces > 1").select("digest", "pieces")
-    in_piece = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.col("pieces")).cast("int")
+    # No more than three times as many groups as shards are larger than a shard.
+    cut = F.broadcast(heavy.where("pieces > 1").select("digest", "pieces"))
+    in_piece = F.pmod(F.xxhash64(F.lit(1), "place"), F.col("pieces")).cast("int")
     pieced = (
         measured.join(cut, "digest")
         .withColumn("piece", in_piece)
@@ -119,15 +122,16 @@ def shard_documents(
         "part int, bundle int, light_shard int",
     )
     light_shards = bundled.join(F.broadcast(bundle_shards), ["part", "bundle"]).select("digest", "light_shard")
-    n_pieces = F.broadcast(cut)
-    placed = (
-        measured.join(n_pieces, "digest", "left")
+    dealt_rows = (
+        measured.join(cut, "digest", "left")
         .withColumn("piece", F.coalesce(in_piece, F.lit(0)))
         .join(F.broadcast(heavy_shards), ["digest", "piece"], "left")
-        .join(light_shards, "digest", "left")
-        .select("doc_id", "size", "tokens", "text_crc32", F.coalesce("heavy_shard", "light_shard").alias("shard"))
     )
-    return _with_slots(stored(placed, "shard-placed"), parts)
+    columns = ["doc_id", "size", "tokens", "text_crc32", "place"]
+    # Only rows of light groups, of which none is a large share of all, are shuffled to their shard.
+    of_heavy = dealt_rows.where("heavy_shard is not null").select(*columns, F.col("heavy_shard").alias("shard"))
+    of_light = dealt_rows.where("heavy_shard is null").join(light_shards, "digest").select(*columns, F.col("light_shard").alias("shard"))
+    return _with_slots(stored(of_heavy.unionByName(of_light), "shard-placed"), parts)
 
 
 def _bundle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -147,14 +151,14 @@ def _bundle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _with_slots(placed: DataFrame, parts: int) -> DataFrame:
     """Numbers the rows of each shard: by ranks within slices of it, behind the slices before."""
-    sliced = placed.withColumn("slice", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(parts)).cast("int"))
+    sliced = placed.withColumn("slice", F.pmod(F.xxhash64("place"), F.lit(parts)).cast("int"))
     counts = sliced.groupBy("shard", "slice").agg(F.count(F.lit(1)).alias("n"))
     # One row per shard and slice.
     earlier = Window.partitionBy("shard").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("shard", "slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
-    rank = F.row_number().over(Window.partitionBy("shard", "slice").orderBy("doc_id", "text_crc32", "size"))
+    rank = F.row_number().over(Window.partitionBy("shard", "slice").orderBy("doc_id", "text_crc32", "place"))
     ranked = sliced.withColumn("rank", rank).join(F.broadcast(starts), ["shard", "slice"])
-    return ranked.withColumn("slot", F.col("start") + F.col("rank") - 1).drop("slice", "rank", "start")
+    return ranked.withColumn("slot", F.col("start") + F.col("rank") - 1).drop("slice", "rank", "start", "place")
 
 
 def op1_sharding(spark, sf_dir: str) -> DataFrame:
