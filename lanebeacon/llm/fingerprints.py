@@ -9,6 +9,9 @@ those is exact.
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +19,8 @@ from lanebeacon.llm.common import WORD, ascii_lower, shuffle_partitions, table
 
 K = 128
 WIDTH = 5
+# Rows with one value that are dealt over ranges of their own.
+MANY = 1000
 _SPACE = WORD.replace("^", "")
 _RANGE = float(1 << 64)
 
@@ -79,23 +84,34 @@ def fingerprint_documents(docs: DataFrame, *, text_col: str = "text", k: int = K
     return docs.withColumn("sketch", sketch(F.col(text_col), k=k, width=width))
 
 
-def with_next(docs: DataFrame, order_col: str, carried: list[str]) -> DataFrame:
+def with_next(docs: DataFrame, order_col: str, carried: list[str], *, tie_cols: list[str] | None = None) -> DataFrame:
     """``docs`` with ``next_<name>`` of the next row in descending order of ``order_col``; after the last comes the first.
 
     Rows are dealt into ranges of the order column, and each range's first row is also
     sent to the range before it, where it stands after the last. So every range is
     read by itself, and no more than one row per range is known to the driver. Rows
-    without an order stand last; ties stand in the order of the carried columns.
+    without an order stand last. Ties stand in the order of the carried columns; but where ``MANY`` rows share a
+    value, or have none, they stand in the order of a hash of ``tie_cols`` (by default the carried ones) first, which
+    cuts them into ranges of their own. Only rows that are alike in those too stay in one range.
     """
     spark = docs.sparkSession
-    order = docs.select(order_col)
+    tie = F.xxhash64(*(tie_cols or carried))
+    order = docs.select(F.col(order_col).alias("value"), tie.alias("tie"))
     parts = max(2 * shuffle_partitions(spark), 2)
-    cuts = order.agg(F.percentile_approx(order_col, [i / parts for i in range(1, parts)], 100 * parts)).first()[0] or []
-    cuts = sorted(set(cuts))
+    cut_at = F.percentile_approx("value", [i / parts for i in range(1, parts)], 100 * parts).alias("cuts")
+    found = order.agg(cut_at, F.count_if(F.col("value").isNull()).alias("nulls"), F.count(F.lit(1)).alias("n")).first()
+    often = Counter(found["cuts"] or [])
+    cuts = sorted(often)
+    # A value that is the cut between several parts is that many parts large; range i ends with its rows.
+    copies = {len(cuts) - 1 - i: often[cut] for i, cut in enumerate(cuts) if often[cut] > 1 and often[cut] * found["n"] >= MANY * parts}
+    if found["nulls"] >= MANY:
+        copies[len(cuts) + 1] = math.ceil(parts * found["nulls"] / found["n"])
+    spans = [1 + copies.get(i, 0) for i in range(len(cuts) + 2)]
+    starts = [sum(spans[:i]) for i in range(len(spans))]
     steps = [1 << b for b in reversed(range(max(len(cuts), 1).bit_length()))]
 
-    def range_of(value: Column) -> Column:
-        """Number of cuts above the value, by halving; ``len(cuts) + 1`` for NULL."""
+    def range_of(value: Column, tie: Column) -> Column:
+        """``r, shared``: by number of cuts above the value, by halving, or beyond them for NULL; shared values by their hash within that."""
         if not cuts:
             below = F.lit(0)
         else:
@@ -107,34 +123,46 @@ def with_next(docs: DataFrame, order_col: str, carried: list[str]) -> DataFrame:
                     (n + step <= len(cuts)) & (F.get(bounds, F.least(n + step, F.lit(len(cuts))) - 1) <= value), n + step
                 ).otherwise(n),
             )
-        return F.when(value.isNull(), F.lit(len(cuts) + 1)).otherwise(F.lit(len(cuts)) - below)
+        number = F.when(value.isNull(), F.lit(len(cuts) + 1)).otherwise(F.lit(len(cuts)) - below)
+        share = F.shiftrightunsigned(tie.bitwiseXOR(F.lit(-(1 << 63))), 11).cast("double") / float(1 << 53)
+
+        def within(i: Column) -> Column:
+            more = F.get(F.array(*[F.lit(span - 1) for span in spans]), i)
+            last = F.get(F.array(*[F.lit(cut) for cut in reversed(cuts)], F.lit(None)), i)
+            shared = (more > 0) & (value.isNull() | value.eqNullSafe(last))
+            start = F.get(F.array(*[F.lit(start) for start in starts]), i)
+            return F.struct((start + F.when(shared, 1 + F.floor(share * more).cast("int")).otherwise(0)).alias("r"), shared.alias("shared"))
+
+        return _let(number, within)
 
     # The first row of each range that has any, and the range before it, around the end.
-    firsts = order.groupBy(range_of(F.col(order_col)).alias("r")).agg(F.max(order_col).alias("first")).orderBy("r").collect()
-    heads = [None] * (len(cuts) + 2)
+    placed = order.select(range_of(F.col("value"), F.col("tie"))["r"].alias("r"), "value", "tie")
+    firsts = placed.groupBy("r").agg(F.max(F.struct("value", F.bitwise_not("tie").alias("tie"))).alias("first")).orderBy("r").collect()
+    heads = [(None, None, 0)] * sum(spans)
     for i, row in enumerate(firsts):
-        heads[row["r"]] = (row["first"], firsts[i - 1]["r"])
-    if not firsts:
-        heads = [(None, 0)]
+        heads[row["r"]] = (row["first"]["value"], ~row["first"]["tie"], firsts[i - 1]["r"])
     kind = docs.schema[order_col].dataType
-    first_at = F.array(*[F.lit(head[0] if head else None).cast(kind) for head in heads])
-    before_at = F.array(*[F.lit(head[1] if head else 0) for head in heads])
-    value, own = F.col(f"_row.{order_col}"), F.col("_range")
-    is_first = value.eqNullSafe(F.get(first_at, own))
-    places = F.when(
-        is_first, F.array(F.struct(own.alias("r"), F.lit(False).alias("guest")), F.struct(F.get(before_at, own).alias("r"), F.lit(True).alias("guest")))
-    ).otherwise(F.array(F.struct(own.alias("r"), F.lit(False).alias("guest"))))
-    packed = docs.select(F.struct(*[docs[name] for name in docs.columns]).alias("_row"), range_of(docs[order_col]).alias("_range"))
-    dealt = packed.select("_row", F.explode(places).alias("_at")).select("_row", "_at.r", "_at.guest")
-    in_order = Window.partitionBy("r").orderBy("guest", value.desc_nulls_last(), *[F.col(f"_row.{name}") for name in carried])
-    following = dealt.select("_row", "guest", *[F.lead(f"_row.{name}").over(in_order).alias(f"next_{name}") for name in carried])
-    return following.where("not guest").select("_row.*", *[f"next_{name}" for name in carried])
+    first_at = F.array(*[F.lit(value).cast(kind) for value, _, _ in heads])
+    tie_at = F.array(*[F.lit(tie).cast("bigint") for _, tie, _ in heads])
+    before_at = F.array(*[F.lit(before) for _, _, before in heads])
+    value, own, shared = F.col(f"_row.{order_col}"), F.col("_range.r"), F.col("_range.shared")
+    packed = docs.select(F.struct(*[docs[name] for name in docs.columns]).alias("_row"), tie.alias("_tie"))
+    packed = packed.withColumn("_range", range_of(value, F.col("_tie")))
+    rows = packed.select("_row", own.alias("_at"), F.when(shared, F.col("_tie")).alias("_tie"), F.lit(False).alias("_guest"))
+    # One of the rows that are first in their range, which partial aggregation chooses in each task.
+    is_first = value.eqNullSafe(F.get(first_at, own)) & (~shared | (F.col("_tie") == F.get(tie_at, own)))
+    chosen = F.min_by("_row", F.struct(*[F.col(f"_row.{name}") for name in carried])).alias("_row")
+    firsts_there = packed.where(is_first).groupBy(own.alias("_own")).agg(chosen)
+    guests = firsts_there.select("_row", F.get(before_at, F.col("_own")).alias("_at"), F.lit(None).cast("bigint").alias("_tie"), F.lit(True).alias("_guest"))
+    in_order = Window.partitionBy("_at").orderBy("_guest", value.desc_nulls_last(), "_tie", *[F.col(f"_row.{name}") for name in carried])
+    following = rows.unionByName(guests).select("_row", "_guest", *[F.lead(f"_row.{name}").over(in_order).alias(f"next_{name}") for name in carried])
+    return following.where("not _guest").select("_row.*", *[f"next_{name}" for name in carried])
 
 
 def op9_fingerprints(spark, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness to it and to the next document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    pairs = with_next(fingerprint_documents(docs), "doc_id", ["text", "sketch"])
+    pairs = with_next(fingerprint_documents(docs), "doc_id", ["text", "sketch"], tie_cols=["text"])
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), n - cut), F.substr("next_text", F.lit(1), cut))
@@ -148,4 +176,7 @@ def op9_fingerprints(spark, sf_dir: str) -> DataFrame:
         sketch_text(F.col("edited_sketch")).alias("edited_fingerprint"),
         resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
         resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        distinct_shingles(F.col("sketch")).alias("shingles"),
+        containment(F.col("sketch"), F.col("edited_sketch")).alias("kept_in_edited"),
+        distinct_shingles(merged(F.col("sketch"), F.col("next_sketch"))).alias("shingles_with_next"),
     )
