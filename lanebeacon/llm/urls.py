@@ -34,6 +34,8 @@ COMMON = 1000
 BLOCK = 256
 HELD_OUT = 5
 STEP = 0.005
+# A URL is crowded if it has more than one in so many rows.
+CROWDED = 1000
 
 
 def url_host(url: Column) -> Column:
@@ -166,7 +168,7 @@ def _threshold(scores: DataFrame) -> float:
 def judge_urls(pages: DataFrame, rules=RULES, *, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """``page_id, host, path, rule, score, verdict`` of every row of ``pages``.
 
-    ``rule`` is NULL where none fits; then the models judge, ``allow`` from the threshold on.
+    ``rule`` is NULL where none fits; then the models judge, ``allow`` from the threshold on; with a rule ``score`` is NULL.
     NULL URLs and URLs without ``://`` have an empty host and path and are judged by the
     models as well, which see the whole URL, its scheme, query and fragment too. Ids may be NULL or repeated. Without samples of a class its model is
     uniform and the threshold 0. An empty table gives no rows. Other columns are not looked at.
@@ -181,7 +183,9 @@ def judge_urls(pages: DataFrame, rules=RULES, *, id_col: str = "page_id", url_co
     )
     parted = stored(parted.select("*", rule.alias("rule"), verdict.alias("ruled")), "url-parts")
     urls = parted.groupBy("text").agg(
-        F.count_if(F.col("ruled") == "allow").alias("allowed"), F.count_if(F.col("ruled") == "block").alias("blocked")
+        F.count_if(F.col("ruled") == "allow").alias("allowed"),
+        F.count_if(F.col("ruled") == "block").alias("blocked"),
+        F.count(F.lit(1)).alias("rows"),
     )
     # The id spares the grams the text. It is written down, so it stays the same.
     urls = stored(urls.withColumn("url_id", F.monotonically_increasing_id()), "urls")
@@ -198,7 +202,14 @@ def judge_urls(pages: DataFrame, rules=RULES, *, id_col: str = "page_id", url_co
     scores = stored(_scored(spelled, char_model(seen, order), order, characters).join(urls, "url_id"), "url-scores")
     threshold = _threshold(scores.where(unseen))
     judged = F.when(F.col("score") >= threshold, "allow").otherwise("block")
-    each = parted.join(scores.select("text", "score"), "text", "left")
+    # Rows without a rule need a score. URLs with more than a part of all rows are no more than there are parts.
+    total = scores.agg(F.sum("rows")).first()[0] or 0
+    crowded = scores.where(F.col("rows") * CROWDED > total).select("text", "score")
+    alone = parted.where("ruled is null")
+    hot = alone.join(F.broadcast(crowded), "text")
+    others = alone.join(F.broadcast(crowded.select("text")), "text", "left_anti").join(scores.select("text", "score"), "text", "left")
+    ruled = parted.where("ruled is not null").withColumn("score", F.lit(None).cast("double"))
+    each = hot.unionByName(others).unionByName(ruled)
     return each.select("page_id", "host", "path", "rule", "score", F.coalesce("ruled", judged).alias("verdict"))
 
 
