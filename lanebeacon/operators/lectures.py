@@ -1,14 +1,17 @@
 """Who sat in which lecture: sightings in a booked room within the booked time.
 
-The join is on a room and an interval. Time is cut into buckets on a few levels, each
-``WIDER`` times as wide as the one below. A booking is cut into the widest buckets it
-covers and finer ones at its ends, a few hundred pieces at most however long it is. Sightings
-are reduced to the first and last second of each client per room and bucket, once for each
-level. A piece that covers its bucket, or reaches one end of it, is settled by those; only a
-booking that lies strictly inside one of the finest buckets looks at the seconds, and only
-sightings of rooms and buckets that hold such a booking keep theirs.
-
-Pieces and clients of a room and bucket meet by an equi-join. Crowded rooms and buckets are found by counting:
+The join is on a room and an interval. Time is cut into buckets, and on levels above into cells of one bucket, two,
+four and so on. Each booking stands once, on the level on which it ends in the next cell or the one after that, in
+the cell it begins in. Sightings are reduced to one row per client and spot (a room, level and cell): the last second in the
+cell and the first in the two cells that follow. A client was there if the former is not before the booking or the
+latter not after it. So a booking and a client meet in one spot and in one row, and pairs need not be made distinct,
+nor shuffled, unless a name has several bookings.
+
+A booking within one bucket is settled by the bucket's first and last second if it reaches an end of the bucket; only one
+that lies strictly inside looks at the seconds, and only sightings of rooms and buckets that hold such a
+booking keep theirs, each with the one before it, so that the first second within the booking is the only one to count.
+
+Crowded spots are found by counting:
 those that would make more than their share of all pairs are dealt into as many shares as
 they need, so that no task has to pair up a crowded hour alone.
 """
@@ -18,15 +21,16 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from lanebeacon.functions.rooms import LECTURE_ROOMS, Rules, room_name, without_blanks
 from lanebeacon.functions.time import HOUR, epoch_seconds
 
-# Levels of buckets: the widest spans two thousand years for buckets of a minute.
-WIDER, LEVELS = 64, 6
-# The level of single seconds within the finest buckets.
+# Level 0 is for bookings within one bucket; on level n cells are 2 ** (n - 1) buckets wide. Ten thousand years of seconds
+# need no more.
+LEVELS = 40
+# The level of single seconds within the buckets.
 SECONDS = -1
 SPOT = ["room", "level", "bucket"]
 # A spot is crowded if it makes more pairs than one part in so many per task; that also bounds how many there are.
@@ -73,17 +77,19 @@ def lecture_connections(
     """Per lecture, the connections its attendees made anywhere and at any time.
 
     A client's connections are the distinct times it was seen. The readings are scanned and
-    shuffled once, for both the attendance and the counts, and only attendees are counted.
+    shuffled once, for both the attendance and the counts. The counts join the clients of a spot before those meet
+    the bookings, so that each task adds up its pairs as it makes them.
     Sightings without a router, client or time are left out.
     """
     # With these filters said here, neither branch adds one of its own, and both share one shuffle.
     whole = "did is not null and cid is not null and ts is not null"
     raw = readings.where(whole).select("did", "cid", "ts")
-    seen = raw.distinct()
-    attendance = _attendance(seen, meta, bookings, rules, tz, bucket_seconds, shares, raw)
-    attendees = attendance.select("cid").distinct()
-    per_client = seen.join(attendees, "cid", "left_semi").groupBy("cid").agg(F.count_distinct("ts").alias("connections"))
-    return attendance.join(per_client, "cid").groupBy("name").agg(F.sum("connections").alias("connections"))
+    # A filter on the number of copies, of which there always is one: without it Spark would leave out the step for the
+    # counts alone, as those need none, and scan the readings once more.
+    seen = raw.groupBy("did", "cid", "ts").agg(F.count(F.lit(1)).alias("copies")).where("copies > 0").drop("copies")
+    per_client = seen.groupBy("cid").agg(F.count_distinct("ts").alias("connections"))
+    attendance = _attendance(seen, meta, bookings, rules, tz, bucket_seconds, shares, raw, per_client)
+    return attendance.groupBy("name").agg(F.sum("connections").alias("connections"))
 
 
 def _attendance(
@@ -95,17 +101,37 @@ def _attendance(
     width: int,
     shares: tuple[int, int] | None,
     raw: DataFrame | None = None,
+    per_client: DataFrame | None = None,
 ) -> DataFrame:
-    """``raw`` has the sightings as they are stored, if ``readings`` are not, for the count of crowded spots."""
+    """``raw`` has the sightings as they are stored, if ``readings`` are not, for the count of crowded spots.
+
+    The pairs have the columns of ``per_client``, which is joined by ``cid``.
+    """
     held = _held(bookings, rules, tz)
-    # Only rooms that are booked at all: a semi-join of two small tables keeps other rooms out of every step.
-    rooms = _router_rooms(meta, rules).join(held.select("room").distinct(), "room", "left_semi")
-    seen, stored = (rows.where("ts is not null").join(rooms, "did") for rows in (readings, readings if raw is None else raw))
     pieces = _booking_pieces(bookings, rules, tz, width)
+    # Only rooms that are booked at all, with the levels of their bookings: other rooms are kept out of every step.
+    # A hash of their spots to 64 bits leaves out most spots of rooms that have few bookings.
+    booked = (
+        _located(held, width)
+        .groupBy("room")
+        .agg(F.bit_or(_bit(F.greatest("level", F.lit(0)))).alias("levels"), F.bit_or(_mark()).alias("marks"))
+    )
+    rooms = _router_rooms(meta, rules).join(booked, "room")
+    seen, stored = (rows.where("ts is not null").join(rooms, "did") for rows in (readings, readings if raw is None else raw))
     crowded = _crowded(stored, pieces, width) if shares is None else shares
-    met = _meet(_clients_per_bucket(seen, width, _within_one_bucket(held, width)), pieces, crowded)
-    in_time = (F.col("first") <= F.col("hi")) & (F.col("last") >= F.col("lo"))
-    return met.where(in_time).select("name", "cid").distinct()
+    clients = _clients_per_bucket(seen, width, _within_one_bucket(held, width), per_client)
+    first, last, lo, hi = (F.col(name) for name in ("first", "last", "lo", "hi"))
+    in_time = (
+        F.when(F.col("level") == SECONDS, (first >= lo) & (first <= hi) & F.coalesce(last < lo, F.lit(True)))
+        .when(F.col("level") == 0, (first <= hi) & (last >= lo))
+        .otherwise(F.coalesce(last >= lo, F.lit(False)) | F.coalesce(first <= hi, F.lit(False)))
+    )
+    columns = ["name", "cid"] if per_client is None else ["name", *per_client.columns]
+    once, several = (
+        _meet(clients, pieces.where(which).drop("several"), crowded).where(in_time).select(*columns)
+        for which in (~F.col("several"), F.col("several"))
+    )
+    return once.unionByName(several.distinct())
 
 
 def _router_rooms(meta: DataFrame, rules: Rules | None) -> DataFrame:
@@ -114,29 +140,76 @@ def _router_rooms(meta: DataFrame, rules: Rules | None) -> DataFrame:
     return meta.select("did", room.alias("room")).where("room is not null").distinct()
 
 
-def _clients_per_bucket(seen: DataFrame, width: int, wanted: bytes | None = None) -> DataFrame:
-    """First and last second of each client per room and bucket, for the buckets of every level.
+def _clients_per_bucket(
+    seen: DataFrame, width: int, wanted: bytes | None = None, per_client: DataFrame | None = None
+) -> DataFrame:
+    """One row per client and spot, ``room, level, bucket, cid, first, last``, and the columns of ``per_client``.
 
-    On the wider levels only being there counts, so first and last are 0. On the level of
-    seconds each second is a row of its own, where the filter ``wanted`` lets its room and bucket pass.
+    On level 0 stand the first and last second in the bucket, above the first one in the two cells that follow and the last
+    one in the cell itself, NULL for none. On the level of
+    seconds each second is a row of its own, where the filter ``wanted`` lets its room and bucket pass, and ``last`` is the
+    one before. Columns ``levels`` and ``marks`` have the bits of the levels and spots that a room needs; without them all are made.
     """
     # Naming a value for NULL, though ts is never NULL here, keeps the join from checking it on the raw
     # rows of one branch only; branches that differ could not share a scan.
     bucket = F.coalesce(_floor_div(F.col("ts"), width), F.lit(0).cast("bigint"))
-    offset = F.coalesce((F.col("ts") - bucket * width).cast("int"), F.lit(0))
-    spots = seen.select("room", bucket.alias("bucket"), "cid", offset.alias("first"))
+    second = F.coalesce(F.col("ts").cast("bigint"), F.lit(0).cast("bigint"))
+    spots = seen.select("room", *_needed(seen), bucket.alias("bucket"), "cid", second.alias("first"))
     several = spots if wanted is None else spots.where(_passes(wanted))
-    seconds = several.distinct().select("room", F.lit(SECONDS).alias("level"), "bucket", "cid", "first", F.col("first").alias("last"))
-    finest = spots.groupBy("room", "bucket", "cid").agg(F.max("first").alias("last"), F.min("first").alias("first"))
-    levels = F.array(
-        F.struct(F.lit(0).alias("level"), F.col("bucket"), F.col("first"), F.col("last")),
-        *[
-            F.struct(F.lit(level).alias("level"), F.coalesce(_floor_div(F.col("bucket"), WIDER**level), F.lit(0).cast("bigint")).alias("bucket"), F.lit(0).alias("first"), F.lit(0).alias("last"))
-            for level in range(1, LEVELS)
-        ],
+    before = F.lag("first").over(Window.partitionBy("room", "bucket", "cid").orderBy("first"))
+    seconds = several.select("room", "bucket", "cid", "first").distinct().withColumn("last", before)
+    finest = spots.groupBy("room", "bucket", "cid").agg(
+        F.max("levels").alias("levels"), F.max("marks").alias("marks"), F.min("first").alias("first"), F.max("first").alias("last")
     )
-    each = finest.select("room", "cid", F.inline(levels)).select("room", "level", "bucket", "cid", "first", "last")
-    return each.distinct().unionByName(seconds)
+    if per_client is not None:
+        seconds, finest = seconds.join(per_client, "cid"), finest.join(per_client, "cid")
+    more = [name for name in finest.columns if name not in ("room", "levels", "marks", "bucket", "cid", "first", "last")]
+    # All cells of a client in a room are in one task, so that the levels above need no shuffle.
+    together = finest.repartition(_tasks(seen), "room", "cid")
+    each = together.select("room", "marks", "cid", *more, "bucket", "first", "last", F.explode(_set_bits(F.col("levels"))).alias("level"))
+    none = F.lit(None).cast("bigint")
+    cell = _cell(F.col("bucket"), F.col("level"))
+    around = F.array(
+        F.struct(cell.alias("bucket"), none.alias("first"), F.col("last").alias("last")),
+        *[F.struct((cell - back).alias("bucket"), F.col("first").alias("first"), none.alias("last")) for back in (1, 2)],
+    )
+    itself = F.array(F.struct("bucket", "first", "last"))
+    cells = each.select("room", "marks", "cid", *more, "level", F.inline(F.when(F.col("level") == 0, itself).otherwise(around)))
+    merged = cells.where(_marked()).groupBy("room", "level", "bucket", "cid", *more).agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    return merged.unionByName(seconds.withColumn("level", F.lit(SECONDS)))
+
+
+def _tasks(rows: DataFrame) -> int:
+    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _bit(level: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), level)
+
+
+def _mark() -> Column:
+    """One of 64 bits for a level and bucket."""
+    return _bit(F.pmod(F.xxhash64("level", "bucket"), F.lit(64)).cast("int"))
+
+
+def _marked() -> Column:
+    return F.col("marks").bitwiseAND(_mark()) != 0
+
+
+def _needed(seen: DataFrame) -> list[Column]:
+    """The bits of the levels and of the spots that a room needs, all of them where ``seen`` has none."""
+    every = {"levels": (1 << LEVELS) - 1, "marks": -1}
+    return [F.col(name) if name in seen.columns else F.lit(bits).cast("bigint").alias(name) for name, bits in every.items()]
+
+
+def _set_bits(levels: Column) -> Column:
+    every = F.sequence(F.lit(0), F.lit(LEVELS - 1))
+    return F.filter(every, lambda level: levels.bitwiseAND(_bit(level)) != 0)
+
+
+def _cell(bucket: Column, level: Column) -> Column:
+    """Cell of a bucket on a level above 0; the shift rounds down also below zero."""
+    return F.call_function("shiftright", bucket, level - 1)
 
 
 def _floor_div(value: Column, by: Column | int) -> Column:
@@ -208,11 +281,21 @@ def _crowded(seen: DataFrame, pieces: DataFrame, width: int) -> list[Crowd]:
     Sightings are merged to one count per room and bucket in each task. There are ``PARTS_PER_TASK`` parts for each task, so no
     more than that many spots can have more than a part, and only those are brought to the driver.
     """
-    parts = PARTS_PER_TASK * int(seen.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    finest = seen.groupBy("room", _floor_div(F.col("ts"), width).alias("bucket")).agg(F.count(F.lit(1)).alias("clients"))
-    levels = [F.struct(F.lit(0).alias("level"), F.col("bucket")), F.struct(F.lit(SECONDS).alias("level"), F.col("bucket"))]
-    levels += [F.struct(F.lit(level).alias("level"), _floor_div(F.col("bucket"), WIDER**level).alias("bucket")) for level in range(1, LEVELS)]
-    there = finest.select("room", "clients", F.inline(F.array(*levels))).groupBy(*SPOT).agg(F.sum("clients").alias("clients"))
+    parts = PARTS_PER_TASK * _tasks(seen)
+    found_in = seen.select("room", *_needed(seen), _floor_div(F.col("ts"), width).alias("bucket"))
+    finest = found_in.groupBy("room", "bucket").agg(
+        F.max("levels").alias("levels"), F.max("marks").alias("marks"), F.count(F.lit(1)).alias("clients")
+    )
+    # No spot has more pairs than its room.
+    in_room = finest.groupBy("room").agg(F.sum("clients").cast("double").alias("in_room"))
+    of_room = pieces.groupBy("room").agg(F.count(F.lit(1)).alias("of_room"))
+    busy = in_room.join(of_room, "room").where(F.col("in_room") * F.col("of_room") > FEW_PAIRS).select("room")
+    each = finest.join(busy, "room", "left_semi").withColumn("level", F.explode(_set_bits(F.col("levels"))))
+    cell = _cell(F.col("bucket"), F.col("level"))
+    spot = F.when(
+        F.col("level") == 0, F.array(*[F.struct(F.lit(level).alias("level"), F.col("bucket")) for level in (0, SECONDS)])
+    ).otherwise(F.array(*[F.struct(F.col("level"), (cell - back).alias("bucket")) for back in (0, 1, 2)]))
+    there = each.select("room", "marks", "clients", F.inline(spot)).where(_marked()).groupBy(*SPOT).agg(F.sum("clients").alias("clients"))
     booked = pieces.groupBy(*SPOT).agg(F.count(F.lit(1)).alias("bookings"))
     pairs = F.col("clients").cast("double") * F.col("bookings")
     total = Observation()
@@ -233,61 +316,38 @@ def _crowded(seen: DataFrame, pieces: DataFrame, width: int) -> list[Crowd]:
 
 
 def _booking_pieces(bookings: DataFrame, rules: Rules | None, tz: str, width: int) -> DataFrame:
-    """Pieces ``name, room, level, bucket, lo, hi`` of all bookings, ``lo`` to ``hi`` being the seconds covered.
+    """The spot of each booking, ``name, room, level, bucket, lo, hi``, and whether its name has ``several``."""
+    held = _located(_held(bookings, rules, tz), width).withColumn("key", F.xxhash64("name"))
+    # Names that share a hash count as one, which costs time only: their pairs are made distinct.
+    names = held.groupBy("key").agg((F.count(F.lit(1)) > 1).alias("several"))
+    # As an array's element a spot is no constant to the optimizer, even if all bookings have the same: the join keeps its
+    # keys, and with them the partitioning asked for.
+    spot = F.struct("level", "bucket", F.col("start").alias("lo"), F.col("end").alias("hi"))
+    return held.join(names, "key").select("name", "room", "several", F.inline(F.array(spot)))
 
-    On each level stand the buckets that are covered in full but not by a
-    covered one of the level above, at the finest also those in which the booking begins and ends.
-    """
-    held = _held(bookings, rules, tz)
-    start, end = F.col("start"), F.col("end")
-    # Few bytes become many pieces: adaptive execution would leave them all to one task.
-    n = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    held = held.repartition(n, "name", "room")
-    pieces = []
-    begin, last = _floor_div(start, width), _floor_div(end, width)
-    for level in range(LEVELS):
-        size = width * WIDER**level
-        # Buckets from a up to but without b are covered in full, of the next level those from c to d.
-        a, b = -_floor_div(-start, size), _floor_div(end + 1, size)
-        c, d = -_floor_div(-start, size * WIDER), _floor_div(end + 1, size * WIDER)
-        none = F.array().cast("array<bigint>")
-
-        def run(low: Column, high: Column) -> Column:
-            return F.when(low < high, F.sequence(low, high - 1)).otherwise(none)
-
-        if level == LEVELS - 1:
-            covered = run(a, b)
-        else:
-            around = F.concat(run(a, c * WIDER), run(d * WIDER, b))
-            covered = F.when(c < d, around).otherwise(run(a, b))
-        # Most bookings are shorter than the wider buckets.
-        covered = F.when(end - start >= size - 1, covered).otherwise(none)
-        full = F.transform(
-            covered, lambda x: F.struct(F.lit(level).alias("level"), x.alias("bucket"), F.lit(0).alias("lo"), F.lit(width - 1).alias("hi"))
-        )
-        pieces.append(full)
 
-    def partial(bucket: Column) -> Column:
-        lo = F.greatest(start - bucket * width, F.lit(0).cast("bigint")).cast("int")
-        hi = F.least(end - bucket * width, F.lit(width - 1).cast("bigint")).cast("int")
-        # A booking that lies strictly inside one of the finest buckets looks at the seconds.
-        level = F.when((lo > 0) & (hi < width - 1), SECONDS).otherwise(0)
-        return F.struct(level.alias("level"), bucket.alias("bucket"), lo.alias("lo"), hi.alias("hi"))
+def _located(held: DataFrame, width: int) -> DataFrame:
+    """Bookings with their level and the cell in which they begin.
 
-    ends = F.filter(
-        F.array_distinct(F.array(partial(begin), partial(last))), lambda x: (x["lo"] > 0) | (x["hi"] < width - 1)
-    )
-    return held.select("name", "room", F.inline(F.concat(ends, *pieces)))
+    Over n > 0 buckets' borders a booking is on the level of the widest cells that n buckets fill: it ends one or two further.
+    """
+    start, end = F.col("start"), F.col("end")
+    begin, borders = _floor_div(start, width), _floor_div(end, width) - _floor_div(start, width)
+    inside = (F.pmod(start, F.lit(width)) > 0) & (F.pmod(end, F.lit(width)) < width - 1)
+    level = F.when(borders > 0, F.length(F.bin(borders))).otherwise(F.when(inside, SECONDS).otherwise(0))
+    located = held.withColumns({"begin": begin, "level": level})
+    cell = F.when(F.col("level") > 0, _cell(F.col("begin"), F.col("level"))).otherwise(F.col("begin"))
+    return located.withColumn("bucket", cell).drop("begin")
 
 
 def _meet(clients: DataFrame, pieces: DataFrame, shares: tuple[int, int] | list[Crowd]) -> DataFrame:
     """Clients and pieces of the same room and bucket.
 
     Both are dealt into shares, all spots into the same ``shares`` or only those of a list, and every share of one meets
-    every share of the other by itself. Neither side is broadcast: Spark's estimate does not see how far bookings are cut
-    up. The partitioning is asked for by number, so adaptive execution does not merge the shares of a crowded spot again.
+    every share of the other by itself. Neither side is broadcast: Spark's estimate does not see how many rows clients
+    become. The partitioning is asked for by number, so adaptive execution does not merge the shares of a crowded spot again.
     """
-    n = int(clients.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = _tasks(clients)
     if isinstance(shares, list) and not shares:
         return pieces.repartition(n, *SPOT).hint("merge").join(clients.repartition(n, *SPOT), SPOT)
     if isinstance(shares, list):

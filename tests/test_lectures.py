@@ -253,3 +253,36 @@ def test_rooms_without_a_booking_are_left_out_early(sightings, meta, table):
     rooms = lectures._router_rooms(meta, LECTURE_ROOMS).join(lectures._held(booked, LECTURE_ROOMS, "UTC").select("room").distinct(), "room", "left_semi")
     assert found(rooms, "did") == [("r1",), ("r2",)]
     assert found(ops.lecture_attendance(seen, meta, booked)) == [("Maths", "a")]
+
+
+def test_a_booking_and_a_client_meet_once(spark):
+    """However long the booking and however often the client is seen: the pairs need no step that makes them distinct."""
+    seen = spark.range(200).selectExpr("'A' as room", "concat('c', id % 4) as cid", f"{epoch(at(0))} + id * 400 as ts")
+    held = spark.createDataFrame([("day", "A", at(0, 30), at(20)), ("hours", "A", at(3, 10), at(7, 5)), ("short", "A", at(9, 5), at(9, 50))], BOOKED)
+    pieces = lectures._booking_pieces(held, None, "UTC", 3600)
+    met = lectures._meet(lectures._clients_per_bucket(seen, 3600), pieces, (1, 1)).where(f"level != {lectures.SECONDS}")
+    assert found(met, "name", "cid") == [(name, f"c{i}") for name in ("day", "hours") for i in range(4)]
+    assert pieces.count() == 3
+
+
+@pytest.mark.parametrize("name", ["if(id % 3 = 0, null, concat('l', id % 7))", "concat('l', id)"])
+def test_names_with_several_bookings_and_unnamed_ones(spark, name):
+    seen = spark.range(300).selectExpr("concat('r', id % 2) as did", "if(id % 11 = 0, null, concat('c', id % 5)) as cid", f"{epoch(at(8))} + id * 37 as ts")
+    held = spark.range(30).selectExpr(
+        f"{name} as name",
+        "concat('r', id % 2) as room",
+        "timestamp_ntz'2017-10-02 08:00:00' + make_interval(0, 0, 0, 0, 0, cast(id * 5 as int), 7) as start_ts",
+        "timestamp_ntz'2017-10-02 08:00:00' + make_interval(0, 0, 0, 0, 0, cast(id * 5 + 1 + id % 9 * 20 as int), 0) as end_ts",
+    )
+    meta = spark.sql("select 'r0' as did, 'r0' as location union all select 'r1', 'r1'")
+    rows = [(row.did, row.cid, row.ts) for row in seen.collect()]
+    expected = {
+        (b.name, cid) for b in held.collect() for did, cid, ts in rows if did == b.room and epoch(b.start_ts) <= ts <= epoch(b.end_ts)
+    }
+    assert found(ops.lecture_attendance(seen, meta, held, rules=None)) == sorted(expected, key=repr)
+    times = {cid: len({ts for _, c, ts in rows if c == cid}) for _, cid, _ in rows if cid is not None}
+    sums = {}
+    for one, cid in expected:
+        if cid is not None:
+            sums[one] = sums.get(one, 0) + times[cid]
+    assert found(ops.lecture_connections(seen, meta, held, rules=None)) == sorted(sums.items(), key=repr)
