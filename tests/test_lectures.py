@@ -286,3 +286,12 @@ def test_names_with_several_bookings_and_unnamed_ones(spark, name):
         if cid is not None:
             sums[one] = sums.get(one, 0) + times[cid]
     assert found(ops.lecture_connections(seen, meta, held, rules=None)) == sorted(sums.items(), key=repr)
+
+
+def test_counts_join_clients_and_not_pairs(spark):
+    """A task adds up its pairs itself: above the join with the bookings no pair is shuffled by its client."""
+    seen, rooms, held = crowd(spark)
+    plan = ops.lecture_connections(seen, rooms, held, rules=None, shares=(1, 1))._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    meeting = min(i for i, line in enumerate(lines) if "Join Inner" in line and "strategy=merge" in line)
+    assert not any("Join" in line for line in lines[:meeting])
