@@ -295,3 +295,13 @@ def test_counts_join_clients_and_not_pairs(spark):
     lines = plan.splitlines()
     meeting = min(i for i, line in enumerate(lines) if "Join Inner" in line and "strategy=merge" in line)
     assert not any("Join" in line for line in lines[:meeting])
+
+
+def test_clients_stand_only_in_cells_their_room_may_need(spark):
+    seen = spark.range(100).selectExpr("'A' as room", "concat('c', id % 3) as cid", f"{epoch(at(0))} + id * 3000 as ts")
+    held = spark.createDataFrame([("short", "A", at(3, 10), at(5, 5))], BOOKED)
+    needed = lectures._located(lectures._held(held, None, "UTC"), 3600).select(lectures._bit(F.col("level")).alias("levels"), lectures._mark().alias("marks"))
+    every, some = lectures._clients_per_bucket(seen, 3600, bytes(8)), lectures._clients_per_bucket(seen.crossJoin(needed), 3600, bytes(8))
+    pieces = lectures._booking_pieces(held, None, "UTC", 3600)
+    assert some.count() < every.count() / 100
+    assert found(lectures._meet(some, pieces, (1, 1))) == found(lectures._meet(every, pieces, (1, 1)))
