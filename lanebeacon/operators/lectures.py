@@ -118,7 +118,9 @@ def _attendance(
     )
     rooms = _router_rooms(meta, rules).join(booked, "room")
     seen, stored = (rows.where("ts is not null").join(rooms, "did") for rows in (readings, readings if raw is None else raw))
-    crowded = _crowded(stored, pieces, width) if shares is None else shares
+    if shares is None:
+        may_be = _may_be_crowded(readings if raw is None else raw, meta, bookings, rules)
+        shares = _crowded(stored, pieces, width) if may_be else []
     clients = _clients_per_bucket(seen, width, _within_one_bucket(held, width), per_client)
     first, last, lo, hi = (F.col(name) for name in ("first", "last", "lo", "hi"))
     in_time = (
@@ -128,7 +130,7 @@ def _attendance(
     )
     columns = ["name", "cid"] if per_client is None else ["name", *per_client.columns]
     once, several = (
-        _meet(clients, pieces.where(which).drop("several"), crowded).where(in_time).select(*columns)
+        _meet(clients, pieces.where(which).drop("several"), shares).where(in_time).select(*columns)
         for which in (~F.col("several"), F.col("several"))
     )
     return once.unionByName(several.distinct())
@@ -218,17 +220,20 @@ def _floor_div(value: Column, by: Column | int) -> Column:
     return F.call_function("div", value - F.pmod(value, by), by)
 
 
+def _booked_room(rules: Rules | None) -> Column:
+    booked = F.col("room")
+    return booked if rules is None else room_name(without_blanks(booked), rules)
+
+
 def _held(bookings: DataFrame, rules: Rules | None, tz: str) -> DataFrame:
     """``name, room, start, end`` of the bookings, in epoch seconds.
 
     A booking stands once per room and lecturer and may stand in several files: its copies are merged.
     """
-    booked = F.col("room")
-    room = booked if rules is None else room_name(without_blanks(booked), rules)
     return (
         bookings.select(
             "name",
-            room.alias("room"),
+            _booked_room(rules).alias("room"),
             epoch_seconds(F.col("start_ts"), tz).alias("start"),
             epoch_seconds(F.col("end_ts"), tz).alias("end"),
         )
@@ -275,6 +280,22 @@ class Crowd:
     bookings: int
 
 
+def _may_be_crowded(readings: DataFrame, meta: DataFrame, bookings: DataFrame, rules: Rules | None) -> bool:
+    """Whether the most sightings of a room and the most bookings of one, copies included, make more than a few pairs.
+
+    No spot has more pairs than its room, so otherwise none is crowded, and two numbers are enough to know it.
+    """
+    of_router = readings.where("ts is not null").groupBy("did").agg(F.count(F.lit(1)).alias("seen"))
+    in_room = of_router.join(_router_rooms(meta, rules), "did").groupBy("room").agg(F.sum("seen").alias("seen"))
+    seen = in_room.agg(F.max("seen")).first()[0] or 0
+    # Where a room has that many sightings, one booking is enough: the bookings need not be read for it.
+    if seen > FEW_PAIRS:
+        return True
+    rooms = bookings.select(_booked_room(rules).alias("room")).where("room is not null")
+    held = rooms.groupBy("room").agg(F.count(F.lit(1)).alias("held")).agg(F.max("held")).first()[0] or 0
+    return seen * held > FEW_PAIRS
+
+
 def _crowded(seen: DataFrame, pieces: DataFrame, width: int) -> list[Crowd]:
     """Spots with more than their part of all pairs of sightings and pieces, and the shares they are dealt into.
 

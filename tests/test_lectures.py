@@ -305,3 +305,28 @@ def test_clients_stand_only_in_cells_their_room_may_need(spark):
     pieces = lectures._booking_pieces(held, None, "UTC", 3600)
     assert some.count() < every.count() / 100
     assert found(lectures._meet(some, pieces, (1, 1))) == found(lectures._meet(every, pieces, (1, 1)))
+
+
+def test_spots_are_only_counted_where_a_room_may_be_crowded(spark, monkeypatch):
+    """Two numbers bound the pairs of every room; the counts per room and bucket are left out where those are few."""
+    counted = []
+    count = lectures._crowded
+    monkeypatch.setattr(lectures, "_crowded", lambda *args: counted.append(True) or count(*args))
+    seen, rooms, held = crowd(spark)
+    expected = found(ops.lecture_attendance(seen, rooms, held, rules=None, shares=(1, 1)))
+    monkeypatch.setattr(lectures, "FEW_PAIRS", 10**9)
+    assert found(ops.lecture_attendance(seen, rooms, held, rules=None)) == expected and not counted
+    monkeypatch.setattr(lectures, "FEW_PAIRS", 10)
+    assert found(ops.lecture_attendance(seen, rooms, held, rules=None)) == expected and counted
+
+
+@pytest.mark.parametrize("n, copies, may_be", [(5, 1, False), (6, 1, True), (2, 3, True)])
+def test_a_room_may_be_crowded(spark, monkeypatch, n, copies, may_be):
+    """Sightings of all routers of a room count, untimed and unlisted ones do not; copies of bookings do."""
+    monkeypatch.setattr(lectures, "FEW_PAIRS", 5)
+    seen = spark.sql(f"select if(id % 2 = 0, 'r1', 'r2') as did, 'c' as cid, id as ts from range({n}) union all select 'r1', 'c', null from range(9) union all select 'r9', 'c', 1 from range(9)")
+    rooms = spark.createDataFrame([("r1", "A"), ("r2", "A"), ("r3", None)], "did string, location string")
+    held = spark.createDataFrame([("one", "A", at(0), at(1))] * copies + [("none", None, at(0), at(1))] * 9, BOOKED)
+    assert lectures._may_be_crowded(seen, rooms, held, None) == may_be
+    empty = held.where("false")
+    assert lectures._may_be_crowded(seen, rooms, empty, None) == (n > 5)
