@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
@@ -94,15 +94,20 @@ def customer_rooms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lectures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as bookings of the customer's room, 30 minutes to 8 hours long."""
+    return table(spark, sf_dir, "orders").select(*_lecture_columns())
+
+
+def _lecture_columns() -> list[Column]:
+    """Name, room, start and end of an order's lecture."""
     first = F.expr("(o_orderkey % 700) * 3600 + (o_custkey % 60) * 60")
     length = F.expr("1800 + (o_orderkey % 451) * 60")
     epoch = int(datetime(2024, 1, 1, tzinfo=timezone.utc).timestamp())
-    return table(spark, sf_dir, "orders").select(
+    return [
         F.col("o_orderkey").cast("string").alias("name"),
         F.expr("concat('Customer#', lpad(cast(o_custkey as string), 9, '0'))").alias("room"),
         local_time(epoch + first).alias("start_ts"),
         local_time(epoch + first + length).alias("end_ts"),
-    )
+    ]
 
 
 def bookings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,11 +164,11 @@ def auditorium_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def auditorium_lectures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lectures, a quarter of them in an auditorium as people write it."""
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").cast("string").alias("name"),
-        F.expr("if(o_custkey % 20 < 5, concat('Aud ', o_custkey % 20, ', door A'), 'Lab 7')").alias("room"),
-    )
-    return lectures(spark, sf_dir).drop("room").join(orders, "name")
+    # Only the keys are joined; names and times are made from them afterwards.
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    rooms = orders.select("o_orderkey", F.expr("if(o_custkey % 20 < 5, concat('Aud ', o_custkey % 20, ', door A'), 'Lab 7')").alias("room"))
+    name, _, start_ts, end_ts = _lecture_columns()
+    return orders.join(rooms, "o_orderkey").select(name, start_ts, end_ts, "room")
 
 
 def fcd_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

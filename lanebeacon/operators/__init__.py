@@ -2,7 +2,7 @@
 
 from lanebeacon.operators.heatmap import heatmap_density
 from lanebeacon.operators.lanes import cars_per_lane, edge_traffic, lane_zipper, parse_lanes
-from lanebeacon.operators.lectures import lecture_attendance, lecture_connections
+from lanebeacon.operators.lectures import booked_times, lecture_attendance, lecture_connections
 from lanebeacon.operators.reshape import clean_locations, device_sightings, explode_bookings, flatten_readings
 from lanebeacon.operators.traces import split_persons, split_traces, split_vehicles
 from lanebeacon.operators.vehicles import timestep_count, vehicles_per_lane, vehicles_per_timestep
@@ -15,6 +15,7 @@ from lanebeacon.operators.wifi_views import (
 )
 
 __all__ = [
+    "booked_times",
     "cars_per_lane",
     "clean_locations",
     "client_hours",

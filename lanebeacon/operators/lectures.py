@@ -43,6 +43,15 @@ FEW_PAIRS = 100_000
 FILTER_BITS = 1 << 18
 
 
+def booked_times(bookings: DataFrame, rules: Rules | None = LECTURE_ROOMS, *, tz: str = "UTC") -> DataFrame:
+    """``name, room, start, end`` of the bookings in rooms of ``rules``, distinct and in epoch seconds.
+
+    The other operators take them in place of the bookings, which they look at several times: written down, they spare
+    each time what the bookings are made from. ``rules`` and ``tz`` were applied here and change them no more.
+    """
+    return _held(bookings, rules, tz)
+
+
 def lecture_attendance(
     readings: DataFrame,
     meta: DataFrame,
@@ -60,6 +69,7 @@ def lecture_attendance(
     ``tz`` is the zone the booking times are written in. Sightings and bookings are counted per room and bucket
     when the function is called, and crowded ones are dealt into shares of clients and of bookings, each
     pair of which is joined by itself; ``shares`` deals all of them into that many instead, without counting.
+    ``bookings`` may also be ``booked_times`` of them.
     """
     return _attendance(readings.select("did", "cid", "ts"), meta, bookings, rules, tz, bucket_seconds, shares)
 
@@ -79,7 +89,7 @@ def lecture_connections(
     A client's connections are the distinct times it was seen. The readings are scanned and
     shuffled once, for both the attendance and the counts. The counts join the clients of a spot before those meet
     the bookings, so that each task adds up its pairs as it makes them.
-    Sightings without a router, client or time are left out.
+    Sightings without a router, client or time are left out. ``bookings`` may also be ``booked_times`` of them.
     """
     # With these filters said here, neither branch adds one of its own, and both share one shuffle.
     whole = "did is not null and cid is not null and ts is not null"
@@ -220,9 +230,14 @@ def _floor_div(value: Column, by: Column | int) -> Column:
     return F.call_function("div", value - F.pmod(value, by), by)
 
 
-def _booked_room(rules: Rules | None) -> Column:
+def _are_times(bookings: DataFrame) -> bool:
+    """Whether they are ``booked_times`` already."""
+    return "start_ts" not in bookings.columns
+
+
+def _booked_room(bookings: DataFrame, rules: Rules | None) -> Column:
     booked = F.col("room")
-    return booked if rules is None else room_name(without_blanks(booked), rules)
+    return booked if rules is None or _are_times(bookings) else room_name(without_blanks(booked), rules)
 
 
 def _held(bookings: DataFrame, rules: Rules | None, tz: str) -> DataFrame:
@@ -230,10 +245,12 @@ def _held(bookings: DataFrame, rules: Rules | None, tz: str) -> DataFrame:
 
     A booking stands once per room and lecturer and may stand in several files: its copies are merged.
     """
+    if _are_times(bookings):
+        return bookings.select("name", "room", "start", "end")
     return (
         bookings.select(
             "name",
-            _booked_room(rules).alias("room"),
+            _booked_room(bookings, rules).alias("room"),
             epoch_seconds(F.col("start_ts"), tz).alias("start"),
             epoch_seconds(F.col("end_ts"), tz).alias("end"),
         )
@@ -291,7 +308,7 @@ def _may_be_crowded(readings: DataFrame, meta: DataFrame, bookings: DataFrame, r
     # Where a room has that many sightings, one booking is enough: the bookings need not be read for it.
     if seen > FEW_PAIRS:
         return True
-    rooms = bookings.select(_booked_room(rules).alias("room")).where("room is not null")
+    rooms = bookings.select(_booked_room(bookings, rules).alias("room")).where("room is not null")
     held = rooms.groupBy("room").agg(F.count(F.lit(1)).alias("held")).agg(F.max("held")).first()[0] or 0
     return seen * held > FEW_PAIRS
 

@@ -8,6 +8,8 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables.
@@ -25,6 +27,21 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile the shuffle files of a query go when it ends, and not when the driver happens to collect its garbage.
+
+    For runs that write one table after another, whose shuffles would otherwise all stay on the executors' disks until
+    the last is written. A DataFrame that is run a second time meanwhile has to make its shuffles anew.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 @contextmanager
 def written_once(rows: DataFrame, name: str) -> Iterator[DataFrame]:
     """``rows`` as a table in the shared folder, for results that several writes are made from; gone afterwards."""

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lanebeacon import operators as ops
 from lanebeacon.functions.rooms import AUDITORIUMS, LECTURE_ROOMS, Rules
-from lanebeacon.plans.shared import written_once
+from lanebeacon.plans.shared import shuffles_removed, written_once
 from lanebeacon.schemas import BOOKINGS
 from lanebeacon.sinks import write_master, write_view
 from lanebeacon.sources import read_bookings_json, read_meta_json, read_readings_json
@@ -150,15 +150,19 @@ def write_wifi_views(
 
     The readings are scanned once, into hours per client that are kept next to the
     views; the first three views start from there. With ``bookings`` the connections per
-    lecture are written too, which look at the readings again. ``rooms`` and ``lecture_rooms`` are the rules
+    lecture are written too, which look at the readings again and at the times of the bookings several times; those are
+    kept next to the views as well. ``rooms`` and ``lecture_rooms`` are the rules
     of the occupancy and of the lectures.
     """
-    hours_path = f"{target}/client_hours"
-    write_master(ops.client_hours(readings), hours_path, mode="overwrite")
-    views_from_hours(readings.sparkSession.read.parquet(hours_path), meta, target, tz=tz, rooms=rooms)
-    if bookings is not None:
-        connections = ops.lecture_connections(readings, meta, bookings, lecture_rooms, tz=tz)
-        write_view(connections, f"{target}/lecture_connections", columns=CONNECTION_TITLES)
+    spark = readings.sparkSession
+    hours_path, times_path = f"{target}/client_hours", f"{target}/booked_times"
+    with shuffles_removed(spark):
+        write_master(ops.client_hours(readings), hours_path, mode="overwrite")
+        views_from_hours(spark.read.parquet(hours_path), meta, target, tz=tz, rooms=rooms)
+        if bookings is not None:
+            write_master(ops.booked_times(bookings, lecture_rooms, tz=tz), times_path, mode="overwrite")
+            connections = ops.lecture_connections(readings, meta, spark.read.parquet(times_path), lecture_rooms, tz=tz)
+            write_view(connections, f"{target}/lecture_connections", columns=CONNECTION_TITLES)
 
 
 def views_from_hours(hours: DataFrame, meta: DataFrame, target: str, *, tz: str = "UTC", rooms: Rules = AUDITORIUMS) -> None:
@@ -168,5 +172,6 @@ def views_from_hours(hours: DataFrame, meta: DataFrame, target: str, *, tz: str
         "room_occupancy": (ops.room_occupancy_hourly(hours, meta, rooms, tz=tz), OCCUPANCY_TITLES),
         "signal_quality": (ops.signal_quality_profile(hours, meta, tz=tz), QUALITY_TITLES),
     }
-    for name, (view, titles) in views.items():
-        write_view(view, f"{target}/{name}", columns=titles)
+    with shuffles_removed(hours.sparkSession):
+        for name, (view, titles) in views.items():
+            write_view(view, f"{target}/{name}", columns=titles)

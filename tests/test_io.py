@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import os
+import time
 from datetime import date, datetime
 from pathlib import Path
 
@@ -14,7 +15,7 @@ import round_trips
 from lanebeacon import operators as ops
 from lanebeacon import schemas, sources
 from lanebeacon.plans import traffic, wifi
-from lanebeacon.plans.shared import shared_folder
+from lanebeacon.plans.shared import SHUFFLE_CLEANUP, shared_folder
 from lanebeacon.sinks import write_master, write_view
 from lanebeacon.sources.files import file_day
 from lanebeacon.streaming import stream_bookings, stream_readings
@@ -280,6 +281,37 @@ def test_wifi_views_as_reports(spark, tmp_path):
     assert found(spark.read.csv(str(tmp_path / "lecture_connections"), header=True)) == [("Maths", "1")]
 
 
+def test_wifi_views_make_their_bookings_once_and_leave_no_shuffles(spark, tmp_path):
+    """What bookings are made from is run once, and the shuffles of each view go with it."""
+    made = spark.sparkContext.accumulator(0)
+
+    def lecture(number):
+        made.add(1)
+        return f"l{number}"
+
+    named = F.udf(lecture).asNondeterministic()
+    readings = spark.range(200).selectExpr("'r1' as did", "concat('c', id % 9) as cid", "1506816000 + id as ts", "'-60' as rssi", "'20' as snRatio")
+    meta = spark.createDataFrame([("r1", "aud1")], schemas.META)
+    times = ["timestamp_ntz'2017-10-01 00:00:00' + make_dt_interval(0, 0, 0, id) as start_ts", "timestamp_ntz'2017-10-01 02:00:00' as end_ts"]
+    bookings = spark.range(3).select(named("id").alias("name"), F.lit("Aud 1").alias("room"), *map(F.expr, times))
+    setting = spark.conf.get(SHUFFLE_CLEANUP, None)
+    before = set(shuffle_files(spark))
+    wifi.write_wifi_views(readings, meta, str(tmp_path), bookings=bookings)
+    assert made.value == 3 and spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+    assert found(spark.read.csv(str(tmp_path / "lecture_connections"), header=True)) == [(f"l{n}", "200") for n in range(3)]
+    # They are removed in the background.
+    until = time.monotonic() + 20
+    while (left := set(shuffle_files(spark)) - before) and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not left
+
+
+def shuffle_files(spark) -> list[str]:
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [files.apply(n).getName() for n in range(files.size())]
+    return [name for name in names if name.startswith("shuffle_")]
+
+
 def test_traffic_views_as_reports(spark, tmp_path):
     vehicle = spark.createDataFrame([(f"{edge}_{lane}",) for edge in range(5) for lane in range(edge)], "vehicle_lane string")
     traffic.write_traffic_views(vehicle, str(tmp_path))

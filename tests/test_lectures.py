@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from conftest import executed_plan, found
 
+import bindings
 from lanebeacon import operators as ops
 from lanebeacon.functions.rooms import LECTURE_ROOMS
 from lanebeacon.operators import lectures
@@ -330,3 +331,31 @@ def test_a_room_may_be_crowded(spark, monkeypatch, n, copies, may_be):
     assert lectures._may_be_crowded(seen, rooms, held, None) == may_be
     empty = held.where("false")
     assert lectures._may_be_crowded(seen, rooms, empty, None) == (n > 5)
+
+
+@pytest.mark.parametrize("rules", [[("aud1", "One"), ("aud2", "Two")], None])
+@pytest.mark.parametrize("few", [1, 100_000])
+def test_times_of_bookings_stand_in_for_them(sightings, table, monkeypatch, rules, few):
+    """Rooms are already reduced and times already in seconds: the rules and the zone are not applied again."""
+    monkeypatch.setattr(lectures, "FEW_PAIRS", few)
+    rooms = table(schemas.META, ("r1", "aud1"), ("r2", "aud2"), ("r3", "hall"))
+    held = [("a", "Aud 1" if rules else "aud1", at(12), at(15)), ("b", "aud2", at(12, 10), at(12, 20)), (None, "aud1", at(9), at(16)), ("c", "hall", at(9), at(16))]
+    booked = table(BOOKED, *held, held[0])
+    seen = sightings(*[(f"r{n % 3 + 1}", f"c{n % 7}", at(10 + n % 5, n % 60)) for n in range(200)])
+    times = ops.booked_times(booked, rules, tz="Europe/Copenhagen")
+    assert times.columns == ["name", "room", "start", "end"] and times.count() == (3 if rules else 4)
+    for view in (ops.lecture_attendance, ops.lecture_connections):
+        expected = found(view(seen, rooms, booked, rules, tz="Europe/Copenhagen"))
+        assert expected and found(view(seen, rooms, times, rules, tz="Europe/Copenhagen")) == expected
+
+
+def test_auditorium_lectures_with_repeated_and_missing_keys(spark, tmp_path):
+    """Only keys are joined; the rows are those of the lectures joined with the rooms by name."""
+    rows = [(1, 1), (1, 6), (1, 6), (2, None), (None, 3), (3, 21), (4, 19)]
+    spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint").write.parquet(f"{tmp_path}/orders.parquet")
+    rooms = spark.read.parquet(f"{tmp_path}/orders.parquet").selectExpr(
+        "cast(o_orderkey as string) as name", "if(o_custkey % 20 < 5, concat('Aud ', o_custkey % 20, ', door A'), 'Lab 7') as room"
+    )
+    expected = bindings.lectures(spark, str(tmp_path)).drop("room").join(rooms, "name")
+    got = bindings.auditorium_lectures(spark, str(tmp_path))
+    assert got.columns == expected.columns and found(got) == found(expected) and got.count() == 12
